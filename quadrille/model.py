@@ -125,5 +125,8 @@ def quads(spark: SparkSession, rows, graph: str = DEFAULT_GRAPH) -> DataFrame:
 
 
 def as_set(df: DataFrame) -> DataFrame:
-    """Set semantics. ``distinct`` aggregates on the map side first, so a hot duplicate costs one row per task."""
-    return df.distinct()
+    """Set semantics. ``distinct`` aggregates on the map side first, so a hot duplicate costs one row per task.
+
+    Solutions without variables stay as they are: a distinct over no columns would turn none into one.
+    """
+    return df.distinct() if df.columns else df

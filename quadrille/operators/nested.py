@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.iri import local_name
 from ..model import RDF_TYPE
+from ..session import cut, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 from .patterns import bgp
 
@@ -52,12 +53,12 @@ def in_parts(rows: DataFrame, keys: list[str], by: list[str], size: int = PART_S
     The group sizes are counted with map-side aggregation first; the part of a row is a hash of its own ``by``
     columns, so the split is even, stable, and needs no ordering of a hot group in one task.
     """
-    counts = rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(size)).alias("_parts"))
-    long_groups = counts.filter(F.col("_parts") > 1)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    long_groups = cut(counts.filter(F.col("_rows") > size).select(*keys, F.ceil(F.col("_rows") / size).alias("_parts")))
     text = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])
     number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    joined = rows.join(long_groups, keys, "left")
-    part = F.pmod(number, F.coalesce(F.col("_parts"), F.lit(1).cast("long")))
+    joined = join_lookup(rows, long_groups, keys, "left")
+    part = F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(number, F.col("_parts")))
     return joined.withColumn("part", part).drop("_parts")
 
 
