@@ -218,12 +218,12 @@ def limit_per_shape(violations: DataFrame, k: int, salts: int = SALTS) -> DataFr
     return some.withColumn("_n", F.row_number().over(whole)).filter(F.col("_n") <= k).select(*COLUMNS)
 
 
-def report_violations(graph: Graph, shapes: list[Shape], closure: DataFrame | None = None, **options) -> DataFrame:
+def report_violations(graph: Graph, constraints: list[Shape], closure: DataFrame | None = None, /, **options) -> DataFrame:
     """Violations under the options of a report; an unknown option is an error before any work starts."""
     for name in options:
         if name not in REPORT_OPTIONS:
             raise ValueError(f"Parameter not recognized: {name}")
-    chosen = list(shapes)
+    chosen = list(constraints)
     if options.get("shapes") is not None:
         chosen = [s for s in chosen if s.name in _as_list(options["shapes"])]
     if options.get("shacl.shape.graphs") is not None:
@@ -246,9 +246,9 @@ def report_violations(graph: Graph, shapes: list[Shape], closure: DataFrame | No
     return found
 
 
-def report(graph: Graph, shapes: list[Shape], closure: DataFrame | None = None, **options) -> DataFrame:
+def report(graph: Graph, constraints: list[Shape], closure: DataFrame | None = None, /, **options) -> DataFrame:
     """One row: ``conforms`` and the number of violations found."""
-    found = report_violations(graph, shapes, closure, **options)
+    found = report_violations(graph, constraints, closure, **options)
     return found.agg((F.count("*") == 0).alias("conforms"), F.count("*").alias("violations"))
 
 

@@ -179,7 +179,7 @@ class GraphStore:
     def size_estimate(self) -> DataFrame:
         """Number of quads, one row ``n``, from row counts in file footers: base + added - removed, no join."""
         _, base, deltas = self.current()
-        parts = [self.spark.read.parquet(f"{self.root}/{base}").agg(F.count("*").alias("n"))]
+        parts = [read_quads(self.spark, f"{self.root}/{base}").agg(F.count("*").alias("n"))]
         for d in deltas:
             delta = self.spark.read.schema("s string, op string").parquet(f"{self.root}/{d}")
             parts.append(delta.filter(F.col("op") == ADDED).agg(F.count("*").alias("n")))

@@ -34,7 +34,8 @@ def csv_rows(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    csv_rows(df).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    csv_rows(df).write.options(**kept).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def tsv_rows(df: DataFrame, text: tuple[str, ...] = ()) -> DataFrame:
@@ -51,7 +52,8 @@ def tsv_rows(df: DataFrame, text: tuple[str, ...] = ()) -> DataFrame:
 def write_tsv(df: DataFrame, path: str, text: tuple[str, ...] = ()) -> None:
     """The syntax needs no further quoting, so lines are written as text with the header as the first line of a file."""
     rows = tsv_rows(df, text)
-    rows.write.option("header", True).option("sep", "\t").option("quote", "\u0000").option("escape", "\u0000").option(
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.write.options(**kept).option("header", True).option("sep", "\t").option("quote", "\u0000").option("escape", "\u0000").option(
         "escapeQuotes", False
     ).csv(path)
 

@@ -16,7 +16,7 @@ def read_rdfxml_flat(spark: SparkSession, path: str | list[str], prefixes: dict[
     ``elements`` are the qualified names of the children to read (``a:attributedTo``) and ``prefixes`` their
     namespaces; both are given, so the files are read once. A child with a ``resource`` attribute links to an IRI, any
     other is a literal with optional datatype and language. A description without ``rdf:about`` is a blank node named
-    by a hash of the whole description and its place in the input.
+    by its place in the input.
     """
     # Attribute and text columns as the XML reader names them.
     attributes = ["_VALUE", "_resource", "_rdf:resource", "_rdf:datatype", "_xml:lang"]
@@ -27,9 +27,11 @@ def read_rdfxml_flat(spark: SparkSession, path: str | list[str], prefixes: dict[
     about = F.coalesce(F.col("`_rdf:about`"), F.col("_about"))
     name = F.sha2(F.concat_ws("|", F.input_file_name(), F.monotonically_increasing_id().cast("string")), 256)
     keyed = rows.select(F.coalesce(about, F.concat(F.lit("_:x"), name)).alias("s"), *[F.col(f"`{e}`") for e in elements])
-    children = [
-        F.transform(F.col(f"`{e}`"), lambda c, p=_iri(e, prefixes): F.struct(F.lit(p).alias("p"), c.alias("c"))) for e in elements
-    ]
+    def labelled(element: str):
+        p = F.lit(_iri(element, prefixes)).alias("p")
+        return F.transform(F.col(f"`{element}`"), lambda c: F.struct(p, c.alias("c")))
+
+    children = [labelled(e) for e in elements]
     flat = keyed.select("s", F.explode(F.flatten(F.array_compact(F.array(*children)))).alias("x")).select("s", "x.p", "x.c")
     link = F.coalesce(F.col("c")["_resource"], F.col("c")["_rdf:resource"])
     return flat.select(

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Blanks around a value belong to the value.
+WHITESPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType | str, separator: str = ",",
                    types_as_text: bool = False) -> DataFrame:
     """CSV, TSV or any separator, with a header line that gives the variable names.
@@ -18,13 +22,13 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructT
             schema = T.StructType.fromDDL(schema)
         schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     reader = spark.read.schema(schema).option("header", True).option("sep", separator)
-    return reader.option("escape", '"').option("multiLine", True).option("mode", "FAILFAST").csv(path)
+    return reader.options(**WHITESPACE).option("escape", '"').option("multiLine", True).option("mode", "FAILFAST").csv(path)
 
 
 def read_lines_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType | str, separator: str = ",") -> DataFrame:
     """As :func:`read_delimited` for files whose values hold no line breaks: large files are split over many tasks."""
     reader = spark.read.schema(schema).option("header", True).option("sep", separator)
-    return reader.option("escape", '"').option("mode", "FAILFAST").csv(path)
+    return reader.options(**WHITESPACE).option("escape", '"').option("mode", "FAILFAST").csv(path)
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, documents: bool = False) -> DataFrame:
