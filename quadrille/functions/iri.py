@@ -88,25 +88,25 @@ def local_name(col: Column) -> Column:
     return F.regexp_extract(col, r"[^/#]*$", 0)
 
 
-def resolve(col: Column, base: str) -> Column:
+def resolve(col: Column, base: Column | str) -> Column:
     """A relative reference against a base IRI (RFC 3986, without dot segments).
 
     Absolute IRIs and blank nodes stay; ``//host``, ``/path``, ``?query``, ``#fragment``, the empty reference and
     plain relative paths are joined to the part of the base they replace.
     """
-    m = re.fullmatch(r"([A-Za-z][A-Za-z0-9+.-]*:)(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?", base)
-    if not m:
-        raise ValueError(f"base {base!r} is not an absolute IRI")
-    scheme, host, path, query = m[1], m[2] or "", m[3], m[4] or ""
-    folder = path[: path.rfind("/") + 1] or ("/" if host else "")
+    base = F.lit(base) if isinstance(base, str) else base
+    shape = r"^([A-Za-z][A-Za-z0-9+.-]*:)(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
+    scheme, host, path, query = (F.coalesce(F.regexp_extract(base, shape, i), F.lit("")) for i in (1, 2, 3, 4))
+    cut = F.regexp_extract(path, "^.*/", 0)
+    folder = F.when((cut == "") & (host != ""), "/").otherwise(cut)
     return (
         F.when(col.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | col.startswith("_:"), col)
-        .when(col.startswith("//"), F.concat(F.lit(scheme), col))
-        .when(col.startswith("/"), F.concat(F.lit(scheme + host), col))
-        .when(col.startswith("?"), F.concat(F.lit(scheme + host + path), col))
-        .when(col.startswith("#"), F.concat(F.lit(scheme + host + path + query), col))
-        .when(col == "", F.lit(scheme + host + path + query))
-        .otherwise(F.concat(F.lit(scheme + host + folder), col))
+        .when(col.startswith("//"), F.concat(scheme, col))
+        .when(col.startswith("/"), F.concat(scheme, host, col))
+        .when(col.startswith("?"), F.concat(scheme, host, path, col))
+        .when(col.startswith("#"), F.concat(scheme, host, path, query, col))
+        .when(col == "", F.concat(scheme, host, path, query))
+        .otherwise(F.concat(scheme, host, folder, col))
     )
 
 

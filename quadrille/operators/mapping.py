@@ -106,8 +106,8 @@ def direct_value(o, schema: T.StructType, as_type: str) -> Column | None:
         return col if isinstance(kind, T.LongType) else col.cast("long")
     if as_type == "string" and isinstance(kind, T.StringType):
         return col
-    if as_type == "timestamp" and isinstance(kind, T.TimestampType):
-        return col
+    if as_type == "timestamp" and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return col if isinstance(kind, T.TimestampType) else col.cast("timestamp")
     if as_type == "date" and isinstance(kind, T.DateType):
         return col
     if as_type == "boolean" and isinstance(kind, T.BooleanType):

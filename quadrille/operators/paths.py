@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, fits_broadcast, written
+from ..session import cut, fits_broadcast
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 
 
@@ -33,7 +33,7 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start:
 
     ``starts`` has one column ``start``; without it every source of an edge starts.
     """
-    edges = written(edges.select("src", "dst").distinct(), "edges")
+    edges = cut(edges.select("src", "dst").distinct(), "edges")
     if starts is None:
         starts = edges.select(F.col("src").alias("start"))
     starts = starts.select("start").distinct()
@@ -67,7 +67,7 @@ def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30)
     end are kept. Paths are then spelled out on those edges alone, so no partial path that misses the end is built.
     """
     spark = edges.sparkSession
-    edges = written(edges.select("src", "via", "dst").distinct(), "edges")
+    edges = cut(edges.select("src", "via", "dst").distinct(), "edges")
     level = spark.createDataFrame([(start,)], "src string")
     levels, seen = [level], level
     hit = False

@@ -39,7 +39,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="quadrille-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
@@ -49,14 +48,12 @@ def scratch(spark: SparkSession, name: str = "scratch") -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise into the shared folder and cut the lineage, so a lost executor costs no recomputation."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write as a table into the shared folder and read it back.
 
-
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write as parquet into the shared folder and read back: cuts lineage and gives the planner real file sizes."""
+    Cuts the lineage, so plans of loops stay short and a lost executor costs no recomputation, and gives the planner
+    real file sizes to choose joins by.
+    """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
