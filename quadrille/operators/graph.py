@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.iri import encode_iri_part
 from ..functions.terms import value_of
 from ..model import (
     DEFAULT_GRAPH,
@@ -108,6 +109,30 @@ class Dataset:
 EVERYTHING = Dataset()
 
 
+@dataclass(frozen=True)
+class Key:
+    """A node column kept as the bare key of its IRI: a number or text between a fixed head and tail.
+
+    Two sides with equal ``Key`` join on the bare value, which is shorter than the IRI and a plain column of the source.
+    """
+
+    head: str
+    tail: str
+    number: bool
+
+    def iri(self, col: Column) -> Column:
+        text = col.cast("string") if self.number else encode_iri_part(col)
+        return F.concat(F.lit(self.head), text, F.lit(self.tail)) if self.tail else F.concat(F.lit(self.head), text)
+
+
+def with_iris(df: DataFrame, keys: dict[str, Key], names=None) -> DataFrame:
+    """Bare keys as IRIs, all of them or those of some columns."""
+    chosen = [c for c in keys if names is None or c in names]
+    if not chosen:
+        return df
+    return df.select(*[keys[c].iri(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns])
+
+
 class Graph(ABC):
     """A set of quads that can be matched."""
 
@@ -118,7 +143,11 @@ class Graph(ABC):
         Variables in ``nodes`` are wanted as node columns wherever they stand, so that they join by plain equality.
         """
 
-    def match_star(self, patterns, nodes: frozenset[str], dataset: Dataset) -> DataFrame | None:
+    def match_keys(self, pattern: Pattern, nodes: frozenset[str], dataset: Dataset) -> tuple[DataFrame, dict[str, Key]]:
+        """As ``match``, but node columns may still be bare keys; the second part says which."""
+        return self.match(pattern, nodes, dataset), {}
+
+    def match_star(self, patterns, nodes: frozenset[str], dataset: Dataset) -> tuple[DataFrame, dict[str, Key]] | None:
         """Solutions of several patterns with one subject from a single scan, when the graph knows how."""
         return None
 

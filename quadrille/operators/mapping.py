@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.iri import Template
-from ..functions.terms import sql_term
+from ..functions.terms import sql_term, value_of
 from ..model import (
     DEFAULT_GRAPH,
     QUAD,
@@ -30,7 +30,7 @@ from ..model import (
     node_term,
     term,
 )
-from .graph import EVERYTHING, Graph, Pattern, constant_filters, from_terms, solutions
+from .graph import EVERYTHING, Graph, Key, Pattern, constant_filters, from_terms, solutions, with_iris
 
 
 @dataclass(frozen=True)
@@ -115,6 +115,13 @@ def direct_value(o, schema: T.StructType, as_type: str) -> Column | None:
     return None
 
 
+def exact_value(wanted, o, schema: T.StructType) -> bool:
+    """Whether equal solutions of one rule are equal triples. Of native values, only doubles can hide a difference."""
+    if not isinstance(wanted, Val):
+        return True
+    return wanted.as_type != "double" and direct_value(o, schema, wanted.as_type) is not None
+
+
 def object_condition(o, wanted, schema: T.StructType) -> Column | bool:
     """Condition on the source for ``object = wanted``; True or False when it does not depend on the row."""
     if isinstance(o, Template):
@@ -135,6 +142,16 @@ def object_condition(o, wanted, schema: T.StructType) -> Column | bool:
     return constant_object(o) == constant_object(wanted)
 
 
+def bare_key(template, schema: T.StructType) -> Key | None:
+    """The key of an IRI template over one number or text column."""
+    if not isinstance(template, Template) or len(template.columns) != 1:
+        return None
+    kind = schema[template.columns[0]].dataType
+    if not isinstance(kind, (T.IntegralType, T.StringType)):
+        return None
+    return Key(template.head, template.parts[-1], isinstance(kind, T.IntegralType))
+
+
 def apart(a: Rule, b: Rule) -> bool:
     """True when two rules can never give the same triple: other predicate, or subjects with unlike heads."""
     if a.p != b.p:
@@ -174,22 +191,38 @@ class MappedGraph(Graph):
         return out
 
     def match(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
+        return with_iris(*self.match_keys(pattern, nodes, dataset))
+
+    def match_keys(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         found = self.candidates(pattern, dataset)
         rules = [r for _, r, _ in found]
         distinct = all(m.unique for m, _, _ in found) and all(
             apart(a, b) for i, a in enumerate(rules) for b in rules[i + 1 :]
         )
         if not found:
-            return self._nothing(pattern, nodes)
+            return self._nothing(pattern, nodes), {}
         if is_var(pattern.p) and len({id(m) for m, _, _ in found}) < len(found):
-            return self._match_all(found, pattern, nodes, distinct)
+            return self._match_all(found, pattern, nodes, distinct), {}
+        if not distinct and len(found) == 1 and exact_value(pattern.o, found[0][1].o, found[0][0].source.schema):
+            # One rule: equal bare keys and values are equal triples, and shorter to compare.
+            (m, rule, conditions) = found[0]
+            solved = self._solve(m, [(pattern, rule)], conditions, nodes)
+            return (as_set(solved[0]), solved[1]) if solved else (self._nothing(pattern, nodes), {})
         if distinct:
-            parts = [self._solve(m, [(pattern, r)], c, nodes) for m, r, c in found]
-            parts = [p for p in parts if p is not None]
-            return reduce(DataFrame.unionByName, parts) if parts else self._nothing(pattern, nodes)
+            parts = [p for p in (self._solve(m, [(pattern, r)], c, nodes) for m, r, c in found) if p is not None]
+            return self._together(parts) if parts else (self._nothing(pattern, nodes), {})
         plain = Pattern(pattern.s, pattern.p, pattern.object_var or pattern.o, pattern.graph)
         parts = [self._solve(m, [(plain, r)], c, frozenset()) for m, r, c in found]
-        return from_terms(as_set(reduce(DataFrame.unionByName, [p for p in parts if p is not None])), pattern, nodes)
+        df, keys = self._together(parts)
+        return from_terms(as_set(with_iris(df, keys)), pattern, nodes), {}
+
+    @staticmethod
+    def _together(parts):
+        """Union of solutions; a column stays a bare key when it is the same key in all parts."""
+        first = parts[0][1]
+        keys = {c: k for c, k in first.items() if all(p[1].get(c) == k for p in parts)}
+        frames = [with_iris(df, mine, [c for c in mine if c not in keys]) for df, mine in parts]
+        return reduce(DataFrame.unionByName, frames), keys
 
     def _match_all(self, found, pattern: Pattern, nodes: frozenset[str], distinct: bool) -> DataFrame:
         """A variable predicate: all rules of a source from one scan."""
@@ -231,22 +264,34 @@ class MappedGraph(Graph):
             conditions += conds
         return self._solve(source, chosen, conditions, nodes)
 
-    def _solve(self, mapping: Mapping, chosen, conditions: list[Column], nodes: frozenset[str]) -> DataFrame | None:
-        """Solutions of patterns, each bound to one rule, on a row of the source. None when no row can match."""
-        schema, df = mapping.source.schema, mapping.source
+    def _solve(self, mapping: Mapping, chosen, conditions: list[Column], nodes: frozenset[str]):
+        """Solutions of patterns, each bound to one rule, on a row of the source, and their bare keys.
+
+        None when no row can match.
+        """
+        schema = mapping.source.schema
         for p, _ in chosen:
             nodes = nodes | frozenset(p.node_variables)
+        conditions = list(conditions)
         columns: dict[str, Column] = {}
+        keys: dict[str, Key] = {}
 
-        def bind(var, column):
+        def iri_of(var):
+            return keys[var].iri(columns[var]) if var in keys else columns[var]
+
+        def bind(var, column, template=None):
             if var in columns:
-                conditions.append(columns[var] == column)
-            columns.setdefault(var, column)
+                conditions.append(iri_of(var) == column)
+                return
+            key = bare_key(template, schema)
+            if key is not None:
+                keys[var], column = key, F.col(f"`{template.columns[0]}`")
+                column = column.cast("long") if key.number else column
+            columns[var] = column
 
-        conditions = list(conditions)
         for p, rule in chosen:
-            if is_var(p.s) and not (len(columns) and p.s in columns):
-                bind(p.s, rule.s.column(schema))
+            if is_var(p.s) and p.s not in columns:
+                bind(p.s, rule.s.column(schema), rule.s)
             if is_var(p.p):
                 bind(p.p, F.lit(rule.p))
             if is_var(p.graph):
@@ -258,19 +303,17 @@ class MappedGraph(Graph):
             if isinstance(p.o, Val):
                 native = direct_value(rule.o, schema, p.o.as_type)
                 if native is None:
-                    from ..functions.terms import value_of
-
                     native = value_of(type_, value, datatype, p.o.as_type)
                 conditions.append(native.isNotNull())
                 bind(var, native)
             elif var in nodes:
                 if not is_node(rule.o):
                     return None
-                bind(var, value)
+                bind(var, value, rule.o if isinstance(rule.o, Template) else None)
             else:
                 bind(var, term(type_, value, datatype, lang))
-        df = reduce(DataFrame.filter, conditions, df)
-        return df.select(*[c.alias(v[1:]) for v, c in columns.items()])
+        df = reduce(DataFrame.filter, conditions, mapping.source)
+        return df.select(*[c.alias(v[1:]) for v, c in columns.items()]), {v[1:]: k for v, k in keys.items()}
 
     def _nothing(self, pattern: Pattern, nodes: frozenset[str]) -> DataFrame:
         spark = self.mappings[0].source.sparkSession

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, fits_broadcast
+from ..session import BROADCAST_BYTES, cut, measured_bytes
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 
 
@@ -24,8 +24,9 @@ def edges_of(graph: Graph, predicate: str | None = None, dataset: Dataset = EVER
     return found.select("src", via, "dst")
 
 
-def _step(frontier: DataFrame, edges: DataFrame, on: str) -> DataFrame:
-    return edges.join(F.broadcast(frontier) if fits_broadcast(frontier) else frontier, on)
+def _step(frontier: DataFrame, size: int, edges: DataFrame, on: str) -> DataFrame:
+    """Edges that meet a frontier of ``size`` measured bytes."""
+    return edges.join(F.broadcast(frontier) if size <= BROADCAST_BYTES else frontier, on)
 
 
 def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start: bool = False, max_length: int | None = None) -> DataFrame:
@@ -40,13 +41,14 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start:
     frontier = cut(starts.select("start", F.col("start").alias("src")))
     found: list[DataFrame] = []
     seen: DataFrame | None = None
-    length = 0
-    while max_length is None or length < max_length:
-        reached = _step(frontier, edges, "src").select("start", F.col("dst").alias("node")).distinct()
+    length, size = 0, measured_bytes(frontier)
+    while size and (max_length is None or length < max_length):
+        reached = _step(frontier, size, edges, "src").select("start", F.col("dst").alias("node")).distinct()
         if seen is not None:
             reached = reached.join(seen, ["start", "node"], "left_anti")
         reached = cut(reached)
-        if reached.isEmpty():
+        size = measured_bytes(reached)
+        if not size:
             break
         found.append(reached)
         seen = reached if seen is None else seen.unionByName(reached)
@@ -70,11 +72,12 @@ def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30)
     edges = cut(edges.select("src", "via", "dst").distinct(), "edges")
     level = spark.createDataFrame([(start,)], "src string")
     levels, seen = [level], level
-    hit = False
+    hit, size = False, measured_bytes(level)
     while not hit and len(levels) <= max_length:
-        reached = _step(levels[-1], edges, "src").select(F.col("dst").alias("src")).distinct()
+        reached = _step(levels[-1], size, edges, "src").select(F.col("dst").alias("src")).distinct()
         reached = cut(reached.join(seen, "src", "left_anti"))
-        if reached.isEmpty():
+        size = measured_bytes(reached)
+        if not size:
             break
         levels.append(reached)
         seen = seen.unionByName(reached)
@@ -85,7 +88,7 @@ def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30)
     wanted = spark.createDataFrame([(end,)], "dst string")
     kept: list[DataFrame] = []
     for nodes in reversed(levels[:-1]):
-        useful = _step(wanted, edges, "dst").join(nodes, "src", "left_semi").select("src", "via", "dst")
+        useful = _step(wanted, measured_bytes(wanted), edges, "dst").join(nodes, "src", "left_semi").select("src", "via", "dst")
         kept.append(cut(useful))
         wanted = kept[-1].select(F.col("src").alias("dst")).distinct()
     kept.reverse()

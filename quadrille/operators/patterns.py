@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import DEFAULT_GRAPH, OBJECT, QUAD, TERM_SCHEMA, Lit, Val, as_set, constant_object, is_var, term
-from ..session import join_lookup
-from .graph import EVERYTHING, Dataset, Graph, Pattern
+from ..session import cut, join_lookup
+from .graph import EVERYTHING, Dataset, Graph, Key, Pattern, with_iris
 
 
 def order_patterns(patterns: list[Pattern]) -> list[Pattern]:
@@ -48,7 +48,7 @@ def bgp(graph: Graph, patterns: list[Pattern], dataset: Dataset = EVERYTHING) ->
     stars: dict[tuple, list[Pattern]] = {}
     for p in patterns:
         stars.setdefault((p.s, p.graph), []).append(p)
-    parts: list[tuple[Pattern, DataFrame]] = []
+    parts: list[tuple[Pattern, tuple[DataFrame, dict[str, Key]]]] = []
     single: list[Pattern] = []
     for group in stars.values():
         found = graph.match_star(group, nodes, dataset) if len(group) > 1 else None
@@ -57,10 +57,18 @@ def bgp(graph: Graph, patterns: list[Pattern], dataset: Dataset = EVERYTHING) ->
         else:
             merged = sorted(group, key=lambda p: -p.constants)[0]
             parts.append((_Star(merged, tuple(v for p in group for v in p.variables)), found))
-    parts += [(p, graph.match(p, nodes, dataset)) for p in single]
-    frames = {id(p): df for p, df in parts}
+    parts += [(p, graph.match_keys(p, nodes, dataset)) for p in single]
+    frames = {id(p): found for p, found in parts}
     ordered = order_patterns([p for p, _ in parts])
-    return reduce(join, [frames[id(p)] for p in ordered])
+    return with_iris(*reduce(_join_keys, [frames[id(p)] for p in ordered]))
+
+
+def _join_keys(left: tuple[DataFrame, dict[str, Key]], right: tuple[DataFrame, dict[str, Key]]):
+    """Join where some columns are bare keys: equal keys join as they are, others as IRIs."""
+    (l, l_keys), (r, r_keys) = left, right
+    unlike = [c for c in l.columns if c in r.columns and l_keys.get(c) != r_keys.get(c)]
+    l, r = with_iris(l, l_keys, unlike), with_iris(r, r_keys, unlike)
+    return join(l, r), {c: k for c, k in {**l_keys, **r_keys}.items() if c not in unlike}
 
 
 class _Star(Pattern):
@@ -271,12 +279,39 @@ def list_graphs(graph: Graph) -> DataFrame:
     return graph.quads().filter(F.col("g") != DEFAULT_GRAPH).select("g").distinct()
 
 
+# Up to this row, a page is taken by a bounded top-k; pages further down use positions of a distributed sort.
+TOP_ROWS = 100_000
+
+
 def page(solutions: DataFrame, order: list, limit: int | None = None, offset: int = 0) -> DataFrame:
     """Sort, skip, take. The order should be total for a stable answer."""
-    out = solutions.orderBy(*order)
-    if offset:
-        out = out.offset(offset)
-    return out if limit is None else out.limit(limit)
+    if limit is None and not offset:
+        return solutions.orderBy(*order)
+    if limit is not None and offset + limit <= TOP_ROWS:
+        out = solutions.orderBy(*order)
+        return (out.offset(offset) if offset else out).limit(limit)
+    return _deep_page(solutions, order, limit, offset)
+
+
+def _deep_page(solutions: DataFrame, order: list, limit: int | None, offset: int) -> DataFrame:
+    """Rows by their position in a range-partitioned sort; no task sees more than its own range.
+
+    The sorted rows are written with an id that holds the range and the place within it. Only the row count of each
+    range reaches the driver.
+    """
+    placed = cut(solutions.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "page")
+    sizes = placed.groupBy(F.shiftright("_id", 33).alias("r")).agg(F.count("*").alias("n")).orderBy("r").collect()
+    low, high = offset, None if limit is None else offset + limit
+    start, wanted = 0, F.lit(False)
+    for row in sizes:
+        r, n = row["r"], row["n"]
+        first, last = max(low - start, 0), n if high is None else min(high - start, n)
+        if first < last:
+            begin = r << 33
+            wanted = wanted | F.col("_id").between(begin + first, begin + last - 1)
+        start += n
+    return placed.filter(wanted).orderBy("_id").drop("_id")
+
 
 
 __all__ = [

@@ -92,6 +92,7 @@ class ReasonedGraph(Graph):
         self.base = base
         self.classes = subclass_closure(base, schema_graphs)
         self.properties = subproperty_closure(base, schema_graphs) if properties else None
+        self._small = fits_broadcast(self.classes)
 
     def match(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         if is_var(pattern.p):
@@ -117,12 +118,12 @@ class ReasonedGraph(Graph):
             name = pattern.object_var[1:]
             direct = self.base.match(wide, nodes | {pattern.object_var}, dataset)
             up = self.classes.select(F.col("sub").alias(name), F.col("super").alias("_super"))
-            more = join_lookup(direct, up, [name]).withColumn(name, F.col("_super")).select(*direct.columns)
+            more = join_lookup(direct, up, [name], small=self._small).withColumn(name, F.col("_super")).select(*direct.columns)
             return as_set(direct.unionByName(more))
         direct = self.base.match(pattern, nodes, dataset)
         subs = self.classes.filter(F.col("super") == pattern.o).select(F.col("sub").alias("_cls"))
         wide = Pattern(pattern.s, RDF_TYPE, "?_cls", pattern.graph)
-        more = join_lookup(self.base.match(wide, nodes | {"?_cls"}, dataset), subs, ["_cls"], "left_semi").drop("_cls")
+        more = join_lookup(self.base.match(wide, nodes | {"?_cls"}, dataset), subs, ["_cls"], "left_semi", small=self._small).drop("_cls")
         if not pattern.variables:
             more = more.limit(1)
         return as_set(direct.unionByName(more)) if pattern.variables else direct.unionByName(more)

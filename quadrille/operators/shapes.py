@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import value_of
 from ..model import NUMERIC_TYPES, RDF_TYPE, XSD_BOOLEAN, XSD_DATE, XSD_DATETIME
-from ..session import SALTS, join_lookup
+from ..session import SALTS, cut, fits_broadcast, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 from .reasoning import ReasonedGraph
 
@@ -73,7 +73,9 @@ class Validation:
         if nodes is not None:
             listed = isinstance(nodes, list)
             self.nodes = self.spark.createDataFrame([(n,) for n in nodes], "focus string") if listed else nodes.select("focus")
-            self.nodes = self.nodes.distinct()
+            self.nodes = cut(self.nodes.distinct())
+            self._small_nodes = fits_broadcast(self.nodes)
+        self._small_closure = closure is not None and fits_broadcast(closure)
 
     def _of(self, *kinds: str) -> list[Shape]:
         return [s for s in self.shapes if s.kind in kinds]
@@ -81,7 +83,7 @@ class Validation:
     def _focus_only(self, df: DataFrame, column: str = "focus") -> DataFrame:
         if self.nodes is None:
             return df
-        return join_lookup(df, self.nodes.withColumnRenamed("focus", column), [column], "left_semi")
+        return join_lookup(df, self.nodes.withColumnRenamed("focus", column), [column], "left_semi", small=self._small_nodes)
 
     def _values(self, path: str) -> DataFrame:
         """``focus, value, type, datatype`` of one path."""
@@ -99,7 +101,7 @@ class Validation:
         typed = self.graph.match(Pattern("?s", RDF_TYPE, "?cls"), frozenset(["?cls"]), self.dataset)
         subs = self.closure.filter(F.col("super") == cls).select(F.col("sub").alias("cls"))
         itself = self.spark.createDataFrame([(cls,)], "cls string")
-        return join_lookup(typed, subs.unionByName(itself).distinct(), ["cls"], "left_semi").select(F.col("s").alias("node")).distinct()
+        return join_lookup(typed, subs.unionByName(itself).distinct(), ["cls"], "left_semi", small=self._small_closure).select(F.col("s").alias("node")).distinct()
 
     def _result(self, found: DataFrame, shape: Shape, value) -> DataFrame:
         return found.select(

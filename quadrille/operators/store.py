@@ -37,6 +37,13 @@ def anti(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right.select(*QUAD), QUAD, "left_anti")
 
 
+def last_operation(log: DataFrame) -> DataFrame:
+    """The last ``op`` per quad of a log with ``_seq``, as one number per quad, so that a hash aggregation can do it."""
+    code = F.col("_seq") * 2 + F.when(F.col("op") == ADDED, 1).otherwise(0)
+    last = log.groupBy(*QUAD).agg(F.max(code).alias("_code"))
+    return last.select(*QUAD, F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED).alias("op"))
+
+
 def write_quads(df: DataFrame, path: str, by_bucket: bool | None = None, mode: str = "errorifexists") -> None:
     """Write quads by predicate.
 
@@ -148,7 +155,7 @@ class GraphStore:
         every = reduce(DataFrame.unionByName, parts)
         if len(parts) == 1:
             return every.drop("_seq")
-        return every.groupBy(*QUAD).agg(F.max_by("op", "_seq").alias("op"))
+        return last_operation(every)
 
     def quads(self) -> DataFrame:
         _, base, deltas = self.current()
@@ -227,7 +234,7 @@ class Batch:
         """Last operation per quad in the batch."""
         parts = [df.select(*QUAD, F.lit(i).alias("_seq"), F.lit(op).alias("op")) for i, (op, df) in enumerate(self._log)]
         every = reduce(DataFrame.unionByName, parts)
-        return every.groupBy(*QUAD).agg(F.max_by("op", "_seq").alias("op"))
+        return last_operation(every)
 
     def quads(self) -> DataFrame:
         """The staged state."""

@@ -161,7 +161,7 @@ def results_json_scan(spark, folder):
 def binary_docs_scan(spark, folder):
     """One file per document, read as blobs. The text writer ends each file with a line break."""
     path = scratch(spark, "blobs")
-    table(spark, folder, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id").write.partitionBy("doc_id").text(path)
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.col("doc_id").cast("long").alias("doc_id"), "length", F.md5("content").alias("checksum"))
 

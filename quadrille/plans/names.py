@@ -10,7 +10,7 @@ from ..model import Val
 from ..operators.graph import Pattern
 from ..operators.mapping import Col, MappedGraph, Mapping, Rule
 from ..operators.patterns import bgp
-from .base import BASE, graph, prop, query, table
+from .base import BASE, query, table
 
 
 def nation_prefixes(spark, folder):
@@ -129,5 +129,3 @@ def uuid_check(spark, folder):
     ids = F.when(F.col("role") == "user", uuid).otherwise(F.concat_ws("-", "role", hash_))
     return table(spark, folder, "conversations").select("conv_id", "turn", ids.alias("id")).withColumn("valid", is_uuid(F.col("id")))
 
-
-__all__ = ["graph", "prop"]

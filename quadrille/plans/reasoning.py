@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.iri import Template
-from ..model import OWL_DISJOINT, OWL_FUNCTIONAL, RDF_TYPE, RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS, RDFS_SUBPROPERTY, Val, quads
-from ..operators.graph import Pattern, UnionGraph
+from ..model import OWL_DISJOINT, OWL_FUNCTIONAL, RDF_TYPE, RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS, RDFS_SUBPROPERTY, quads
+from ..operators.graph import Pattern, StoredGraph, UnionGraph
 from ..operators.mapping import Col, MappedGraph, Mapping, Rule
 from ..operators.patterns import bgp
 from ..operators.reasoning import (
     ReasonedGraph, contradictions, domain_range_schema, domain_range_types, explain_inference, infer_types, instances, is_consistent, subclass_closure,
 )
-from ..operators.graph import StoredGraph
 from .base import BASE, iri, query, table
 
 BRAND, TYPE = BASE + "brand/", BASE + "type/"
@@ -130,5 +129,3 @@ def consistency_check(spark, folder):
 def explain_inconsistency(spark, folder):
     return contradictions(*contradicting(spark, folder))
 
-
-__all__ = ["Val"]

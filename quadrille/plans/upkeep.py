@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..model import Lit, Val
+from ..model import Val
 from ..operators.caches import cached_graph, cached_query
 from ..operators.documents import delete, documents, lookup, size, upsert
 from ..operators.graph import Graph, Pattern
 from ..operators.patterns import bgp
 from ..session import scratch
-from .base import BASE, graph, iri, link, prop, query, status_graphs, store_of, table
-from .updates import BEFORE, REMOVED, STATUS, finished_quads, shown, status_quads, urgent_quads, ADDED
+from .base import graph, iri, link, prop, query, status_graphs, store_of, table
+from .updates import ADDED, BEFORE, REMOVED, STATUS, finished_quads, shown, status_quads, urgent_quads
 
 
 def stored_documents(spark, folder):
@@ -107,5 +107,3 @@ def graph_compact(spark, folder):
     store.compact()
     return shown(store.quads())
 
-
-__all__ = ["BASE", "Lit"]

@@ -148,3 +148,21 @@ def test_virtual_graph_joins_stored_triples(spark):
     virtual_view(music_graph(spark), "music_view")
     assert spark.sql("select count(*) from music_view").first()[0] == 37
     assert DEFAULT_GRAPH
+
+
+def test_joins_use_bare_keys(spark):
+    """Tables joined through templates of one column join on that column; the IRI is made afterwards."""
+    g = music_direct(spark)
+    found = bgp(g, [Pattern("?a", M + "Album#ref-artist", "?x"), Pattern("?x", M + "Artist#name", Val("?n", "string"))])
+    assert rows(found, "a", "x", "n")[0] == (M + "Album/id=1", M + "Artist/id=5", "The Beatles")
+    plan = found.select("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat" not in plan and "Join" in plan
+    stored = StoredGraph(g.quads())
+    assert rows(bgp(stored, [Pattern("?a", M + "Album#ref-artist", "?x"), Pattern("?x", M + "Artist#name", Val("?n", "string"))]), "a", "x", "n") == rows(found, "a", "x", "n")
+    # a key that is text on one side and a number on the other still joins, as IRIs
+    t = spark.createDataFrame([("5",), ("x",)], "k string")
+    mixed = MappedGraph([*g.mappings, Mapping(t, (Rule(Template("urn:t{k}"), "urn:of", Template(M + "Artist/id={k}")),), unique=True)])
+    got = bgp(mixed, [Pattern("?t", "urn:of", "?x"), Pattern("?x", M + "Artist#name", Val("?n", "string"))])
+    assert rows(got, "t", "x", "n") == [("urn:t5", M + "Artist/id=5", "The Beatles")]
+    same = bgp(mixed, [Pattern("?x", "?p", "?x")])
+    assert same.count() == 0

@@ -173,3 +173,16 @@ def test_unicode_is_kept(spark, graph):
 
 def test_schema_rows(graph):
     assert bgp(graph, [Pattern("?c", RDFS_SUBCLASS, SW + "Character")]).count() == 2
+
+
+def test_deep_pages_equal_the_plain_ones(spark):
+    from quadrille.operators import patterns
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(5)
+    kept, patterns.TOP_ROWS = patterns.TOP_ROWS, 10
+    try:
+        for limit, offset in ((50, 100), (None, 990), (20, 995), (2000, 0), (5, 5000)):
+            got = [r["k"] for r in page(df, ["k"], limit, offset).collect()]
+            assert got == list(range(1000))[offset:][:limit]
+    finally:
+        patterns.TOP_ROWS = kept
