@@ -99,11 +99,15 @@ def term_text(type_: Column, value: Column, datatype_: Column, lang_: Column) ->
 
 
 def unescape(col: Column) -> Column:
-    """Undo N-Triples escapes; columns without a backslash pass through untouched.
+    """Undo N-Triples escapes.
 
-    The text is cut at escaped backslashes, so in every piece a backslash starts an escape of its own. The two
-    escapes JSON does not have are rewritten, then the JSON reader decodes the rest.
+    Text without a backslash passes through, text with only the four common escapes takes plain replacements. For the
+    rest the text is cut at escaped backslashes, so in every piece a backslash starts an escape of its own; the two
+    escapes JSON does not have are rewritten, and the JSON reader decodes what is left.
     """
+    common = col
+    for escaped, plain in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+        common = F.replace(common, F.lit(escaped), F.lit(plain))
 
     def long_escapes(piece: Column) -> Column:
         parts = F.split(piece, r"(?=\\U[0-9A-Fa-f]{8})")
@@ -119,7 +123,8 @@ def unescape(col: Column) -> Column:
     pieces = F.transform(F.split(col, r"\\\\"), long_escapes)
     as_json = F.concat(F.lit('["'), F.array_join(pieces, "\\\\"), F.lit('"]'))
     parsed = F.from_json(as_json, T.ArrayType(T.StringType()), {"allowUnescapedControlChars": "true", "mode": "FAILFAST"})
-    return F.when(F.instr(col, "\\") > 0, F.element_at(parsed, 1)).otherwise(col)
+    rare = col.rlike(r"\\[^nrt\"]")
+    return F.when(F.instr(col, "\\") == 0, col).when(rare, F.element_at(parsed, 1)).otherwise(common)
 
 
 def sql_term(col: Column, data_type: T.DataType) -> tuple[Column, str]:

@@ -34,7 +34,7 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start:
 
     ``starts`` has one column ``start``; without it every source of an edge starts.
     """
-    edges = cut(edges.select("src", "dst").distinct(), "edges")
+    edges = cut(edges.select("src", "dst"), "edges")
     if starts is None:
         starts = edges.select(F.col("src").alias("start"))
     starts = starts.select("start").distinct()
@@ -69,7 +69,7 @@ def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30)
     end are kept. Paths are then spelled out on those edges alone, so no partial path that misses the end is built.
     """
     spark = edges.sparkSession
-    edges = cut(edges.select("src", "via", "dst").distinct(), "edges")
+    edges = cut(edges.select("src", "via", "dst"), "edges")
     level = spark.createDataFrame([(start,)], "src string")
     levels, seen = [level], level
     hit, size = False, measured_bytes(level)
@@ -88,7 +88,7 @@ def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30)
     wanted = spark.createDataFrame([(end,)], "dst string")
     kept: list[DataFrame] = []
     for nodes in reversed(levels[:-1]):
-        useful = _step(wanted, measured_bytes(wanted), edges, "dst").join(nodes, "src", "left_semi").select("src", "via", "dst")
+        useful = _step(wanted, measured_bytes(wanted), edges, "dst").join(nodes, "src", "left_semi").select("src", "via", "dst").distinct()
         kept.append(cut(useful))
         wanted = kept[-1].select(F.col("src").alias("dst")).distinct()
     kept.reverse()

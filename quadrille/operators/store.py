@@ -293,9 +293,9 @@ class Batch:
         net = cut(self._net())
         before = self.store._read(self._base, self._deltas)
         present = before.join(net.select(*QUAD), QUAD, "left_semi")
-        new = anti(net.filter(F.col("op") == ADDED), present)
-        gone = net.filter(F.col("op") == REMOVED).join(present, QUAD, "left_semi")
-        return new.unionByName(gone)
+        known = net.join(present.withColumn("_there", F.lit(True)), QUAD, "left")
+        there = F.col("_there").isNotNull()
+        return known.filter((F.col("op") == REMOVED) == there).select(*QUAD, "op")
 
     def commit(self) -> dict[str, int]:
         """Publish as the next version and return how many quads were added and removed.

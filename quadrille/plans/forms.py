@@ -52,8 +52,8 @@ def trade_graph(spark, folder) -> MappedGraph:
         Mapping(orders, (Rule(order, BASE + "by", Template(BASE + "customer/c_custkey={o_custkey}")),), unique=True),
         Mapping(customers, (Rule(cust, BASE + "in", Template(BASE + "nation/n_nationkey={c_nationkey}")),), unique=True),
         Mapping(suppliers, (Rule(nation, BASE + "hosts", Template(BASE + "supplier/s_suppkey={s_suppkey}")),)),
-        Mapping(lines.select("l_suppkey", "l_partkey").distinct(), (Rule(supp, BASE + "sells", part),)),
-        Mapping(lines.select("l_partkey", "l_orderkey").distinct(), (Rule(part, BASE + "partOf", Template(BASE + "orders/o_orderkey={l_orderkey}")),)),
+        Mapping(lines, (Rule(supp, BASE + "sells", part),)),
+        Mapping(lines, (Rule(part, BASE + "partOf", Template(BASE + "orders/o_orderkey={l_orderkey}")),)),
     ])
 
 
