@@ -98,33 +98,39 @@ def term_text(type_: Column, value: Column, datatype_: Column, lang_: Column) ->
     return F.when(type_ == "literal", F.concat(quoted, tail)).otherwise(node_text(value))
 
 
+# The one-letter escapes of the line grammar.
+COMMON_ESCAPES = (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"))
+RARE_ESCAPES = (("\\b", "\b"), ("\\f", "\f"), ("\\'", "'"))
+
+
+def _replace_all(col: Column, pairs) -> Column:
+    for escaped, plain in pairs:
+        col = F.replace(col, F.lit(escaped), F.lit(plain))
+    return col
+
+
 def unescape(col: Column) -> Column:
     """Undo N-Triples escapes.
 
-    Text without a backslash passes through, text with only the four common escapes takes plain replacements. For the
-    rest the text is cut at escaped backslashes, so in every piece a backslash starts an escape of its own; the two
-    escapes JSON does not have are rewritten, and the JSON reader decodes what is left.
+    Text without a backslash passes through, text with only the four common escapes takes plain replacements. The rest
+    is cut at escaped backslashes, so that in every piece a backslash starts an escape of its own, and then before each
+    numeric escape, so that a decoded character is never read as the start of another one.
     """
-    common = col
-    for escaped, plain in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
-        common = F.replace(common, F.lit(escaped), F.lit(plain))
-
-    def long_escapes(piece: Column) -> Column:
-        parts = F.split(piece, r"(?=\\U[0-9A-Fa-f]{8})")
-        decoded = F.transform(
-            parts,
-            lambda x: F.when(
-                x.rlike(r"^\\U[0-9A-Fa-f]{8}"),
-                F.concat(F.decode(F.unhex(F.substring(x, 3, 8)), "UTF-32"), F.substr(x, F.lit(11))),
-            ).otherwise(x),
+
+    def decode_part(x: Column) -> Column:
+        def numeric(digits: int, charset: str) -> Column:
+            char = F.decode(F.unhex(F.substring(x, 3, digits)), charset)
+            return F.concat(char, _replace_all(F.substr(x, F.lit(3 + digits)), COMMON_ESCAPES + RARE_ESCAPES))
+
+        return (
+            F.when(x.startswith("\\U"), numeric(8, "UTF-32"))
+            .when(x.startswith("\\u"), numeric(4, "UTF-16BE"))
+            .otherwise(_replace_all(x, COMMON_ESCAPES + RARE_ESCAPES))
         )
-        return F.replace(F.array_join(decoded, ""), F.lit("\\'"), F.lit("'"))
 
-    pieces = F.transform(F.split(col, r"\\\\"), long_escapes)
-    as_json = F.concat(F.lit('["'), F.array_join(pieces, "\\\\"), F.lit('"]'))
-    parsed = F.from_json(as_json, T.ArrayType(T.StringType()), {"allowUnescapedControlChars": "true", "mode": "FAILFAST"})
+    pieces = F.transform(F.split(col, r"\\\\"), lambda p: F.array_join(F.transform(F.split(p, r"(?=\\[uU])"), decode_part), ""))
     rare = col.rlike(r"\\[^nrt\"]")
-    return F.when(F.instr(col, "\\") == 0, col).when(rare, F.element_at(parsed, 1)).otherwise(common)
+    return F.when(F.instr(col, "\\") == 0, col).when(rare, F.array_join(pieces, "\\")).otherwise(_replace_all(col, COMMON_ESCAPES))
 
 
 def sql_term(col: Column, data_type: T.DataType) -> tuple[Column, str]:

@@ -196,20 +196,19 @@ class MappedGraph(Graph):
     def match_keys(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         found = self.candidates(pattern, dataset)
         rules = [r for _, r, _ in found]
-        distinct = all(m.unique for m, _, _ in found) and all(
-            apart(a, b) for i, a in enumerate(rules) for b in rules[i + 1 :]
-        )
         if not found:
             return self._nothing(pattern, nodes), {}
+        unlike = all(apart(a, b) for i, a in enumerate(rules) for b in rules[i + 1 :])
         if is_var(pattern.p) and len({id(m) for m, _, _ in found}) < len(found):
-            return self._match_all(found, pattern, nodes, distinct), {}
-        if not distinct and len(found) == 1 and exact_value(pattern.o, found[0][1].o, found[0][0].source.schema):
-            # One rule: equal bare keys and values are equal triples, and shorter to compare.
-            (m, rule, conditions) = found[0]
-            solved = self._solve(m, [(pattern, rule)], conditions, nodes)
-            return (as_set(solved[0]), solved[1]) if solved else (self._nothing(pattern, nodes), {})
-        if distinct:
-            parts = [p for p in (self._solve(m, [(pattern, r)], c, nodes) for m, r, c in found) if p is not None]
+            return self._match_all(found, pattern, nodes, unlike and all(m.unique for m, _, _ in found)), {}
+        if unlike and all(m.unique or exact_value(pattern.o, r.o, m.source.schema) for m, r, _ in found):
+            # No two rules share a triple. Within a rule, equal bare keys and values are equal triples, and shorter to
+            # compare than IRIs; a unique mapping has no equal triples at all.
+            parts = []
+            for m, rule, conditions in found:
+                solved = self._solve(m, [(pattern, rule)], conditions, nodes)
+                if solved is not None:
+                    parts.append(solved if m.unique else (as_set(solved[0]), solved[1]))
             return self._together(parts) if parts else (self._nothing(pattern, nodes), {})
         plain = Pattern(pattern.s, pattern.p, pattern.object_var or pattern.o, pattern.graph)
         parts = [self._solve(m, [(plain, r)], c, frozenset()) for m, r, c in found]

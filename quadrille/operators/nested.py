@@ -83,8 +83,9 @@ def group_concat(rows: DataFrame, keys: list[str], column: str, separator: str,
     if distinct:
         rows = rows.distinct()
     else:
-        # Equal values of a bag would share one part; number them apart by their own row.
-        rows = rows.withColumn("_n", F.monotonically_increasing_id())
+        # Equal values of a bag would share one part, so rows are numbered apart. The numbers are written down: a task
+        # that runs again must not number its rows anew.
+        rows = cut(rows.withColumn("_n", F.monotonically_increasing_id()), "numbered")
     parted = in_parts(rows, keys, [column] if distinct else [column, "_n"], size)
     text = F.array_join(F.sort_array(F.collect_list(F.col(column).cast("string"))), separator)
     return parted.groupBy(*keys, "part").agg(text.alias(name))

@@ -44,7 +44,7 @@ DOCUMENT_ROWS = f"""
 @query("nquads_scan", DOCUMENT_ROWS)
 def nquads_scan(spark, folder):
     path = scratch(spark, "nquads")
-    write_nquads(document_graph(spark, folder).quads(), path, compression="gzip")
+    write_nquads(document_graph(spark, folder).quads(), path)
     return as_set(read_nquads(spark, path)).select(*QUAD)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.iri import Template
-from ..model import OWL_DISJOINT, OWL_FUNCTIONAL, RDF_TYPE, RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS, RDFS_SUBPROPERTY, quads
+from ..model import DEFAULT_GRAPH, OWL_DISJOINT, OWL_FUNCTIONAL, RDF_TYPE, RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS, RDFS_SUBPROPERTY, quads
 from ..operators.graph import Pattern, StoredGraph, UnionGraph
 from ..operators.mapping import Col, MappedGraph, Mapping, Rule
 from ..operators.patterns import bgp
@@ -17,18 +17,18 @@ from .base import BASE, iri, query, table
 BRAND, TYPE = BASE + "brand/", BASE + "type/"
 
 
-def class_graph(spark, folder, graphs: bool = False) -> MappedGraph:
+def class_graph(spark, folder, graphs: bool = False) -> UnionGraph:
     """Parts with their brand as class, and the hierarchy; with ``graphs`` each level sits in a graph of its own."""
     part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
     brand, type_ = Template(BRAND + "{p_brand}"), Template(TYPE + "{p_type}")
-    low, high = ("urn:schema:brands", "urn:schema:types") if graphs else ("urn:quadrille:default-graph",) * 2
-    tops = part.select("p_type").distinct()
-    return MappedGraph([
+    low, high = ("urn:schema:brands", "urn:schema:types") if graphs else (DEFAULT_GRAPH, DEFAULT_GRAPH)
+    top = StoredGraph(quads(spark, [(BASE + "Part", RDFS_SUBCLASS, BASE + "Thing")], high))
+    mapped = MappedGraph([
         Mapping(part, (Rule(Template(BASE + "part/p_partkey={p_partkey}"), RDF_TYPE, brand),), unique=True),
         Mapping(part, (Rule(brand, RDFS_SUBCLASS, type_),), low),
-        Mapping(tops, (Rule(type_, RDFS_SUBCLASS, BASE + "Part"),), high, True),
-        Mapping(tops.limit(1), (Rule(Template(BASE + "Part"), RDFS_SUBCLASS, BASE + "Thing"),), high),
+        Mapping(part, (Rule(type_, RDFS_SUBCLASS, BASE + "Part"),), high),
     ])
+    return UnionGraph(top, mapped, disjoint=True)
 
 
 BRAND_SQL, TYPE_SQL = f"'{BRAND}' || replace(p_brand, '#', '%23')", f"'{TYPE}' || p_type"

@@ -13,22 +13,22 @@ from ..functions.terms import unescape
 from ..model import DEFAULT_GRAPH, QUAD, XSD_STRING
 
 # The terms of the line grammar. Loops are possessive, so long literals need no deep matching stack.
-ESCAPE = r"\\(?:[tbnrf\"'\\]|u[0-9A-Fa-f]{4}|U(?!0000[Dd][89A-Fa-f])00(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4})"
-IRI = r"<(?:[^\x00-\x20<>\"{}|^`\\]|\\u[0-9A-Fa-f]{4}|\\U00[01][0-9A-Fa-f]{5})*+>"
+ESCAPE = r"\\(?:[tbnrf\"'\\]|u(?![Dd][89A-Fa-f])[0-9A-Fa-f]{4}|U(?!0000[Dd][89A-Fa-f])00(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4})"
+IRI = r"<(?:[^\x00-\x20<>\"{}|^`\\]|\\u(?![Dd][89A-Fa-f])[0-9A-Fa-f]{4}|\\U(?!0000[Dd][89A-Fa-f])00(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4})*+>"
 BNODE = r"_:[\p{L}\p{N}_](?:[\p{L}\p{N}_.\-\u00B7]*[\p{L}\p{N}_\-\u00B7])?"
 TEXT = r"\"(?:[^\"\\\n\r]++|" + ESCAPE + r")*+\""
 LITERAL = TEXT + r"(?:\^\^" + IRI + r"|@[A-Za-z]+(?:-[A-Za-z0-9]+)*+)?"
 SPACE = r"[ \t]*+"
 STATEMENT = (
-    f"^{SPACE}({IRI}|{BNODE}){SPACE}({IRI}){SPACE}({IRI}|{BNODE}|{LITERAL}){SPACE}({IRI}|{BNODE})?{SPACE}\\.{SPACE}(?:#.*)?$"
+    f"(?s)^{SPACE}({IRI}|{BNODE}){SPACE}({IRI}){SPACE}({IRI}|{BNODE}|{LITERAL}){SPACE}({IRI}|{BNODE})?{SPACE}\\.{SPACE}(?:#.*)?\\z"
 )
 TERM = f"{LITERAL}|{IRI}|{BNODE}"
-BLANK = r"^[ \t]*(?:#.*)?$"
+BLANK = r"(?s)^[ \t]*(?:#.*)?\z"
 
 
-def _node(token: Column) -> Column:
-    """IRI without brackets, or the blank node as written."""
-    return F.when(token.startswith("<"), unescape(F.substr(token, F.lit(2), F.length(token) - 2))).otherwise(token)
+def _bare(token: Column) -> Column:
+    """IRI without brackets; anything else as written."""
+    return F.when(token.startswith("<"), F.substr(token, F.lit(2), F.length(token) - 2)).otherwise(token)
 
 
 def parse_lines(lines: DataFrame, graph: str = DEFAULT_GRAPH) -> tuple[DataFrame, DataFrame]:
@@ -42,23 +42,27 @@ def parse_lines(lines: DataFrame, graph: str = DEFAULT_GRAPH) -> tuple[DataFrame
     # A comment after the final dot may hold term-like text; only lines that can have one look for the graph again.
     may_comment = F.col("value").rlike(r"\.[ \t]*#")
     fourth = F.when(may_comment, F.regexp_extract("value", STATEMENT, 4)).otherwise(F.get(tokens, F.lit(3)))
-    cut = checked.filter("_ok").select(tokens.alias("t"), fourth.alias("t4"))
-    s, p, o, g = F.get("t", F.lit(0)), F.get("t", F.lit(1)), F.get("t", F.lit(2)), F.col("t4")
-    literal = o.startswith('"')
+    # Each step names its results, so that no later step works them out again for every use.
+    cut = checked.filter("_ok").select(tokens.alias("t"), fourth.alias("g"))
+    terms = cut.select(F.get("t", F.lit(0)).alias("s"), F.get("t", F.lit(1)).alias("p"), F.get("t", F.lit(2)).alias("o"), "g")
+    literal = F.col("o").startswith('"')
     # The last quote of a literal ends its text: neither a datatype IRI nor a language tag holds one.
-    end = F.length(o) - F.locate('"', F.reverse(o)) + 1
-    tail = F.substr(o, end + 1)
-    datatype = F.when(tail.startswith("^^"), unescape(F.substr(tail, F.lit(4), F.length(tail) - 4))).otherwise("")
-    parts = {
-        "s": _node(s),
-        "p": _node(p),
-        "o_value": F.when(literal, unescape(F.substr(o, F.lit(2), end - 2))).otherwise(_node(o)),
-        "o_type": F.when(literal, "literal").when(o.startswith("<"), "uri").otherwise("bnode"),
-        "o_datatype": F.when(literal & (datatype != XSD_STRING), datatype).otherwise(""),
-        "o_lang": F.when(literal & tail.startswith("@"), F.substr(tail, F.lit(2))).otherwise(""),
-        "g": F.when(g.isNull() | (g == ""), F.lit(graph)).otherwise(_node(g)),
-    }
-    quads = cut.select(*[parts[c].alias(c) for c in QUAD])
+    tail = F.when(literal, F.substring_index("o", '"', -1)).otherwise("")
+    tailed = terms.select("s", "p", "o", "g", literal.alias("literal"), tail.alias("tail"))
+    size = F.length("o") - F.length("tail") - 2
+    # Text of a literal, IRI without brackets, or blank node as written.
+    inner = F.when(F.col("literal"), F.substr("o", F.lit(2), size)).otherwise(_bare(F.col("o")))
+    kind = F.when(F.col("literal"), "literal").when(F.col("o").startswith("<"), "uri").otherwise("bnode")
+    datatype = F.when(F.col("tail").startswith("^^"), _bare(F.substr("tail", F.lit(3)))).otherwise("")
+    language = F.when(F.col("tail").startswith("@"), F.substr("tail", F.lit(2))).otherwise("")
+    named = tailed.select(
+        _bare(F.col("s")).alias("s"), _bare(F.col("p")).alias("p"), inner.alias("o_value"), kind.alias("o_type"),
+        datatype.alias("o_datatype"), language.alias("o_lang"), _bare(F.col("g")).alias("g"),
+    )
+    plain = {c: unescape(F.col(c)) for c in ("s", "p", "o_value", "o_datatype", "g")}
+    plain["o_datatype"] = F.when(plain["o_datatype"] == XSD_STRING, "").otherwise(plain["o_datatype"])
+    plain["g"] = F.when(F.coalesce(F.col("g"), F.lit("")) == "", F.lit(graph)).otherwise(plain["g"])
+    quads = named.select(*[plain.get(c, F.col(c)).alias(c) for c in QUAD])
     return quads, bad
 
 

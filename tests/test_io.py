@@ -2,7 +2,7 @@ import bz2
 import gzip
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -36,13 +36,15 @@ LINES = [
     "<urn:s> <urn:p> \"bad \\q escape\" .",
     "<urn:s> <urn:p> \"open .",
     "not a statement",
+    "<urn:s> <urn:p> \"half a pair \\uD83D\" .",
+    "<urn:s> <urn:p> \"\\u005Cn \\\\u0041 \x01\\b\\f \\u0022\" .",
 ]
 
 
 def test_lines(spark):
     df = spark.createDataFrame([(x,) for x in LINES], "value string")
     good, bad = parse_lines(df)
-    assert bad.count() == 5
+    assert bad.count() == 6
     got = [tuple(r) for r in good.collect()]
     g0 = DEFAULT_GRAPH
     assert got == [
@@ -54,6 +56,7 @@ def test_lines(spark):
         ("_:a", "urn:p", "_:b.c", "bnode", "", "", g0),
         ("urn:ü", "urn:p", "😀 é '", "literal", "", "", "_:g"),
         ("urn:s", "urn:p", "urn:o", "uri", "", "", g0),
+        ("urn:s", "urn:p", '\\n \\u0041 \x01\b\f "', "literal", "", "", g0),
     ]
 
 
@@ -78,10 +81,19 @@ def test_export_and_load_give_the_same(spark, starwars):
     assert rows(read_nquads(spark, path), *QUAD) == rows(starwars, *QUAD)
 
 
+def test_every_character_survives(spark):
+    chars = [chr(i) for i in [*range(1, 0x3100), *range(0xFF00, 0x10000), *range(0x1F600, 0x1F650)]]
+    df = quads(spark, [("urn:s", "urn:p", Lit(f"{c}\\{c}n\\n{c}")) for c in chars] + [("urn:" + c, "urn:p", "urn:o") for c in chars if c > " "])
+    path = scratch(spark)
+    write_nquads(df, path)
+    back = read_nquads(spark, path)
+    assert back.count() == df.count() and back.exceptAll(df).count() == 0
+
+
 text = st.text(st.characters(exclude_categories=["Cs"]), max_size=12)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate], suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(text, text, st.sampled_from(["", "en"])), min_size=1, max_size=8))
 def test_any_text_survives(spark, items):
     data = [(f"urn:{i}", "urn:p", Lit(t, "", lang), f"urn:g/{g}") for i, (t, g, lang) in enumerate(items) if all(ord(c) > 31 for c in g)]

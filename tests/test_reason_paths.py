@@ -109,13 +109,13 @@ def brute_paths(edges, start, end):
     return []
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_paths_against_brute_force(spark, seed):
     random.seed(seed)
     nodes = [f"n{i:02d}" for i in range(14)]
     edges = sorted({(random.choice(nodes), random.choice("pq"), random.choice(nodes)) for _ in range(34)})
     df = spark.createDataFrame(edges, "src string, via string, dst string")
-    for end in nodes[1:4]:
+    for end in nodes[1:3]:
         got = sorted(tuple(tuple(h) for h in r["hops"]) for r in shortest_paths(df, nodes[0], end).collect())
         assert got == brute_paths(edges, nodes[0], end)
     reach = {n: set() for n in nodes}

@@ -1,5 +1,5 @@
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -168,7 +168,7 @@ triple = st.tuples(st.sampled_from(["urn:a", "urn:b"]), st.sampled_from(["urn:p"
 step = st.tuples(st.booleans(), st.lists(triple, min_size=1, max_size=4))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(step, min_size=1, max_size=3), min_size=1, max_size=2))
 def test_batches_behave_like_sets(spark, batches):
     store, model = GraphStore.create(spark, scratch(spark)), set()
