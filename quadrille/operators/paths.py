@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_BYTES, cut, measured_bytes
+from ..session import BROADCAST_BYTES, cut, cut_measured
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 
 
@@ -38,16 +38,16 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start:
     if starts is None:
         starts = edges.select(F.col("src").alias("start"))
     starts = starts.select("start").distinct()
-    frontier = cut(starts.select("start", F.col("start").alias("src")))
+    frontier, first = cut_measured(starts.select("start", F.col("start").alias("src")))
     found: list[DataFrame] = []
     seen: DataFrame | None = None
-    length, size = 0, measured_bytes(frontier)
+    length, size = 0, first["bytes"]
     while size and (max_length is None or length < max_length):
         reached = _step(frontier, size, edges, "src").select("start", F.col("dst").alias("node")).distinct()
         if seen is not None:
             reached = reached.join(seen, ["start", "node"], "left_anti")
-        reached = cut(reached)
-        size = measured_bytes(reached)
+        reached, measured = cut_measured(reached)
+        size = measured["bytes"]
         if not size:
             break
         found.append(reached)
@@ -61,9 +61,10 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start:
     return every.unionByName(itself).distinct() if include_start else every
 
 
-def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30) -> DataFrame:
+def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int | None = None) -> DataFrame:
     """All shortest paths from ``start`` to ``end``, one row each: ``length`` and ``hops``, an array of
-    ``(src, via, dst)`` in order. No row when ``end`` is not reached within ``max_length`` edges.
+    ``(src, via, dst)`` in order. No row when ``end`` is not reached, or not within ``max_length``
+    edges.
 
     Forward levels find the distance of each node. Backward, only edges between neighbouring levels that lead to the
     end are kept. Paths are then spelled out on those edges alone, so no partial path that misses the end is built.
@@ -72,24 +73,29 @@ def shortest_paths(edges: DataFrame, start: str, end: str, max_length: int = 30)
     edges = cut(edges.select("src", "via", "dst"), "edges")
     level = spark.createDataFrame([(start,)], "src string")
     levels, seen = [level], level
-    hit, size = False, measured_bytes(level)
-    while not hit and len(levels) <= max_length:
+    hit, size = False, 0
+    while not hit and (max_length is None or len(levels) <= max_length):
         reached = _step(levels[-1], size, edges, "src").select(F.col("dst").alias("src")).distinct()
-        reached = cut(reached.join(seen, "src", "left_anti"))
-        size = measured_bytes(reached)
+        ends = F.max((F.col("src") == end).cast("int"))
+        reached, measured = cut_measured(reached.join(seen, "src", "left_anti"), hit=ends)
+        size = measured["bytes"]
         if not size:
             break
         levels.append(reached)
         seen = seen.unionByName(reached)
-        hit = not reached.filter(F.col("src") == end).isEmpty()
+        hit = measured["hit"] == 1
     schema = "length int, hops array<struct<src:string,via:string,dst:string>>"
     if not hit:
         return spark.createDataFrame([], schema)
     wanted = spark.createDataFrame([(end,)], "dst string")
     kept: list[DataFrame] = []
+    size = 0
     for nodes in reversed(levels[:-1]):
-        useful = _step(wanted, measured_bytes(wanted), edges, "dst").join(nodes, "src", "left_semi").select("src", "via", "dst").distinct()
-        kept.append(cut(useful))
+        useful = _step(wanted, size, edges, "dst").join(nodes, "src", "left_semi").select("src", "via", "dst").distinct()
+        useful, measured = cut_measured(useful)
+        kept.append(useful)
+        # The nodes wanted next are part of these edges, so their size is bounded by it.
+        size = measured["bytes"]
         wanted = kept[-1].select(F.col("src").alias("dst")).distinct()
     kept.reverse()
     hop = F.struct("src", "via", "dst")

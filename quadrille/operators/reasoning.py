@@ -24,7 +24,7 @@ from ..model import (
     as_set,
     is_var,
 )
-from ..session import cut, fits_broadcast, join_lookup
+from ..session import BROADCAST_BYTES, cut_measured, fits_broadcast, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern, StoredGraph, from_terms
 
 NODES = ("uri", "bnode")
@@ -43,12 +43,11 @@ def transitive_closure(edges: DataFrame) -> DataFrame:
     Of several shortest ways the smallest by text is kept, so the result does not depend on the order of rows.
     Ends on cycles too: a pair is extended only at the level it is first found.
     """
-    edges = cut(edges.select("sub", "super").distinct())
+    edges, measured = cut_measured(edges.select("sub", "super").distinct())
     step = edges.select(F.col("sub").alias("super"), F.col("super").alias("_next"))
-    small = fits_broadcast(step)
-    level = edges.withColumn("chain", F.array("sub", "super"))
-    levels, seen = [cut(level)], edges
-    while True:
+    small = measured["bytes"] <= BROADCAST_BYTES
+    levels, seen = [edges.withColumn("chain", F.array("sub", "super"))], edges
+    while measured["bytes"]:
         last = levels[-1]
         reached = (
             last.join(F.broadcast(step) if small else step, "super")
@@ -56,9 +55,7 @@ def transitive_closure(edges: DataFrame) -> DataFrame:
             .groupBy("sub", "super").agg(F.min("chain").alias("chain"))
             .join(seen, ["sub", "super"], "left_anti")
         )
-        reached = cut(reached)
-        if reached.isEmpty():
-            break
+        reached, measured = cut_measured(reached)
         levels.append(reached)
         seen = seen.unionByName(reached.select("sub", "super"))
     return reduce(DataFrame.unionByName, levels)

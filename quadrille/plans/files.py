@@ -18,7 +18,7 @@ from ..sinks.results import write_csv, write_json, write_tsv
 from ..sources.lines import read_nquads
 from ..sources.rdfxml import read_rdfxml_flat
 from ..sources.results import read_results_json
-from ..sources.tables import Sources, read_json, read_lines_delimited
+from ..sources.tables import Sources, read_binary, read_json, read_lines_delimited
 from .base import BASE, graph, iri, link, prop, query, store_of, table
 
 DOCS = "urn:graph:documents"
@@ -157,13 +157,16 @@ def results_json_scan(spark, folder):
     )
 
 
-@query("binary_docs_scan", "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length, md5(text || chr(10)) AS checksum FROM documents")
+@query("binary_docs_scan", """
+    SELECT doc_id, CAST(strlen(doc_id || chr(10) || text) + 1 AS BIGINT) AS length, md5(doc_id || chr(10) || text || chr(10)) AS checksum FROM documents""")
 def binary_docs_scan(spark, folder):
-    """One file per document, read as blobs. The text writer ends each file with a line break."""
+    """One file per document, read as blobs. The first line of a file is its id; the text writer ends it with a line break."""
     path = scratch(spark, "blobs")
-    table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id").write.partitionBy("doc_id").text(path)
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("doc_id").cast("long").alias("doc_id"), "length", F.md5("content").alias("checksum"))
+    docs = table(spark, folder, "documents").repartition("doc_id").select(F.concat("doc_id", F.lit("\n"), "text").alias("value"))
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    blobs = read_binary(spark, path)
+    first = F.substring_index(F.col("content").cast("string"), "\n", 1)
+    return blobs.select(first.cast("long").alias("doc_id"), "length", F.md5("content").alias("checksum"))
 
 
 ESCAPED = "replace(replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"

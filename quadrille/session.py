@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,17 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_measured(df: DataFrame, name: str = "cut", **measures: Column) -> tuple[DataFrame, dict]:
+    """As :func:`cut`, with aggregates of the written rows from the same pass: ``bytes``, and any others asked for.
+
+    A task that runs twice may be counted twice, so sizes are upper bounds; they are exact about being zero.
+    """
+    path, seen = scratch(df.sparkSession, name), Observation()
+    size = F.coalesce(F.sum(_bytes(df.schema)), F.lit(0)).alias("bytes")
+    df.observe(seen, size, *[c.alias(n) for n, c in measures.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
 def _bytes(schema: T.StructType) -> Column:
     total = F.lit(0).cast("long")
     for field in schema:
