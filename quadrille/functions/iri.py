@@ -15,6 +15,10 @@ from ..session import join_lookup
 # Fixed value: characters a template value keeps as they are (unreserved ASCII; all non-ASCII text stays too).
 UNRESERVED = r"^[A-Za-z0-9._~-]*$"
 
+# Text of a whole number as a cast writes it; up to SAFE_DIGITS characters it fits a long for sure.
+WHOLE_NUMBER = r"0|-?[1-9]\d*"
+SAFE_DIGITS = 18
+
 # Prefix tables up to this many rows become a literal inside the expression; larger ones are joined.
 LITERAL_PREFIXES = 2000
 
@@ -76,8 +80,10 @@ class Template:
             value = iri[len(prefix) : len(iri) - len(suffix)]
             kind = schema[self.columns[0]].dataType
             col = F.col(f"`{self.columns[0]}`")
-            if isinstance(kind, T.IntegralType):
-                return col == int(value) if re.fullmatch(r"-?(0|[1-9]\d{0,18})", value) else None
+            if isinstance(kind, T.IntegralType) and not re.fullmatch(WHOLE_NUMBER, value):
+                return None
+            if isinstance(kind, T.IntegralType) and len(value) <= SAFE_DIGITS:
+                return col == int(value)
             if isinstance(kind, T.StringType) and re.fullmatch(UNRESERVED, value):
                 return col == value
         return self.column(schema) == iri

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.iri import Template
+from ..functions.iri import SAFE_DIGITS, WHOLE_NUMBER, Template
 from ..functions.terms import sql_term, value_of
 from ..model import (
     DEFAULT_GRAPH,
@@ -137,7 +137,9 @@ def object_condition(o, wanted, schema: T.StructType) -> Column | bool:
         if wanted.datatype != ("" if o.lang else datatype) or wanted.lang != o.lang:
             return False
         if o.datatype is None and isinstance(kind, T.IntegralType):
-            return col == int(wanted.value) if re.fullmatch(r"-?(0|[1-9]\d{0,18})", wanted.value) else False
+            if not re.fullmatch(WHOLE_NUMBER, wanted.value):
+                return False
+            return col == int(wanted.value) if len(wanted.value) <= SAFE_DIGITS else text == wanted.value
         return text == wanted.value
     return constant_object(o) == constant_object(wanted)
 

@@ -17,6 +17,7 @@ from ..functions.terms import value_of
 from ..model import NUMERIC_TYPES, RDF_TYPE, XSD_BOOLEAN, XSD_DATE, XSD_DATETIME
 from ..session import SALTS, cut, fits_broadcast, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern
+from .patterns import page
 from .reasoning import ReasonedGraph
 
 COLUMNS = ["shape", "focus", "path", "value", "kind"]
@@ -244,7 +245,7 @@ def report_violations(graph: Graph, constraints: list[Shape], closure: DataFrame
     if options.get("shacl.violation.limit.shape") is not None:
         found = limit_per_shape(found, int(options["shacl.violation.limit.shape"]))
     if options.get("countLimit") is not None:
-        found = found.orderBy(*COLUMNS).limit(int(options["countLimit"]))
+        found = page(found, COLUMNS, limit=int(options["countLimit"]))
     return found
 
 

@@ -292,6 +292,10 @@ class Batch:
         self._check()
         net = cut(self._net())
         before = self.store._read(self._base, self._deltas)
+        # Predicates are few; named in the filter, they leave all other folders of the base unread.
+        touched = [r["p"] for r in net.select("p").distinct().limit(MAX_PREDICATE_FOLDERS + 1).collect()]
+        if len(touched) <= MAX_PREDICATE_FOLDERS:
+            before = before.filter(F.col("p").isin(touched))
         present = before.join(net.select(*QUAD), QUAD, "left_semi")
         known = net.join(present.withColumn("_there", F.lit(True)), QUAD, "left")
         there = F.col("_there").isNotNull()

@@ -166,3 +166,14 @@ def test_joins_use_bare_keys(spark):
     assert rows(got, "t", "x", "n") == [("urn:t5", M + "Artist/id=5", "The Beatles")]
     same = bgp(mixed, [Pattern("?x", "?p", "?x")])
     assert same.count() == 0
+
+
+def test_numbers_match_by_their_text(spark):
+    """Only the text a number is written with matches, at any size."""
+    from quadrille.model import XSD_INTEGER
+
+    t = spark.createDataFrame([(0, 7), (-5, 8), (9223372036854775807, 9)], "id long, v long")
+    g = MappedGraph([Mapping(t, (Rule(Template(M + "n{id}"), "urn:v", Col("v")), Rule(Template(M + "n{id}"), "urn:id", Col("id"))), unique=True)])
+    for text, n in (("0", 1), ("-0", 0), ("00", 0), ("-5", 1), ("9223372036854775807", 1), ("9999999999999999999", 0), ("99999999999999999999999", 0), ("", 0)):
+        assert bgp(g, [Pattern(M + "n" + text, "urn:v", "?v")]).count() == n, text
+        assert bgp(g, [Pattern("?s", "urn:id", Lit(text, XSD_INTEGER))]).count() == n, text
