@@ -110,13 +110,15 @@ class GraphStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     @classmethod
-    def create(cls, spark: SparkSession, root: str, quads: DataFrame | None = None, is_set: bool = False) -> GraphStore:
-        """A new store; an existing one is an error. ``is_set`` skips the duplicate check of ``quads``."""
+    def create(cls, spark: SparkSession, root: str, quads: DataFrame | None = None, is_set: bool = False,
+               by_bucket: bool | None = None) -> GraphStore:
+        """A new store; an existing one is an error. ``is_set`` skips the duplicate check of ``quads``, and
+        ``by_bucket`` the count of their predicates (see :func:`write_quads`)."""
         store = cls(spark, root)
         quads = spark.createDataFrame([], QUAD_SCHEMA) if quads is None else quads
         if store._exists():
             raise ValueError(f"{root} holds a graph set already")
-        store._rebase(1, quads if is_set else as_set(quads))
+        store._rebase(1, quads if is_set else as_set(quads), by_bucket)
         return store
 
     def _exists(self) -> bool:
@@ -136,9 +138,9 @@ class GraphStore:
         # errorifexists: of two commits on the same version only one gets published.
         record.write.mode("errorifexists").json(f"{self.root}/versions/{version}")
 
-    def _rebase(self, version: int, quads: DataFrame) -> None:
+    def _rebase(self, version: int, quads: DataFrame, by_bucket: bool | None = None) -> None:
         name = self._fresh("base", version)
-        write_quads(quads, f"{self.root}/{name}")
+        write_quads(quads, f"{self.root}/{name}", by_bucket)
         self._publish(version, name, [])
 
     def current(self) -> tuple[int, str, list[str]]:

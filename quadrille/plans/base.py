@@ -80,8 +80,8 @@ def link(name: str, column: str) -> str:
 
 
 def store_of(spark: SparkSession, quads: DataFrame) -> GraphStore:
-    """A new store in the shared folder."""
-    return GraphStore.create(spark, scratch(spark, "store"), quads, is_set=True)
+    """A new store in the shared folder; the mappings here name only a few predicates."""
+    return GraphStore.create(spark, scratch(spark, "store"), quads, is_set=True, by_bucket=False)
 
 
 def status_graphs(spark: SparkSession, folder: str) -> DataFrame:

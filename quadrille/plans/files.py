@@ -63,7 +63,7 @@ def bulk_load(spark, folder):
         (MappedGraph([g.mappings[0]]).quads().filter(F.col("p") == prop("nation", "n_name")), DEFAULT_GRAPH),
         (MappedGraph([g.mappings[1]]).quads().filter(F.col("p").isin(wanted)), "urn:graph:suppliers"),
         (status.quads(), "urn:graph:orders"),
-    ), path)
+    ), path, by_bucket=False)
     return read_quads(spark, path).select("s", "p", "o_value", "g")
 
 
