@@ -17,9 +17,7 @@ from ..functions.iri import encode_iri_part
 from ..functions.terms import value_of
 from ..model import (
     DEFAULT_GRAPH,
-    OBJECT,
     QUAD,
-    Lit,
     Val,
     as_set,
     constant_object,
@@ -271,5 +269,3 @@ def from_terms(found: DataFrame, pattern: Pattern, nodes: frozenset[str]) -> Dat
         return found.filter(F.col(name)["type"].isin("uri", "bnode")).withColumn(name, F.col(name)["value"])
     return found
 
-
-__all__ = ["Pattern", "Dataset", "Graph", "StoredGraph", "UnionGraph", "Lit", "Val", "OBJECT"]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import DEFAULT_GRAPH, OBJECT, QUAD, TERM_SCHEMA, Lit, Val, as_set, constant_object, is_var, term
+from ..model import DEFAULT_GRAPH, OBJECT, QUAD, TERM_SCHEMA, Lit, Val, as_set, constant_object, is_var
 from ..session import cut, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Key, Pattern, with_iris
 
@@ -316,5 +316,5 @@ def _deep_page(solutions: DataFrame, order: list, limit: int | None, offset: int
 
 __all__ = [
     "bgp", "join", "optional", "join_compatible", "exists", "not_exists", "minus", "values", "join_values", "union",
-    "bind_params", "ask", "construct", "list_graphs", "page", "term",
+    "bind_params", "ask", "construct", "list_graphs", "page",
 ]
