@@ -97,16 +97,12 @@ def join_lookup(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "in
                 small: bool | None = None) -> DataFrame:
     """Join a large, possibly skewed frame with a lookup table.
 
-    The lookup is broadcast when its measured size allows it. Beyond the bound the key is salted: the big side
-    spreads every key over ``SALTS`` sub-keys by a hash of its whole row, and the lookup is repeated once per salt,
-    so one key that holds a third of all rows is shared by many tasks. Works for inner, left, left_semi and
-    left_anti, where each big row meets exactly one copy of the lookup. ``small`` passes on a measurement made before.
+    The lookup is written once and measured while it is written. Up to the bound it is broadcast; beyond it the join is
+    an ordinary shuffle join, whose hot partitions adaptive execution splits (``tune`` switches that on), so one key that
+    holds a third of all rows is shared by many tasks and no key is repeated that need not be. ``small`` passes on a
+    measurement made before, and the lookup is then used as it is.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"join type {how} would double rows under salting")
-    if fits_broadcast(lookup, limit) if small is None else small:
-        return big.join(F.broadcast(lookup), on, how)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(SALTS))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    joined = big.withColumn("_salt", salt).join(lookup.withColumn("_salt", copies), [*on, "_salt"], how)
-    return joined.drop("_salt")
+    if small is None:
+        lookup, seen = cut_measured(lookup, "lookup")
+        small = seen["bytes"] <= (BROADCAST_BYTES if limit is None else limit)
+    return big.join(F.broadcast(lookup) if small else lookup, on, how)
