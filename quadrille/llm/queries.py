@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .register import QUERIES, SQL
 
-for _name in ("q_dedup",):
+for _name in ("q_dedup", "q_mixing", "q_tokens"):
     import_module(f"{__package__}.{_name}")
 
 __all__ = ["QUERIES", "SQL"]
