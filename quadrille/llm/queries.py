@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .register import QUERIES, SQL
 
-for _name in ("q_dedup", "q_mixing", "q_tokens", "q_langid", "q_topk"):
+for _name in ("q_dedup", "q_mixing", "q_tokens", "q_langid", "q_topk", "q_substring"):
     import_module(f"{__package__}.{_name}")
 
 __all__ = ["QUERIES", "SQL"]
