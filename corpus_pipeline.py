@@ -1,5 +1,65 @@
-"""A pipeline over the documents."""
+"""A pipeline over the documents: language, copies, near copies, mixing, tokens.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before has kept, which is written as Parquet and read again.
+"""
+
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from quadrille.llm.common import prepare, table  # noqa: E402
+from quadrille.llm.exact_dedup import drop_copies  # noqa: E402
+from quadrille.llm.langid import keep_identified, learn  # noqa: E402
+from quadrille.llm.mixing import mix, quality_weights, take  # noqa: E402
+from quadrille.llm.near_join import drop_near_copies  # noqa: E402
+from quadrille.llm.tokens import encode_digests  # noqa: E402
+from quadrille.session import cut  # noqa: E402
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter, or like no profile at all, go."""
+    prepare(spark)
+    return keep_identified(docs, learn(docs))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of equal texts, that of the largest id."""
+    prepare(spark)
+    return drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, that of the smallest id."""
+    prepare(spark)
+    return drop_near_copies(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of sources takes it."""
+    return take(docs, mix(docs, quality=quality_weights(table(spark, sf_dir, "labels"))))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts, a row for each time a document is taken."""
+    prepare(spark)
+    return encode_digests(docs)
+
+
+STAGES = [
+    ("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("encoding", encoding),
+]
+
+#: Profiles, shingles and merges are beyond SQL; ``tests/llm/test_pipeline.py`` holds the rows against a brute-force version.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return docs

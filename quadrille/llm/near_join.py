@@ -293,7 +293,10 @@ def near_groups(
     classes = cut(classes, "classes")
     partnered = cut(_partnered(_tasks(classes), threshold, tolerance), "partnered")
     wanted = partnered.groupBy("rep").agg(F.collect_list(F.struct("size", *TASK, "side")).alias("tasks"))
-    chosen = with_results(known.select(column(id).alias("rep"), column(text).alias("text")).dropDuplicates(["rep"]) if _repeats(described) else known.select(column(id).alias("rep"), column(text).alias("text")), wanted.select("rep"), ["rep"], "left_semi")
+    bodies = known.select(column(id).alias("rep"), column(text).alias("text"))
+    if not described.groupBy("id").count().where("count > 1").isEmpty():
+        bodies = bodies.dropDuplicates(["rep"])
+    chosen = with_results(bodies, wanted.select("rep"), ["rep"], "left_semi")
     sets = _described(chosen, "rep", "text", words, True).select(F.col("id").alias("rep"), "sig", "grams")
     tasks = sets.join(wanted, ["rep"]).select("rep", "sig", "grams", F.explode("tasks").alias("t")).select("rep", "sig", "grams", "t.*")
     verified = cut(_verified(tasks, threshold, tolerance), "links")
@@ -309,10 +312,6 @@ def near_groups(
     return placed.unionByName(alone)
 
 
-def _repeats(described: DataFrame) -> bool:
-    return not described.groupBy("id").count().where("count > 1").isEmpty()
-
-
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class, that of the smallest id, in their own columns; see :func:`near_groups`."""
     gone = near_groups(docs, id, text, **options).where("doc_id <> class_id").select(F.col("doc_id").alias(id)).distinct()
