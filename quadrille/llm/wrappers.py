@@ -1,9 +1,10 @@
 """Wrappers of web pages: union-free regular expressions over block elements, inferred by aligning pages of one host.
 
-A page is read as a tree of block elements and texts. Runs of equal siblings, or of equal groups of siblings, become one repeated
-element or group. Two trees are aligned sibling list by sibling list: what only one of them has becomes optional, equal
-elements are aligned further down, and texts that differ become slots. There are no alternatives, so aligning is all that
-inference does, pages and partial wrappers are the same kind of thing, and the order in which they come does not matter much.
+A page is read as a tree of block elements and texts. Two trees are aligned sibling list by sibling list: equal lists one by
+one; in others, runs of equal siblings, or of equal groups of siblings, first become one repeated element or group, and what then
+only one of them has becomes optional. Aligned elements are aligned further down, and texts that differ become slots. Paragraphs,
+items of lists and the like, and long runs, are taken as repeated at once. There are no alternatives, so aligning is all that inference
+does, and pages and partial wrappers are the same kind of thing.
 
 A node is a list ``[label, optional, repeated, children, text]``: text nodes have the label ``#`` and a hash of their text, or
 None for a slot; groups have the label ``(``.
@@ -21,6 +22,8 @@ import xxhash
 LABEL, OPTIONAL, REPEATED, KIDS, TEXT = range(5)
 #: The longest group of siblings that is looked for as a repeated one.
 PERIOD = 6
+#: A longer run of equal siblings is repeated whatever other pages have.
+RUN = 8
 
 # The elements of HTML by how their text is laid out, and names that mark what is not part of an article.
 INLINE = frozenset(
@@ -35,6 +38,7 @@ CLOSES_ITSELF = {
     "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th"),
 }
 BARRIERS = frozenset("ul ol dl table article section div body html main aside nav header footer form td th select blockquote".split())
+LISTED = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6 blockquote figure pre".split())
 LEFT_OUT = frozenset(
     "head nav header footer aside form script style noscript template iframe button select textarea svg math canvas object dialog menu audio video".split()
 )
@@ -130,25 +134,30 @@ def read(page: str) -> list:
     return root
 
 
-def _squared(items: list, unite) -> list:
+def _squared(items: list, unite, every: bool) -> list:
     """Adjacent equal items made one repeated item, then equal groups of neighbours made one repeated group.
 
-    ``unite(copies)`` makes one item of several equal ones, ``copies`` being lists of equal length.
+    ``unite(copies)`` makes one item of several equal ones, ``copies`` being lists of equal length. Unless ``every`` run is meant, only
+    those that are repeated by their nature are united.
     """
-    once: list = []
+    runs: list = []
     for item in items:
-        if once and once[-1][-1][LABEL] == item[LABEL]:
-            once[-1].append(item)
+        if runs and runs[-1][-1][LABEL] == item[LABEL]:
+            runs[-1].append(item)
         else:
-            once.append([item])
-    items = [run[0] if len(run) == 1 else unite([[i] for i in run]) for run in once]
+            runs.append([item])
+    items = []
+    for run in runs:
+        alike = len(run) > 1 and (every or len(run) > RUN or _tag(run[0][LABEL]) in LISTED)
+        items += [unite([[i] for i in run])] if alike else run
     for period in range(2, PERIOD + 1):
         out, i = [], 0
         while i < len(items):
             names = [x[LABEL] for x in items[i:i + period]]
             copies = 1
-            while len(names) == period and [x[LABEL] for x in items[i + copies * period:i + (copies + 1) * period]] == names:
-                copies += 1
+            if len(set(names)) > 1 and (every or all(_tag(n) in LISTED for n in names)):
+                while [x[LABEL] for x in items[i + copies * period:i + (copies + 1) * period]] == names:
+                    copies += 1
             if copies > 1:
                 out.append(unite([items[i + c * period:i + (c + 1) * period] for c in range(copies)]))
                 i += copies * period
@@ -172,7 +181,7 @@ def wrapper(node) -> list:
     """The wrapper of one page, or of a part of it."""
     if isinstance(node, str):
         return ["#", False, False, [], xxhash.xxh3_64_hexdigest(node)]
-    return [node[0], False, False, _squared([wrapper(k) for k in node[1]], _unite), None]
+    return [node[0], False, False, _squared([wrapper(k) for k in node[1]], _unite, False), None]
 
 
 def _name(item) -> str:
@@ -228,19 +237,24 @@ def _groups(items: list) -> list:
 def merge(left: list, right: list) -> list:
     """The wrapper of everything that either wrapper stands for."""
     a, b = left[KIDS], right[KIDS]
-    if a and b and [_name(x) for x in a] != [_name(x) for x in b]:
-        a, b = _folded(a, _groups(b), _unite), _folded(b, _groups(a), _unite)
-    kids = []
-    for i, j in aligned(a, b):
-        if i is not None and j is not None:
-            kids.append(merge(a[i], b[j]))
-        else:
-            only = a[i] if i is not None else b[j]
-            kids.append([only[LABEL], True, *only[REPEATED:]])
     same = left[TEXT] if left[TEXT] == right[TEXT] else None
-    return [left[LABEL], left[OPTIONAL] or right[OPTIONAL], left[REPEATED] or right[REPEATED], _squared(kids, _unite), same]
+    if [_name(x) for x in a] == [_name(x) for x in b]:
+        kids = [merge(x, y) for x, y in zip(a, b)]
+    else:
+        a, b = _squared(a, _unite, True), _squared(b, _unite, True)
+        a, b = _folded(a, _groups(b), _unite), _folded(b, _groups(a), _unite)
+        kids = []
+        for i, j in aligned(a, b):
+            if i is not None and j is not None:
+                kids.append(merge(a[i], b[j]))
+            else:
+                only = a[i] if i is not None else b[j]
+                kids.append([only[LABEL], True, *only[REPEATED:]])
+        kids = _squared(kids, _unite, True)
+    return [left[LABEL], left[OPTIONAL] or right[OPTIONAL], left[REPEATED] or right[REPEATED], kids, same]
 
 
+@lru_cache(maxsize=10_000)
 def _tag(label: str) -> str:
     return re.split(r"[.#@!~]", label, maxsplit=1)[0]
 
@@ -296,8 +310,10 @@ def extract(tree: list, learnt: list) -> str:
             say(kids[0], nodes[0], inside, alone)
             return
         items = [_Held(["#" if isinstance(k, str) else k[0], False, False, [], None], [k]) for k in kids]
-        items = _folded(_squared(items, _unite_held), _groups(nodes), _unite_held)
-        place(items, nodes, inside, alone)
+        held = _squared(items, _unite_held, False)
+        if [_name(x) for x in held] != [_name(x) for x in nodes]:
+            held = _folded(_squared(items, _unite_held, True), _groups(nodes), _unite_held)
+        place(held, nodes, inside, alone)
 
     def place(items: list, nodes: list, inside: tuple[str, ...], alone: bool) -> None:
         for i, j in aligned(items, nodes):

@@ -1,0 +1,42 @@
+import math
+import random
+
+import numpy as np
+from compare import connect, difference
+from conftest import SMALL
+
+from quadrille.llm.queries import QUERIES, SQL
+from quadrille.llm.topk import ImpactIndex, search
+
+
+def test_query_equals_its_sql(spark):
+    assert difference(QUERIES["op4_topk_search"](spark, SMALL), connect(SMALL), SQL["op4_topk_search"]) is None
+
+
+def test_index_is_exact_and_stops_on_proof():
+    rng = np.random.default_rng(1)
+    x = (rng.normal(size=(3000, 16)) * 300).astype(np.int64)
+    x[7] = x[5]
+    ids, index, rest = np.arange(3000), ImpactIndex(x), 0
+    for q in (5, 9, 100):
+        for k in (1, 10, 2999, 5000):
+            want = sorted(((-int(x[i] @ x[q]), i) for i in range(3000) if i != q))[:k]
+            assert [(-s, i) for i, s in index.search(x[q], k, ids, q)] == want
+    assert ImpactIndex(np.zeros((4, 3), np.int64)).search(np.zeros(3, np.int64), 2, np.arange(4), 0) == [(1, 0), (2, 0)]
+
+
+def test_against_brute_force_with_odd_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([0.0, 0.5, -0.25, rng.gauss(0, 1)]) for _ in range(6)], 1) for i in range(400)]
+    rows += [(400, None, 1), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), (402, [float("nan")] * 6, 1), (403, [float("inf")] * 6, 1), (None, [9.0] * 6, 1)]
+    rows += [(500, [1.0, 2.0], 1), (501, [1.0, 1.0], 1), (502, [], 1), (503, [], 1), (5, rows[5][1], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id int")
+    usable = [(i, [math.floor(1024 * x) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    queries = {i: v for i, v in usable if i % 50 == 0 or i > 450}
+    want = []
+    for q, v in queries.items():
+        best = sorted((-sum(a * b for a, b in zip(v, c)), i) for i, c in usable if i != q and len(c) == len(v))[:10]
+        want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(best)]
+    found = search(df, df.where("vec_id % 50 = 0 OR vec_id > 450"), block=64, at_a_time=5)
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert search(df.limit(0), df).count() == 0 and search(df, df.limit(0)).count() == 0
