@@ -29,6 +29,8 @@ ROUNDS, STEPS = 100, 300
 #: Word forms a worker remembers before it starts anew.
 FORMS = 300_000
 PATTERNS = 3**8
+#: Votes (bad, good) that each class is taken to have cast before: on a good text, hardly any is bad.
+PRIOR = np.array([[1.0, 1.0], [0.05, 1.0]])
 
 _CLASSES = [(re.compile(p), r) for p, r in ((r"[^\W\d_]+", "a"), (r"\d+", "0"))]
 _USUAL = frozenset(".,;:!?'\"()-’“”«»…")
@@ -124,7 +126,7 @@ def estimate(patterns: dict[str, int], rounds: int = ROUNDS) -> WeakLabels:
     said = np.stack([seen == v for v in range(2)], axis=2).astype(float)  # pattern, labeller, vote
     for _ in range(rounds):
         share = float((np.average(good, weights=weight) * weight.sum() + 1) / (weight.sum() + 2))
-        accuracy = np.stack([np.einsum("p,plv->lv", weight * part, said) + 1 for part in (1 - good, good)])
+        accuracy = np.stack([np.einsum("p,plv->lv", weight * part, said) + prior for part, prior in zip((1 - good, good), PRIOR)])
         accuracy /= accuracy.sum(axis=2, keepdims=True)
         log = np.einsum("plv,clv->pc", said, np.log(accuracy)) + np.log([1 - share, share])
         new = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -700, 700)))

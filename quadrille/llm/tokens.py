@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
 from .bpe import coder, sha256
 from .common import column, id_and_bytes, texts
 
@@ -79,6 +80,7 @@ def length_histogram(counts: DataFrame, length: str = "n_tokens", lengths: int =
     Lengths are summed in ranges, and ranges over ranges, so no task gets the whole histogram.
     """
     per = counts.where(column(length).isNotNull()).groupBy(column(length).cast("long").alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
+    per = cut(per, "lengths")  # small, and used twice
     per = per.withColumn("_range", F.floor(F.col("n_tokens") / lengths)).withColumn("_tokens", F.col("n_docs") * F.col("n_tokens"))
     after, every = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     ranges = per.groupBy("_range").agg(F.sum("n_docs").alias("_d"), F.sum("_tokens").alias("_t")).select(
