@@ -19,16 +19,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Edges have no direction; edges to itself and repeated ones are ignored. A round hangs all larger neighbours of a node on its
     smallest one, then all smaller ones; the number of rounds grows with the logarithm of the longest chain. Each round is
-    written, so plans stay short and a lost executor costs one round.
+    written, so plans stay short, joins can split the rows of a large star, and a lost executor costs one round.
     """
     now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     now, last = _state(now)
     while last[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        least = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "least")
         large = both.where("b > a").join(least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = cut(large, "stars")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = cut(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (
             large.join(least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct()

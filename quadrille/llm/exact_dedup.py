@@ -93,7 +93,8 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", block:
         state = cut(pairs.join(names, ["l", "r"]).select("row", "id", "sha", "parts", "pos", "name"), "level")
         done = done.unionByName(_finished(state, level))
     done = cut(done, "identities")
-    groups = done.groupBy("level", "name").agg(F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("size"))
+    # Written before the join, which can then split the rows of a large group.
+    groups = cut(done.groupBy("level", "name").agg(F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("size")), "groups")
     return done.join(groups, ["level", "name"]).select(
         F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"),

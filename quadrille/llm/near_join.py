@@ -193,7 +193,8 @@ def _tasks(classes: DataFrame) -> DataFrame:
     schema = T.StructType([classes.schema["rep"], T.StructField("keys", T.ArrayType(T.LongType()))])
     placed = classes.select("rep", "sig").mapInArrow(run, schema).select("rep", F.posexplode("keys").alias("band", "key"))
     placed = cut(placed, "bands")
-    shared = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # Written before it is joined: only then can the join split a hot bucket.
+    shared = cut(placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
     blocks = F.ceil(F.col("members") / BLOCK)
     members = placed.join(shared, ["band", "key"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     per = members.groupBy("rep").agg(F.collect_list(F.struct("band", "key", "blocks", "own")).alias("places"))

@@ -151,12 +151,13 @@ def _ranges(hits: DataFrame, window: int) -> DataFrame:
 def repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``(id, whole, starts, ends)`` per document that loses words: all of them, or the words from each start to before its end."""
     prints, seen = cut_measured(_prints(docs, id, text, window), "prints", anchors=F.coalesce(F.sum(F.size("anchors")), F.lit(0)))
-    first = prints.groupBy("f1", "f2").agg(F.min("id").alias("first"))
+    # Grouped results are written before they are joined with their rows: only then can the join split a hot key.
+    first = cut(prints.groupBy("f1", "f2").agg(F.min("id").alias("first")), "first")
     placed = cut(prints.join(first, ["f1", "f2"]).select("id", (F.col("id") > F.col("first")).alias("copy"), "anchors"), "placed")
     anchors = placed.where("NOT copy").select("id", F.explode("anchors").alias("anchor"))
     flags = _estimated_repeated(anchors, seen["anchors"]).groupBy("id").agg(F.collect_set("anchor").alias("flagged"))
     found = cut(_windows(docs, id, text, flags, window), "windows")
-    least = found.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+    least = cut(found.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most"), "least")
     hits = found.join(least, ["w1", "w2"]).where("id > least").select("id", "pos")
     none = F.array().cast("array<int>")
     whole = placed.where("copy").select("id", F.lit(True).alias("whole"), none.alias("starts"), none.alias("ends")).dropDuplicates(["id"])
