@@ -19,9 +19,6 @@ UNRESERVED = r"^[A-Za-z0-9._~-]*$"
 WHOLE_NUMBER = r"0|-?[1-9]\d*"
 SAFE_DIGITS = 18
 
-# Prefix tables up to this many rows become a literal inside the expression; larger ones are joined.
-LITERAL_PREFIXES = 2000
-
 
 def encode_iri_part(col: Column) -> Column:
     """Percent-encode a value for an IRI. Plain values take the short way, others go character by character."""
@@ -95,25 +92,38 @@ def local_name(col: Column) -> Column:
 
 
 def resolve(col: Column, base: Column | str) -> Column:
-    """A relative reference against a base IRI (RFC 3986, without dot segments).
+    """A relative reference against a base IRI (RFC 3986, section 5.2).
 
-    Absolute IRIs and blank nodes stay; ``//host``, ``/path``, ``?query``, ``#fragment``, the empty reference and
-    plain relative paths are joined to the part of the base they replace.
+    ``//host``, ``/path``, ``?query``, ``#fragment``, the empty reference and relative paths are joined to the part of the base they
+    replace, and dot segments are taken out of the path. Absolute IRIs and blank nodes stay as they are.
     """
     base = F.lit(base) if isinstance(base, str) else base
-    shape = r"^([A-Za-z][A-Za-z0-9+.-]*:)(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
+    shape = r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?"
     scheme, host, path, query = (F.coalesce(F.regexp_extract(base, shape, i), F.lit("")) for i in (1, 2, 3, 4))
-    cut = F.regexp_extract(path, "^.*/", 0)
-    folder = F.when((cut == "") & (host != ""), "/").otherwise(cut)
+    folder = F.when((F.regexp_extract(path, "^.*/", 0) == "") & (host != ""), "/").otherwise(F.regexp_extract(path, "^.*/", 0))
+    own, rest = F.regexp_extract(col, "^[^?#]*", 0), F.regexp_extract(col, "[?#].*$", 0)
     return (
         F.when(col.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | col.startswith("_:"), col)
         .when(col.startswith("//"), F.concat(scheme, col))
-        .when(col.startswith("/"), F.concat(scheme, host, col))
+        .when(col.startswith("/"), F.concat(scheme, host, without_dots(own), rest))
         .when(col.startswith("?"), F.concat(scheme, host, path, col))
         .when(col.startswith("#"), F.concat(scheme, host, path, query, col))
         .when(col == "", F.concat(scheme, host, path, query))
-        .otherwise(F.concat(scheme, host, folder, col))
+        .otherwise(F.concat(scheme, host, without_dots(F.concat(folder, own)), rest))
+    )
+
+
+def without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments: each ``..`` takes the segment before it, and a last one leaves its slash."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.when(F.size(done) > 1, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(done))
+        .otherwise(F.concat(done, F.array(part))),
     )
+    last = F.when(path.rlike(r"(^|/)\.\.?$"), "/").otherwise("")
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), last)).otherwise(path)
 
 
 def expand(df: DataFrame, col: str, prefixes: DataFrame, out: str = "iri") -> DataFrame:
@@ -132,49 +142,43 @@ def expand(df: DataFrame, col: str, prefixes: DataFrame, out: str = "iri") -> Da
 
 
 def compact(df: DataFrame, col: str, prefixes: DataFrame, out: str = "name") -> DataFrame:
-    """Add ``out``: the IRI as ``prefix:local`` by its longest matching namespace, or ``<iri>`` when none matches."""
-    known = prefixes.groupBy("iri").agg(F.min("prefix").alias("prefix"))
-    rows = known.limit(LITERAL_PREFIXES + 1).collect()
+    """Add ``out``: the IRI as ``prefix:local`` by its longest matching namespace, or ``<iri>`` when none matches.
+
+    A row looks up its heads of all lengths that a namespace has; the lengths travel with the distinct IRIs as one small row.
+    """
     iri = F.col(col)
-    full = F.concat(F.lit("<"), iri, F.lit(">"))
-    if not rows:
-        return df.withColumn(out, full)
-    if len(rows) <= LITERAL_PREFIXES:
-        names = F.create_map(*[F.lit(x) for r in rows for x in (r["iri"], r["prefix"])])
-        lengths = F.array(*[F.lit(n) for n in sorted({len(r["iri"]) for r in rows}, reverse=True)])
-        heads = F.transform(lengths, lambda n: F.substring(iri, F.lit(1), n))
-        hit = F.get(F.filter(heads, lambda h: F.map_contains_key(names, h)), F.lit(0))
-        name = F.concat(F.element_at(names, hit), F.lit(":"), F.substr(iri, F.length(hit) + 1))
-        return df.withColumn(out, F.when(hit.isNull(), full).otherwise(name))
-    # A large table: candidate heads of each distinct IRI, one per namespace length, met by an equi-join.
-    lengths = F.array(*[F.lit(r[0]) for r in known.select(F.length("iri")).distinct().collect()])
+    known = prefixes.groupBy("iri").agg(F.min("prefix").alias("prefix"))
+    lengths = known.agg(F.collect_set(F.length("iri")).alias("_lengths")).withColumn("_one", F.lit(1))
     heads = (
-        df.select(iri.alias("_full")).distinct()
-        .withColumn("_n", F.explode(F.filter(lengths, lambda n: n <= F.length("_full"))))
-        .withColumn("iri", F.substring(F.col("_full"), F.lit(1), F.col("_n")))
-    )
-    best = (
-        join_lookup(heads, known, ["iri"])
-        .groupBy("_full").agg(F.max(F.struct("_n", "prefix")).alias("_best"))
+        df.select(iri.alias("_full")).where(iri.isNotNull()).distinct().withColumn("_one", F.lit(1)).join(F.broadcast(lengths), ["_one"])
+        .withColumn("_n", F.explode(F.filter("_lengths", lambda n: n <= F.length("_full"))))
+        .select("_full", "_n", F.substring(F.col("_full"), F.lit(1), F.col("_n")).alias("iri"))
     )
+    best = join_lookup(heads, known, ["iri"]).groupBy("_full").agg(F.max(F.struct("_n", "prefix")).alias("_best"))
     joined = df.join(best, iri == best["_full"], "left")
     name = F.concat(F.col("_best.prefix"), F.lit(":"), F.substr(iri, F.col("_best._n") + 1))
-    return joined.select(*df.columns, F.when(F.col("_best").isNull(), full).otherwise(name).alias(out))
+    return joined.select(*df.columns, F.when(F.col("_best").isNull(), F.concat(F.lit("<"), iri, F.lit(">"))).otherwise(name).alias(out))
 
 
 def read_prefixes(text: DataFrame, col: str = "value") -> DataFrame:
-    """Prefix declarations ``(prefix, iri)`` found in Turtle or RDF/XML text; the rest of the text is not read."""
-    turtle = r'(?im)^\s*@?prefix\s+([^\s:]*:\s*<[^<>\s]*>)'
-    xml = r'xmlns:([A-Za-z_][\w.-]*\s*=\s*"[^"]*")'
+    """Prefix declarations ``(prefix, iri)`` found in Turtle or RDF/XML text; the rest of the text is not read.
+
+    Several declarations may stand on a line, XML values in either kind of quotes, and ``xmlns="..."`` declares the empty
+    prefix. One row per prefix: within a text the last declaration wins, between texts the greatest IRI.
+    """
+    turtle = r"(?i)(?:^|[\s.])@?prefix\s+([^\s:<]*:\s*<[^<>\s]*>)"
+    xml = r"""\bxmlns((?::[A-Za-z_][\w.-]*)?\s*=\s*(?:"[^"]*"|'[^']*'))"""
     found = F.concat(
         F.regexp_extract_all(F.col(col), F.lit(turtle), F.lit(1)), F.regexp_extract_all(F.col(col), F.lit(xml), F.lit(1))
     )
-    one = text.select(F.explode(found).alias("d"))
-    is_xml = F.col("d").rlike(r'^[^:<]*=')
-    return one.select(
-        F.when(is_xml, F.regexp_extract("d", r"^([^\s=]*)", 1)).otherwise(F.regexp_extract("d", r"^([^:]*):", 1)).alias("prefix"),
-        F.when(is_xml, F.regexp_extract("d", r'"([^"]*)"', 1)).otherwise(F.regexp_extract("d", r"<([^<>]*)>", 1)).alias("iri"),
-    ).distinct()
+    one = text.select(F.posexplode(found).alias("at", "d"))
+    is_xml = ~F.col("d").endswith(">")
+    named = one.select(
+        "at",
+        F.when(is_xml, F.regexp_extract("d", r"^:?([^\s=]*)", 1)).otherwise(F.regexp_extract("d", r"^([^:]*):", 1)).alias("prefix"),
+        F.when(is_xml, F.regexp_extract("d", r"""["'](.*)["']$""", 1)).otherwise(F.regexp_extract("d", r"<([^<>]*)>", 1)).alias("iri"),
+    )
+    return named.groupBy("prefix").agg(F.max(F.struct("at", "iri")).alias("last")).select("prefix", "last.iri")
 
 
 def merge_prefixes(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
-"""A document store as a table ``(name, content, length)`` with unique names. All functions are lazy."""
+"""A document store as a table ``(name, content, length)`` with unique names.
+
+Functions return plans, except that a list of names is measured when it is looked up."""
 
 from __future__ import annotations
 
@@ -17,9 +19,15 @@ def documents(df: DataFrame, name: str, content: str) -> DataFrame:
 
 
 def upsert(store: DataFrame, new: DataFrame) -> DataFrame:
-    """Add documents, replacing those of the same name. Only the names of the new ones meet the old ones."""
-    kept = store.join(new.select("name"), "name", "left_anti")
-    return kept.select(*COLUMNS).unionByName(new.select(*COLUMNS))
+    """Add documents, replacing those of the same name. Only the names of the new ones meet the old ones.
+
+    Of several new texts of one name, that with the greatest ``order`` column stays if ``new`` has one, else the greatest
+    content; one row per name always.
+    """
+    by = F.struct("order", "content") if "order" in new.columns else F.col("content")
+    one = new.groupBy("name").agg(F.max_by(F.struct("content", "length"), by).alias("doc")).select("name", "doc.content", "doc.length")
+    kept = store.join(one.select("name"), "name", "left_anti")
+    return kept.select(*COLUMNS).unionByName(one.select(*COLUMNS))
 
 
 def lookup(store: DataFrame, names: DataFrame) -> DataFrame:

@@ -398,10 +398,12 @@ def direct_mapping(tables: list[Table], base: str, columns: dict[str, list[str]]
     return MappedGraph(mappings)
 
 
-def node_or_term(col: Column, data_type: T.DataType) -> Column:
-    """Any solution column as a term struct; native values take the datatype of their Spark type."""
+def node_or_term(col: Column, data_type: T.DataType, literal: bool = False) -> Column:
+    """Any solution column as a term struct; native values take the datatype of their Spark type. Text is a node unless marked ``literal``."""
     if isinstance(data_type, T.StructType):
         return col
+    if literal:
+        return F.when(col.isNotNull(), term(F.lit("literal"), col))
     if isinstance(data_type, T.StringType):
         return node_term(col)
     text, datatype = sql_term(col, data_type)

@@ -1,23 +1,20 @@
-"""Nested objects: entities of a class with fields as values, structs and arrays."""
+"""Nested objects: entities of a class with fields as values, and lists."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.iri import local_name
 from ..model import RDF_TYPE
-from ..session import cut, join_lookup
+from ..session import cut
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 from .patterns import bgp
 
-# Most elements a single array holds; longer lists continue in further rows.
-PART_SIZE = 10_000
-
-
 @dataclass(frozen=True)
 class Field:
     """A field: its name in the result and the predicate it reads."""
@@ -47,45 +44,29 @@ def select_fields(graph: Graph, cls: str | None, fields: list[Field], where: dic
     return found.select("id", *[shown(F.col(f.name), kinds[f.name]).alias(f.name) for f in fields])
 
 
-def in_parts(rows: DataFrame, keys: list[str], by: list[str], size: int = PART_SIZE) -> DataFrame:
-    """Add ``part``: splits the rows of a long group over parts of about ``size`` rows.
-
-    The group sizes are counted with map-side aggregation first; the part of a row is a hash of its own ``by``
-    columns, so the split is even, stable, and needs no ordering of a hot group in one task.
-    """
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    long_groups = cut(counts.filter(F.col("_rows") > size).select(*keys, F.ceil(F.col("_rows") / size).alias("_parts")))
-    text = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])
-    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    joined = join_lookup(rows, long_groups, keys, "left")
-    part = F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(number, F.col("_parts")))
-    return joined.withColumn("part", part).drop("_parts")
-
-
-def nest(rows: DataFrame, keys: list[str], columns: list[str], name: str, size: int = PART_SIZE) -> DataFrame:
-    """Rows -> one row per group and ``part`` with ``name``: a sorted array of structs of ``columns``.
-
-    Nearly all groups have the single part 0. A group beyond ``size`` continues in parts 1, 2, ..., so that no task
-    ever holds all elements of a hot group and no element is dropped.
-    """
-    parted = in_parts(rows, keys, columns, size)
-    items = F.sort_array(F.collect_list(F.struct(*columns)))
-    return parted.groupBy(*keys, "part").agg(items.alias(name))
-
-
-def group_concat(rows: DataFrame, keys: list[str], column: str, separator: str, name: str, distinct: bool = False,
-                 size: int = PART_SIZE) -> DataFrame:
-    """GROUP_CONCAT in ascending order; ``distinct`` merges equal values before anything is brought together.
+def nest(rows: DataFrame, keys: list[str], columns: list[str], position: str = "position") -> DataFrame:
+    """The elements of the list of each group, one row each: ``keys``, ``columns`` and the place in the list, from 0.
 
-    Long groups continue in parts as in :func:`nest`.
+    Lists are in the order of ``columns``. A list may be of any length, so it is never brought into one value: rows are
+    sorted over ranges of keys and columns, which is written, and places are counted within a range and added up over the ranges of
+    a group.
     """
+    ordered = rows.select(*keys, *columns).orderBy(*keys, *columns)
+    placed = cut(ordered.withColumn("_id", F.monotonically_increasing_id()), "nested").withColumn("_range", F.shiftright("_id", 33))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(*keys, "_range").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    )
+    starts = cut(starts, "starts")
+    on = [placed["_range"] == starts["_range"], *[placed[k].eqNullSafe(starts[k]) for k in keys]]
+    joined = placed.join(starts, reduce(Column.__and__, on))
+    return joined.select(*[placed[c] for c in [*keys, *columns]], (starts["_before"] + placed["_id"] - starts["_first"]).alias(position))
+
+
+def group_concat(rows: DataFrame, keys: list[str], column: str, separator: str, name: str, distinct: bool = False) -> DataFrame:
+    """GROUP_CONCAT in ascending order, one text per group; ``distinct`` merges equal values before anything is brought together."""
     rows = rows.select(*keys, column).filter(F.col(column).isNotNull())
     if distinct:
         rows = rows.distinct()
-    else:
-        # Equal values of a bag would share one part, so rows are numbered apart. The numbers are written down: a task
-        # that runs again must not number its rows anew.
-        rows = cut(rows.withColumn("_n", F.monotonically_increasing_id()), "numbered")
-    parted = in_parts(rows, keys, [column] if distinct else [column, "_n"], size)
-    text = F.array_join(F.sort_array(F.collect_list(F.col(column).cast("string"))), separator)
-    return parted.groupBy(*keys, "part").agg(text.alias(name))
+    return rows.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(F.col(column).cast("string"))), separator).alias(name))

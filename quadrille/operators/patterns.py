@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ def order_patterns(patterns: list[Pattern]) -> list[Pattern]:
     out, seen = [rest.pop(0)], set()
     seen |= set(out[0].variables)
     while rest:
-        linked = [p for p in rest if seen & set(p.variables) or not p.variables]
+        linked = [p for p in rest if seen & set(p.variables)]
         if not linked:
             raise ValueError("the patterns share no variable; their product is not built")
         nxt = linked[0]
@@ -42,8 +42,15 @@ def bgp(graph: Graph, patterns: list[Pattern], dataset: Dataset = EVERYTHING) ->
     """Solutions of a basic graph pattern as a bag.
 
     Patterns with the same subject go to the graph as one star first; a mapped table answers it with one scan.
-    Variables that stand in a subject, predicate or graph position anywhere are node columns everywhere.
+    Variables that stand in a subject, predicate or graph position anywhere are node columns everywhere. Patterns without
+    variables only have to match; they are conditions on the rest.
     """
+    fixed = [p for p in patterns if not p.variables]
+    if fixed and len(fixed) < len(patterns):
+        found = bgp(graph, [p for p in patterns if p.variables], dataset)
+        return reduce(_if_any, [graph.match(p, frozenset(), dataset) for p in fixed], found)
+    if len(fixed) > 1:
+        return reduce(_if_any, [graph.match(p, frozenset(), dataset) for p in fixed[1:]], graph.match(fixed[0], frozenset(), dataset))
     nodes = frozenset(v for p in patterns for v in p.node_variables)
     stars: dict[tuple, list[Pattern]] = {}
     for p in patterns:
@@ -60,7 +67,22 @@ def bgp(graph: Graph, patterns: list[Pattern], dataset: Dataset = EVERYTHING) ->
     parts += [(p, graph.match_keys(p, nodes, dataset)) for p in single]
     frames = {id(p): found for p, found in parts}
     ordered = order_patterns([p for p, _ in parts])
-    return with_iris(*reduce(_join_keys, [frames[id(p)] for p in ordered]))
+    return _marked(with_iris(*reduce(_join_keys, [frames[id(p)] for p in ordered])), patterns)
+
+
+# Marks in the metadata of solution columns: never NULL; native text of literals, where text otherwise means a node.
+BOUND, LITERAL = "bound", "literal"
+
+
+def _marked(found: DataFrame, patterns: list[Pattern]) -> DataFrame:
+    texts = {p.o.var[1:] for p in patterns if isinstance(p.o, Val) and p.o.as_type == "string"}
+    return found.select(*[F.col(f"`{c}`").alias(c, metadata={BOUND: True} | ({LITERAL: True} if c in texts else {})) for c in found.columns])
+
+
+def _if_any(found: DataFrame, condition: DataFrame) -> DataFrame:
+    """``found`` if the condition has a row, else nothing. One row of the condition is enough."""
+    one = condition.select(F.lit(1).alias("_one")).limit(1)
+    return found.withColumn("_one", F.lit(1)).join(F.broadcast(one), ["_one"], "left_semi").drop("_one")
 
 
 def _join_keys(left: tuple[DataFrame, dict[str, Key]], right: tuple[DataFrame, dict[str, Key]]):
@@ -68,7 +90,10 @@ def _join_keys(left: tuple[DataFrame, dict[str, Key]], right: tuple[DataFrame, d
     (l, l_keys), (r, r_keys) = left, right
     unlike = [c for c in l.columns if c in r.columns and l_keys.get(c) != r_keys.get(c)]
     l, r = with_iris(l, l_keys, unlike), with_iris(r, r_keys, unlike)
-    return join(l, r), {c: k for c, k in {**l_keys, **r_keys}.items() if c not in unlike}
+    l, r, shared = aligned(l, r)
+    if not shared:
+        raise ValueError("the patterns share no variable; their product is not built")
+    return l.join(r, shared, "inner"), {c: k for c, k in {**l_keys, **r_keys}.items() if c not in unlike}
 
 
 class _Star(Pattern):
@@ -99,27 +124,93 @@ def _to_node(df: DataFrame, c: str) -> DataFrame:
     return df.filter(F.col(c)["type"].isin("uri", "bnode")).withColumn(c, F.col(c)["value"])
 
 
+def _null_sets(df: DataFrame, shared: list[str]) -> list[frozenset]:
+    """Which of the shared variables are unbound together in some row.
+
+    Variables of a basic graph pattern are marked as bound and cost nothing; for others the sets that occur are counted.
+    """
+    doubtful = [c for c in shared if not df.schema[c].metadata.get(BOUND)]
+    if not doubtful:
+        return [frozenset()]
+    seen = df.groupBy(*[F.col(c).isNull().alias(f"_{i}") for i, c in enumerate(doubtful)]).count().collect()
+    return [frozenset(c for i, c in enumerate(doubtful) if r[f"_{i}"]) for r in seen] or [frozenset()]
+
+
+def _with_nulls(df: DataFrame, shared: list[str], nulls: frozenset, sets: list[frozenset]) -> DataFrame:
+    """The rows in which exactly ``nulls`` are unbound."""
+    if sets == [nulls]:
+        return df
+    return df.filter(reduce(Column.__and__, [F.col(c).isNull() if c in nulls else F.col(c).isNotNull() for c in shared]))
+
+
+def _split(left: DataFrame, right: DataFrame, shared: list[str]):
+    """Both sides by the variables that are unbound in them; what is bound on both sides is joined by equality."""
+    l_sets, r_sets = _null_sets(left, shared), _null_sets(right, shared)
+    rights = [(r, _with_nulls(right, shared, r, r_sets)) for r in r_sets]
+    for l in l_sets:
+        yield l, _with_nulls(left, shared, l, l_sets), rights
+
+
+def _met(left: DataFrame, right: DataFrame, shared: list[str], keys: list[str], how: str, condition: Column | None = None) -> DataFrame:
+    """Join on ``keys``; the other shared variables take the value of the side that has one."""
+    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in shared else c) for c in right.columns])
+    on = reduce(Column.__and__, [F.col(c) == F.col(f"_r_{c}") for c in keys])
+    joined = left.join(renamed, on if condition is None else on & condition, how)
+    filled = [F.coalesce(F.col(c), F.col(f"_r_{c}")).alias(c) if c in shared and c not in keys else F.col(f"`{c}`") for c in left.columns]
+    return joined.select(*filled, *[F.col(f"`{c}`") for c in right.columns if c not in shared])
+
+
+def _refuse(keys: list[str]) -> None:
+    if not keys:
+        raise ValueError("rows share no bound variable; their product is not built")
+
+
 def join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Join on all shared variables; a pattern without variables only has to match."""
+    """Join on all shared variables; an unbound (NULL) variable agrees with any value. Without columns a side only has to match."""
     if not right.columns:
-        return left if not right.isEmpty() else left.limit(0)
+        return _if_any(left, right)
     if not left.columns:
-        return right if not left.isEmpty() else right.limit(0)
+        return _if_any(right, left)
     left, right, shared = aligned(left, right)
     if not shared:
         raise ValueError("the two sides share no variable; their product is not built")
-    return left.join(right, shared, "inner")
+    parts = []
+    for l, lefts, rights in _split(left, right, shared):
+        for r, found in rights:
+            keys = [c for c in shared if c not in l | r]
+            _refuse(keys)
+            parts.append(lefts.join(found, shared, "inner") if len(keys) == len(shared) else _met(lefts, found, shared, keys, "inner"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def optional(left: DataFrame, right: DataFrame, condition: Column | None = None) -> DataFrame:
-    """OPTIONAL: a left row without partner keeps NULL for the right variables."""
+    """OPTIONAL: a left row without partner keeps NULL for the right variables; an unbound variable takes the right value."""
     left, right, shared = _aligned_keeping_left(left, right)
-    if condition is None:
-        return left.join(right, shared, "left")
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in shared else F.col(c) for c in right.columns])
-    on = [F.col(c) == F.col(f"_r_{c}") for c in shared]
-    joined = left.join(renamed, reduce(Column.__and__, [*on, condition]), "left")
-    return joined.drop(*[f"_r_{c}" for c in shared])
+    if not shared:
+        raise ValueError("the two sides share no variable; their product is not built")
+    more = [c for c in right.columns if c not in shared]
+    parts = []
+    for l, lefts, rights in _split(left, right, shared):
+        keyed = [([c for c in shared if c not in l | r], found) for r, found in rights]
+        for keys, _ in keyed:
+            _refuse(keys)
+        if len(keyed) == 1:
+            keys, found = keyed[0]
+            parts.append(lefts.join(found, shared, "left") if len(keys) == len(shared) and condition is None else _met(lefts, found, shared, keys, "left", condition))
+            continue
+        # Several kinds of right rows: partners of each kind, and the left rows that have none of any kind.
+        alone = lefts
+        for keys, found in keyed:
+            parts.append(_met(lefts, found, shared, keys, "inner", condition))
+            renamed = found.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in shared else c) for c in found.columns])
+            on = reduce(Column.__and__, [F.col(c) == F.col(f"_r_{c}") for c in keys])
+            alone = alone.join(renamed, on if condition is None else on & condition, "left_anti")
+        kinds = {f.name: f.dataType for f in right.schema}
+        parts.append(alone.select("*", *[F.lit(None).cast(kinds[c]).alias(c) for c in more]))
+    found = reduce(DataFrame.unionByName, parts)
+    # What comes from the right may be unbound from here on.
+    marks = {c: {k: v for k, v in found.schema[c].metadata.items() if k != BOUND} for c in more}
+    return found.select(*[F.col(f"`{c}`").alias(c, metadata=marks[c]) if c in more else F.col(f"`{c}`") for c in found.columns])
 
 
 def _aligned_keeping_left(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -132,47 +223,57 @@ def _aligned_keeping_left(left: DataFrame, right: DataFrame) -> tuple[DataFrame,
         if isinstance(l, T.StringType) and isinstance(r, T.StructType):
             right = _to_node(right, c)
         elif isinstance(l, T.StructType) and isinstance(r, T.StringType):
-            right = right.withColumn(c, node_term(F.col(c)))
+            right = right.withColumn(c, F.when(F.col(c).isNotNull(), node_term(F.col(c))))
     return left, right, shared
 
 
 def join_compatible(left: DataFrame, right: DataFrame, maybe_unbound: str) -> DataFrame:
-    """Join where one shared variable may be unbound (NULL) on the left after an OPTIONAL.
+    """:func:`join` for a variable that must be shared."""
+    if maybe_unbound not in left.columns or maybe_unbound not in right.columns:
+        raise ValueError(f"{maybe_unbound} is not shared by both sides")
+    return join(left, right)
 
-    An unbound variable is compatible with every value, which is no equality. Bound rows join by equality; unbound
-    rows join on the other shared variables and take the value from the right.
+
+def _partnered(left: DataFrame, right: DataFrame, shared: list[str], without_keys: bool) -> tuple[DataFrame, DataFrame]:
+    """Left rows with a compatible right row, and those without one.
+
+    ``without_keys`` says whether rows that have no bound variable in common count as compatible.
     """
-    left, right, shared = _aligned_keeping_left(left, right)
-    if maybe_unbound not in shared:
-        raise ValueError(f"{maybe_unbound} is not shared by both sides")
-    others = [c for c in shared if c != maybe_unbound]
-    if not others:
-        raise ValueError("no other variable is shared; the product for unbound rows is not built")
-    bound = left.filter(F.col(maybe_unbound).isNotNull()).join(right, shared, "inner")
-    unbound = left.filter(F.col(maybe_unbound).isNull()).drop(maybe_unbound).join(right, others, "inner")
-    return bound.unionByName(unbound)
+    some, none = [], []
+    for l, rest, rights in _split(left, right, shared):
+        for r, found in rights:
+            keys = [c for c in shared if c not in l | r]
+            if keys:
+                some.append(rest.join(found.select(*keys), keys, "left_semi"))
+                rest = rest.join(found.select(*keys), keys, "left_anti")
+            elif without_keys:
+                one = found.select(F.lit(1).alias("_one")).limit(1)
+                marked = rest.withColumn("_one", F.lit(1))
+                some.append(marked.join(F.broadcast(one), ["_one"], "left_semi").drop("_one"))
+                rest = marked.join(F.broadcast(one), ["_one"], "left_anti").drop("_one")
+        none.append(rest)
+    return reduce(DataFrame.unionByName, some) if some else left.limit(0), reduce(DataFrame.unionByName, none)
 
 
 def exists(left: DataFrame, right: DataFrame) -> DataFrame:
-    """FILTER EXISTS on the shared variables."""
+    """FILTER EXISTS on the shared variables; unbound ones agree with any value."""
     left, right, shared = _aligned_keeping_left(left, right)
-    if not shared:
-        return left if not right.isEmpty() else left.limit(0)
-    return left.join(right.select(*shared), shared, "left_semi")
+    return _partnered(left, right, shared, True)[0].select(*left.columns) if shared else _if_any(left, right)
 
 
 def not_exists(left: DataFrame, right: DataFrame) -> DataFrame:
-    """FILTER NOT EXISTS on the shared variables."""
+    """FILTER NOT EXISTS on the shared variables; unbound ones agree with any value."""
     left, right, shared = _aligned_keeping_left(left, right)
     if not shared:
-        return left.limit(0) if not right.isEmpty() else left
-    return left.join(right.select(*shared), shared, "left_anti")
+        one = right.select(F.lit(1).alias("_one")).limit(1)
+        return left.withColumn("_one", F.lit(1)).join(F.broadcast(one), ["_one"], "left_anti").drop("_one")
+    return _partnered(left, right, shared, True)[1].select(*left.columns)
 
 
 def minus(left: DataFrame, right: DataFrame) -> DataFrame:
-    """MINUS: like NOT EXISTS, but takes nothing away when no variable is shared."""
+    """MINUS: like NOT EXISTS, but a row is only taken away by one that shares a bound variable with it."""
     left, right, shared = _aligned_keeping_left(left, right)
-    return left.join(right.select(*shared), shared, "left_anti") if shared else left
+    return _partnered(left, right, shared, False)[1].select(*left.columns) if shared else left
 
 
 def values(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
@@ -213,6 +314,7 @@ def join_values(left: DataFrame, inline: DataFrame) -> DataFrame:
 def union(left: DataFrame, right: DataFrame) -> DataFrame:
     """UNION as a bag; variables of one side only are unbound (NULL) on the other."""
     from ..model import node_term
+    from .mapping import node_or_term
 
     for c in [c for c in left.columns if c in right.columns]:
         l, r = left.schema[c].dataType, right.schema[c].dataType
@@ -220,7 +322,12 @@ def union(left: DataFrame, right: DataFrame) -> DataFrame:
             right = right.withColumn(c, node_term(F.col(c)))
         elif isinstance(l, T.StringType) and isinstance(r, T.StructType):
             left = left.withColumn(c, node_term(F.col(c)))
-    return left.unionByName(right, allowMissingColumns=True)
+        elif isinstance(l, T.StringType) and bool(left.schema[c].metadata.get(LITERAL)) != bool(right.schema[c].metadata.get(LITERAL)):
+            left, right = (d.withColumn(c, node_or_term(F.col(c), T.StringType(), bool(d.schema[c].metadata.get(LITERAL)))) for d in (left, right))
+    both = left.unionByName(right, allowMissingColumns=True)
+    open_ = [c for c in both.columns if not all(c in d.columns and d.schema[c].metadata.get(BOUND) for d in (left, right))]
+    keep = {c: {k: v for k, v in both.schema[c].metadata.items() if k != BOUND} for c in open_}
+    return both.select(*[F.col(f"`{c}`").alias(c, metadata=keep[c]) if c in open_ else F.col(f"`{c}`") for c in both.columns])
 
 
 def bind_params(patterns: list[Pattern], bindings: dict[str, object]) -> list[Pattern]:
@@ -241,12 +348,19 @@ def ask(solutions: DataFrame) -> DataFrame:
 
 
 def construct(solutions: DataFrame, template: list[Pattern], graph: str = DEFAULT_GRAPH) -> DataFrame:
-    """Quads of a template per solution, as a set. Rows with an unbound part or a literal subject make no triple."""
+    """Quads of a template per solution, as a set. Rows with an unbound part or a literal subject make no triple.
+
+    A blank node of the template (``_:b``) is a new one for every solution. Text that a ``Val`` has read is a literal.
+    """
     schema = {f.name: f.dataType for f in solutions.schema}
+    literal = {f.name for f in solutions.schema if f.metadata.get(LITERAL)}
+    solution = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(solutions.columns)])))
 
     def node(x) -> Column:
         if not is_var(x):
-            return F.lit(x)
+            return F.concat(F.lit(x + "-"), solution) if x.startswith("_:") else F.lit(x)
+        if x[1:] in literal:
+            return F.lit(None).cast("string")
         col, kind = F.col(x[1:]), schema[x[1:]]
         if isinstance(kind, T.StructType):
             return F.when(col["type"].isin("uri", "bnode"), col["value"])
@@ -256,10 +370,12 @@ def construct(solutions: DataFrame, template: list[Pattern], graph: str = DEFAUL
 
     def obj(x) -> list[Column]:
         var = x.var if isinstance(x, Val) else x
+        if isinstance(x, str) and x.startswith("_:"):
+            return [node(x), F.lit("bnode"), F.lit(""), F.lit("")]
         if is_var(var):
             from .mapping import node_or_term
 
-            t = node_or_term(F.col(var[1:]), schema[var[1:]])
+            t = node_or_term(F.col(var[1:]), schema[var[1:]], var[1:] in literal)
             return [t["value"], t["type"], t["datatype"], t["lang"]]
         c = constant_object(x)
         return [F.lit(c[k]) for k in OBJECT]
@@ -279,42 +395,42 @@ def list_graphs(graph: Graph) -> DataFrame:
     return graph.quads().filter(F.col("g") != DEFAULT_GRAPH).select("g").distinct()
 
 
-# Up to this row, a page is taken by a bounded top-k; pages further down use positions of a distributed sort.
-TOP_ROWS = 100_000
+def topk(solutions: DataFrame, order: list, k: int) -> DataFrame:
+    """The first ``k`` rows; rows that are equal in ``order`` follow the remaining columns. Each task keeps its ``k`` best."""
+    return solutions.orderBy(*_total(solutions, order)).limit(k)
 
 
 def page(solutions: DataFrame, order: list, limit: int | None = None, offset: int = 0) -> DataFrame:
-    """Sort, skip, take. The order should be total for a stable answer."""
-    if limit is None and not offset:
-        return solutions.orderBy(*order)
-    if limit is not None and offset + limit <= TOP_ROWS:
-        out = solutions.orderBy(*order)
-        return (out.offset(offset) if offset else out).limit(limit)
-    return _deep_page(solutions, order, limit, offset)
+    """Sort, skip, take; rows that are equal in ``order`` follow the remaining columns.
 
-
-def _deep_page(solutions: DataFrame, order: list, limit: int | None, offset: int) -> DataFrame:
-    """Rows by their position in a range-partitioned sort; no task sees more than its own range.
-
-    The sorted rows are written with an id that holds the range and the place within it. Only the row count of each
-    range reaches the driver.
+    Rows are placed by a range-partitioned sort, which is written with ids that hold the range and the place in it. Rows
+    of ranges are added up over the ranges, and the two ids between which the page lies are the only values that reach the driver.
     """
-    placed = cut(solutions.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "page")
-    sizes = placed.groupBy(F.shiftright("_id", 33).alias("r")).agg(F.count("*").alias("n")).orderBy("r").collect()
-    low, high = offset, None if limit is None else offset + limit
-    start, wanted = 0, F.lit(False)
-    for row in sizes:
-        r, n = row["r"], row["n"]
-        first, last = max(low - start, 0), n if high is None else min(high - start, n)
-        if first < last:
-            begin = r << 33
-            wanted = wanted | F.col("_id").between(begin + first, begin + last - 1)
-        start += n
-    return placed.filter(wanted).orderBy("_id").drop("_id")
-
+    if limit is None and not offset:
+        return solutions.orderBy(*_total(solutions, order))
+    placed = cut(solutions.orderBy(*_total(solutions, order)).withColumn("_id", F.monotonically_increasing_id()), "page")
+    sizes = placed.groupBy(F.shiftright("_id", 33).alias("r")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("r")) - F.col("n")
+    low, high = offset, offset + limit if limit is not None else None
+    begin = F.when((before <= low) & (before + F.col("n") > low), F.shiftleft("r", 33) + (F.lit(low) - before))
+    end = F.lit(None).cast("long") if high is None else F.when((before < high) & (before + F.col("n") >= high), F.shiftleft("r", 33) + (F.lit(high) - before - 1))
+    found = sizes.select(begin.alias("begin"), end.alias("end")).agg(F.max("begin").alias("begin"), F.max("end").alias("end")).first()
+    if found["begin"] is None or limit == 0:
+        return solutions.limit(0)
+    inside = F.col("_id") >= found["begin"]
+    if found["end"] is not None:
+        inside = inside & (F.col("_id") <= found["end"])
+    return placed.filter(inside).orderBy("_id").drop("_id")
+
+
+def _total(solutions: DataFrame, order: list) -> list:
+    """The order, with all other columns that can be compared behind it."""
+    named = {o for o in order if isinstance(o, str)}
+    more = [f.name for f in solutions.schema if f.name not in named and not isinstance(f.dataType, T.MapType)]
+    return [*order, *[F.col(f"`{c}`") for c in more]]
 
 
 __all__ = [
     "bgp", "join", "optional", "join_compatible", "exists", "not_exists", "minus", "values", "join_values", "union",
-    "bind_params", "ask", "construct", "list_graphs", "page",
+    "bind_params", "ask", "construct", "list_graphs", "page", "topk",
 ]

@@ -1,7 +1,7 @@
 """Closed-world constraints: which stored values break which shape.
 
-Constraints are a small table given by the caller. All constraints of one kind are checked by one job, so the number of
-scans does not grow with the number of shapes. Every check returns ``(shape, focus, path, value, kind)``; ``value`` is
+Constraints are a small table given by the caller. Minimum and maximum counts are checked together, with one scan for each class
+and path; the other kinds scan their path once per shape. Every check returns ``(shape, focus, path, value, kind)``; ``value`` is
 '' where the fault is a missing or surplus value as such.
 """
 
@@ -10,11 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import value_of
-from ..model import NUMERIC_TYPES, RDF_TYPE, XSD_BOOLEAN, XSD_DATE, XSD_DATETIME
+from ..model import RDF_TYPE, XSD_BOOLEAN, XSD_DATE, XSD_DATETIME, constant_object
 from ..session import SALTS, cut, fits_broadcast, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern
 from .patterns import page
@@ -87,10 +87,11 @@ class Validation:
         return join_lookup(df, self.nodes.withColumnRenamed("focus", column), [column], "left_semi", small=self._small_nodes)
 
     def _values(self, path: str) -> DataFrame:
-        """``focus, value, type, datatype`` of one path."""
+        """``focus, value, type, datatype, lang`` of one path."""
         found = self.graph.match(Pattern("?focus", path, "?v"), frozenset(), self.dataset)
         out = found.select(
-            "focus", F.col("v")["value"].alias("value"), F.col("v")["type"].alias("type"), F.col("v")["datatype"].alias("datatype")
+            "focus", F.col("v")["value"].alias("value"), F.col("v")["type"].alias("type"), F.col("v")["datatype"].alias("datatype"),
+            F.col("v")["lang"].alias("lang"),
         )
         return self._focus_only(out)
 
@@ -157,10 +158,10 @@ class Validation:
         for s in self._of("datatype"):
             values, wanted = self._values(s.path), s.arg
             native = {XSD_BOOLEAN: "boolean", XSD_DATE: "date", XSD_DATETIME: "timestamp"}.get(wanted)
-            if wanted in NUMERIC_TYPES:
-                native = "long" if wanted.rsplit("#")[-1] not in ("decimal", "double", "float") else "double"
             same = (F.col("type") == "literal") & (F.col("datatype") == ("" if wanted.endswith("#string") else wanted))
-            if native:
+            if wanted.rsplit("#")[-1] in NUMBERS:
+                same = same & _is_number(F.trim("value"), wanted.rsplit("#")[-1])
+            elif native:
                 same = same & value_of(F.col("type"), F.col("value"), F.col("datatype"), native).isNotNull()
             parts.append(self._result(values.filter(~F.coalesce(same, F.lit(False))), s, F.col("value")))
         return self._union(parts)
@@ -174,11 +175,16 @@ class Validation:
         return self._union(parts)
 
     def value_sets(self) -> DataFrame:
-        """in: the list is part of the constraint, written into the filter."""
+        """in: the list of terms is part of the constraint, written into the filter. Text is an IRI, ``Lit`` a literal."""
         parts = []
         for s in self._of("in"):
-            allowed = [x if isinstance(x, str) else x.value for x in s.arg]
-            parts.append(self._result(self._values(s.path).filter(~F.col("value").isin(allowed)), s, F.col("value")))
+            terms = [constant_object(x) for x in s.arg]
+            same = [
+                (F.col("value") == t["o_value"]) & (F.col("type") == t["o_type"]) & (F.coalesce("datatype", F.lit("")) == t["o_datatype"])
+                & (F.coalesce("lang", F.lit("")) == t["o_lang"]) for t in terms
+            ]
+            allowed = reduce(Column.__or__, same, F.lit(False))
+            parts.append(self._result(self._values(s.path).filter(~allowed), s, F.col("value")))
         return self._union(parts)
 
     def subclasses(self) -> DataFrame:
@@ -207,6 +213,39 @@ class Validation:
         return self.violations().limit(1).agg((F.count("*") == 0).alias("valid"))
 
 
+# The integer types of XML Schema with the least and greatest value, None where there is none.
+INTEGER_RANGES = {
+    "integer": (None, None), "nonNegativeInteger": (0, None), "positiveInteger": (1, None), "nonPositiveInteger": (None, 0), "negativeInteger": (None, -1),
+    "long": (-2**63, 2**63 - 1), "int": (-2**31, 2**31 - 1), "short": (-2**15, 2**15 - 1), "byte": (-128, 127),
+    "unsignedLong": (0, 2**64 - 1), "unsignedInt": (0, 2**32 - 1), "unsignedShort": (0, 2**16 - 1), "unsignedByte": (0, 255),
+}
+
+
+NUMBERS = {*INTEGER_RANGES, "decimal", "double", "float"}
+
+
+def _is_number(text: Column, name: str) -> Column:
+    """Is the text a value of a numeric type; integers of any length are compared by sign, length and digits."""
+    if name in ("double", "float"):
+        return text.rlike(r"^([+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|[+-]?INF|NaN)$")
+    if name not in INTEGER_RANGES:
+        return text.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)$")
+    digits = F.regexp_extract(text, r"^[+-]?0*(\d*)$", 1)
+    below = text.startswith("-") & (digits != "")
+
+    def at_least(bound: int) -> Column:
+        size = str(abs(bound)) if bound else ""
+        more = (F.length(digits) > len(size)) | ((F.length(digits) == len(size)) & (digits > size))
+        less = (F.length(digits) < len(size)) | ((F.length(digits) == len(size)) & (digits < size))
+        return (~below & ~less) if bound > 0 else ~below if bound == 0 else ~below | ~more
+
+    low, high = INTEGER_RANGES[name]
+    fits = text.rlike(r"^[+-]?\d+$")
+    if low is not None:
+        fits = fits & at_least(low)
+    return fits & ~at_least(high + 1) if high is not None else fits
+
+
 def limit_per_shape(violations: DataFrame, k: int, salts: int = SALTS) -> DataFrame:
     """The first ``k`` violations per shape by focus, path and value.
 

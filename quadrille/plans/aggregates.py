@@ -11,6 +11,7 @@ from ..model import RDF_TYPE, Lit, Val
 from ..operators.graph import Pattern
 from ..operators.nested import group_concat
 from ..operators.patterns import bgp, page
+from ..operators.patterns import topk as first_rows
 from ..operators.shapes import Shape, Validation, limit_per_shape, report_violations
 from ..sources.tables import Sources
 from .base import BASE, KEYS, graph, iri, link, prop, query, store_of, table
@@ -115,9 +116,9 @@ def month_histogram(spark, folder):
 
 def order_shapes() -> list[Shape]:
     return [
-        Shape("status", "in", prop("orders", "o_orderstatus"), ["F", "O"]),
+        Shape("status", "in", prop("orders", "o_orderstatus"), [Lit("F"), Lit("O")]),
         Shape("priority", "pattern", prop("orders", "o_orderpriority"), "^[1-3]"),
-        Shape("segment", "in", prop("customer", "c_mktsegment"), ["BUILDING", "MACHINERY", "HOUSEHOLD"]),
+        Shape("segment", "in", prop("customer", "c_mktsegment"), [Lit("BUILDING"), Lit("MACHINERY"), Lit("HOUSEHOLD")]),
     ]
 
 
@@ -156,7 +157,7 @@ def limit_offset(spark, folder):
 
 @query("topk", f"SELECT {iri('orders')} AS o, o_totalprice AS price FROM orders ORDER BY price DESC, o LIMIT 10")
 def topk(spark, folder):
-    return page(priced(spark, folder), [F.desc("price"), "o"], limit=10)
+    return first_rows(priced(spark, folder), [F.desc("price"), "o"], 10)
 
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.iri import Template
-from ..model import RDF_TYPE, RDFS_SUBCLASS, XSD_DOUBLE, XSD_STRING
+from ..model import RDF_TYPE, RDFS_SUBCLASS, XSD_DOUBLE, XSD_STRING, Lit
 from ..operators.mapping import Col, MappedGraph, Mapping, Rule
 from ..operators.reasoning import subclass_closure
 from ..operators.shapes import COLUMNS, Shape, Validation, report, report_violations
@@ -89,7 +89,7 @@ def shape_domain(spark, folder):
     return checked(spark, folder, DOMAIN)
 
 
-IN = Shape("status", "in", prop("orders", "o_orderstatus"), ["F", "O"])
+IN = Shape("status", "in", prop("orders", "o_orderstatus"), [Lit("F"), Lit("O")])
 IN_SQL = row("status", iri("orders"), IN.path, "o_orderstatus", "in") + " FROM orders WHERE o_orderstatus NOT IN ('F', 'O')"
 
 

@@ -19,7 +19,7 @@ def as_terms(df: DataFrame, text: tuple[str, ...] = ()) -> DataFrame:
             empty = F.lit("")
             made = F.struct(F.lit("literal").alias("type"), col.alias("value"), empty.alias("datatype"), empty.alias("lang"))
         else:
-            made = node_or_term(col, f.dataType)
+            made = node_or_term(col, f.dataType, bool(f.metadata.get("literal")))
         out.append(F.when(col.isNotNull(), made).alias(f.name))
     return df.select(*out)
 

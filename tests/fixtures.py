@@ -40,38 +40,34 @@ def starwars_quads(spark, graph=DEFAULT_GRAPH):
     return quads(spark, rows, graph)
 
 
-EX = "http://example.org/issues#"
+EX = "http://example.org/loans#"
 FOAF = "http://xmlns.com/foaf/0.1/"
 
 
-def issue_quads(spark):
-    """Issues, users and states with deliberate faults."""
+def loan_quads(spark):
+    """Loans of a library, readers and stages, with one fault for each kind of constraint."""
     def when(text):
         return Lit(text, XSD_DATETIME)
 
-    late = when("2012-12-31T23:57:00Z")
     return quads(spark, [
-        (EX + "assigned", RDF_TYPE, EX + "ValidState"),
-        (EX + "unassigned", RDF_TYPE, EX + "ValidState"),
-        (EX + "SecurityIssue", RDFS_SUBCLASS, EX + "Issue"),
-        (EX + "issue7", RDF_TYPE, EX + "Issue"),
-        (EX + "issue7", RDF_TYPE, EX + "SecurityIssue"),
-        (EX + "issue7", EX + "state", EX + "unassigned"),
-        (EX + "issue7", EX + "reportedBy", EX + "user6"),
-        (EX + "issue7", EX + "reportedBy", EX + "user2"),
-        (EX + "issue7", EX + "reportedOn", late),
-        (EX + "issue7", EX + "reproducedBy", EX + "user2"),
-        (EX + "issue7", EX + "reproducedBy", EX + "user1"),
-        (EX + "issue7", EX + "reproducedOn", when("2012-10-31T23:57:00Z")),
-        (EX + "issue7", EX + "related", EX + "issue4"),
-        (EX + "issue4", EX + "state", EX + "unsinged"),
-        (EX + "issue4", EX + "reportedOn", late),
-        (EX + "user2", RDF_TYPE, FOAF + "Person"),
-        (EX + "user2", FOAF + "givenName", Lit("Alice")),
-        (EX + "user2", FOAF + "phone", "tel:+1.555.222.2222"),
-        (EX + "user6", RDF_TYPE, FOAF + "Agent"),
-        (EX + "user6", FOAF + "givenName", Lit("Bob")),
-        (EX + "user6", FOAF + "phone", "tel:+.555.222.2222"),
+        (EX + "open", RDF_TYPE, EX + "Stage"),
+        (EX + "returned", RDF_TYPE, EX + "Stage"),
+        (EX + "LongLoan", RDFS_SUBCLASS, EX + "Loan"),
+        (EX + "loan1", RDF_TYPE, EX + "Loan"),
+        (EX + "loan1", RDF_TYPE, EX + "LongLoan"),
+        (EX + "loan1", EX + "stage", EX + "open"),
+        (EX + "loan1", EX + "lentTo", EX + "reader1"),
+        (EX + "loan1", EX + "lentTo", EX + "desk"),
+        (EX + "loan1", EX + "lentOn", when("2021-05-03T10:00:00Z")),
+        (EX + "loan1", EX + "dueOn", when("2021-05-01T10:00:00Z")),
+        (EX + "loan2", EX + "stage", EX + "opne"),
+        (EX + "loan2", EX + "lentOn", when("2021-06-01T09:30:00Z")),
+        (EX + "reader1", RDF_TYPE, FOAF + "Person"),
+        (EX + "reader1", FOAF + "givenName", Lit("Mina")),
+        (EX + "reader1", FOAF + "phone", "tel:+49.30.1234"),
+        (EX + "desk", RDF_TYPE, FOAF + "Agent"),
+        (EX + "desk", FOAF + "givenName", Lit("Front desk")),
+        (EX + "desk", FOAF + "phone", "tel:+.30.9999"),
     ])
 
 

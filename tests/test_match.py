@@ -7,7 +7,7 @@ from quadrille.functions.terms import lexical, number
 from quadrille.model import RDF_TYPE, RDFS_SUBCLASS, XSD_INTEGER, Lit, Val, quads
 from quadrille.operators.graph import Dataset, Pattern, StoredGraph, UnionGraph
 from quadrille.operators.patterns import (
-    ask, bgp, bind_params, construct, exists, join, join_compatible, join_values, list_graphs, minus, not_exists, optional, page, union, values,
+    ask, bgp, bind_params, construct, exists, join, join_compatible, join_values, list_graphs, minus, not_exists, optional, page, topk, union, values,
 )
 
 
@@ -175,14 +175,52 @@ def test_schema_rows(graph):
     assert bgp(graph, [Pattern("?c", RDFS_SUBCLASS, SW + "Character")]).count() == 2
 
 
-def test_deep_pages_equal_the_plain_ones(spark):
-    from quadrille.operators import patterns
+def test_pages_and_ties(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 3).alias("tie")).repartition(5)
+    for limit, offset in ((50, 100), (None, 990), (20, 995), (2000, 0), (5, 5000), (0, 3), (10, 0)):
+        got = [r["k"] for r in page(df, ["k"], limit, offset).collect()]
+        assert got == list(range(1000))[offset:][:limit]
+    want = sorted((r["tie"], r["k"]) for r in df.collect())
+    assert [(r["tie"], r["k"]) for r in page(df, ["tie"], 40, 310).collect()] == want[310:350]
+    assert [(r["tie"], r["k"]) for r in topk(df, ["tie"], 40).collect()] == want[:40]
+
+
+def agree(a, b, names):
+    return all(a[n] is None or b[n] is None or a[n] == b[n] for n in names)
+
+
+def test_unbound_variables_agree_with_any_value(spark):
+    left = values(spark, ["x", "v", "n"], [("urn:a", "urn:1", 1), ("urn:b", None, 2), ("urn:z", "urn:2", 3), ("urn:c", "urn:9", 4), ("urn:b", None, 2)])
+    right = values(spark, ["x", "v", "w"], [("urn:a", "urn:1", 1), ("urn:b", "urn:7", 2), ("urn:z", "urn:2", 3), ("urn:a", None, 4), ("urn:b", "urn:8", 5)])
+    l, r = [x.asDict() for x in left.collect()], [x.asDict() for x in right.collect()]
+    pairs = [(a, b) for a in l for b in r if agree(a, b, ("x", "v"))]
+    met = sorted(((a["x"] or b["x"], a["v"] or b["v"], a["n"], b["w"]) for a, b in pairs), key=repr)
+    alone = [(a["x"], a["v"], a["n"], None) for a in l if not any(agree(a, b, ("x", "v")) for b in r)]
+    assert rows(join(left, right), "x", "v", "n", "w") == met
+    assert rows(optional(left, right), "x", "v", "n", "w") == sorted(met + alone, key=repr)
+    assert rows(exists(left, right), "n") == sorted((a["n"],) for a in l if any(agree(a, b, ("x", "v")) for b in r))
+    assert rows(not_exists(left, right), "n") == sorted((a["n"],) for a in l if not any(agree(a, b, ("x", "v")) for b in r))
+    assert rows(minus(left, right), "n") == rows(not_exists(left, right), "n")
+    some = optional(left, right, F.col("w") > 2)
+    kept = [(a, b) for a, b in pairs if b["w"] > 2]
+    assert some.filter("w is not null").count() == len(kept) and some.filter("w is null").count() == sum(not any(a is x for x, _ in kept) for a in l)
+    with pytest.raises(ValueError):
+        optional(left.select("n"), right)
+    disjoint = values(spark, ["x", "v"], [(None, None)])
+    assert minus(left, disjoint.select("x", "v")).count() == 5 and exists(left, disjoint).count() == 5
+
+
+def test_patterns_without_variables_are_conditions(graph):
+    names = Pattern("?s", SW + "name", "?n")
+    there, gone = Pattern(SW + "luke", RDF_TYPE, SW + "Human"), Pattern(SW + "luke", RDF_TYPE, SW + "Droid")
+    assert bgp(graph, [names, there]).count() == bgp(graph, [names]).count() > 0
+    assert bgp(graph, [there, names, gone]).count() == 0
+    assert bgp(graph, bind_params([Pattern("?h", RDF_TYPE, SW + "Human"), names], {"h": SW + "luke"})).count() == bgp(graph, [names]).count()
+
 
-    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(5)
-    kept, patterns.TOP_ROWS = patterns.TOP_ROWS, 10
-    try:
-        for limit, offset in ((50, 100), (None, 990), (20, 995), (2000, 0), (5, 5000)):
-            got = [r["k"] for r in page(df, ["k"], limit, offset).collect()]
-            assert got == list(range(1000))[offset:][:limit]
-    finally:
-        patterns.TOP_ROWS = kept
+def test_text_of_literals_is_no_node_and_blank_nodes_are_fresh(graph):
+    found = bgp(graph, [Pattern("?s", RDF_TYPE, SW + "Human"), Pattern("?s", SW + "name", Val("?n", "string"))])
+    made = construct(found, [Pattern("_:b", "urn:about", "?s"), Pattern("_:b", "urn:name", "?n"), Pattern("?n", "urn:x", "?s")])
+    assert made.filter("p = 'urn:x'").count() == 0
+    assert made.filter("p = 'urn:name'").select("o_type").distinct().collect()[0][0] == "literal"
+    assert made.select("s").distinct().count() == found.count() and made.count() == 2 * found.count()

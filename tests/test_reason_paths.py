@@ -143,19 +143,19 @@ def test_nested_objects(starwars):
         Pattern("?id", RDF_TYPE, SW + "Human"), Pattern("?id", SW + "id", Lit("1000", XSD_INTEGER)), Pattern("?id", SW + "name", "?n"),
         Pattern("?id", SW + "friends", "?f"), Pattern("?f", SW + "name", "?fn"),
     ]).select("id", F.col("n.value").alias("name"), F.col("fn.value").alias("friend"))
-    got = nest(friends, ["id", "name"], ["friend"], "friends").collect()
-    assert len(got) == 1 and got[0]["part"] == 0
-    assert [f["friend"] for f in got[0]["friends"]] == ["C-3PO", "Han Solo", "Leia Organa", "R2-D2"]
-
-
-def test_long_groups_continue_in_parts(spark):
-    df = spark.range(5000).select(F.when(F.col("id") < 4900, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id")
-    got = nest(df, ["k"], ["id"], "ids", size=500).collect()
-    hot = [r for r in got if r["k"] == "hot"]
-    assert len(hot) == 10 and max(len(r["ids"]) for r in hot) < 700
-    assert sorted(x["id"] for r in hot for x in r["ids"]) == list(range(4900))
-    assert all(r["part"] == 0 for r in got if r["k"] != "hot") and len(got) == 110
-    same = spark.range(3000).select(F.lit("hot").alias("k"), F.lit("v").alias("v"))
-    parts = group_concat(same, ["k"], "v", ",", "vs", size=500).collect()
-    assert len(parts) > 3 and sum(len(r["vs"].split(",")) for r in parts) == 3000
+    got = nest(friends, ["id", "name"], ["friend"])
+    assert rows(got, "position", "friend") == [(0, "C-3PO"), (1, "Han Solo"), (2, "Leia Organa"), (3, "R2-D2")]
+
+
+def test_lists_and_texts_of_any_length(spark):
+    df = spark.range(25_000).select(F.when(F.col("id") < 12_000, "hot").when(F.col("id") < 24_990, F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), (F.col("id") * 7919 % 25_000).alias("id"))
+    want = {}
+    for r in df.collect():
+        want.setdefault(r["k"], []).append(r["id"])
+    got = {}
+    for r in nest(df.repartition(7), ["k"], ["id"]).collect():
+        got.setdefault(r["k"], []).append((r["position"], r["id"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: list(enumerate(sorted(v))) for k, v in want.items()}
+    same = spark.range(30_000).select(F.lit("hot").alias("k"), F.lit("v").alias("v"))
+    assert [len(r["vs"].split(",")) for r in group_concat(same, ["k"], "v", ",", "vs").collect()] == [30_000]
     assert group_concat(same, ["k"], "v", ",", "vs", distinct=True).collect()[0]["vs"] == "v"

@@ -1,7 +1,7 @@
 import pytest
 
 from conftest import rows
-from fixtures import EX, FOAF, issue_quads
+from fixtures import EX, FOAF, loan_quads
 from quadrille.model import RDF_TYPE, RDFS_SUBCLASS, XSD_DATETIME, XSD_INTEGER, Lit, quads
 from quadrille.operators.graph import Dataset, Pattern, StoredGraph
 from quadrille.operators.patterns import bgp
@@ -9,38 +9,38 @@ from quadrille.operators.reasoning import subclass_closure
 from quadrille.operators.shapes import Shape, Validation, limit_per_shape, report, report_violations
 
 SHAPES = [
-    Shape("state-min", "min", EX + "state", 1, EX + "Issue"),
-    Shape("by-min", "min", EX + "reportedBy", 1, EX + "Issue"),
-    Shape("by-max", "max", EX + "reportedBy", 1, EX + "Issue"),
-    Shape("state-once", "max", EX + "state", 1),
-    Shape("by-class", "class", EX + "reportedBy", FOAF + "Person"),
-    Shape("on-type", "datatype", EX + "reportedOn", XSD_DATETIME),
-    Shape("state-domain", "domain", EX + "state", EX + "Issue"),
-    Shape("state-in", "in", EX + "state", [EX + "assigned", EX + "unassigned"]),
+    Shape("stage-min", "min", EX + "stage", 1, EX + "Loan"),
+    Shape("by-min", "min", EX + "lentTo", 1, EX + "Loan"),
+    Shape("by-max", "max", EX + "lentTo", 1, EX + "Loan"),
+    Shape("stage-once", "max", EX + "stage", 1),
+    Shape("by-class", "class", EX + "lentTo", FOAF + "Person"),
+    Shape("on-type", "datatype", EX + "lentOn", XSD_DATETIME),
+    Shape("stage-domain", "domain", EX + "stage", EX + "Loan"),
+    Shape("stage-in", "in", EX + "stage", [EX + "open", EX + "returned"]),
     Shape("phone", "pattern", FOAF + "phone", r"^tel:\+\d", graph="urn:contact"),
     Shape("name-min", "min", FOAF + "familyName", 1, FOAF + "Agent", graph="urn:contact"),
 ]
 
 
 @pytest.fixture(scope="module")
-def issues(spark):
-    df = issue_quads(spark).cache()
+def loans(spark):
+    df = loan_quads(spark).cache()
     return StoredGraph(df)
 
 
-def test_faults_of_the_issues(issues):
-    got = rows(Validation(issues, SHAPES).violations(), "shape", "focus", "value")
+def test_faults_of_the_loans(loans):
+    got = rows(Validation(loans, SHAPES).violations(), "shape", "focus", "value")
     assert got == sorted([
-        ("by-max", EX + "issue7", ""), ("by-class", EX + "issue7", EX + "user6"), ("state-domain", EX + "issue4", ""),
-        ("state-in", EX + "issue4", EX + "unsinged"), ("phone", EX + "user6", "tel:+.555.222.2222"), ("name-min", EX + "user6", ""),
+        ("by-max", EX + "loan1", ""), ("by-class", EX + "loan1", EX + "desk"), ("stage-domain", EX + "loan2", ""),
+        ("stage-in", EX + "loan2", EX + "opne"), ("phone", EX + "desk", "tel:+.30.9999"), ("name-min", EX + "desk", ""),
     ])
 
 
-def test_reproduced_before_reported(issues):
+def test_due_before_lent(loans):
     from quadrille.model import Val
 
-    found = bgp(issues, [Pattern("?i", EX + "reproducedOn", Val("?a", "timestamp")), Pattern("?i", EX + "reportedOn", Val("?b", "timestamp"))])
-    assert rows(found.filter("a < b"), "i") == [(EX + "issue7",)]
+    found = bgp(loans, [Pattern("?i", EX + "dueOn", Val("?a", "timestamp")), Pattern("?i", EX + "lentOn", Val("?b", "timestamp"))])
+    assert rows(found.filter("a < b"), "i") == [(EX + "loan1",)]
 
 
 def test_subclass_constraint(spark):
@@ -67,21 +67,21 @@ def test_datatypes(spark):
     assert rows(Validation(g, [Shape("n", "datatype", "urn:n", XSD_INTEGER)]).violations(), "focus") == [("urn:b",), ("urn:c",), ("urn:d",)]
 
 
-def test_report_options(issues, spark):
-    assert report(issues, []).first()["conforms"] is True
-    got = report(issues, SHAPES).first()
+def test_report_options(loans, spark):
+    assert report(loans, []).first()["conforms"] is True
+    got = report(loans, SHAPES).first()
     assert (got["conforms"], got["violations"]) == (False, 6)
     with pytest.raises(ValueError, match="Parameter not recognized"):
-        report(issues, SHAPES, invalidKey="invalidParam")
+        report(loans, SHAPES, invalidKey="invalidParam")
     with pytest.raises(ValueError, match="Parameter not recognized"):
-        report(issues, SHAPES, shapes="by-max", invalidKey="x")
-    assert report(issues, SHAPES, shapes="by-max").first()["violations"] == 1
-    assert report(issues, SHAPES, **{"shacl.shape.graphs": "urn:contact"}).first()["violations"] == 2
-    assert report(issues, SHAPES, nodes=EX + "issue4").first()["violations"] == 2
-    assert report(issues, SHAPES, nodes=[EX + "issue4", EX + "user6"]).first()["violations"] == 4
-    assert report(issues, SHAPES, countLimit=3).first()["violations"] == 3
-    assert report(issues, SHAPES, **{"graph-uri": "urn:empty"}).first()["conforms"] is True
-    assert report(issues, SHAPES, reasoning=True).first()["violations"] == 6
+        report(loans, SHAPES, shapes="by-max", invalidKey="x")
+    assert report(loans, SHAPES, shapes="by-max").first()["violations"] == 1
+    assert report(loans, SHAPES, **{"shacl.shape.graphs": "urn:contact"}).first()["violations"] == 2
+    assert report(loans, SHAPES, nodes=EX + "loan2").first()["violations"] == 2
+    assert report(loans, SHAPES, nodes=[EX + "loan2", EX + "desk"]).first()["violations"] == 4
+    assert report(loans, SHAPES, countLimit=3).first()["violations"] == 3
+    assert report(loans, SHAPES, **{"graph-uri": "urn:empty"}).first()["conforms"] is True
+    assert report(loans, SHAPES, reasoning=True).first()["violations"] == 6
 
 
 def test_limit_per_shape(spark):
@@ -90,3 +90,17 @@ def test_limit_per_shape(spark):
     got = rows(limit_per_shape(df, 3), "shape", "focus")
     assert got == [("cold", "f"), ("hot", "f0000"), ("hot", "f0001"), ("hot", "f0002")]
     assert Dataset.of().given is False
+
+
+def test_values_of_numeric_types_and_terms_of_lists(spark):
+    cases = {
+        "nonNegativeInteger": ("0 007 +5 " + "9" * 20, "-5 1.0 x"), "integer": ("-5 " + "9" * 40, "1.5 1e3"), "byte": ("-128 127 0127", "-129 128"),
+        "positiveInteger": ("1 10", "0 -1"), "negativeInteger": ("-1", "0 1"), "unsignedLong": (f"{2**64 - 1}", f"{2**64}"), "decimal": ("1. .5 -3", "1e5"),
+        "double": ("1e5 INF NaN", "one"), "long": (f"{-2**63} {2**63 - 1}", f"{-2**63 - 1} {2**63}"),
+    }
+    base = "http://www.w3.org/2001/XMLSchema#"
+    data = [(f"urn:{k}", f"urn:{k}", Lit(v, base + k)) for k, (good, bad) in cases.items() for v in (good + " " + bad).split()]
+    found = Validation(StoredGraph(quads(spark, data)), [Shape(k, "datatype", f"urn:{k}", base + k) for k in cases]).violations()
+    assert rows(found, "shape", "value") == sorted((k, v) for k, (_, bad) in cases.items() for v in bad.split())
+    data = [("urn:1", "urn:p", Lit("F")), ("urn:2", "urn:p", "F"), ("urn:3", "urn:p", Lit("F", "", "en")), ("urn:4", "urn:p", "urn:ok")]
+    assert rows(Validation(StoredGraph(quads(spark, data)), [Shape("x", "in", "urn:p", [Lit("F"), "urn:ok"])]).violations(), "focus") == [("urn:2",), ("urn:3",)]
