@@ -6,46 +6,68 @@ use and publishes it afterwards, so readers never see half of it.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..model import DEFAULT_GRAPH, QUAD, as_set
+from ..session import create_once
 from .graph import Dataset, Graph
 from .mapping import MappedGraph
 from .store import Batch
 
 
 class Cache:
-    """``make`` builds the content from the current state of its source each time it is called."""
+    """A cache in a folder. ``make`` builds the content from the current state of its source each time it is called.
 
-    def __init__(self, spark: SparkSession, name: str, folder: str, make: Callable[[], DataFrame], register_only: bool = False):
+    Any session may open the folder again; what is current is read from it, and nothing is kept in memory. A cache that is
+    opened only to be read needs no ``make``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, folder: str, make: Callable[[], DataFrame] | None = None, register_only: bool = False):
         self.spark, self.name, self.folder, self.make = spark, name, folder.rstrip("/"), make
-        self.schema = None
-        if not register_only:
+        if make is not None and not register_only and self.version() == 0:
             self.refresh()
 
     def refresh(self, script: Callable[[DataFrame], DataFrame] | None = None) -> None:
-        """Rebuild; with ``script`` the new content is made from the cached one instead."""
-        content = self.make() if script is None else script(self.read())
-        version = self._version() + 1
-        data = f"{self.folder}/data-{version}-{uuid.uuid4().hex[:12]}"
-        content.write.parquet(data)
-        record = self.spark.createDataFrame([(version, data)], "version long, data string").coalesce(1)
-        record.write.mode("errorifexists").json(f"{self.folder}/versions/{version}")
-        self.schema = content.schema
-        self._current = (version, data)
-
-    def _version(self) -> int:
-        return getattr(self, "_current", (0, ""))[0]
+        """Rebuild; with ``script`` the new content is made from the cached one instead. Of two refreshes at once one fails."""
+        version = self.version() + 1
+        content = self._made() if script is None else script(self.read())
+        data = f"data-{version}-{uuid.uuid4().hex[:12]}"
+        content.write.parquet(f"{self.folder}/{data}")
+        create_once(self.spark, f"{self.folder}/versions/{version}.json", {"version": version, "data": data, "schema": content.schema.json()})
+
+    def _made(self) -> DataFrame:
+        if self.make is None:
+            raise ValueError(f"cache {self.name} has been opened without its definition")
+        return self.make()
+
+    def _current(self):
+        try:
+            found = self.spark.read.schema("version long, data string, schema string").json(f"{self.folder}/versions")
+            return found.orderBy(F.desc("version")).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def version(self) -> int:
+        """The version in use, 0 before the first."""
+        now = self._current()
+        return now["version"] if now else 0
 
     def read(self) -> DataFrame:
         """The cached rows; a cache that was only registered is read through its definition."""
-        if self.schema is None:
-            return self.make()
-        return self.spark.read.schema(self.schema).parquet(self._current[1])
+        now = self._current()
+        if now is None:
+            return self._made()
+        schema = T.StructType.fromJson(json.loads(now["schema"]))
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{now['data']}")
 
 
 def cached_graph(spark: SparkSession, name: str, folder: str, graph: Graph, named: str | None = None, register_only: bool = False) -> Cache:

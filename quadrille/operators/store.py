@@ -2,17 +2,20 @@
 
 Layout below a root folder::
 
-    base-<n>-<id>/   all quads at one version, parquet by predicate
-    delta-<n>-<id>/  op=added / op=removed: exactly the quads a commit changed
-    versions/<n>/    one tiny file per published version: which base, which deltas
-
-A commit writes one delta and then its version file; readers take the newest version file, so a job that dies in
-between changes nothing. Reading joins the base with the deltas, whose size follows the changes and not the graph.
-``compact`` folds the deltas into a new base.
+    base-<n>-<id>/      all quads at one version, parquet in hash buckets of the predicate, sorted by predicate and subject
+    delta-<n>-<id>/     op=added / op=removed: exactly the quads a commit changed, in the same buckets
+    prefixes-<n>-<id>/  the prefix table
+    versions/<n>.json   one line per published version: which base, which deltas and what they hold, which prefix table
+
+A commit writes one delta and then its version file, which is created only if it does not exist, so of two commits on one
+version one fails; readers take the newest version file, so a job that dies in between changes nothing. Reading joins the
+base with the quads that deltas have removed, and with nothing when they have only added. ``compact`` folds the deltas into
+a new base, and ``clean`` deletes what no kept version names.
 """
 
 from __future__ import annotations
 
+import binascii
 import uuid
 from functools import reduce
 
@@ -21,70 +24,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import DEFAULT_GRAPH, QUAD, QUAD_SCHEMA, as_set
-from ..session import cut
+from ..session import create_once, cut, hadoop_path
 from .graph import Graph, StoredGraph
 
 ADDED, REMOVED = "added", "removed"
+_RECORD = "version long, base string, deltas array<struct<name string, added long, removed long>>, prefixes string"
+_PREFIXES = "prefix string, iri string"
 
-# Above this many predicates, or with a longer name, folders are hash buckets of the predicate instead of one folder each.
-MAX_PREDICATE_FOLDERS = 1000
-MAX_FOLDER_NAME = 200
+# Folders of a base or delta: hash buckets of the predicate.
 BUCKETS = 512
+BUCKET = "p_bucket"
 
 
 def anti(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Quads of ``left`` that are not in ``right``."""
-    return left.join(right.select(*QUAD), QUAD, "left_anti")
+    """Quads of ``left`` that are not in ``right``; buckets are compared too where both have them, so a filter on one reaches both."""
+    keys = [*QUAD, BUCKET] if BUCKET in left.columns and BUCKET in right.columns else QUAD
+    return left.join(right.select(*keys), keys, "left_anti")
 
 
 def last_operation(log: DataFrame) -> DataFrame:
     """The last ``op`` per quad of a log with ``_seq``, as one number per quad, so that a hash aggregation can do it."""
     code = F.col("_seq") * 2 + F.when(F.col("op") == ADDED, 1).otherwise(0)
-    last = log.groupBy(*QUAD).agg(F.max(code).alias("_code"))
-    return last.select(*QUAD, F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED).alias("op"))
+    keys = [*QUAD, BUCKET] if BUCKET in log.columns else QUAD
+    last = log.groupBy(*keys).agg(F.max(code).alias("_code"))
+    return last.select(*keys, F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED).alias("op"))
+
+
+def predicate_bucket(p):
+    return F.pmod(F.crc32(p), F.lit(BUCKETS)).cast("int")
 
 
-def write_quads(df: DataFrame, path: str, by_bucket: bool | None = None, mode: str = "errorifexists") -> None:
-    """Write quads by predicate.
+def with_bucket(df: DataFrame) -> DataFrame:
+    return df.withColumn(BUCKET, predicate_bucket(F.col("p")))
 
-    ``rebalance`` lets adaptive execution cut the rows of a hot predicate into files of even size and merge the rows
-    of rare ones. Files are sorted by subject, which gives row groups useful bounds.
+
+def write_quads(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write quads in buckets of the predicate.
+
+    ``rebalance`` lets adaptive execution cut the rows of a hot bucket into files of even size and merge the rows of rare
+    ones. Files are sorted by predicate and subject, which gives row groups useful bounds.
     """
-    df = df.select(*QUAD)
-    if by_bucket is None:
-        found = df.select("p").distinct().agg(
-            F.count("*").alias("n"), F.coalesce(F.max(F.length(F.url_encode("p"))), F.lit(0)).alias("longest")
-        ).first()
-        by_bucket = found["n"] > MAX_PREDICATE_FOLDERS or found["longest"] > MAX_FOLDER_NAME
-    folder = "p"
-    if by_bucket:
-        folder = "p_bucket"
-        df = df.withColumn(folder, predicate_bucket(F.col("p")))
-    laid_out = df.hint("rebalance", F.col(folder)).sortWithinPartitions(folder, "s")
-    laid_out.write.mode(mode).partitionBy(folder).parquet(path)
+    laid_out = with_bucket(df.select(*QUAD)).hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, "p", "s")
+    laid_out.write.mode(mode).partitionBy(BUCKET).parquet(path)
 
 
-def predicate_bucket(p):
-    return F.pmod(F.crc32(p), F.lit(BUCKETS)).cast("int")
+_STORED = "s string, p string, o_value string, o_type string, o_datatype string, o_lang string, g string"
 
 
 def read_quads(spark: SparkSession, path: str) -> DataFrame:
-    """Quads written by :func:`write_quads`; a constant predicate reads its own folder only."""
-    schema = "s string, o_value string, o_type string, o_datatype string, o_lang string, g string, p string"
-    try:
-        bucketed = "p_bucket" in spark.read.parquet(path).columns
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        bucketed = False  # no quads, hence no files
-    return spark.read.schema(schema + ", p_bucket int" if bucketed else schema).parquet(path)
+    """Quads written by :func:`write_quads`, with their bucket; a constant predicate reads its own folder only."""
+    return spark.read.schema(f"{_STORED}, {BUCKET} int").parquet(path).select(*QUAD, BUCKET)
 
 
 class BucketedGraph(StoredGraph):
     """Stored quads in hash buckets: adds the bucket of a constant predicate to the filter."""
 
     def __init__(self, raw: DataFrame):
-        super().__init__(raw)
+        super().__init__(raw.select(*QUAD))
         self._raw = raw
 
     def match(self, pattern, nodes=frozenset(), dataset=None):
@@ -94,13 +90,13 @@ class BucketedGraph(StoredGraph):
         dataset = dataset or EVERYTHING
         if is_var(pattern.p):
             return super().match(pattern, nodes, dataset)
-        one = self._raw.filter(F.col("p_bucket") == predicate_bucket(F.lit(pattern.p)))
-        return StoredGraph(one).match(pattern, nodes, dataset)
+        # The bucket as a plain number: it prunes folders and passes through the join of base and deltas.
+        bucket = binascii.crc32(pattern.p.encode()) % BUCKETS
+        return StoredGraph(self._raw.filter(F.col(BUCKET) == bucket).select(*QUAD)).match(pattern, nodes, dataset)
 
 
 def stored_graph(spark: SparkSession, path: str) -> StoredGraph:
-    df = read_quads(spark, path)
-    return BucketedGraph(df) if "p_bucket" in df.columns else StoredGraph(df)
+    return BucketedGraph(read_quads(spark, path))
 
 
 class GraphStore:
@@ -110,21 +106,21 @@ class GraphStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     @classmethod
-    def create(cls, spark: SparkSession, root: str, quads: DataFrame | None = None, is_set: bool = False,
-               by_bucket: bool | None = None) -> GraphStore:
-        """A new store; an existing one is an error. ``is_set`` skips the duplicate check of ``quads``, and
-        ``by_bucket`` the count of their predicates (see :func:`write_quads`)."""
+    def create(cls, spark: SparkSession, root: str, quads: DataFrame | None = None, is_set: bool = False) -> GraphStore:
+        """A new store; an existing one is an error. ``is_set`` skips the duplicate check of ``quads``."""
         store = cls(spark, root)
         quads = spark.createDataFrame([], QUAD_SCHEMA) if quads is None else quads
         if store._exists():
             raise ValueError(f"{root} holds a graph set already")
-        store._rebase(1, quads if is_set else as_set(quads), by_bucket)
+        store._rebase(1, quads if is_set else as_set(quads))
         return store
 
     def _exists(self) -> bool:
         try:
-            self.current()
-        except AnalysisException:
+            self._record()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
         return True
 
@@ -132,51 +128,89 @@ class GraphStore:
         """A folder name no other or failed commit uses."""
         return f"{kind}-{version}-{uuid.uuid4().hex[:12]}"
 
-    def _publish(self, version: int, base: str, deltas: list[str]) -> None:
-        row = [(version, base, deltas)]
-        record = self.spark.createDataFrame(row, "version long, base string, deltas array<string>").coalesce(1)
-        # errorifexists: of two commits on the same version only one gets published.
-        record.write.mode("errorifexists").json(f"{self.root}/versions/{version}")
+    def _publish(self, record: dict) -> None:
+        create_once(self.spark, f"{self.root}/versions/{record['version']}.json", record)
 
-    def _rebase(self, version: int, quads: DataFrame, by_bucket: bool | None = None) -> None:
+    def _rebase(self, version: int, quads: DataFrame, prefixes: str = "") -> None:
         name = self._fresh("base", version)
-        write_quads(quads, f"{self.root}/{name}", by_bucket)
-        self._publish(version, name, [])
-
-    def current(self) -> tuple[int, str, list[str]]:
-        schema = "version long, base string, deltas array<string>"
-        row = self.spark.read.schema(schema).json(f"{self.root}/versions/*").orderBy(F.desc("version")).first()
-        return row["version"], row["base"], list(row["deltas"])
-
-    def _delta(self, names: list[str]) -> DataFrame:
-        """Last operation per quad over some deltas: quad columns and ``op``."""
-        schema = "s string, p string, o_value string, o_type string, o_datatype string, o_lang string, g string, op string"
-        parts = [
-            self.spark.read.schema(schema).parquet(f"{self.root}/{n}").withColumn("_seq", F.lit(i)) for i, n in enumerate(names)
-        ]
-        every = reduce(DataFrame.unionByName, parts)
-        if len(parts) == 1:
-            return every.drop("_seq")
-        return last_operation(every)
+        write_quads(quads, f"{self.root}/{name}")
+        self._publish({"version": version, "base": name, "deltas": [], "prefixes": prefixes})
+
+    def _records(self) -> DataFrame:
+        return self.spark.read.schema(_RECORD).json(f"{self.root}/versions")
+
+    def _record(self) -> dict:
+        return self._records().orderBy(F.desc("version")).first().asDict(recursive=True)
+
+    def current(self) -> tuple[int, str, list[dict]]:
+        """Version, base, and deltas with their names and how many quads they have added and removed."""
+        record = self._record()
+        return record["version"], record["base"], record["deltas"]
+
+    def _delta(self, deltas: list[dict]) -> DataFrame:
+        """All operations of some deltas: quads, bucket, ``op`` and ``_seq``."""
+        schema = f"{_STORED}, op string, {BUCKET} int"
+        parts = [self.spark.read.schema(schema).parquet(f"{self.root}/{d['name']}").withColumn("_seq", F.lit(i)) for i, d in enumerate(deltas)]
+        return reduce(DataFrame.unionByName, parts)
 
     def quads(self) -> DataFrame:
         _, base, deltas = self.current()
-        return self._read(base, deltas)
+        return self._read(base, deltas).select(*QUAD)
+
+    def _read(self, base: str, deltas: list[dict]) -> DataFrame:
+        """The quads with their buckets.
 
-    def _read(self, base: str, deltas: list[str]) -> DataFrame:
+        A delta holds real changes only. So the base loses what was ever removed, and what is added last comes from the deltas.
+        """
         stored = self._base(base)
         if not deltas:
             return stored
-        delta = self._delta(deltas)
-        kept = anti(stored, delta)
-        return kept.unionByName(delta.filter(F.col("op") == ADDED).select(*QUAD))
+        every = self._delta(deltas)
+        removed = every.filter(F.col("op") == REMOVED)
+        kept = anti(stored, removed) if any(d["removed"] for d in deltas) else stored
+        added = every.drop("_seq") if len(deltas) == 1 else last_operation(every) if any(d["removed"] for d in deltas) else every
+        return kept.unionByName(added.filter(F.col("op") == ADDED).select(*QUAD, BUCKET))
 
     def _base(self, base: str) -> DataFrame:
-        return read_quads(self.spark, f"{self.root}/{base}").select(*QUAD)
+        return read_quads(self.spark, f"{self.root}/{base}")
 
     def graph(self) -> StoredGraph:
         _, base, deltas = self.current()
-        return StoredGraph(self._read(base, deltas)) if deltas else stored_graph(self.spark, f"{self.root}/{base}")
+        return BucketedGraph(self._read(base, deltas))
+
+    def prefixes(self) -> DataFrame:
+        """The prefix table ``(prefix, iri)`` of the store."""
+        name = self._record()["prefixes"]
+        if not name:
+            return self.spark.createDataFrame([], _PREFIXES)
+        return self.spark.read.schema(_PREFIXES).parquet(f"{self.root}/{name}")
+
+    def set_prefixes(self, table: DataFrame) -> None:
+        """Publish a version with another prefix table; prefixes must be unique."""
+        record = self._record()
+        if not table.groupBy("prefix").count().where("count > 1").isEmpty():
+            raise ValueError("a prefix is declared twice")
+        version = record["version"] + 1
+        name = self._fresh("prefixes", version)
+        table.select("prefix", "iri").write.parquet(f"{self.root}/{name}")
+        self._publish(record | {"version": version, "prefixes": name})
+
+    def clean(self, keep: int = 1) -> None:
+        """Delete the files of all but the newest ``keep`` versions, and what failed commits have left.
+
+        Nobody may be reading older versions or be committing meanwhile.
+        """
+        kept = self._records().orderBy(F.desc("version")).limit(keep).collect()
+        names = {"versions", *(r["base"] for r in kept), *(r["prefixes"] for r in kept), *(d["name"] for r in kept for d in r["deltas"])}
+        files, root = hadoop_path(self.spark, self.root)
+        for found in files.listStatus(root):
+            name = found.getPath().getName()
+            if name not in names and name.split("-")[0] in ("base", "delta", "prefixes"):
+                files.delete(found.getPath(), True)
+        versions = {f"{r['version']}.json" for r in kept}
+        for found in files.listStatus(hadoop_path(self.spark, f"{self.root}/versions")[1]):
+            if found.getPath().getName() not in versions:
+                files.delete(found.getPath(), False)
 
     def begin(self, reasoning: bool = False) -> Batch:
         return Batch(self, reasoning)
@@ -186,34 +220,32 @@ class GraphStore:
         return self.quads().agg(F.count("*").alias("n"))
 
     def size_estimate(self) -> DataFrame:
-        """Number of quads, one row ``n``, from row counts in file footers: base + added - removed, no join."""
+        """Number of quads, one row ``n``, from row counts in file footers and version records: base + added - removed, no join."""
         _, base, deltas = self.current()
-        parts = [read_quads(self.spark, f"{self.root}/{base}").agg(F.count("*").alias("n"))]
-        for d in deltas:
-            delta = self.spark.read.schema("s string, op string").parquet(f"{self.root}/{d}")
-            parts.append(delta.filter(F.col("op") == ADDED).agg(F.count("*").alias("n")))
-            parts.append(delta.filter(F.col("op") == REMOVED).agg((-F.count("*")).alias("n")))
-        return reduce(DataFrame.unionByName, parts).agg(F.sum("n").alias("n"))
+        changed = sum(d["added"] - d["removed"] for d in deltas)
+        return self._base(base).agg((F.count("*") + F.lit(changed)).alias("n"))
 
     def compact(self) -> None:
         """Fold the deltas into a new base with fresh, sorted files; the content stays the same."""
-        version, base, deltas = self.current()
-        self._rebase(version + 1, self._read(base, deltas))
+        record = self._record()
+        self._rebase(record["version"] + 1, self._read(record["base"], record["deltas"]), record["prefixes"])
 
     def snapshot(self, to: str) -> None:
-        """A full copy at ``to``; an existing target is an error."""
-        write_quads(self.quads(), to)
+        """A full copy at ``to``, quads and prefixes; an existing target is an error."""
+        write_quads(self.quads(), f"{to}/quads")
+        self.prefixes().write.parquet(f"{to}/prefixes")
 
 
 def restore(spark: SparkSession, from_path: str, root: str, force: bool = False) -> GraphStore:
     """A store at ``root`` from a snapshot. An existing store is an error unless ``force``, which publishes the
     snapshot as its next version."""
-    quads = read_quads(spark, from_path).select(*QUAD)
     store = GraphStore(spark, root)
     version = store.current()[0] if store._exists() else 0
     if version and not force:
         raise ValueError(f"{root} holds a graph set already")
-    store._rebase(version + 1, quads)
+    name = store._fresh("prefixes", version + 1)
+    spark.read.schema(_PREFIXES).parquet(f"{from_path}/prefixes").write.parquet(f"{store.root}/{name}")
+    store._rebase(version + 1, read_quads(spark, f"{from_path}/quads"), name)
     return store
 
 
@@ -225,7 +257,8 @@ class Batch:
 
     def __init__(self, store: GraphStore, reasoning: bool = False):
         self.store, self.reasoning, self.open = store, reasoning, True
-        self._version, self._base, self._deltas = store.current()
+        self._record = store._record()
+        self._version, self._base, self._deltas = self._record["version"], self._record["base"], self._record["deltas"]
         self._log: list[tuple[str, DataFrame]] = []
 
     def _check(self) -> None:
@@ -241,7 +274,7 @@ class Batch:
     def quads(self) -> DataFrame:
         """The staged state."""
         self._check()
-        before = self.store._read(self._base, self._deltas)
+        before = self.store._read(self._base, self._deltas).select(*QUAD)
         if not self._log:
             return before
         net = self._net()
@@ -292,16 +325,15 @@ class Batch:
         The stored side is first reduced to the quads the batch touches, by a semi-join whose small side is the batch.
         """
         self._check()
-        net = cut(self._net())
-        before = self.store._read(self._base, self._deltas)
-        # Predicates are few; named in the filter, they leave all other folders of the base unread.
-        touched = [r["p"] for r in net.select("p").distinct().limit(MAX_PREDICATE_FOLDERS + 1).collect()]
-        if len(touched) <= MAX_PREDICATE_FOLDERS:
-            before = before.filter(F.col("p").isin(touched))
-        present = before.join(net.select(*QUAD), QUAD, "left_semi")
-        known = net.join(present.withColumn("_there", F.lit(True)), QUAD, "left")
+        net = cut(with_bucket(self._net()))
+        keys = [*QUAD, BUCKET]
+        # The buckets the batch touches, of at most BUCKETS; all other folders of the base stay unread.
+        touched = [r[BUCKET] for r in net.select(BUCKET).distinct().collect()]
+        before = self.store._read(self._base, self._deltas).filter(F.col(BUCKET).isin(touched))
+        present = before.join(net.select(*keys), keys, "left_semi")
+        known = net.join(present.withColumn("_there", F.lit(True)), keys, "left")
         there = F.col("_there").isNotNull()
-        return known.filter((F.col("op") == REMOVED) == there).select(*QUAD, "op")
+        return known.filter((F.col("op") == REMOVED) == there).select(*keys, "op")
 
     def commit(self) -> dict[str, int]:
         """Publish as the next version and return how many quads were added and removed.
@@ -314,11 +346,11 @@ class Batch:
         if self._log:
             name = self.store._fresh("delta", version)
             path = f"{self.store.root}/{name}"
-            self.changes().hint("rebalance", F.col("op"), F.col("p")).write.partitionBy("op").parquet(path)
-            self.store._publish(version, self._base, [*self._deltas, name])
-            schema = "s string, op string"
-            done = self.store.spark.read.schema(schema).parquet(path).groupBy("op").count().collect()
+            self.changes().hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(path)
+            done = self.store.spark.read.schema("s string, op string").parquet(path).groupBy("op").count().collect()
             counts.update({r["op"]: r["count"] for r in done})
+            deltas = [*self._deltas, {"name": name, **counts}]
+            self.store._publish(self._record | {"version": version, "deltas": deltas})
         self.open = False
         return counts
 

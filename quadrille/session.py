@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,25 @@ def scratch(spark: SparkSession, name: str = "scratch") -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Hadoop objects."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def create_once(spark: SparkSession, path: str, record: dict) -> None:
+    """Create a file with one line of JSON. It must not exist: of two writers only one succeeds, the other gets an error."""
+    files, where = hadoop_path(spark, path)
+    try:
+        out = files.create(where, False)
+    except Py4JJavaError as e:
+        if files.exists(where):
+            raise RuntimeError(f"{path} has been published by another writer") from e
+        raise
+    out.write(bytearray(json.dumps(record).encode() + b"\n"))
+    out.close()
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write as a table into the shared folder and read it back.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from fixtures import SW, starwars_quads
 from quadrille.model import DEFAULT_GRAPH, QUAD, RDF_TYPE, Lit, quads
-from quadrille.operators.caches import bulk_quads, cached_graph, cached_query
+from quadrille.operators.caches import Cache, bulk_quads, cached_graph, cached_query
 from quadrille.operators.documents import delete, documents, lookup, size, upsert
 from quadrille.operators.graph import Dataset, Pattern
 from quadrille.operators.patterns import bgp
@@ -147,10 +147,10 @@ def test_snapshot_and_restore(spark, store):
         GraphStore.create(spark, other.root)
 
 
-def test_many_predicates_go_to_buckets(spark):
+def test_predicates_go_to_buckets(spark):
     path = scratch(spark)
     df = quads(spark, [(f"urn:s{i}", f"urn:p{i % 50}", Lit(str(i))) for i in range(200)])
-    write_quads(df, path, by_bucket=True)
+    write_quads(df, path)
     g = stored_graph(spark, path)
     assert isinstance(g, BucketedGraph) and g.quads().count() == 200
     found = bgp(g, [Pattern("?s", "urn:p7", "?o")])
@@ -158,6 +158,68 @@ def test_many_predicates_go_to_buckets(spark):
     assert "PartitionFilters: [isnotnull(p_bucket" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_bucket_filter_reaches_base_and_deltas(spark, store):
+    store.begin().add(quads(spark, [(f"urn:s{i}", f"urn:p{i % 50}", Lit(str(i))) for i in range(200)])).commit()
+    store.compact()
+    store.begin().add(quads(spark, [("urn:new", "urn:p7", Lit("x")), ("urn:new", "urn:p8", Lit("x"))])).commit()
+    plan = bgp(store.graph(), [Pattern("?s", "urn:p7", "?o")])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("PartitionFilters: [isnotnull(p_bucket") + plan.count("PartitionFilters: [isnotnull(op") >= 2
+    store.begin().remove(quads(spark, [("urn:s7", "urn:p7", Lit("7"))])).commit()
+    found = bgp(store.graph(), [Pattern("?s", "urn:p7", "?o")])
+    assert found.count() == 4 and rows(found, "s")[0] == ("urn:new",)
+    scans = [x for x in found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]]
+    assert scans and all("p_bucket" in x.split("]")[0] for x in scans)
+
+
+def test_re_added_quads_and_clean_up(spark, store):
+    one = quads(spark, ONE)
+    for step in ("add", "remove", "add", "remove", "add"):
+        getattr(store.begin(), step)(one).commit()
+    store.compact()
+    assert store.begin().remove(one).commit() == {"added": 0, "removed": 1}
+    assert store.begin().add(one).commit() == {"added": 1, "removed": 0}
+    assert store.quads().count() == 1 and store.size_estimate().first()["n"] == 1
+    store.clean()
+    assert store.quads().count() == 1
+    from pathlib import Path
+
+    kept = sorted(p.name.split("-")[0] for p in Path(store.root.removeprefix("file:")).iterdir() if not p.name.startswith("."))
+    assert kept == ["base", "delta", "delta", "versions"]
+
+
+def test_only_one_of_two_commits_wins(spark, store):
+    one, two = store.begin().add(quads(spark, ONE)), store.begin().add(quads(spark, [("urn:x", "urn:y", "urn:z")]))
+    one.commit()
+    with pytest.raises(RuntimeError):
+        two.commit()
+    assert rows(store.quads(), "s") == [("urn:subj",)]
+
+
+def test_prefixes_travel_with_snapshots(spark, store):
+    store.set_prefixes(spark.createDataFrame([("a", "urn:a#")], "prefix string, iri string"))
+    store.begin().add(quads(spark, ONE)).commit()
+    to = scratch(spark)
+    store.snapshot(to)
+    copy = restore(spark, to, scratch(spark))
+    assert rows(copy.prefixes(), "prefix", "iri") == [("a", "urn:a#")] and copy.quads().count() == 1
+
+
+def test_caches_open_again(spark):
+    folder, seen = scratch(spark), []
+
+    def make():
+        seen.append(1)
+        return spark.range(len(seen)).withColumn("x", F.lit("y"))
+
+    cached_query(spark, "n", folder, make)
+    again = Cache(spark, "n", folder)
+    assert again.read().count() == 1 and again.version() == 1
+    again.refresh(lambda df: df.union(df))
+    assert cached_query(spark, "n", folder, make).read().count() == 2 and len(seen) == 1
+    with pytest.raises(ValueError):
+        again.refresh()
+
+
 def test_bulk_load_counts(spark):
     a = quads(spark, [("urn:s", "urn:p", "urn:o"), *[("_:x", f"urn:p{i}", Lit("v")) for i in range(5)]])
     df = bulk_quads((a, DEFAULT_GRAPH), (quads(spark, ONE), "urn:context"), (quads(spark, ONE), "urn:context"))
