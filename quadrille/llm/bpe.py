@@ -20,8 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import regex
 
-# Pieces a worker remembers; when there are more, it forgets all and goes on. This changes speed only.
-PIECES = 400_000
+# Entries of each of a worker's memories of pieces, prefixes and pairs. This changes speed and memory only.
+PIECES = 300_000
 # Characters of a text that are split into pieces at a time.
 SPAN = 1_000_000
 
@@ -42,8 +42,10 @@ class PrefixBpe:
         self.token = {rank: token for token, rank in ranks.items()}
         # Last tokens of prefixes seen so far; words share most of their prefixes.
         self._last: dict[bytes, int] = {}
+        self._old_last: dict[bytes, int] = {}
         self._whole: dict[int, bool] = {}
         self._apart: dict[int, bool] = {}
+        self._old_apart: dict[int, bool] = {}
         size = max(self.token) + 1
         self._length = np.zeros(size, np.int64)
         for rank, token in self.token.items():
@@ -75,9 +77,11 @@ class PrefixBpe:
         key = left << 32 | right
         found = self._apart.get(key)
         if found is None:
-            found = self.merge(self.token[left] + self.token[right]) == [left, right]
-            if len(self._apart) >= 4 * PIECES:
-                self._apart.clear()
+            found = self._old_apart.get(key)
+            if found is None:
+                found = self.merge(self.token[left] + self.token[right]) == [left, right]
+            if len(self._apart) >= PIECES // 2:
+                self._old_apart, self._apart = self._apart, {}
             self._apart[key] = found
         return found
 
@@ -108,19 +112,22 @@ class PrefixBpe:
             last: list[int] = []
             self.extend(data, last)
             return self.walk_back(last)
-        known = self._last
+        known, old = self._last, self._old_last
         last = []
         for end in range(1, len(data) + 1):
             found = known.get(data[:end])
             if found is None:
-                break
+                found = old.get(data[:end])
+                if found is None:
+                    break
+                known[data[:end]] = found
             last.append(found)
         had = len(last)
         self.extend(data, last)
-        if len(known) >= 4 * PIECES:
-            known.clear()
-        for end in range(had + 1, len(data) + 1):
+        for end in range(had + 1, len(data)):
             known[data[:end]] = last[end - 1]
+        if len(known) >= PIECES // 2:
+            self._old_last, self._last = known, {}
         return self.walk_back(last)
 
     def decode(self, ids) -> bytes:
@@ -152,15 +159,21 @@ class Prefixes:
 
 
 class _Known(dict):
-    """Ids of strings as little-endian bytes, made when they are asked for and kept for the next time."""
+    """Ids of strings as little-endian bytes, made when they are asked for and kept for the next time.
+
+    When it is full, what it holds is set aside, and what is asked for again comes back from there.
+    """
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.make(piece)
+        found = self.old.get(piece)
+        if found is None:
+            found = self.make(piece)
         if len(self) >= PIECES:
+            self.old = dict(self)
             self.clear()
         if len(piece) <= 64:
             self[piece] = found
@@ -196,12 +209,18 @@ class TextBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self.pattern = PrefixBpe(ranks), regex.compile(pattern)
-        self._pieces = _Known(lambda piece: np.array(self.bpe.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes())
         self._units = _Known(self._split)
         self._spaced = _Known(lambda unit: self._split(" " + unit))
 
+    def _piece(self, piece: str) -> bytes:
+        return np.array(self.bpe.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+
     def _split(self, text: str) -> bytes:
-        return b"".join(map(self._pieces.__getitem__, self.pattern.findall(text)))
+        """Ids of a text by its pieces; a piece that is the whole text is not kept twice."""
+        pieces = self.pattern.findall(text)
+        if len(pieces) == 1:
+            return self._piece(pieces[0])
+        return b"".join([self._spaced[p[1:]] if p[0] == " " else self._units[p] for p in pieces])
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
