@@ -155,5 +155,6 @@ def sql_term(col: Column, data_type: T.DataType) -> tuple[Column, str]:
 
 
 def iso_datetime(col: Column) -> Column:
-    """ISO text of a timestamp in UTC; the session time zone is UTC (see session.tune)."""
-    return F.concat(F.replace(col.cast("timestamp").cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    """ISO text of a timestamp in UTC, whatever the time zone of the session."""
+    in_utc = F.to_utc_timestamp(col.cast("timestamp"), F.current_timezone())
+    return F.concat(F.replace(in_utc.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))

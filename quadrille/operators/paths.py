@@ -29,14 +29,12 @@ def _step(frontier: DataFrame, size: int, edges: DataFrame, on: str) -> DataFram
     return edges.join(F.broadcast(frontier) if size <= BROADCAST_BYTES else frontier, on)
 
 
-def reachable(edges: DataFrame, starts: DataFrame | None = None, include_start: bool = False, max_length: int | None = None) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame, include_start: bool = False, max_length: int | None = None) -> DataFrame:
     """Pairs ``(start, node)`` with a path of one or more edges (``p+``); with ``include_start`` also none (``p*``).
 
-    ``starts`` has one column ``start``; without it every source of an edge starts.
+    ``starts`` has one column ``start``: pairs of all nodes of a large graph are nobody's wish, so it must be given.
     """
     edges = cut(edges.select("src", "dst"), "edges")
-    if starts is None:
-        starts = edges.select(F.col("src").alias("start"))
     starts = starts.select("start").distinct()
     frontier, first = cut_measured(starts.select("start", F.col("start").alias("src")))
     found: list[DataFrame] = []

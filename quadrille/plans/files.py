@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.iri import Template
@@ -119,23 +118,19 @@ def jdbc_scan(spark, folder):
 
 @query("rdfxml_flat_scan", f"""
     SELECT {iri('customer')} AS s, '{BASE}name' AS p, c_name AS o_value, 'literal' AS o_type FROM customer
+    UNION ALL SELECT {iri('customer')}, '{BASE}segment', c_mktsegment, 'literal' FROM customer
     UNION ALL SELECT {iri('customer')}, '{BASE}nation', {iri('nation', 'c_nationkey')}, 'uri' FROM customer""")
 def rdfxml_flat_scan(spark, folder):
+    """Documents written by the XML writer; all their children are read, whatever they are called."""
     path = scratch(spark, "rdfxml")
-    name = F.replace(F.replace("c_name", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    described = F.concat(
-        F.lit(f'<rdf:Description rdf:about="{BASE}customer/c_custkey='), F.col("c_custkey"), F.lit('"><a:name>'), name,
-        F.lit(f'</a:name><a:nation rdf:resource="{BASE}nation/n_nationkey='), F.col("c_nationkey"), F.lit('"/></rdf:Description>'),
+    described = table(spark, folder, "customer").select(
+        F.concat(F.lit(BASE + "customer/c_custkey="), "c_custkey").alias("_rdf:about"), F.col("c_name").alias("a:name"),
+        F.struct(F.concat(F.lit(BASE + "nation/n_nationkey="), "c_nationkey").alias("_rdf:resource"), F.lit("").alias("_VALUE")).alias("a:nation"),
+        F.col("c_mktsegment").alias("a:segment"),
     )
-
-    def rooted(batches):
-        yield pd.DataFrame({"value": [f'<rdf:RDF xmlns:rdf="{RDF}" xmlns:a="{BASE}">']})
-        yield from batches
-        yield pd.DataFrame({"value": ["</rdf:RDF>"]})
-
-    # Each task writes one file, and each file is one document.
-    table(spark, folder, "customer").select(described.alias("value")).mapInPandas(rooted, "value string").write.text(path)
-    return read_rdfxml_flat(spark, path, {"rdf": RDF, "a": BASE}, ["a:name", "a:nation"]).select("s", "p", "o_value", "o_type")
+    options = {"validateName": "false", "rowTag": "rdf:Description", "rootTag": f'rdf:RDF xmlns:rdf="{RDF}" xmlns:a="{BASE}"'}
+    described.write.format("xml").options(**options).save(path)
+    return read_rdfxml_flat(spark, path, {"rdf": RDF, "a": BASE}).select("s", "p", "o_value", "o_type")
 
 
 @query("results_json_scan", f"""

@@ -66,8 +66,18 @@ def parse_lines(lines: DataFrame, graph: str = DEFAULT_GRAPH) -> tuple[DataFrame
     return quads, bad
 
 
-def read_nquads(spark: SparkSession, paths: str | list[str], graph: str = DEFAULT_GRAPH) -> DataFrame:
-    return parse_lines(spark.read.text(paths), graph)[0]
+def read_nquads(spark: SparkSession, paths: str | list[str], graph: str = DEFAULT_GRAPH, skip_bad_lines: bool = False) -> DataFrame:
+    """Quads of N-Triples or N-Quads files.
+
+    A line that is no statement, comment or blank makes the job fail with its text; with ``skip_bad_lines`` such lines are left
+    to :func:`read_corrupt`.
+    """
+    lines = spark.read.text(paths)
+    if not skip_bad_lines:
+        line = F.col("value")
+        wrong = F.raise_error(F.concat(F.lit("no statement: "), line)).cast("boolean")
+        lines = lines.filter(F.when(line.rlike(STATEMENT), F.lit(True)).when(line.rlike(BLANK), F.lit(False)).otherwise(wrong))
+    return parse_lines(lines, graph)[0]
 
 
 def read_corrupt(spark: SparkSession, paths: str | list[str]) -> DataFrame:

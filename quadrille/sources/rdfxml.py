@@ -9,18 +9,21 @@ from pyspark.sql import types as T
 from ..model import DEFAULT_GRAPH, QUAD
 
 
-def read_rdfxml_flat(spark: SparkSession, path: str | list[str], prefixes: dict[str, str], elements: list[str],
+def read_rdfxml_flat(spark: SparkSession, path: str | list[str], prefixes: dict[str, str], elements: list[str] | None = None,
                      graph: str = DEFAULT_GRAPH, row_tag: str = "rdf:Description") -> DataFrame:
     """Quads of flat descriptions.
 
-    ``elements`` are the qualified names of the children to read (``a:attributedTo``) and ``prefixes`` their
-    namespaces; both are given, so the files are read once. A child with a ``resource`` attribute links to an IRI, any
+    ``elements`` are the qualified names of the children to read (``a:title``) and ``prefixes`` their namespaces. Without
+    ``elements`` all children are read, whose names one more pass over the files collects. A child with a ``resource`` attribute links to an IRI, any
     other is a literal with optional datatype and language. A description without ``rdf:about`` is a blank node named
     by its place in the input.
     """
     # Attribute and text columns as the XML reader names them.
     attributes = ["_VALUE", "_resource", "_rdf:resource", "_rdf:datatype", "_xml:lang"]
     child = T.ArrayType(T.StructType([T.StructField(a, T.StringType()) for a in attributes]))
+    if elements is None:
+        found = spark.read.format("xml").option("rowTag", row_tag).option("inferSchema", False).load(path)
+        elements = [f.name for f in found.schema if not f.name.startswith("_")]
     fields = [T.StructField("_rdf:about", T.StringType()), T.StructField("_about", T.StringType())]
     schema = T.StructType(fields + [T.StructField(e, child) for e in elements])
     rows = spark.read.format("xml").schema(schema).option("rowTag", row_tag).load(path)

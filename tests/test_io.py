@@ -71,7 +71,9 @@ def test_compressed_files_and_corrupt_lines(spark, tmp_path):
         f.write(LINES[0] + "\nbroken\n")
     with bz2.open(tmp_path / "b.nt.bz2", "wt") as f:
         f.write(LINES[1] + "\n")
-    assert read_nquads(spark, str(tmp_path), "urn:mine").count() == 2
+    assert read_nquads(spark, str(tmp_path), "urn:mine", skip_bad_lines=True).count() == 2
+    with pytest.raises(Exception, match="no statement: broken"):
+        read_nquads(spark, str(tmp_path)).count()
     assert rows(read_corrupt(spark, str(tmp_path)), "value") == [("broken",)]
 
 
@@ -133,6 +135,8 @@ def test_flat_rdfxml(spark, tmp_path):
     assert got.count() == 5 and got.select("s").distinct().count() == 1
     assert ("http://example.org/books#title", "Winter Fields", "literal") in rows(got, "p", "o_value", "o_type")
     assert got.filter("o_type = 'uri'").count() == 3
+    every = read_rdfxml_flat(spark, str(tmp_path / "a.rdf"), names)
+    assert rows(every, "p", "o_value", "o_type") == rows(got, "p", "o_value", "o_type")
 
 
 def test_prefixes(spark):

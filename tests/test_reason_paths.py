@@ -127,7 +127,7 @@ def test_paths_against_brute_force(spark, seed):
                 reach[n].add(b)
                 todo += [d for c, _, d in edges if c == b]
     want = sorted((n, m) for n in nodes for m in reach[n])
-    assert rows(reachable(df), "start", "node") == want
+    assert rows(reachable(df, df.select(F.col("src").alias("start"))), "start", "node") == want
     some = spark.createDataFrame([(nodes[0],), ("lone",)], "start string")
     assert rows(reachable(df, some, include_start=True), "start", "node") == sorted({(nodes[0], m) for m in reach[nodes[0]] | {nodes[0]}} | {("lone", "lone")})
 
