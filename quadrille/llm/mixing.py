@@ -99,7 +99,13 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 
 
 def take(docs: DataFrame, plan: DataFrame, id: str = "doc_id") -> DataFrame:
-    """Every document as often as the mix takes it, in the columns of ``docs``. Ids are expected to be unique."""
-    copies = plan.where("copies > 0").groupBy(F.col("doc_id").alias(id)).agg(F.max("copies").alias("_copies"))
-    found = with_results(docs, copies, [id])
+    """Every document as often as the mix takes it, in the columns of ``docs``.
+
+    Ids are expected to be unique: rows that share an id, or have none, are each taken as often as the one of them that the mix takes most.
+    """
+    def key(of: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), column(of).cast("string")), F.lit("")).alias("_taken")
+
+    copies = plan.where("copies > 0").groupBy(key("doc_id")).agg(F.max("copies").alias("_copies"))
+    found = with_results(docs.withColumn("_taken", key(id)), copies, ["_taken"])
     return found.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[column(c) for c in docs.columns])

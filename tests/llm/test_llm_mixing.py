@@ -51,3 +51,5 @@ def test_documents_are_repeated_as_planned(made):
     plan = docs.select("doc_id", F.when(F.col("doc_id") == 1, 2).when(F.col("doc_id") == 2, 1).otherwise(0).alias("copies"))
     taken = take(docs, plan)
     assert taken.columns == docs.columns and sorted(r.doc_id for r in taken.collect()) == [1, 1, 2]
+    every = docs.select("doc_id", F.lit(1).alias("copies"))
+    assert take(docs, every).count() == 4 and take(docs.limit(0), every).count() == 0
