@@ -24,8 +24,8 @@ from ..model import (
     as_set,
     is_var,
 )
-from ..session import BROADCAST_BYTES, cut_measured, fits_broadcast, join_lookup
-from .graph import EVERYTHING, Dataset, Graph, Pattern, StoredGraph, from_terms
+from ..session import BROADCAST_BYTES, cut, cut_measured, fits_broadcast, join_lookup
+from .graph import EVERYTHING, Dataset, Graph, Pattern, StoredGraph, UnionGraph, from_terms
 
 NODES = ("uri", "bnode")
 
@@ -83,13 +83,20 @@ def instances(graph: Graph, dataset: Dataset = EVERYTHING) -> DataFrame:
 
 
 class ReasonedGraph(Graph):
-    """A graph seen with its subclass and subproperty entailments; matches take it like any other graph."""
+    """A graph seen with its entailments by subclasses, subproperties, domains and ranges; matches take it like any other graph."""
 
     def __init__(self, base: Graph, schema_graphs: list[str] | None = None, properties: bool = True):
         self.base = base
         self.classes = subclass_closure(base, schema_graphs)
         self.properties = subproperty_closure(base, schema_graphs) if properties else None
         self._small = fits_broadcast(self.classes)
+        # A property has the domains and ranges of what it is a subproperty of.
+        rules = domain_range_schema(base)
+        if self.properties is not None:
+            up = self.properties.select(F.col("sub").alias("_sub"), F.col("super").alias("p"))
+            rules = rules.unionByName(up.join(rules, ["p"]).select(F.col("_sub").alias("p"), "rule", "cls"))
+        self.rules = cut(rules.distinct(), "rules")
+        self._typed = base if self.rules.isEmpty() else UnionGraph(base, StoredGraph(domain_range_quads(base.quads(), self.rules)))
 
     def match(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         if is_var(pattern.p):
@@ -113,21 +120,22 @@ class ReasonedGraph(Graph):
         if pattern.object_var is not None:
             wide = Pattern(pattern.s, RDF_TYPE, pattern.object_var, pattern.graph)
             name = pattern.object_var[1:]
-            direct = self.base.match(wide, nodes | {pattern.object_var}, dataset)
+            direct = self._typed.match(wide, nodes | {pattern.object_var}, dataset)
             up = self.classes.select(F.col("sub").alias(name), F.col("super").alias("_super"))
             more = join_lookup(direct, up, [name], small=self._small).withColumn(name, F.col("_super")).select(*direct.columns)
             return as_set(direct.unionByName(more))
-        direct = self.base.match(pattern, nodes, dataset)
+        direct = self._typed.match(pattern, nodes, dataset)
         subs = self.classes.filter(F.col("super") == pattern.o).select(F.col("sub").alias("_cls"))
         wide = Pattern(pattern.s, RDF_TYPE, "?_cls", pattern.graph)
-        more = join_lookup(self.base.match(wide, nodes | {"?_cls"}, dataset), subs, ["_cls"], "left_semi", small=self._small).drop("_cls")
+        more = join_lookup(self._typed.match(wide, nodes | {"?_cls"}, dataset), subs, ["_cls"], "left_semi", small=self._small).drop("_cls")
         if not pattern.variables:
             more = more.limit(1)
         return as_set(direct.unionByName(more)) if pattern.variables else direct.unionByName(more)
 
     def quads(self):
         base = self.base.quads()
-        out = [base, inferred_types(base, self.classes)]
+        typed = base if self._typed is self.base else base.unionByName(domain_range_quads(base, self.rules))
+        out = [typed, inferred_types(typed, self.classes)]
         if self.properties is not None:
             out.append(inferred_properties(base, self.properties))
         return as_set(reduce(DataFrame.unionByName, out))
@@ -158,6 +166,17 @@ def domain_range_types(quads: DataFrame, schema: DataFrame) -> DataFrame:
     return both.filter(F.col("s").isNotNull()).distinct()
 
 
+def domain_range_quads(quads: DataFrame, schema: DataFrame) -> DataFrame:
+    """As :func:`domain_range_types`, as type quads in the graph of the quad they follow from."""
+    met = join_lookup(quads.select("s", "p", "o_value", "o_type", "g"), schema, ["p"])
+    node = F.when(F.col("rule") == "domain", F.col("s")).when(F.col("o_type").isin(*NODES), F.col("o_value"))
+    made = met.select(
+        node.alias("s"), F.lit(RDF_TYPE).alias("p"), F.col("cls").alias("o_value"), F.lit("uri").alias("o_type"), F.lit("").alias("o_datatype"),
+        F.lit("").alias("o_lang"), "g",
+    )
+    return made.filter(F.col("s").isNotNull()).distinct()
+
+
 def domain_range_schema(graph: Graph) -> DataFrame:
     def one(predicate, rule):
         found = graph.match(Pattern("?p", predicate, "?cls"), frozenset(["?cls"]))
@@ -189,15 +208,17 @@ def explain_inference(asked: DataFrame, quads: DataFrame, closure: DataFrame) ->
 def contradictions(data: DataFrame, schema: DataFrame, graph: str | None = None) -> DataFrame:
     """Rows ``(kind, s, p, first, second)`` where data contradict the schema; both are quads.
 
-    disjoint: an instance of two classes declared owl:disjointWith. functional: two different values of an
-    owl:FunctionalProperty. ``graph`` limits the data to one graph.
+    disjoint: an instance of two classes declared owl:disjointWith, also by subclasses, domains and ranges of the schema.
+    functional: two different values of an owl:FunctionalProperty. ``graph`` limits the data to one graph.
     """
     if graph is not None:
         data = data.filter(F.col("g") == graph)
     typed = (
         data.filter((F.col("p") == RDF_TYPE) & F.col("o_type").isin(*NODES))
-        .select("s", F.col("o_value").alias("cls")).distinct()
+        .select("s", F.col("o_value").alias("cls"))
     )
+    stored = StoredGraph(schema)
+    typed = infer_types(typed.unionByName(domain_range_types(data, domain_range_schema(stored))), subclass_closure(stored))
     pairs = (
         schema.filter(F.col("p") == OWL_DISJOINT)
         .select(F.least("s", "o_value").alias("cls"), F.greatest("s", "o_value").alias("_other")).distinct()

@@ -159,3 +159,19 @@ def test_lists_and_texts_of_any_length(spark):
     same = spark.range(30_000).select(F.lit("hot").alias("k"), F.lit("v").alias("v"))
     assert [len(r["vs"].split(",")) for r in group_concat(same, ["k"], "v", ",", "vs").collect()] == [30_000]
     assert group_concat(same, ["k"], "v", ",", "vs", distinct=True).collect()[0]["vs"] == "v"
+
+
+def test_domains_and_ranges_count_in_matches_and_contradictions(spark):
+    schema = [
+        ("urn:wrote", RDFS_DOMAIN, "urn:Author"), ("urn:wrote", RDFS_RANGE, "urn:Book"), ("urn:drafted", RDFS_SUBPROPERTY, "urn:wrote"),
+        ("urn:Author", RDFS_SUBCLASS, "urn:Person"), ("urn:Person", OWL_DISJOINT, "urn:Thing"), ("urn:Book", RDFS_SUBCLASS, "urn:Thing"),
+    ]
+    data = [("urn:a", "urn:wrote", "urn:b"), ("urn:c", "urn:drafted", Lit("a text"))]
+    r = ReasonedGraph(StoredGraph(quads(spark, schema + data)))
+    assert rows(bgp(r, [Pattern("?s", RDF_TYPE, "urn:Person")]), "s") == [("urn:a",), ("urn:c",)]
+    assert rows(bgp(r, [Pattern("?s", RDF_TYPE, "urn:Thing")]), "s") == [("urn:b",)]
+    assert rows(bgp(r, [Pattern("urn:a", RDF_TYPE, "?c")]), "c") == [("urn:Author",), ("urn:Person",)]
+    assert r.quads().filter((F.col("p") == RDF_TYPE)).count() == 6
+    assert is_consistent(quads(spark, data), quads(spark, schema)).first()["consistent"] is True
+    bad = quads(spark, [*data, ("urn:a", RDF_TYPE, "urn:Book")])
+    assert rows(contradictions(bad, quads(spark, schema)), "kind", "s", "first", "second") == [("disjoint", "urn:a", "urn:Person", "urn:Thing")]
