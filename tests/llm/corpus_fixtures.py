@@ -1,3 +1,5 @@
+"""Fixtures of the corpus tests, imported by name: a second conftest would hide the first."""
+
 import random
 import sys
 from pathlib import Path

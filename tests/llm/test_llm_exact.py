@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+from corpus_fixtures import made, prepared  # noqa: F401
 from quadrille.llm.exact_dedup import drop_copies, exact_groups
 
 

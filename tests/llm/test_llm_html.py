@@ -1,8 +1,8 @@
 import html
 import re
 
+from corpus_fixtures import SMALL, prepared  # noqa: F401
 import pytest
-from conftest import SMALL
 
 from quadrille.llm.html_text import main_texts
 from quadrille.llm.queries import QUERIES

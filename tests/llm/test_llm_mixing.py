@@ -1,6 +1,6 @@
+from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 import pytest
 from compare import connect, difference
-from conftest import SMALL
 from pyspark.sql import functions as F
 
 from quadrille.llm.mixing import mix, source_targets, take

@@ -1,7 +1,7 @@
 import random
 
+from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 import numpy as np
-from conftest import SMALL
 
 from quadrille.llm import near_join
 from quadrille.llm.components import components

@@ -1,10 +1,10 @@
 import hashlib
 import shutil
 
+from corpus_fixtures import SMALL, prepared  # noqa: F401
 import corpus_pipeline
 import numpy as np
 import pytest
-from conftest import SMALL
 from test_llm_near import brute as near
 from test_llm_tokens import THEIRS
 

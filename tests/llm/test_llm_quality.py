@@ -1,4 +1,4 @@
-from conftest import SMALL
+from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 from pyspark.sql import functions as F
 
 from quadrille.llm.quality import _Forms, classify, estimate, votes

@@ -1,8 +1,8 @@
 import hashlib
 import random
 
-from conftest import SMALL
 
+from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 from quadrille.llm.queries import QUERIES
 from quadrille.llm.substring_dedup import remove_repeats
 

@@ -1,11 +1,11 @@
 import hashlib
 import random
 
+from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

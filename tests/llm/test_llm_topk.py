@@ -1,9 +1,9 @@
 import math
 import random
 
+from corpus_fixtures import SMALL, prepared  # noqa: F401
 import numpy as np
 from compare import connect, difference
-from conftest import SMALL
 
 from quadrille.llm.queries import QUERIES, SQL
 from quadrille.llm.topk import ImpactIndex, search
