@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut, cut_measured
-from .common import Rolling, column, id_and_bytes, texts, with_results, word_hashes
+from .common import Rolling, column, text_of, with_results, word_hashes
 
 WINDOW = 50
 #: Words of the short runs that anchors are chosen from.
@@ -61,56 +61,62 @@ def _signed(values: np.ndarray):
     return values.view(np.int64)
 
 
+def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """``(id, k, text)`` of all rows. Rows of one id may differ in their texts, so a document is told by its id and a hash of its text."""
+    return docs.select(column(id).alias("id"), F.hash(text_of(text)).alias("k"), text_of(text).cast("binary").alias("text"))
+
+
 def _prints(docs: DataFrame, id: str, text: str, window: int) -> DataFrame:
-    """``(id, f1, f2, anchors)`` of documents with at least one window: a fingerprint of all words, and the distinct anchors."""
+    """``(id, k, f1, f2, anchors)`` of documents with at least one window: a fingerprint of all words, and the distinct anchors."""
     import pyarrow as pa
 
     kind = docs.schema[id].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("f1", T.LongType()), T.StructField("f2", T.LongType()), T.StructField("anchors", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", kind), T.StructField("k", T.IntegerType()), T.StructField("f1", T.LongType()), T.StructField("f2", T.LongType()), T.StructField("anchors", T.ArrayType(T.LongType()))])
 
     def run(batches):
         windows = Windows(window)
-        for ids, bodies in texts(batches):
-            out: tuple[list, ...] = ([], [], [], [])
-            for i, body in zip(ids, bodies):
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for i, k, body in zip(*(batch.column(c).to_pylist() for c in ("id", "k", "text"))):
                 words = body.split()
                 if len(words) >= window:
                     whole = xxhash.xxh3_128_intdigest(b" ".join(words))
                     out[0].append(i)
-                    out[1].append((whole >> 64) - (1 << 63))
-                    out[2].append((whole & (1 << 64) - 1) - (1 << 63))
-                    out[3].append(_signed(np.unique(windows.anchors(word_hashes(words)))))
+                    out[1].append(k)
+                    out[2].append((whole >> 64) - (1 << 63))
+                    out[3].append((whole & (1 << 64) - 1) - (1 << 63))
+                    out[4].append(_signed(np.unique(windows.anchors(word_hashes(words)))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], batch_type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int64()))],
-                ["id", "f1", "f2", "anchors"],
+                [pa.array(c, t) for c, t in zip(out, (batch_type, pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                ["id", "k", "f1", "f2", "anchors"],
             )
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     batch_type = to_arrow_type(kind)
     known = docs.where(column(id).isNotNull())
-    return id_and_bytes(known, id, text).mapInArrow(run, schema)
+    return _keyed(known, id, text).mapInArrow(run, schema)
 
 
 def _estimated_repeated(anchors: DataFrame, total: int) -> DataFrame:
-    """``(id, anchor)`` of anchors whose estimate is two documents or more."""
+    """``(id, k, anchor)`` of anchors whose estimate is two documents or more."""
     width = 1 << max(10, (CELLS * total - 1).bit_length())
     cells = [F.xxhash64(F.lit(d), "anchor").bitwiseAND(F.lit(width - 1)).alias(f"c{d}") for d in range(DEPTH)]
-    placed = anchors.select("id", "anchor", *cells)
+    placed = anchors.select("id", "k", "anchor", *cells)
     # Partial sums are the sketches of partitions, without their empty cells; the shuffle adds them up.
     sketch = placed.select(F.posexplode(F.array(*[f"c{d}" for d in range(DEPTH)])).alias("row", "cell")).groupBy("row", "cell").agg(F.count(F.lit(1)).alias("n"))
     full = cut(sketch.where("n >= 2").select("row", "cell"), "sketch")
     for d in range(DEPTH):
         placed = placed.join(full.where(F.col("row") == d).select(F.col("cell").alias(f"c{d}")), [f"c{d}"], "left_semi")
-    return placed.select("id", "anchor")
+    return placed.select("id", "k", "anchor")
 
 
 def _windows(docs: DataFrame, id: str, text: str, flags: DataFrame, window: int) -> DataFrame:
-    """``(w1, w2, id, pos)`` of the windows whose anchor is among the document's flagged ones."""
+    """``(w1, w2, id, k, pos)`` of the windows whose anchor is among the document's flagged ones."""
     import pyarrow as pa
 
     kind = docs.schema[id].dataType
-    schema = T.StructType([T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("id", kind), T.StructField("pos", T.IntegerType())])
+    schema = T.StructType([T.StructField("w1", T.LongType()), T.StructField("w2", T.LongType()), T.StructField("id", kind), T.StructField("k", T.IntegerType()), T.StructField("pos", T.IntegerType())])
 
     def run(batches):
         windows = Windows(window)
@@ -123,17 +129,19 @@ def _windows(docs: DataFrame, id: str, text: str, flags: DataFrame, window: int)
                 found.append((_signed(w1[at]), _signed(w2[at]), np.full(len(at), row), at.astype(np.int32)))
             if found:
                 w1, w2, rows, at = map(np.concatenate, zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), batch.column("id").take(pa.array(rows)), pa.array(at)], ["w1", "w2", "id", "pos"])
+                rows = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(w1), pa.array(w2), batch.column("id").take(rows), batch.column("k").take(rows), pa.array(at)], ["w1", "w2", "id", "k", "pos"]
+                )
 
-    wanted = docs.select(column(id).alias("id"), column(text).cast("binary").alias("text"))
-    return with_results(wanted, flags, ["id"]).select("id", "text", "flagged").mapInArrow(run, schema)
+    return with_results(_keyed(docs, id, text), flags, ["id", "k"]).select("id", "k", "text", "flagged").mapInArrow(run, schema)
 
 
 def _ranges(hits: DataFrame, window: int) -> DataFrame:
-    """``(id, starts, ends)``: the words covered by the windows that start at ``hits(id, pos)``, as runs."""
+    """``(id, k, starts, ends)``: the words covered by the windows that start at ``hits(id, k, pos)``, as runs."""
     import pyarrow as pa
 
-    fields = T.StructType([hits.schema["id"], T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("ends", T.ArrayType(T.IntegerType()))])
+    fields = T.StructType([hits.schema["id"], hits.schema["k"], T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("ends", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         for batch in batches:
@@ -143,25 +151,27 @@ def _ranges(hits: DataFrame, window: int) -> DataFrame:
                 gap = np.flatnonzero(np.diff(p) > window)
                 starts.append(p[np.append(0, gap + 1)])
                 ends.append(p[np.append(gap, len(p) - 1)] + window)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))], ["id", "starts", "ends"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("k"), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))], ["id", "k", "starts", "ends"]
+            )
 
-    return hits.groupBy("id").agg(F.collect_set("pos").alias("places")).mapInArrow(run, fields)
+    return hits.groupBy("id", "k").agg(F.collect_set("pos").alias("places")).mapInArrow(run, fields)
 
 
 def repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(id, whole, starts, ends)`` per document that loses words: all of them, or the words from each start to before its end."""
+    """``(id, k, whole, starts, ends)`` per document that loses words: all of them, or the words from each start to before its end."""
     prints, seen = cut_measured(_prints(docs, id, text, window), "prints", anchors=F.coalesce(F.sum(F.size("anchors")), F.lit(0)))
     # Grouped results are written before they are joined with their rows: only then can the join split a hot key.
     first = cut(prints.groupBy("f1", "f2").agg(F.min("id").alias("first")), "first")
-    placed = cut(prints.join(first, ["f1", "f2"]).select("id", (F.col("id") > F.col("first")).alias("copy"), "anchors"), "placed")
-    anchors = placed.where("NOT copy").select("id", F.explode("anchors").alias("anchor"))
-    flags = _estimated_repeated(anchors, seen["anchors"]).groupBy("id").agg(F.collect_set("anchor").alias("flagged"))
+    placed = cut(prints.join(first, ["f1", "f2"]).select("id", "k", (F.col("id") > F.col("first")).alias("copy"), "anchors"), "placed")
+    anchors = placed.where("NOT copy").select("id", "k", F.explode("anchors").alias("anchor"))
+    flags = _estimated_repeated(anchors, seen["anchors"]).groupBy("id", "k").agg(F.collect_set("anchor").alias("flagged"))
     found = cut(_windows(docs, id, text, flags, window), "windows")
     least = cut(found.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most"), "least")
-    hits = found.join(least, ["w1", "w2"]).where("id > least").select("id", "pos")
+    hits = found.join(least, ["w1", "w2"]).where("id > least").select("id", "k", "pos")
     none = F.array().cast("array<int>")
-    whole = placed.where("copy").select("id", F.lit(True).alias("whole"), none.alias("starts"), none.alias("ends")).dropDuplicates(["id"])
-    return _ranges(hits, window).select("id", F.lit(False).alias("whole"), "starts", "ends").unionByName(whole)
+    whole = placed.where("copy").select("id", "k", F.lit(True).alias("whole"), none.alias("starts"), none.alias("ends")).dropDuplicates(["id", "k"])
+    return _ranges(hits, window).select("id", "k", F.lit(False).alias("whole"), "starts", "ends").unionByName(whole)
 
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -199,6 +209,5 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                 kept.append(b" ".join(rest))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], schema=arrow)
 
-    wanted = id_and_bytes(docs, id, text)
-    found = with_results(wanted, repeated_words(docs, id, text, window), ["id"], "left")
+    found = with_results(_keyed(docs, id, text), repeated_words(docs, id, text, window), ["id", "k"], "left")
     return found.select("id", "text", "whole", "starts", "ends").mapInArrow(run, schema)
