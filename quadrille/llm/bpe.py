@@ -21,7 +21,7 @@ import numpy as np
 import regex
 
 # Entries of each of a worker's memories of pieces, prefixes and pairs. This changes speed and memory only.
-PIECES = 300_000
+PIECES = 200_000
 # Characters of a text that are split into pieces at a time.
 SPAN = 1_000_000
 

@@ -22,7 +22,7 @@ TOP = 400
 GRAMS = 3
 UNKNOWN = "und"
 # Characters counted at a time, and n-grams a worker holds per language before it adds them up.
-SPAN, HELD = 1_000_000, 2_000_000
+SPAN, HELD = 1_000_000, 250_000
 SALTS = 32
 _LETTER: list[np.ndarray] = []
 
