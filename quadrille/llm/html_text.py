@@ -35,7 +35,7 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
             for host, body in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 found = wrapper(read(body.decode("utf-8", "replace")))
                 known = held.get(host)
-                held[host] = found if known is None else known if known == found else merge(known, found)
+                held[host] = found if known is None else merge(known, found)
             if len(held) > HOSTS:
                 yield rows(held)
                 held = {}

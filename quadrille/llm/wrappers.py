@@ -6,8 +6,8 @@ only one of them has becomes optional. Aligned elements are aligned further down
 items of lists and the like, and long runs, are taken as repeated at once. There are no alternatives, so aligning is all that inference
 does, and pages and partial wrappers are the same kind of thing.
 
-A node is a list ``[label, optional, repeated, children, text]``: text nodes have the label ``#`` and a hash of their text, or
-None for a slot; groups have the label ``(``.
+A node is a list ``[label, optional, repeated, children, text, pages]``: text nodes have the label ``#`` and a hash of their text, or
+None for a slot; groups have the label ``(``. ``pages`` is on how many pages the node was seen, at least.
 """
 
 from __future__ import annotations
@@ -16,14 +16,17 @@ import html
 import json
 import re
 from functools import lru_cache
+from operator import add
 
 import xxhash
 
-LABEL, OPTIONAL, REPEATED, KIDS, TEXT = range(5)
+LABEL, OPTIONAL, REPEATED, KIDS, TEXT, PAGES = range(6)
 #: The longest group of siblings that is looked for as a repeated one.
 PERIOD = 6
 #: A longer run of equal siblings is repeated whatever other pages have.
 RUN = 8
+#: On so many different pages of a host, and on most of them, a text must be unchanged to count as fixed.
+FIXED = 2
 
 # The elements of HTML by how their text is laid out, and names that mark what is not part of an article.
 INLINE = frozenset(
@@ -171,17 +174,17 @@ def _squared(items: list, unite, every: bool) -> list:
 def _unite(copies: list[list]) -> list:
     merged = copies[0]
     for more in copies[1:]:
-        merged = [merge(a, b) for a, b in zip(merged, more)]
+        merged = [_merged(a, b, max) for a, b in zip(merged, more)]
     if len(merged) == 1:
-        return [merged[0][LABEL], merged[0][OPTIONAL], True, merged[0][KIDS], merged[0][TEXT]]
-    return ["(", False, True, merged, None]
+        return [merged[0][LABEL], merged[0][OPTIONAL], True, *merged[0][KIDS:]]
+    return ["(", False, True, merged, None, max(m[PAGES] for m in merged)]
 
 
 def wrapper(node) -> list:
     """The wrapper of one page, or of a part of it."""
     if isinstance(node, str):
-        return ["#", False, False, [], xxhash.xxh3_64_hexdigest(node)]
-    return [node[0], False, False, _squared([wrapper(k) for k in node[1]], _unite, False), None]
+        return ["#", False, False, [], xxhash.xxh3_64_hexdigest(node), 1]
+    return [node[0], False, False, _squared([wrapper(k) for k in node[1]], _unite, False), None, 1]
 
 
 def _name(item) -> str:
@@ -235,23 +238,30 @@ def _groups(items: list) -> list:
 
 
 def merge(left: list, right: list) -> list:
-    """The wrapper of everything that either wrapper stands for."""
+    """The wrapper of everything that either wrapper stands for. A page that is like the only one before, and one with nothing on it, add nothing."""
+    if left == right and left[PAGES] == 1 or not right[KIDS]:
+        return left
+    return _merged(left, right, add) if left[KIDS] else right
+
+
+def _merged(left: list, right: list, pages) -> list:
+    """``pages`` adds up the pages of nodes from different pages, or takes the larger number for those of the same pages."""
     a, b = left[KIDS], right[KIDS]
     same = left[TEXT] if left[TEXT] == right[TEXT] else None
     if [_name(x) for x in a] == [_name(x) for x in b]:
-        kids = [merge(x, y) for x, y in zip(a, b)]
+        kids = [_merged(x, y, pages) for x, y in zip(a, b)]
     else:
         a, b = _squared(a, _unite, True), _squared(b, _unite, True)
         a, b = _folded(a, _groups(b), _unite), _folded(b, _groups(a), _unite)
         kids = []
         for i, j in aligned(a, b):
             if i is not None and j is not None:
-                kids.append(merge(a[i], b[j]))
+                kids.append(_merged(a[i], b[j], pages))
             else:
                 only = a[i] if i is not None else b[j]
                 kids.append([only[LABEL], True, *only[REPEATED:]])
         kids = _squared(kids, _unite, True)
-    return [left[LABEL], left[OPTIONAL] or right[OPTIONAL], left[REPEATED] or right[REPEATED], kids, same]
+    return [left[LABEL], left[OPTIONAL] or right[OPTIONAL], left[REPEATED] or right[REPEATED], kids, same, pages(left[PAGES], right[PAGES])]
 
 
 @lru_cache(maxsize=10_000)
@@ -293,7 +303,7 @@ def _unite_held(copies: list[list[_Held]]) -> _Held:
     if len(copies[0]) == 1:
         return _Held(copies[0][0].node, [m for c in copies for m in c[0].members])
     first = copies[0]
-    return _Held(["(", False, True, [h.node for h in first], None], [m for c in copies for m in c])
+    return _Held(["(", False, True, [h.node for h in first], None, 0], [m for c in copies for m in c])
 
 
 def extract(tree: list, learnt: list) -> str:
@@ -301,48 +311,52 @@ def extract(tree: list, learnt: list) -> str:
 
     The page is aligned with the wrapper; texts belong to the slots they fall on. The main part is that of articles, or else
     of the main element, or else of elements that are named as content. Where a page has none of these, all texts count but
-    those that are no slots, since every page of the host has them.
+    fixed ones: those that two or more different pages, and most of the host, have unchanged, and that are not optional.
     """
     found: dict[str, list[str]] = {"article": [], "main": [], "content": [], "": []}
 
-    def walk(kids: list, nodes: list, inside: tuple[str, ...], alone: bool) -> None:
+    most = max(FIXED, learnt[PAGES] // 2 + 1)
+
+    def walk(kids: list, nodes: list, inside: tuple[str, ...], sure: bool) -> None:
         if len(kids) == 1 and isinstance(kids[0], str) and len(nodes) == 1 and nodes[0][LABEL] == "#":
-            say(kids[0], nodes[0], inside, alone)
+            say(kids[0], nodes[0], inside, sure)
             return
-        items = [_Held(["#" if isinstance(k, str) else k[0], False, False, [], None], [k]) for k in kids]
+        items = [_Held(["#" if isinstance(k, str) else k[0], False, False, [], None, 0], [k]) for k in kids]
         held = _squared(items, _unite_held, False)
         if [_name(x) for x in held] != [_name(x) for x in nodes]:
             held = _folded(_squared(items, _unite_held, True), _groups(nodes), _unite_held)
-        place(held, nodes, inside, alone)
+        place(held, nodes, inside, sure)
 
-    def place(items: list, nodes: list, inside: tuple[str, ...], alone: bool) -> None:
+    def place(items: list, nodes: list, inside: tuple[str, ...], sure: bool) -> None:
         for i, j in aligned(items, nodes):
             if i is None:
                 continue
             node = nodes[j] if j is not None else items[i].node
+            always = sure and not node[OPTIONAL]
             for member in items[i].members:
                 if isinstance(member, _Held):
-                    spread(items[i], node, inside, alone)
+                    spread(items[i], node, inside, always)
                     break
                 if isinstance(member, str):
-                    say(member, node, inside, alone)
+                    say(member, node, inside, sure)
                     continue
                 kind = part_of(member[0], "article" in inside)
                 if kind != "out":
-                    walk(member[1], node[KIDS], (*inside, kind) if kind else inside, alone)
+                    walk(member[1], node[KIDS], (*inside, kind) if kind else inside, always)
 
-    def spread(group: _Held, node: list, inside: tuple[str, ...], alone: bool) -> None:
+    def spread(group: _Held, node: list, inside: tuple[str, ...], sure: bool) -> None:
         for k, member in enumerate(group.members):
-            place([member], [node[KIDS][k % len(node[KIDS])]] if node[KIDS] else [], inside, alone)
+            place([member], [node[KIDS][k % len(node[KIDS])]] if node[KIDS] else [], inside, sure)
 
-    def say(text: str, node: list, inside: tuple[str, ...], alone: bool) -> None:
+    def say(text: str, node: list, inside: tuple[str, ...], sure: bool) -> None:
+        fixed = sure and not node[OPTIONAL] and node[PAGES] >= most and node[TEXT] is not None and node[TEXT] == xxhash.xxh3_64_hexdigest(text)
         for kind in ("article", "main", "content"):
             if kind in inside:
                 found[kind].append(text)
-        if alone or node[TEXT] is None:
+        if not fixed:
             found[""].append(text)
 
-    walk(tree[1], learnt[KIDS], (), not _has_slot(learnt))
+    walk(tree[1], learnt[KIDS], (), _has_slot(learnt))
     return " ".join(next((said for said in found.values() if said), []))
 
 

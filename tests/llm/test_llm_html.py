@@ -64,6 +64,20 @@ def test_without_a_marked_main_part_what_every_page_says_is_left_out():
     assert [extract(read(p), learnt(*pages)) for p in pages] == ["one", "two", "three"]
 
 
+def test_optional_texts_are_kept_without_a_marked_main_part():
+    pages = ["<div>Shop</div><div>one</div><div>end</div>", "<div>Shop</div><div>two</div><p>more</p><div>end</div>", "<div>Shop</div><div>three</div><div>end</div>"]
+    assert "more" in extract(read(pages[1]), learnt(*pages)).split()
+    pages = [f"<h2>Shop</h2><div>{t}</div>{extra}<h3>end</h3>" for t, extra in (("one", ""), ("two", "<section><p>sold out</p></section>"), ("three", "<section><p>sold out</p></section>"))]
+    for order in ((0, 1, 2), (2, 1, 0), (1, 0, 2)):
+        assert [extract(read(p), learnt(*[pages[k] for k in order])) for p in pages] == ["one", "two sold out", "three sold out"]
+
+
+def test_one_page_says_nothing_of_what_is_fixed():
+    page = "<body><h1>T</h1><div>long main text</div><ul><li>a<li>b</ul></body>"
+    for pages in ([page], [page, page], [page, "", page], ["", page]):
+        assert extract(read(page), learnt(*pages)) == "T long main text a b"
+
+
 def test_rows_of_all_kinds(spark):
     rows = [(1, "http://A.example/x", "<article><p>a</article>", "u"), (1, "http://a.example/y", "<article><p>b<p>c</article>", "u"), (None, None, "<p>d", "u"),
             (4, "nonsense", None, "u"), (5, "http://a.example/z", "", "u"), (6, "http://b.example", "<article>" + "<p>w" * 50_000, "u")]
