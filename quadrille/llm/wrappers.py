@@ -27,6 +27,8 @@ PERIOD = 6
 RUN = 8
 #: On so many different pages of a host, and on most of them, a text must be unchanged to count as fixed.
 FIXED = 2
+#: The same for a text within a marked main part, which an author has said to be one.
+FIXED_WITHIN = 3
 
 # The elements of HTML by how their text is laid out, and names that mark what is not part of an article.
 INLINE = frozenset(
@@ -310,54 +312,61 @@ def extract(tree: list, learnt: list) -> str:
     """The main text of a page, by the wrapper of its host.
 
     The page is aligned with the wrapper; texts belong to the slots they fall on. The main part is that of articles, or else
-    of the main element, or else of elements that are named as content. Where a page has none of these, all texts count but
-    fixed ones: those that two or more different pages, and most of the host, have unchanged, and that are not optional.
+    of the main element, or else of elements that are named as content, or else all of the page. Of it all texts count but
+    fixed ones: those that two or more different pages, and most of the host, have unchanged, and that are not optional. In a marked
+    part three pages must have them, they must not be below anything repeated, and something else must be left of it.
     """
     found: dict[str, list[str]] = {"article": [], "main": [], "content": [], "": []}
+    varied: dict[str, list[str]] = {"article": [], "main": [], "content": []}
 
-    most = max(FIXED, learnt[PAGES] // 2 + 1)
+    most = learnt[PAGES] // 2 + 1
 
-    def walk(kids: list, nodes: list, inside: tuple[str, ...], sure: bool) -> None:
+    def walk(kids: list, nodes: list, inside: tuple[str, ...], sure: bool, listed: bool) -> None:
         if len(kids) == 1 and isinstance(kids[0], str) and len(nodes) == 1 and nodes[0][LABEL] == "#":
-            say(kids[0], nodes[0], inside, sure)
+            say(kids[0], nodes[0], inside, sure, listed)
             return
         items = [_Held(["#" if isinstance(k, str) else k[0], False, False, [], None, 0], [k]) for k in kids]
         held = _squared(items, _unite_held, False)
         if [_name(x) for x in held] != [_name(x) for x in nodes]:
             held = _folded(_squared(items, _unite_held, True), _groups(nodes), _unite_held)
-        place(held, nodes, inside, sure)
+        place(held, nodes, inside, sure, listed)
 
-    def place(items: list, nodes: list, inside: tuple[str, ...], sure: bool) -> None:
+    def place(items: list, nodes: list, inside: tuple[str, ...], sure: bool, listed: bool) -> None:
         for i, j in aligned(items, nodes):
             if i is None:
                 continue
             node = nodes[j] if j is not None else items[i].node
-            always = sure and not node[OPTIONAL]
+            always, many = sure and not node[OPTIONAL], listed or node[REPEATED]
             for member in items[i].members:
                 if isinstance(member, _Held):
-                    spread(items[i], node, inside, always)
+                    spread(items[i], node, inside, always, many)
                     break
                 if isinstance(member, str):
-                    say(member, node, inside, sure)
+                    say(member, node, inside, sure, listed)
                     continue
                 kind = part_of(member[0], "article" in inside)
                 if kind != "out":
-                    walk(member[1], node[KIDS], (*inside, kind) if kind else inside, always)
+                    walk(member[1], node[KIDS], (*inside, kind) if kind else inside, always, many)
 
-    def spread(group: _Held, node: list, inside: tuple[str, ...], sure: bool) -> None:
+    def spread(group: _Held, node: list, inside: tuple[str, ...], sure: bool, listed: bool) -> None:
         for k, member in enumerate(group.members):
-            place([member], [node[KIDS][k % len(node[KIDS])]] if node[KIDS] else [], inside, sure)
+            place([member], [node[KIDS][k % len(node[KIDS])]] if node[KIDS] else [], inside, sure, listed)
 
-    def say(text: str, node: list, inside: tuple[str, ...], sure: bool) -> None:
-        fixed = sure and not node[OPTIONAL] and node[PAGES] >= most and node[TEXT] is not None and node[TEXT] == xxhash.xxh3_64_hexdigest(text)
+    def say(text: str, node: list, inside: tuple[str, ...], sure: bool, listed: bool) -> None:
+        pages = node[PAGES] if sure and not node[OPTIONAL] and node[TEXT] is not None and node[PAGES] >= most else 0
+        if pages and node[TEXT] != xxhash.xxh3_64_hexdigest(text):
+            pages = 0
         for kind in ("article", "main", "content"):
             if kind in inside:
                 found[kind].append(text)
-        if not fixed:
+                if pages < FIXED_WITHIN or listed or node[REPEATED]:
+                    varied[kind].append(text)
+        if pages < FIXED:
             found[""].append(text)
 
-    walk(tree[1], learnt[KIDS], (), _has_slot(learnt))
-    return " ".join(next((said for said in found.values() if said), []))
+    walk(tree[1], learnt[KIDS], (), _has_slot(learnt), False)
+    kind = next((kind for kind, said in found.items() if said), "")
+    return " ".join(varied.get(kind) or found[kind])
 
 
 def _has_slot(node: list) -> bool:

@@ -78,6 +78,23 @@ def test_one_page_says_nothing_of_what_is_fixed():
         assert extract(read(page), learnt(*pages)) == "T long main text a b"
 
 
+def test_the_wrapper_decides_within_an_article_too():
+    pages = [f"<nav>Menu</nav><article><h1>{t}</h1><div class='x1'>Thanks for reading</div>{''.join(f'<p>{t} {k}' for k in range(n))}<div>Our shop is open</div></article>"
+             for t, n in (("one", 1), ("two", 2), ("three", 3), ("four", 1))]
+    want = ["one one 0", "two two 0 two 1", "three three 0 three 1 three 2", "four four 0"]
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 0, 3, 2)):
+        assert [extract(read(p), learnt(*[pages[k] for k in order])) for p in pages] == want
+
+
+def test_texts_of_an_article_that_may_be_its_own_are_kept():
+    same = "<article><p>all alike</article>"  # nothing of the article differs: it is kept whole
+    pages = [f"<div>{k}</div>{same}" for k in range(4)]
+    assert {extract(read(p), learnt(*pages)) for p in pages} == {"all alike"}
+    pages = [f"<article><h1>{k}</h1><table><tr><td>yes<td>{k}<tr><td>yes<td>{k}</table>{'<div>sold out</div>' * (k > 1)}</article>" for k in range(4)]
+    assert extract(read(pages[2]), learnt(*pages)) == "2 yes 2 yes 2 sold out"
+    assert extract(read(pages[0]), learnt(*pages[:2])) == "0 yes 0 yes 0"
+
+
 def test_rows_of_all_kinds(spark):
     rows = [(1, "http://A.example/x", "<article><p>a</article>", "u"), (1, "http://a.example/y", "<article><p>b<p>c</article>", "u"), (None, None, "<p>d", "u"),
             (4, "nonsense", None, "u"), (5, "http://a.example/z", "", "u"), (6, "http://b.example", "<article>" + "<p>w" * 50_000, "u")]
