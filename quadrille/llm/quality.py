@@ -12,7 +12,10 @@ Patterns are counted over all documents; with eight labellers there are at most
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import xxhash
@@ -69,18 +72,23 @@ class _Forms(dict):
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
         """A row of the matrix per distinct form, how often each occurs, and how many words repeat the one before.
 
-        Texts with more forms than fit go in parts.
+        Texts that may have more forms than fit are counted first, and their distinct words looked up in parts.
         """
         if len(words) > FORMS // 2:
-            parts = [self.look_up(words[i:i + FORMS // 2]) for i in range(0, len(words), FORMS // 2)]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), sum(p[2] for p in parts)
+            counted = Counter(words)
+            distinct = list(counted)
+            rows = [self.table[self._numbers(distinct[i:i + FORMS // 2])] for i in range(0, len(distinct), FORMS // 2)]
+            return np.concatenate(rows), np.fromiter(counted.values(), np.int64, len(distinct)), sum(map(eq, words, islice(words, 1, None)))
+        numbers = self._numbers(words)
+        found, counts = np.unique(numbers, return_counts=True)
+        return self.table[found], counts, int((numbers[1:] == numbers[:-1]).sum())
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
         try:
-            numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         except OverflowError:
             self.clear()
-            numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        found, counts = np.unique(numbers, return_counts=True)
-        return self.table[found], counts, int((numbers[1:] == numbers[:-1]).sum())
+            return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def _between(value: float, bad_below: float, good_from: float, good_to: float, bad_above: float) -> int:

@@ -1,7 +1,8 @@
 from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 from pyspark.sql import functions as F
 
-from quadrille.llm.quality import _Forms, classify, estimate, votes
+from quadrille.llm import quality
+from quadrille.llm.quality import _Forms, classify, estimate, features, votes
 from quadrille.llm.queries import QUERIES
 
 
@@ -27,6 +28,25 @@ def test_votes_do_not_depend_on_how_forms_are_remembered(prose):
     assert votes(*one.look_up(words)) == votes(*other.look_up(words))
 
 
+def test_votes_and_features_do_not_depend_on_how_many_forms_fit(prose, monkeypatch):
+    for words in ("top a " * 200 + prose(300, 1), "w " * 90 + prose(30, 2) + " ### A1 A1", " ".join(f"w{k // 3}" for k in range(999))):
+        words = words.encode().split()
+        large = _Forms().look_up(words)
+        for forms in (20, 64, 400):
+            with monkeypatch.context() as patch:
+                patch.setattr(quality, "FORMS", forms)
+                small = _Forms().look_up(words)
+            assert votes(*small) == votes(*large) and len(small[1]) == len(large[1]) and small[2] == large[2]
+            assert all((a == b).all() for a, b in zip(features(*small), features(*large)))
+
+
+def test_the_commonest_word_of_a_very_long_text_counts_as_a_whole():
+    words = [b"top" if k % 5 < 2 else b"w%d" % k for k in range(1_000_000)]
+    forms, counts, same = _Forms().look_up(words)
+    assert (counts.max(), len(counts), same) == (400_000, 600_001, 200_000)
+    assert votes(forms, counts, same)[6] == "0"
+
+
 def test_accuracy_against_given_labels(spark):
     folder = SMALL.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
