@@ -22,7 +22,7 @@ from quadrille.session import cut  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter, or like no profile at all, go."""
+    """Documents whose language can be told; those without a letter, and those too far from every profile, go."""
     prepare(spark)
     return keep_identified(docs, learn(docs))
 

@@ -9,7 +9,7 @@ Letters are compared in lower case; everything else separates words, and the end
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,10 @@ UNKNOWN = "und"
 # Characters counted at a time, and n-grams a worker holds per language before it adds them up.
 SPAN, HELD = 1_000_000, 250_000
 SALTS = 32
+#: The least score of a language is LEAST_SHARE of the score that all but LEAST_PART of its labelled texts reach; with fewer than LEAST_ROWS
+#: of these, that of all languages together. Texts with fewer different n-grams than LEAST_GRAMS, two or three words, tell too little for it.
+LEAST_SHARE, LEAST_PART, LEAST_ROWS, LEAST_GRAMS = 2 / 3, 0.1, 100, 40
+BINS = 1000
 _LETTER: list[np.ndarray] = []
 
 
@@ -70,19 +74,24 @@ class Profiles:
     grams: np.ndarray  # sorted n-grams of all profiles
     ranks: np.ndarray  # language by n-gram, ``top`` where a profile lacks it
     top: int
+    labelled: tuple[DataFrame, str, str] | None = field(default=None, compare=False, repr=False)  # what was learnt from: rows, text, language
 
     def closest(self, text: str) -> tuple[str, float]:
         """Language and score: 1 for the same list, 0 where no n-gram is shared; ``und`` and 0 without a letter or a profile."""
+        return self.compared(text)[:2]
+
+    def compared(self, text: str) -> tuple[str, float, int]:
+        """Language, score, and how many n-grams of the text were compared."""
         own = ranked(*ngrams(text), self.top)
         if not len(own) or not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         at = np.searchsorted(self.grams, own)
         at[at == len(self.grams)] = 0
         known = self.grams[at] == own
         apart = np.minimum(np.abs(self.ranks[:, at[known]] - np.flatnonzero(known)), self.top).sum(axis=1)
         distance = (apart + self.top * int((~known).sum())) / (self.top * len(own))
         best = int(np.argmin(distance))
-        return self.languages[best], float(1 - distance[best])
+        return self.languages[best], float(1 - distance[best]), len(own)
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP) -> Profiles:
@@ -123,11 +132,13 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TO
     number = {name: i for i, name in enumerate(languages)}
     for r in rows:
         ranks[number[r["lang"]], np.searchsorted(grams, r["gram"])] = r["rank"]
-    return Profiles(languages, grams, ranks, top)
+    return Profiles(languages, grams, ranks, top, (known, text, lang))
 
 
 def language(profiles: Profiles, text: Column) -> Column:
     """A struct ``(lang, score)`` for each text; null, empty and letterless texts are ``und`` with score 0."""
+    profiles = replace(profiles, labelled=None)
+
     @F.pandas_udf("lang string, score double")
     def closest(bodies: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([profiles.closest(t or "") for t in bodies], columns=["lang", "score"])
@@ -146,7 +157,44 @@ def identify(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str
     return found.select("doc_id", "held_out", F.col("_l.lang").alias("lang_pred"), F.col("_l.score").alias("score"))
 
 
+def least_scores(profiles: Profiles) -> dict[str, float]:
+    """The least score of each language, from the scores of all rows that the profiles were learnt from.
+
+    Rows count for the language they are closest to, if that is their label. Counts per language and thousandth of a score reach the driver.
+    Without rows that are long enough nothing is known, and the least scores are 0.
+    """
+    if profiles.labelled is None or not profiles.languages:
+        return dict.fromkeys(profiles.languages, 0.0)
+    docs, text, lang = profiles.labelled
+    bare = replace(profiles, labelled=None)
+
+    @F.pandas_udf("lang string, bin int, grams int")
+    def compared(bodies: pd.Series) -> pd.DataFrame:
+        found = [bare.compared(t or "") for t in bodies]
+        return pd.DataFrame([(name, int(score * BINS), grams) for name, score, grams in found], columns=["lang", "bin", "grams"])
+
+    scored = docs.select(column(lang).alias("lang"), compared.asNondeterministic()(text_of(text)).alias("_c"))
+    rows = scored.where((F.col("_c.lang") == F.col("lang")) & (F.col("_c.grams") >= LEAST_GRAMS)).groupBy("lang", F.col("_c.bin").alias("bin")).count().collect()
+    counts = {name: np.zeros(BINS + 1, np.int64) for name in profiles.languages}
+    for r in rows:
+        counts[r["lang"]][r["bin"]] += r["count"]
+
+    def least(seen: np.ndarray) -> float:
+        return LEAST_SHARE * int(np.searchsorted(np.cumsum(seen), LEAST_PART * seen.sum(), "right")) / BINS if seen.any() else 0.0
+
+    together = least(sum(counts.values()))
+    return {name: least(seen) if seen.sum() >= LEAST_ROWS else together for name, seen in counts.items()}
+
+
 def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text", least: float = 0.05) -> DataFrame:
-    """``docs`` without rows whose language is undetermined or that share next to nothing with any profile."""
-    scored = docs.withColumn("_language", language(profiles, text_of(text)))
-    return scored.where((F.col("_language.lang") != UNKNOWN) & (F.col("_language.score") >= least)).drop("_language")
+    """``docs`` without rows whose language is undetermined, that share next to nothing with any profile (``least``), or that are further from
+    the closest language than its own texts are (``least_scores``), as random letters and unknown languages are."""
+    bounds = least_scores(profiles)
+    bare = replace(profiles, labelled=None)
+
+    @F.pandas_udf("boolean")
+    def told(bodies: pd.Series) -> pd.Series:
+        found = [bare.compared(t or "") for t in bodies]
+        return pd.Series([n != UNKNOWN and score >= max(least, bounds[n] if grams >= LEAST_GRAMS else 0) for n, score, grams in found], dtype=bool)
+
+    return docs.where(told.asNondeterministic()(text_of(text)))

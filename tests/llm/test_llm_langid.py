@@ -1,7 +1,7 @@
 from corpus_fixtures import SMALL, made, prepared  # noqa: F401
 from pyspark.sql import functions as F
 
-from quadrille.llm.langid import identify, keep_identified, learn, ngrams, ranked
+from quadrille.llm.langid import identify, keep_identified, learn, least_scores, ngrams, ranked
 from quadrille.llm.queries import QUERIES
 
 
@@ -40,3 +40,25 @@ def test_only_text_decides_and_odd_rows_have_a_result(spark, made):
     assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 6]
     assert identify(odd.limit(0), profiles).count() == 0
     assert {r.lang_pred for r in identify(odd, learn(odd.limit(0))).collect()} == {"und"}
+
+
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto."
+
+
+def test_gibberish_and_unlearnt_languages_go_and_short_texts_stay(spark):
+    import base64
+    import random
+
+    rng = random.Random(1)
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    junk = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (10, 30, 200)]
+    junk += [base64.b64encode(rng.randbytes(2250)).decode(), FINNISH]
+    short = [" ".join(r.text.split()[:n]) for r in given.orderBy("doc_id").limit(20).collect() for n in (1, 2, 5, 10)]
+    profiles = learn(given)
+    assert all(0.3 < score < 0.6 for score in least_scores(profiles).values())
+    planted = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(junk)] + [(10**6 + k, t, "en") for k, t in enumerate(short)], given.schema)
+    assert keep_identified(given, profiles).count() == given.count()
+    assert {r.doc_id for r in keep_identified(planted, profiles).collect()} == {10**6 + k for k in range(len(short))}
+    both = given.union(planted)  # also where they are among the rows that are learnt from, with a wrong label
+    kept = keep_identified(both, learn(both.withColumn("lang", F.coalesce("lang", F.lit("en")))))
+    assert kept.where("doc_id < 0").count() == 0 and kept.count() == given.count() + len(short)
