@@ -5,90 +5,126 @@ expectation-maximisation estimates for both classes how often each labeller vote
 posterior of a pattern is the label of its documents. On these labels a linear scorer over hashed word forms is trained,
 which also scores documents where the labellers are silent.
 
-Patterns are counted over all documents; with eight labellers there are at most 6,561. The scorer is fitted on a sample of
-``SAMPLE`` documents, chosen by a hash of their ids.
+Texts are read once: that pass writes the votes and the hashed counts of every document, from which the sample is taken and all documents
+are scored. Patterns are counted over all documents; with eight labellers there are at most 6,561. The scorer is fitted on a sample of
+``SAMPLE`` documents with ``SAMPLE_PLACES`` counts at most, chosen by a hash.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass
-from itertools import islice
-from operator import eq
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_measured
-from .common import column, id_and_bytes, texts
+from .common import id_and_bytes, mixed, texts
 
-SAMPLE = 8_000
+#: Documents of the sample, and counts of all of them together (12 bytes each), at most.
+SAMPLE, SAMPLE_PLACES = 8_000, 8_000_000
 BUCKETS = 1 << 16
 ROUNDS, STEPS = 100, 300
-#: Word forms a worker remembers before it starts anew.
-FORMS = 300_000
+#: Word forms remembered before a worker starts anew, and words that are looked up at a time.
+FORMS, AT_A_TIME = 300_000, 1 << 16
 PATTERNS = 3**8
 #: Votes (bad, good) that each class is taken to have cast before: on a good text, hardly any is bad.
 PRIOR = np.array([[1.0, 1.0], [0.05, 1.0]])
 
-_CLASSES = [(re.compile(p), r) for p, r in ((r"[^\W\d_]+", "a"), (r"\d+", "0"))]
 _USUAL = frozenset(".,;:!?'\"()-’“”«»…")
+_ALPHA, _UPPER, _ALNUM, _DECIMAL, _MARK, _KNOWN = 1, 2, 4, 8, 16, 128
+#: What is known of each character; those not met yet are zero.
+_KINDS = np.zeros(0x110000, np.uint8)
 
 
-def _form(word: bytes) -> tuple:
-    """Letters, capitals, unusual marks, characters, whether it has no letter or digit, whether it ends a sentence, two buckets."""
-    text = word.decode("utf-8", "replace")
-    letters, upper = sum(map(str.isalpha, text)), sum(map(str.isupper, text))
-    marks = sum(not c.isalnum() and c not in _USUAL for c in text)
-    bare = not any(map(str.isalnum, text))
-    shape = ("A" if upper > 1 and upper == letters else "") + text
-    for pattern, short in _CLASSES:
-        shape = pattern.sub(short, shape)
-    case = "U" if upper and upper == letters and letters > 1 else "C" if upper else "l"
-    one = xxhash.xxh3_64_intdigest(f"{case}{shape[-12:]}".encode()) % BUCKETS
-    two = xxhash.xxh3_64_intdigest(b"=" + word[-4:]) % BUCKETS
-    return letters, upper, marks, len(text), bare, text[-1] in ".!?" and not bare, one, two
+def _kinds(codes: np.ndarray) -> np.ndarray:
+    """Flags of characters by code point; each different character is asked once per worker."""
+    kinds = _KINDS[codes]
+    if not kinds.all():
+        for code in np.unique(codes[kinds == 0]).tolist():
+            c = chr(code)
+            flags = _KNOWN | _ALPHA * c.isalpha() | _UPPER * c.isupper() | _ALNUM * c.isalnum() | _DECIMAL * c.isdecimal()
+            _KINDS[code] = flags | _MARK * (not c.isalnum() and c not in _USUAL and c != "\n")
+        kinds = _KINDS[codes]
+    return kinds
+
+
+def _forms(words: list[bytes]) -> np.ndarray:
+    """A row per word: letters, capitals, unusual marks, characters, whether it has no letter or digit, whether it ends a sentence, two buckets.
+
+    The first bucket is of the case and the last twelve signs of the shape, in which runs of letters and of digits are one sign each; the
+    second is of the last four bytes. All words are described together, by tables of characters and sums over ranges.
+    """
+    joined = b"\n".join(words) + b"\n"
+    codes = np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    kinds = _kinds(codes)
+    ends = np.flatnonzero(codes == 10)
+    starts = np.append(0, ends[:-1] + 1)
+
+    def count(flag: int) -> np.ndarray:
+        return np.add.reduceat(kinds & flag != 0, starts, dtype=np.int64)
+
+    letters, upper, marks, bare = count(_ALPHA), count(_UPPER), count(_MARK), count(_ALNUM) == 0
+    sentence = np.isin(codes[ends - 1], [ord(c) for c in ".!?"]) & ~bare
+    digit, letter = kinds & _DECIMAL != 0, (kinds & _ALNUM != 0) & (kinds & _DECIMAL == 0)
+    again = np.zeros(len(codes), bool)
+    again[1:] = (letter[1:] & letter[:-1]) | (digit[1:] & digit[:-1])
+    shown = ~again & (codes != 10)
+    sizes = np.add.reduceat(shown, starts, dtype=np.int64)
+    signs = np.where(letter, ord("a"), np.where(digit, ord("0"), codes))[shown].astype(np.uint64)
+    upto = np.cumsum(sizes)
+    behind = np.repeat(upto, sizes) - np.arange(len(signs)) - 1
+    shape = np.add.reduceat(np.where(behind < 12, mixed(signs + (behind.astype(np.uint64) << np.uint64(32))), np.uint64(0)), upto - sizes)
+    case = np.where((upper > 0) & (upper == letters) & (letters > 1), 2, np.where(upper > 0, 1, 0)).astype(np.uint64)
+    raw = np.frombuffer(joined, np.uint8)
+    last = np.flatnonzero(raw == 10)
+    first = np.append(0, last[:-1] + 1)
+    tail = np.zeros(len(words), np.uint64)
+    for back in range(1, 5):
+        at = last - back
+        tail = (tail << np.uint64(8)) | np.where(at >= first, raw[np.maximum(at, 0)], 0).astype(np.uint64)
+    one, two = (mixed(v) % np.uint64(BUCKETS) for v in (shape + case, tail + np.uint64(1 << 40)))
+    return np.column_stack([letters, upper, marks, ends - starts, bare, sentence, one.astype(np.int64), two.astype(np.int64)]).astype(np.int32)
 
 
 class _Forms(dict):
-    """Numbers of word forms, and a matrix of what is known of each."""
+    """Numbers of word forms, and a matrix of what is known of each. New words are gathered and described together."""
 
     def __init__(self):
         super().__init__()
-        self.table = np.zeros((FORMS, 8), np.int32)
+        self.table, self.fresh = np.zeros((0, 8), np.int32), []
 
     def __missing__(self, word: bytes) -> int:
-        number = len(self)
-        if number >= FORMS:
-            raise OverflowError
-        self.table[number] = _form(word)
-        self[word] = number
+        self[word] = number = len(self)
+        self.fresh.append(word)
         return number
 
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
-        """A row of the matrix per distinct form, how often each occurs, and how many words repeat the one before.
-
-        Texts that may have more forms than fit are counted first, and their distinct words looked up in parts.
-        """
-        if len(words) > FORMS // 2:
-            counted = Counter(words)
-            distinct = list(counted)
-            rows = [self.table[self._numbers(distinct[i:i + FORMS // 2])] for i in range(0, len(distinct), FORMS // 2)]
-            return np.concatenate(rows), np.fromiter(counted.values(), np.int64, len(distinct)), sum(map(eq, words, islice(words, 1, None)))
-        numbers = self._numbers(words)
-        found, counts = np.unique(numbers, return_counts=True)
-        return self.table[found], counts, int((numbers[1:] == numbers[:-1]).sum())
+        """A row of the matrix per distinct form, how often each occurs, and how many words repeat the one before."""
+        return self.look_up_all([words])[0]
 
-    def _numbers(self, words: list[bytes]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        except OverflowError:
+    def look_up_all(self, bodies: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """As :meth:`look_up` for several texts. More than ``FORMS`` are only held while the texts need them."""
+        if len(self) > FORMS:
             self.clear()
-            return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            self.table = np.zeros((0, 8), np.int32)
+        numbers = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in bodies]
+        if self.fresh:
+            known = len(self) - len(self.fresh)
+            if len(self) > len(self.table):
+                grown = np.zeros((max(len(self), 2 * len(self.table)), 8), np.int32)
+                grown[:known] = self.table[:known]
+                self.table = grown
+            for start in range(0, len(self.fresh), AT_A_TIME):
+                some = self.fresh[start:start + AT_A_TIME]
+                self.table[known + start:known + start + len(some)] = _forms(some)
+            self.fresh = []
+        return [self._summed(n) for n in numbers]
+
+    def _summed(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        found, counts = np.unique(numbers, return_counts=True)
+        return self.table[found], counts, int((numbers[1:] == numbers[:-1]).sum())
 
 
 def _between(value: float, bad_below: float, good_from: float, good_to: float, bad_above: float) -> int:
@@ -146,83 +182,127 @@ def estimate(patterns: dict[str, int], rounds: int = ROUNDS) -> WeakLabels:
 
 
 def features(forms: np.ndarray, counts: np.ndarray, same: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values of a document: how often each occurs, damped and of length one."""
+    """Buckets of a document and how often each occurs; the last two are tenths of different words and of words said twice running."""
     words = counts.sum()
-    # Tenths of different words, and of words said twice running.
     repeats = np.array([BUCKETS + min(9, 10 * len(counts) // max(words, 1)), BUCKETS + 10 + min(9, 10 * same // max(words, 1))])
     found, at = np.unique(np.concatenate([forms[:, 6], forms[:, 7]]), return_inverse=True)
-    values = np.sqrt(np.bincount(at, np.concatenate([counts, counts])))
-    values /= np.sqrt((values**2).sum()) or 1
-    return np.concatenate([found, repeats]).astype(np.int32), np.append(values, [1.0, 1.0])
+    amounts = np.bincount(at, np.concatenate([counts, counts])).astype(np.int64)
+    return np.concatenate([found, repeats]).astype(np.int32), np.append(amounts, [1, 1])
+
 
+def damped(places: np.ndarray, amounts: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Values of the buckets of documents: roots of counts, of length one per document; tenths have the value one."""
+    word = places < BUCKETS
+    length = np.sqrt(np.bincount(row, np.where(word, amounts, 0), rows))
+    return np.where(word, np.sqrt(amounts) / np.maximum(length, 1e-9)[row], 1.0)
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, penalty: float = 1e-4) -> np.ndarray:
-    """Weights (the last one is the constant) of a logistic scorer for labels between 0 and 1, by adaptive gradient steps."""
-    weights = np.zeros(BUCKETS + 21)
+
+def fit(sizes: np.ndarray, places: np.ndarray, amounts: np.ndarray, labels: np.ndarray, steps: int = STEPS, penalty: float = 1e-4) -> np.ndarray:
+    """Weights (the last one is the constant) of a logistic scorer for labels between 0 and 1, by adaptive gradient steps.
+
+    Documents have ``sizes`` buckets each, which follow each other in ``places`` and ``amounts``.
+    """
+    weights, rows = np.zeros(BUCKETS + 21), len(sizes)
     if not rows:
         return weights
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) + 1 for r in rows])
-    place = np.concatenate([np.append(r[0], BUCKETS + 20) for r in rows])
-    value = np.concatenate([np.append(r[1], 1.0) for r in rows])
+    row = np.repeat(np.arange(rows), sizes)
+    value = damped(places, amounts, row, rows)
     rate = np.full(len(weights), 1e-8)
     for _ in range(steps):
-        score = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights[place] * value, len(rows)), -30, 30)))
-        slope = np.bincount(place, (score - labels)[row] * value, len(weights)) / len(rows) + penalty * weights
+        score = _logistic(np.bincount(row, weights[places] * value, rows) + weights[-1])
+        apart = score - labels
+        slope = np.bincount(places, apart[row] * value, len(weights)) / rows + penalty * weights
+        slope[-1] += apart.mean()
         rate += slope**2
         weights -= 0.5 * slope / np.sqrt(rate)
     return weights
 
 
-def _mapped(docs: DataFrame, id: str, text: str, fields: list[tuple[str, T.DataType]], row) -> DataFrame:
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _described(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """``(doc_id, votes, places, amounts)`` per row: the only pass over the texts. Texts without words have neither votes nor counts."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id].dataType), *[T.StructField(n, t) for n, t in fields]])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id].dataType), T.StructField("votes", T.StringType()),
+                           T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("amounts", T.ArrayType(T.LongType()))])
     arrow = to_arrow_schema(schema)
 
+    def groups(bodies):
+        """Words of texts, of about ``AT_A_TIME`` words or of one longer text."""
+        held, size = [], 0
+        for body in bodies:
+            words = body.split()
+            if held and size + len(words) > AT_A_TIME:
+                yield held
+                held, size = [], 0
+            held.append(words)
+            size += len(words)
+        yield held
+
     def run(batches):
         forms = _Forms()
         for ids, bodies in texts(batches):
-            made = []
-            for body in bodies:
-                words = body.split()
-                made.append(row(*forms.look_up(words)) if words else row(None, None, 0))
-            columns = [ids, *zip(*made)] if made else [[] for _ in arrow]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            said, places, amounts = [], [], []
+            for group in groups(bodies):
+                for words, found in zip(group, forms.look_up_all(group)):
+                    said.append(votes(*found) if words else SILENT)
+                    place, amount = features(*found) if words else (np.empty(0, np.int32), np.empty(0, np.int64))
+                    places.append(place)
+                    amounts.append(amount)
+            offsets = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, kind), *found]))) for found, kind in ((places, np.int32), (amounts, np.int64))]
+            columns = [pa.array(ids, arrow.field(0).type), pa.array(said, pa.string()), *[c.cast(f.type) for c, f in zip(lists, list(arrow)[2:])]]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return id_and_bytes(docs, id, text).mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
+SILENT = "2" * 8
+
+
+def _sampled(described: DataFrame, sample: int, most: int) -> list:
+    """At most ``sample`` rows with votes, by the order of a hash, and as many of them as have ``most`` counts together."""
+    rows = described.where(F.col("votes") != SILENT).withColumn("order", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "votes", "places"))
+    sizes = [(r["order"], r["n"]) for r in rows.select("order", F.size("places").alias("n")).orderBy("order", "n").limit(sample).collect()]
+    fits = int((np.cumsum([n for _, n in sizes]) <= most).sum()) if sizes else 0
+    if not fits:
+        return []
+    return rows.where(F.col("order") <= sizes[fits - 1][0]).orderBy("order", F.size("places")).limit(fits).collect()
+
+
+def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = SAMPLE_PLACES) -> DataFrame:
     """``(doc_id, votes, weak_label, score, good)`` per row of ``docs``.
 
     ``weak_label`` is the posterior of being good, ``score`` that of the linear scorer, ``good`` whether it is 0.5 or more.
     Null texts and texts without words have no votes, label and score 0 and are not good; they are not learnt from.
-    Repeated rows and null ids are rows like others. An empty table gives an empty result. About ``sample`` documents (all, if there
-    are fewer) bring their features to the driver.
+    Repeated rows and null ids are rows like others. An empty table gives an empty result. At most ``sample`` documents with ``most`` counts
+    of buckets together bring them to the driver.
     """
-    none = "2" * 8
-    cast = _mapped(docs, id, text, [("votes", T.StringType())], lambda f, c, s: (none if f is None else votes(f, c, s),))
-    cast, seen = cut_measured(cast, "votes", rows=F.count(F.lit(1)))
-    patterns = {r["votes"]: r["n"] for r in cast.where(F.col("votes") != none).groupBy("votes").agg(F.count(F.lit(1)).alias("n")).limit(PATTERNS).collect()}
-    labels = estimate(patterns)
-    share = min(1.0, sample / max(seen["rows"], 1))
-    chosen = docs.where(F.pmod(F.xxhash64(F.coalesce(column(id).cast("string"), F.lit(""))), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-    def described(f, c, s):
-        return (none, [], []) if f is None else (votes(f, c, s), *features(f, c, s))
+    import pyarrow as pa
 
-    fields = [("votes", T.StringType()), ("places", T.ArrayType(T.IntegerType())), ("amounts", T.ArrayType(T.DoubleType()))]
-    rows = [r for r in _mapped(chosen, id, text, fields, described).collect() if r["votes"] in labels.posterior]
-    weights = fit([(np.array(r["places"]), np.array(r["amounts"])) for r in rows], np.array([labels.posterior[r["votes"]] for r in rows]))
+    described, _ = cut_measured(_described(docs, id, text), "described")
+    patterns = {r["votes"]: r["n"] for r in described.where(F.col("votes") != SILENT).groupBy("votes").agg(F.count(F.lit(1)).alias("n")).limit(PATTERNS).collect()}
+    labels = estimate(patterns)
+    rows = _sampled(described, sample, most)
+    flat = [np.concatenate([np.array(r[c]) for r in rows]) if rows else np.empty(0) for c in ("places", "amounts")]
+    weights = fit(np.array([len(r["places"]) for r in rows], int), *flat, np.array([labels.posterior[r["votes"]] for r in rows]))
     posterior = labels.posterior
 
-    def scored(f, c, s):
-        if f is None:
-            return none, 0.0, 0.0
-        place, value = features(f, c, s)
-        given = votes(f, c, s)
-        return given, posterior.get(given, labels.good), float(1 / (1 + np.exp(-np.clip(weights[place] @ value + weights[-1], -30, 30))))
-
-    fields = [("votes", T.StringType()), ("weak_label", T.DoubleType()), ("score", T.DoubleType())]
-    return _mapped(docs, id, text, fields, scored).withColumn("good", F.col("score") >= 0.5)
+    def scored(batches):
+        for batch in batches:
+            offsets, given = batch.column("places").offsets.to_numpy(), batch.column("votes").to_pylist()
+            place, amount = (batch.column(c).flatten().to_numpy() for c in ("places", "amounts"))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            score = _logistic(np.bincount(row, weights[place] * damped(place, amount, row, batch.num_rows), batch.num_rows) + weights[-1])
+            score = np.where(np.diff(offsets) > 0, score, 0.0)
+            label = [posterior.get(v, labels.good) if n else 0.0 for v, n in zip(given, np.diff(offsets).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("votes"), pa.array(label, pa.float64()), pa.array(score)], ["doc_id", "votes", "weak_label", "score"])
+
+    kind = described.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("votes", T.StringType()), T.StructField("weak_label", T.DoubleType()), T.StructField("score", T.DoubleType())])
+    return described.mapInArrow(scored, schema).withColumn("good", F.col("score") >= 0.5)
