@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from .common import column, with_results
 from .wrappers import dumps, extract, loads, merge, read, wrapper
 
-#: Hosts whose wrappers a task holds before it hands them on.
-HOSTS = 2_000
+#: Hosts whose wrappers a task holds before it hands them on, and shares into which the wrappers of a host are dealt before they are merged as one.
+HOSTS, SHARES = 2_000, 32
 
 
 def host_of(url: Column) -> Column:
@@ -21,8 +21,8 @@ def host_of(url: Column) -> Column:
 def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(host, wrapper)``: one wrapper per host from all its pages, as JSON.
 
-    Each task aligns the pages it reads, so of a host that holds most pages every task sends on one wrapper, and one more
-    step aligns these.
+    Each task aligns the pages it reads, so of a host that holds most pages every task sends on one wrapper. These are aligned in two steps: in
+    ``SHARES`` shares of a host each, and then the results of the shares.
     """
     import pyarrow as pa
 
@@ -61,7 +61,9 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
     schema = "host string, wrapper string"
     known = pages.where(column(html).isNotNull()).select(host_of(column(url)).alias("host"), column(html).cast("binary").alias("html"))
-    return known.mapInArrow(learn, schema).repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(align, schema)
+    share = F.pmod(F.xxhash64("wrapper"), F.lit(SHARES))
+    some = known.mapInArrow(learn, schema).repartition(F.col("host"), share).sortWithinPartitions("host", "wrapper").mapInArrow(align, schema)
+    return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(align, schema)
 
 
 def main_texts(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

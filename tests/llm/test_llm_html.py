@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 from corpus_fixtures import SMALL, prepared  # noqa: F401
@@ -6,7 +7,7 @@ import pytest
 
 from quadrille.llm.html_text import main_texts
 from quadrille.llm.queries import QUERIES
-from quadrille.llm.wrappers import KIDS, LABEL, OPTIONAL, REPEATED, TEXT, extract, merge, read, wrapper
+from quadrille.llm.wrappers import KIDS, LABEL, OPTIONAL, REPEATED, TEXT, aligned, dumps, extract, loads, merge, read, wrapper
 
 
 def learnt(*pages):
@@ -112,3 +113,77 @@ def test_given_pages(spark):
         body = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S).group(1)
         want = " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)>", " ", body))).split())
         assert (r.text, r.n_chars) == (want, len(want))
+
+
+def test_deep_pages(spark):
+    for tag in ("div", "blockquote", "ul><li", "center", "article"):
+        page = f"<{tag}>" * 100_000 + "deep" if tag == "div" else f"<{tag}>" * 3000 + "deep"
+        found = learnt(page, page.replace("deep", "other"), page)
+        assert extract(read(page), loads(dumps(found))) == "deep"
+    page = "<div>" * 1000 + "text" + "</div>" * 1000 + "</p>" * 1000
+    pages = spark.createDataFrame([(k, "http://a.example/", page.replace("text", f"text{k}")) for k in range(4)], "page_id long, url string, html string")
+    assert sorted(r.text for r in main_texts(pages).collect()) == ["text0", "text1", "text2", "text3"]
+
+
+def test_many_siblings():
+    one = "".join(f"<x-{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{chr(97 + k // 17576)}>{k}</x>" for k in range(50_000))
+    two = "<b-x>first</b-x>" + one.replace("<x-a", "<y-a")
+    found = learnt(one, two)
+    assert extract(read(one), found).split() == [str(k) for k in range(50_000)]
+
+
+def lengths(a, b):
+    """Lengths of longest common subsequences of all rests, by the table of them."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    return best
+
+
+def test_alignment_is_a_longest_one():
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = ([rng.choice("abcde"[:rng.randint(1, 5)]) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        pairs = aligned([[x, False, False, [], None, 1] for x in a], [[x, False, False, [], None, 1] for x in b])
+        assert [i for i, _ in pairs if i is not None] == list(range(len(a))) and [j for _, j in pairs if j is not None] == list(range(len(b)))
+        met = [(i, j) for i, j in pairs if i is not None and j is not None]
+        assert all(a[i] == b[j] for i, j in met) and len(met) == lengths(a, b)[0][0]
+
+
+@pytest.mark.parametrize("mark", ["share-price", "related-work", "comments-on-method", "social-history", "ad-hoc", "notice-of-intent", "banner-years", "story-login"])
+def test_compound_names_have_a_sense_of_their_own(mark):
+    for page in (f"<article><p>a</p><div class='{mark}'>b</div></article>", f"<article><p>a</p><div id='{mark}'>b</div></article>", f"<p>a</p><div class='{mark}'>b</div>"):
+        assert extract(read(page), learnt(page)) == "a b"
+
+
+@pytest.mark.parametrize("mark", ["advert", "cookie-notice", "site-footer", "main-nav", "has-sidebar left-sidebar", "share-buttons", "comments_list", "related"])
+def test_names_of_what_is_no_article(mark):
+    page = f"<p>a</p><div class='{mark}'>b</div>"
+    assert extract(read(page), learnt(page)) == "a"
+
+
+def test_formulas_stay_and_the_greater_part_wins():
+    page = "<article><p>x is <math><mi>x</mi><mo>=</mo><mn>1</mn></math></article>"
+    assert extract(read(page), learnt(page)) == "x is x = 1"
+    page = "<article class='teaser'><p>Read on</article><main><p>a long main text that is no teaser</main>"
+    assert extract(read(page), learnt(page)) == "a long main text that is no teaser"
+    page = "<main><article><p>a long article with many words</article><p>next</main>"
+    assert extract(read(page), learnt(page)) == "a long article with many words"
+
+
+def test_equal_texts_of_an_article_stay():
+    pages = [f"<article><h1>Daily weather</h1><p>No rain is expected.</p><div>a{k}</div></article>" for k in range(4)]
+    assert [extract(read(p), learnt(*pages)) for p in pages] == [f"Daily weather No rain is expected. a{k}" for k in range(4)]
+
+
+def test_the_wrapper_changes_the_result_of_pages_without_an_article(spark):
+    def page(k):
+        return (f"<div class='a1'>Shop of Wörth</div><div class='x'><h2>Item {k}</h2>" + "".join(f"<p>text {k} {j}" for j in range(1 + k % 3))
+                + ("<section>only some have it</section>" if k % 4 == 0 else "") + "</div><div class='z'>Call us at any time</div>")
+
+    pages = spark.createDataFrame([(k, f"https://s.example/{k}", page(k)) for k in range(40)], "page_id long, url string, html string").repartition(7)
+    found = {r.page_id: r.text for r in main_texts(pages).collect()}
+    for k in range(40):
+        assert found[k] == " ".join([f"Item {k}", *[f"text {k} {j}" for j in range(1 + k % 3)], *["only some have it"] * (k % 4 == 0)])
+        assert extract(read(page(k)), wrapper(["", []])) == f"Shop of Wörth {found[k]} Call us at any time"
