@@ -9,6 +9,7 @@ Letters are compared in lower case; everything else separates words, and the end
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -21,7 +22,7 @@ from .common import column, id_and_bytes, text_of, texts
 TOP = 400
 GRAMS = 3
 UNKNOWN = "und"
-# Characters counted at a time, and n-grams a worker holds per language before it adds them up.
+# Characters counted at a time, as far as words end there, and n-grams a worker holds per language before it adds them up.
 SPAN, HELD = 1_000_000, 250_000
 SALTS = 32
 #: The least score of a language is LEAST_SHARE of the score that all but LEAST_PART of its labelled texts reach; with fewer than LEAST_ROWS
@@ -29,6 +30,7 @@ SALTS = 32
 LEAST_SHARE, LEAST_PART, LEAST_ROWS, LEAST_GRAMS = 2 / 3, 0.1, 100, 40
 BINS = 1000
 _LETTER: list[np.ndarray] = []
+_BREAK = re.compile(r"[\s0-9]")
 
 
 def _is_letter() -> np.ndarray:
@@ -44,12 +46,27 @@ def _added_up(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return grams[first], np.add.reduceat(counts, first)
 
 
+def _spans(text: str) -> list[str]:
+    """The text in parts of ``SPAN`` characters and more, each up to a space or digit, which is in no word and in no context of one."""
+    parts, start = [], 0
+    while len(text) - start > SPAN:
+        end = _BREAK.search(text, start + SPAN)
+        if end is None:
+            break
+        parts.append(text[start:end.end()])
+        start = end.end()
+    return [*parts, text[start:]]
+
+
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-grams of 1 to ``GRAMS`` characters, 21 bits a character with 0 for the end of a word, and their counts."""
     if len(text) > SPAN:
-        parts = [ngrams(text[i:i + SPAN]) for i in range(0, len(text), SPAN)]
-        parts = [p for p in parts if len(p[0])]
-        return _added_up(*map(np.concatenate, zip(*parts))) if parts else ngrams("")
+        parts = [p for p in map(_counted, _spans(text)) if len(p[0])]
+        return _added_up(*map(np.concatenate, zip(*parts))) if parts else _counted("")
+    return _counted(text)
+
+
+def _counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where(_is_letter()[codes], codes, 0).astype(np.int64)
     codes = np.concatenate([[0], codes, [0]])
@@ -88,7 +105,8 @@ class Profiles:
         at = np.searchsorted(self.grams, own)
         at[at == len(self.grams)] = 0
         known = self.grams[at] == own
-        apart = np.minimum(np.abs(self.ranks[:, at[known]] - np.flatnonzero(known)), self.top).sum(axis=1)
+        ranks = self.ranks[:, at[known]]  # a language that lacks an n-gram of another one is as far off as one can be
+        apart = np.where(ranks == self.top, self.top, np.abs(ranks - np.flatnonzero(known))).sum(axis=1)
         distance = (apart + self.top * int((~known).sum())) / (self.top * len(own))
         best = int(np.argmin(distance))
         return self.languages[best], float(1 - distance[best]), len(own)

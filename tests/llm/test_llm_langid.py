@@ -62,3 +62,52 @@ def test_gibberish_and_unlearnt_languages_go_and_short_texts_stay(spark):
     both = given.union(planted)  # also where they are among the rows that are learnt from, with a wrong label
     kept = keep_identified(both, learn(both.withColumn("lang", F.coalesce("lang", F.lit("en")))))
     assert kept.where("doc_id < 0").count() == 0 and kept.count() == given.count() + len(short)
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    from quadrille.llm import langid
+
+    texts = ["Die längsten Wörter, the theatre's 12 words ΟΔΟΣ'Α ΟΔΟΣ " * 3, "x" * 50, "ab " * 30 + "abcdefghijklmnopqrstuvwxyz" * 2, "12345 67890 " * 9, "", "a-b-c-d-" * 20]
+    monkeypatch.setattr(langid, "SPAN", 10**9)
+    whole = [ngrams(t) for t in texts]
+    for span in (1, 10, 37):
+        monkeypatch.setattr(langid, "SPAN", span)
+        for (g, n), (h, m) in zip(whole, map(ngrams, texts)):
+            assert g.tolist() == h.tolist() and n.tolist() == m.tolist()
+
+
+def test_the_query_against_brute_force(spark):
+    """Profiles, ranks, distances and held-out rows, by dictionaries."""
+    import zlib
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+
+    def coded(gram):  # the order of equal counts: by code points, shorter n-grams among longer ones as the numbers of the n-grams are
+        a = [0 if c == "_" else ord(c) for c in gram]
+        return a[0] if len(a) == 1 else a[0] << 21 | a[1] | 1 << 20 if len(a) == 2 else a[0] << 42 | a[1] << 21 | a[2]
+
+    def top(counts):
+        return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], coded(x[0])))[:400]]
+
+    learnt = {}
+    for r in docs:
+        if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            for g, n in brute(r.text).items():
+                learnt.setdefault(r.lang, {}).setdefault(g, 0)
+                learnt[r.lang][g] += n
+    ranks = {name: {g: k for k, g in enumerate(top(counts))} for name, counts in learnt.items()}
+    want = {}
+    for r in docs:
+        own = top(brute(r.text or ""))
+        held = zlib.crc32(str(r.doc_id).encode()) % 4 == 2
+        if not own:
+            want[r.doc_id] = (held, "und", 0.0)
+            continue
+        apart = {name: sum(min(abs(rank[g] - k), 400) if g in rank else 400 for k, g in enumerate(own)) for name, rank in ranks.items()}
+        best = min(sorted(apart), key=apart.get)
+        want[r.doc_id] = (held, best, 1 - apart[best] / (400 * len(own)))
+    found = QUERIES["op2_language_id"](spark, SMALL).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        held, name, score = want[r.doc_id]
+        assert (r.held_out, r.lang_pred) == (held, name) and abs(r.score - score) < 1e-12
