@@ -40,13 +40,19 @@ def column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that are not in ``df``, whatever the case of its names."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * i for i in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def text_of(name: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(column(name), F.lit(""))
 
 
 def n_words(name: str) -> Column:
-    return F.regexp_count(text_of(name), F.lit(WORD.replace("\\", "\\"))).cast("long")
+    return F.regexp_count(text_of(name), F.lit(WORD)).cast("long")
 
 
 def with_results(docs: DataFrame, results: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, cut_measured
-from .common import column, text_of, with_results
+from .common import column, fresh, text_of, with_results
 
 BLOCK = 16_384
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -111,9 +111,9 @@ def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
     Rows that agree in id and text are one document, whose other columns are taken from any one of them.
     """
-    found = exact_groups(docs, id, text).where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.lit(0).alias("_"))
+    (doc,) = fresh(docs, "_doc")
+    found = exact_groups(docs, id, text).where("kept").groupBy(F.col("doc_id").alias("i"), F.col("text_sha256").alias("s")).agg(F.lit(0).alias("_"))
     key = F.struct(column(id).alias("i"), F.sha2(normalised(text), 256).alias("s"))
-    kept = found.select(F.struct(F.col("_id").alias("i"), F.col("_sha").alias("s")).alias("_doc"))
-    once = with_results(docs.withColumn("_doc", key), kept, ["_doc"], "left_semi")
+    once = with_results(docs.withColumn(doc, key), found.select(F.struct("i", "s").alias(doc)), [doc], "left_semi")
     repeated = not docs.groupBy(column(id)).count().where("count > 1").isEmpty()
-    return (once.dropDuplicates(["_doc"]) if repeated else once).drop("_doc")
+    return (once.dropDuplicates([doc]) if repeated else once).drop(doc)

@@ -48,3 +48,9 @@ def test_dropping_copies_keeps_columns_and_one_row_each(made):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, (r.text or "")[:5].lower()) for r in kept.collect()) == [(0, "three"), (2, "one"), (3, "two"), (6, "xxxxx")]
     assert drop_copies(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_survive_the_dropping_of_copies(spark):
+    docs = spark.createDataFrame([(1, "A", 5, 6, 7), (2, "a", 6, 7, 8), (3, "b", 7, 8, 9), (3, "b", 7, 8, 9)], "doc_id long, text string, _doc long, _ID long, i long")
+    kept = drop_copies(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [(2, "a", 6, 7, 8), (3, "b", 7, 8, 9)]

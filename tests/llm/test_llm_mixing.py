@@ -53,3 +53,42 @@ def test_documents_are_repeated_as_planned(made):
     assert taken.columns == docs.columns and sorted(r.doc_id for r in taken.collect()) == [1, 1, 2]
     every = docs.select("doc_id", F.lit(1).alias("copies"))
     assert take(docs, every).count() == 4 and take(docs.limit(0), every).count() == 0
+
+
+def test_ranges_stay_even_for_any_weights(spark, monkeypatch):
+    from quadrille.llm import mixing
+
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    written, before = {}, mixing.cut
+    monkeypatch.setattr(mixing, "cut", lambda df, name="cut": written.setdefault(name, before(df, name)))
+    for weight in (0.05, 1.0, 30.0):
+        written.clear()
+        quality = docs.select("doc_id", F.lit(weight).alias("weight"))
+        assert mix(docs, quality=quality, rows=5000).count() == 100_000
+        assert written["ranges"].groupBy("_range").count().agg(F.max("count")).first()[0] <= 15_000
+    written.clear()
+    same = spark.range(30_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    mix(same, rows=1000).count()  # a third of all rows may be one row
+    assert written["ranges"].groupBy("_range").count().agg(F.max("count")).first()[0] <= 3000
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(7, "one", "s"), (7, "one two three four five six seven eight nine", "s"), (None, "a b", "s"), (None, "a b c", "s"), (8, "x y z", "t"), (8, "x y z", "t"), (8, "x y z", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    seen = set()
+    for parts in (1, 2, 5):
+        for share in (0.5, 1.0, 1.5):
+            again = docs.repartition(parts)
+            plan = mix(again, share=share).cache()
+            taken = take(again, plan)
+            words = {r.source: r.n for r in taken.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+            assert words == {r.source: r.n for r in plan.groupBy("source").agg(F.sum("taken").alias("n")).where("n > 0").collect()}
+            seen.add((share, str(sorted(map(repr, plan.collect()))), str(sorted(map(repr, taken.collect())))))
+    assert len(seen) == 3
+
+
+def test_columns_of_any_name_survive(spark):
+    docs = spark.createDataFrame([(k, f"w{k} x", "s", k, 2 * k, 3 * k, 4 * k, 5 * k) for k in range(20)] * 2,
+                                 "doc_id long, text string, source string, _taken long, _copies long, _DOC long, _n long, _place long")
+    taken = take(docs, mix(docs, share=2.0))
+    assert taken.columns == docs.columns and sorted(map(tuple, taken.collect())) == sorted([tuple(r) for r in docs.collect()] * 2)
