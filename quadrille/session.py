@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -41,13 +45,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="quadrille-")
+        atexit.register(shutil.rmtree, folder, True)
         context.setCheckpointDir(folder)
     return folder
 
 
 def scratch(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh path below the shared folder, for tables a job writes and reads back."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, for tables a job writes and reads back. Within a :func:`scope` it belongs to that."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+# Scratch paths of the scopes that are open, innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end all scratch tables that were made within, also after an error.
+
+    What was computed within must have been written elsewhere or collected by then: frames that still read the tables fail.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was written as scratch; one that is not there is no error."""
+    files, where = hadoop_path(spark, path)
+    files.delete(where, True)
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -95,7 +129,7 @@ def _bytes(schema: T.StructType) -> Column:
     total = F.lit(0).cast("long")
     for field in schema:
         col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             size = F.octet_length(col)
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
             size = F.octet_length(F.to_json(F.struct(col)))
