@@ -24,6 +24,7 @@ from ..model import (
     is_var,
     object_term,
 )
+from ..session import join_lookup
 
 
 @dataclass(frozen=True)
@@ -149,6 +150,20 @@ class Graph(ABC):
         """Solutions of several patterns with one subject from a single scan, when the graph knows how."""
         return None
 
+    def statements(self, predicates: list[str], dataset: Dataset = EVERYTHING) -> DataFrame:
+        """``s, p, o`` of the statements with any of some predicates, the object as a term."""
+        parts = [self.match(Pattern("?s", p, "?o"), frozenset(), dataset).select("s", F.lit(p).alias("p"), "o") for p in predicates]
+        return reduce(DataFrame.unionByName, parts)
+
+    def match_any(self, pattern: Pattern, names: DataFrame, dataset: Dataset = EVERYTHING) -> DataFrame:
+        """Solutions of a pattern with any of the predicates ``names(p)`` in the place of its own, as a set and with the object as a term.
+
+        One scan of the graph, however many predicates there are.
+        """
+        wide = Pattern(pattern.s, "?_p", pattern.object_var or pattern.o, pattern.graph)
+        found = self.match(wide, frozenset(), dataset)
+        return as_set(join_lookup(found, names.select(F.col("p").alias("_p")), ["_p"], "left_semi").drop("_p"))
+
     @abstractmethod
     def quads(self) -> DataFrame:
         """All quads."""
@@ -213,6 +228,11 @@ class StoredGraph(Graph):
     def quads(self) -> DataFrame:
         return self._quads
 
+    def statements(self, predicates, dataset=EVERYTHING):
+        graphs = list(dataset.default_graphs())
+        found = self._quads.filter(F.col("p").isin(list(predicates))).filter(F.col("g").isin(graphs) if graphs else F.lit(False))
+        return (as_set(found.drop("g")) if len(graphs) > 1 else found).select("s", "p", object_term().alias("o"))
+
     def match(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         found = reduce(DataFrame.filter, constant_filters(pattern), self._quads)
         if pattern.graph is None:
@@ -240,6 +260,13 @@ class UnionGraph(Graph):
         every = reduce(DataFrame.unionByName, [m.quads() for m in self.members])
         return every if self.disjoint else as_set(every)
 
+    def statements(self, predicates, dataset=EVERYTHING):
+        every = reduce(DataFrame.unionByName, [m.statements(predicates, dataset) for m in self.members])
+        return every if self.disjoint and len(dataset.default_graphs()) <= 1 else as_set(every)
+
+    def match_any(self, pattern, names, dataset=EVERYTHING):
+        return as_set(reduce(DataFrame.unionByName, [m.match_any(pattern, names, dataset) for m in self.members]))
+
     def match(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         if self.disjoint and (pattern.graph is not None or len(dataset.default_graphs()) <= 1):
             return reduce(DataFrame.unionByName, [m.match(pattern, nodes, dataset) for m in self.members])

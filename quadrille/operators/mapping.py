@@ -242,6 +242,27 @@ class MappedGraph(Graph):
             every = as_set(every if pattern.graph is not None else every.drop("g"))
         return solutions(every, pattern, nodes)
 
+    def _only(self, predicates) -> MappedGraph | None:
+        """The rules with some predicates alone; None when there is none."""
+        wanted = set(predicates)
+        chosen = [replace(m, rules=tuple(r for r in m.rules if r.p in wanted)) for m in self.mappings]
+        chosen = [m for m in chosen if m.rules]
+        return MappedGraph(chosen) if chosen else None
+
+    def statements(self, predicates, dataset=EVERYTHING):
+        pattern = Pattern("?s", "?p", "?o")
+        some = self._only(predicates)
+        return (self._nothing(pattern, frozenset()) if some is None else some.match(pattern, frozenset(), dataset)).select("s", "p", "o")
+
+    def match_any(self, pattern, names, dataset=EVERYTHING):
+        # Only the predicates of its own rules come to the driver, so the mapping bounds them.
+        known = sorted({r.p for m in self.mappings for r in m.rules})
+        wanted = [r["p"] for r in names.filter(F.col("p").isin(known)).select("p").distinct().collect()]
+        plain = Pattern(pattern.s, "?_p", pattern.object_var or pattern.o, pattern.graph)
+        some = self._only(wanted)
+        found = self._nothing(plain, frozenset()) if some is None else some.match(plain, frozenset(), dataset)
+        return as_set(found.drop("_p"))
+
     def match_star(self, patterns, nodes, dataset):
         """One scan for patterns ``?s p1 o1 . ?s p2 o2 ...`` when one unique mapping alone can answer all of them."""
         subject, graph = patterns[0].s, patterns[0].graph

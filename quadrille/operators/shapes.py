@@ -1,8 +1,9 @@
 """Closed-world constraints: which stored values break which shape.
 
-Constraints are a small table given by the caller. Minimum and maximum counts are checked together, with one scan for each class
-and path; the other kinds scan their path once per shape. Every check returns ``(shape, focus, path, value, kind)``; ``value`` is
-'' where the fault is a missing or surplus value as such.
+Constraints are a table. The statements with a constrained path are read once and joined with it by path, the types once and joined with
+it by class, however many constraints there are. What depends on one value is a column of that row; counts, domains and subclasses are columns
+over the group of a node and constraint. A check returns ``(shape, focus, path, value, kind)``; ``value`` is '' where the fault is a
+missing or surplus value as such.
 """
 
 from __future__ import annotations
@@ -81,132 +82,89 @@ class Validation:
     def _of(self, *kinds: str) -> list[Shape]:
         return [s for s in self.shapes if s.kind in kinds]
 
-    def _focus_only(self, df: DataFrame, column: str = "focus") -> DataFrame:
+    def _focus_only(self, df: DataFrame, column: str) -> DataFrame:
         if self.nodes is None:
             return df
         return join_lookup(df, self.nodes.withColumnRenamed("focus", column), [column], "left_semi", small=self._small_nodes)
 
-    def _values(self, path: str) -> DataFrame:
-        """``focus, value, type, datatype, lang`` of one path."""
-        found = self.graph.match(Pattern("?focus", path, "?v"), frozenset(), self.dataset)
-        out = found.select(
-            "focus", F.col("v")["value"].alias("value"), F.col("v")["type"].alias("type"), F.col("v")["datatype"].alias("datatype"),
-            F.col("v")["lang"].alias("lang"),
-        )
-        return self._focus_only(out)
-
-    def _instances(self, cls: str, stored_only: bool = False) -> DataFrame:
-        """Nodes of one class, each once."""
-        if self.closure is None or stored_only:
-            found = self.graph.match(Pattern("?node", RDF_TYPE, cls), frozenset(), self.dataset)
-            return found.select("node").distinct()
-        typed = self.graph.match(Pattern("?s", RDF_TYPE, "?cls"), frozenset(["?cls"]), self.dataset)
-        subs = self.closure.filter(F.col("super") == cls).select(F.col("sub").alias("cls"))
-        itself = self.spark.createDataFrame([(cls,)], "cls string")
-        return join_lookup(typed, subs.unionByName(itself).distinct(), ["cls"], "left_semi", small=self._small_closure).select(F.col("s").alias("node")).distinct()
-
-    def _result(self, found: DataFrame, shape: Shape, value) -> DataFrame:
-        return found.select(
-            F.lit(shape.name).alias("shape"), "focus", F.lit(shape.path).alias("path"), value.alias("value"), F.lit(shape.kind).alias("kind")
-        )
+    def _table(self) -> DataFrame:
+        """The constraints as rows, numbered."""
+        rows = []
+        for i, s in enumerate(self.shapes):
+            terms = [constant_object(x) for x in s.arg] if s.kind == "in" else []
+            terms = [(t["o_type"], t["o_value"], t["o_datatype"], t["o_lang"]) for t in terms]
+            rows.append((i, s.name, s.kind, s.path, s.target_class, int(s.arg) if s.kind in ("min", "max") else None,
+                         s.arg if s.kind in ("class", "datatype", "domain", "subclass", "pattern") else None, terms))
+        schema = "id int, shape string, kind string, path string, target string, n long, arg string, allowed array<struct<type:string,value:string,datatype:string,lang:string>>"
+        return self.spark.createDataFrame(rows, schema)
+
+    def _roles(self, table: DataFrame) -> DataFrame:
+        """``(cls, id, role)``: which classes make a node a target of a constraint, and which a member of the class it asks for."""
+        targets = table.filter((F.col("target") != "") & F.col("kind").isin("min", "max", "subclass")).select(F.col("target").alias("cls"), "id", "kind", F.lit("target").alias("role"))
+        members = table.filter(F.col("kind").isin("class", "domain", "subclass")).select(F.col("arg").alias("cls"), "id", "kind", F.lit("member").alias("role"))
+        roles = targets.unionByName(members)
+        if self.closure is not None:
+            up = self.closure.select(F.col("super").alias("cls"), F.col("sub").alias("_sub"))
+            more = roles.filter("kind <> 'subclass'").join(up, "cls").withColumn("cls", F.col("_sub")).drop("_sub")  # that one is about stored types
+            roles = roles.unionByName(more.select(*roles.columns)).distinct()
+        return roles.select("cls", "id", "role")
 
-    def _union(self, parts: list[DataFrame]) -> DataFrame:
-        if not parts:
+    def violations(self) -> DataFrame:
+        """All violations of all kinds: the statements of all paths are read once, and so are the types."""
+        if not self.shapes:
             return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNS))
-        return reduce(DataFrame.unionByName, parts)
-
-    def counts(self) -> DataFrame:
-        """min and max: targets (count 0) and values (count 1) meet in one aggregation, which combines on the map side."""
-        shapes = self._of("min", "max")
-        if not shapes:
-            return self._union([])
+        table = self._table()
+        grouped, single = self._of("min", "max", "domain", "subclass"), self._of("class", "datatype", "in", "pattern")
+        paths = sorted({s.path for s in self.shapes if s.kind != "subclass"})
+        typed = [s for s in self.shapes if s.target_class or s.kind in ("class", "domain", "subclass")]
+        values = types = None
+        if paths:
+            values = self._focus_only(self.graph.statements(paths, self.dataset).select(F.col("s").alias("focus"), F.col("p").alias("path"), "o.*"), "focus")
+        if typed:
+            found = self.graph.match(Pattern("?node", RDF_TYPE, "?cls"), frozenset(["?cls"]), self.dataset)
+            types = found.select("node", "cls").join(self._roles(table), "cls").select("node", "id", "role")
+        if grouped and single:  # both read the same rows
+            values, types = (df if df is None else cut(df, "checked") for df in (values, types))
+        parts = [self._grouped(table, values, types)] if grouped else []
+        parts += [self._single(table, values, types)] if single else []
+        return reduce(DataFrame.unionByName, parts).select(*COLUMNS)
+
+    def _grouped(self, table: DataFrame, values: DataFrame | None, types: DataFrame | None) -> DataFrame:
+        """Counts, domains and subclasses: values and types of a node meet in one aggregation, which combines on the map side."""
         rows = []
-        for cls, path in dict.fromkeys((s.target_class, s.path) for s in shapes):
-            key = [F.lit(cls).alias("cls"), F.lit(path).alias("path")]
-            values = self._values(path).select("focus", *key, F.lit(1).alias("n"), F.lit(0 if cls else 1).alias("target"))
-            rows.append(values)
-            if cls:
-                targets = self._focus_only(self._instances(cls).withColumnRenamed("node", "focus"))
-                rows.append(targets.select("focus", *key, F.lit(0).alias("n"), F.lit(1).alias("target")))
-        counted = (
-            reduce(DataFrame.unionByName, rows)
-            .groupBy("focus", "cls", "path").agg(F.sum("n").alias("n"), F.max("target").alias("target"))
-            .filter(F.col("target") == 1)
+        if values is not None:
+            rules = table.filter(F.col("kind").isin("min", "max", "domain")).select("id", "path")
+            rows.append(values.select("focus", "path").join(rules, "path").select("focus", "id", F.lit(1).alias("has"), F.lit(0).alias("target"), F.lit(0).alias("member")))
+        if types is not None:
+            roles = self._focus_only(types.withColumnRenamed("node", "focus"), "focus")
+            rows.append(roles.select("focus", "id", F.lit(0).alias("has"), (F.col("role") == "target").cast("int").alias("target"), (F.col("role") == "member").cast("int").alias("member")))
+        groups = reduce(DataFrame.unionByName, rows).groupBy("focus", "id").agg(F.sum("has").alias("has"), F.max("target").alias("hit"), F.max("member").alias("member"))
+        met = groups.join(table.select("id", "shape", "kind", "path", "n", F.col("target").alias("_target")), "id")
+        aimed = F.when(F.col("_target") == "", F.col("has") > 0).otherwise(F.col("hit") == 1)
+        wrong = (
+            F.when(F.col("kind") == "min", aimed & (F.col("has") < F.col("n"))).when(F.col("kind") == "max", aimed & (F.col("has") > F.col("n")))
+            .when(F.col("kind") == "domain", (F.col("has") > 0) & (F.col("member") == 0)).when(F.col("kind") == "subclass", (F.col("hit") == 1) & (F.col("member") == 0))
         )
-        broken = []
-        for s in shapes:
-            wrong = F.col("n") < int(s.arg) if s.kind == "min" else F.col("n") > int(s.arg)
-            hit = (F.col("cls") == s.target_class) & (F.col("path") == s.path) & wrong
-            row = F.struct(F.lit(s.name).alias("shape"), F.col("focus"), F.col("path"), F.lit("").alias("value"), F.lit(s.kind).alias("kind"))
-            broken.append(F.when(hit, row))
-        made = counted.select(F.explode(F.filter(F.array(*broken), lambda x: x.isNotNull())).alias("b"))
-        return made.select("b.*")
-
-    def classes(self) -> DataFrame:
-        """class: the object is no instance of the class. A literal is never one."""
-        parts = []
-        for s in self._of("class"):
-            values = self._values(s.path)
-            nodes = values.filter(F.col("type") != "literal")
-            bad = nodes.join(self._instances(s.arg), nodes["value"] == F.col("node"), "left_anti")
-            parts += [self._result(bad, s, F.col("value")), self._result(values.filter(F.col("type") == "literal"), s, F.col("value"))]
-        return self._union(parts)
-
-    def datatypes(self) -> DataFrame:
-        """datatype: another kind of term, another datatype, or text that is no value of the datatype."""
-        parts = []
-        for s in self._of("datatype"):
-            values, wanted = self._values(s.path), s.arg
-            native = {XSD_BOOLEAN: "boolean", XSD_DATE: "date", XSD_DATETIME: "timestamp"}.get(wanted)
-            same = (F.col("type") == "literal") & (F.col("datatype") == ("" if wanted.endswith("#string") else wanted))
-            if wanted.rsplit("#")[-1] in NUMBERS:
-                same = same & _is_number(F.trim("value"), wanted.rsplit("#")[-1])
-            elif native:
-                same = same & value_of(F.col("type"), F.col("value"), F.col("datatype"), native).isNotNull()
-            parts.append(self._result(values.filter(~F.coalesce(same, F.lit(False))), s, F.col("value")))
-        return self._union(parts)
-
-    def domains(self) -> DataFrame:
-        parts = []
-        for s in self._of("domain"):
-            values = self._values(s.path)
-            bad = values.join(self._instances(s.arg), values["focus"] == F.col("node"), "left_anti")
-            parts.append(self._result(bad.select("focus").distinct(), s, F.lit("")))
-        return self._union(parts)
-
-    def value_sets(self) -> DataFrame:
-        """in: the list of terms is part of the constraint, written into the filter. Text is an IRI, ``Lit`` a literal."""
-        parts = []
-        for s in self._of("in"):
-            terms = [constant_object(x) for x in s.arg]
-            same = [
-                (F.col("value") == t["o_value"]) & (F.col("type") == t["o_type"]) & (F.coalesce("datatype", F.lit("")) == t["o_datatype"])
-                & (F.coalesce("lang", F.lit("")) == t["o_lang"]) for t in terms
-            ]
-            allowed = reduce(Column.__or__, same, F.lit(False))
-            parts.append(self._result(self._values(s.path).filter(~allowed), s, F.col("value")))
-        return self._union(parts)
-
-    def subclasses(self) -> DataFrame:
-        parts = []
-        for s in self._of("subclass"):
-            have = self._focus_only(self._instances(s.target_class, stored_only=True).withColumnRenamed("node", "focus"))
-            bad = have.join(self._instances(s.arg, stored_only=True), F.col("focus") == F.col("node"), "left_anti")
-            parts.append(self._result(bad, s, F.lit("")))
-        return self._union(parts)
-
-    def texts(self) -> DataFrame:
-        parts = [self._result(self._values(s.path).filter(~F.col("value").rlike(s.arg)), s, F.col("value")) for s in self._of("pattern")]
-        return self._union(parts)
-
-    def violations(self) -> DataFrame:
-        """All violations of all kinds."""
-        checks = {
-            "min": self.counts, "max": self.counts, "class": self.classes, "datatype": self.datatypes, "domain": self.domains,
-            "in": self.value_sets, "subclass": self.subclasses, "pattern": self.texts,
-        }
-        used = dict.fromkeys(checks[s.kind] for s in self.shapes)
-        return self._union([check() for check in used])
+        return met.filter(wrong).select("shape", "focus", "path", F.lit("").alias("value"), "kind")
+
+    def _single(self, table: DataFrame, values: DataFrame, types: DataFrame | None) -> DataFrame:
+        """What one value shows: its class, datatype, text, or that it is not in a list. A literal is an instance of no class."""
+        rules = table.filter(F.col("kind").isin("class", "datatype", "in", "pattern")).select("id", "shape", "kind", "path", "arg", "allowed")
+        met = values.join(rules, "path")
+        term_ = F.struct("type", "value", F.coalesce("datatype", F.lit("")).alias("datatype"), F.coalesce("lang", F.lit("")).alias("lang"))
+        same = F.lit(False)
+        for wanted in sorted({s.arg for s in self._of("datatype")}):
+            same = F.when(F.col("arg") == wanted, _is_of(wanted)).otherwise(same)
+        wrong = (
+            F.when(F.col("kind") == "datatype", ~F.coalesce(same, F.lit(False))).when(F.col("kind") == "in", ~F.array_contains("allowed", term_))
+            .when(F.col("kind") == "pattern", ~F.regexp_like("value", F.col("arg")))
+        )
+        if self._of("class"):
+            members = types.filter("role = 'member'").select(F.col("node").alias("_node"), F.col("id").alias("_id"), F.lit(1).alias("_member")).distinct()
+            node = F.when((F.col("kind") == "class") & (F.col("type") != "literal"), F.col("value"))
+            met = met.join(members, (node == F.col("_node")) & (F.col("id") == F.col("_id")), "left")
+            wrong = wrong.when(F.col("kind") == "class", F.col("_member").isNull())
+        return met.filter(wrong).select("shape", "focus", "path", "value", "kind")
 
     def is_valid(self) -> DataFrame:
         """One row, one boolean column ``valid``."""
@@ -224,6 +182,15 @@ INTEGER_RANGES = {
 NUMBERS = {*INTEGER_RANGES, "decimal", "double", "float"}
 
 
+def _is_of(wanted: str) -> Column:
+    """Is a row's term a literal of a datatype, with text that is a value of it."""
+    native = {XSD_BOOLEAN: "boolean", XSD_DATE: "date", XSD_DATETIME: "timestamp"}.get(wanted)
+    same = (F.col("type") == "literal") & (F.col("datatype") == ("" if wanted.endswith("#string") else wanted))
+    if wanted.rsplit("#")[-1] in NUMBERS:
+        return same & _is_number(F.trim("value"), wanted.rsplit("#")[-1])
+    return same & value_of(F.col("type"), F.col("value"), F.col("datatype"), native).isNotNull() if native else same
+
+
 def _is_number(text: Column, name: str) -> Column:
     """Is the text a value of a numeric type; integers of any length are compared by sign, length and digits."""
     if name in ("double", "float"):

@@ -1,6 +1,6 @@
 """Small graphs and tables with known counts. The facts are fixed values."""
 
-from quadrille.model import DEFAULT_GRAPH, OWL, RDF_TYPE, RDFS, RDFS_SUBCLASS, XSD_DATETIME, XSD_INTEGER, Lit, quads
+from quadrille.model import DEFAULT_GRAPH, OWL, RDF_TYPE, RDFS, RDFS_SUBCLASS, XSD_INTEGER, Lit, quads
 
 SW = "http://example.org/starwars/"
 
@@ -40,37 +40,6 @@ def starwars_quads(spark, graph=DEFAULT_GRAPH):
     return quads(spark, rows, graph)
 
 
-EX = "http://example.org/loans#"
-FOAF = "http://xmlns.com/foaf/0.1/"
-
-
-def loan_quads(spark):
-    """Loans of a library, readers and stages, with one fault for each kind of constraint."""
-    def when(text):
-        return Lit(text, XSD_DATETIME)
-
-    return quads(spark, [
-        (EX + "open", RDF_TYPE, EX + "Stage"),
-        (EX + "returned", RDF_TYPE, EX + "Stage"),
-        (EX + "LongLoan", RDFS_SUBCLASS, EX + "Loan"),
-        (EX + "loan1", RDF_TYPE, EX + "Loan"),
-        (EX + "loan1", RDF_TYPE, EX + "LongLoan"),
-        (EX + "loan1", EX + "stage", EX + "open"),
-        (EX + "loan1", EX + "lentTo", EX + "reader1"),
-        (EX + "loan1", EX + "lentTo", EX + "desk"),
-        (EX + "loan1", EX + "lentOn", when("2021-05-03T10:00:00Z")),
-        (EX + "loan1", EX + "dueOn", when("2021-05-01T10:00:00Z")),
-        (EX + "loan2", EX + "stage", EX + "opne"),
-        (EX + "loan2", EX + "lentOn", when("2021-06-01T09:30:00Z")),
-        (EX + "reader1", RDF_TYPE, FOAF + "Person"),
-        (EX + "reader1", FOAF + "givenName", Lit("Mina")),
-        (EX + "reader1", FOAF + "phone", "tel:+49.30.1234"),
-        (EX + "desk", RDF_TYPE, FOAF + "Agent"),
-        (EX + "desk", FOAF + "givenName", Lit("Front desk")),
-        (EX + "desk", FOAF + "phone", "tel:+.30.9999"),
-    ])
-
-
 def music_tables(spark):
     """Five related tables: artists, albums, members of bands, tracks, writers."""
     from datetime import date
