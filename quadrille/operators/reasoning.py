@@ -6,9 +6,9 @@ materialised in the shared checkpoint folder, so plans stay short and a lost exe
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import (
@@ -24,8 +24,9 @@ from ..model import (
     as_set,
     is_var,
 )
-from ..session import BROADCAST_BYTES, cut, cut_measured, fits_broadcast, join_lookup
+from ..session import BROADCAST_BYTES, cut, cut_measured, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern, StoredGraph, UnionGraph, from_terms
+from .hierarchy import Hierarchy
 
 NODES = ("uri", "bnode")
 
@@ -83,38 +84,55 @@ def instances(graph: Graph, dataset: Dataset = EVERYTHING) -> DataFrame:
 
 
 class ReasonedGraph(Graph):
-    """A graph seen with its entailments by subclasses, subproperties, domains and ranges; matches take it like any other graph."""
+    """A graph seen with its entailments by subclasses, subproperties, domains and ranges; matches take it like any other graph.
+
+    A constant predicate or class takes its names from intervals of the hierarchy (see :class:`Hierarchy`), as a table that is joined with one scan.
+    Closures are only made where everything is asked for.
+    """
 
     def __init__(self, base: Graph, schema_graphs: list[str] | None = None, properties: bool = True):
-        self.base = base
-        self.classes = subclass_closure(base, schema_graphs)
-        self.properties = subproperty_closure(base, schema_graphs) if properties else None
-        self._small = fits_broadcast(self.classes)
-        # A property has the domains and ranges of what it is a subproperty of.
+        self.base, self.schema_graphs, self._with_properties = base, schema_graphs, properties
         rules = domain_range_schema(base)
-        if self.properties is not None:
-            up = self.properties.select(F.col("sub").alias("_sub"), F.col("super").alias("p"))
-            rules = rules.unionByName(up.join(rules, ["p"]).select(F.col("_sub").alias("p"), "rule", "cls"))
-        self.rules = cut(rules.distinct(), "rules")
-        self._typed = base if self.rules.isEmpty() else UnionGraph(base, StoredGraph(domain_range_quads(base.quads(), self.rules)))
+        if properties:
+            # A property has the domains and ranges of what it is a subproperty of.
+            rules = cut(rules, "rules")
+            below = self._property_tree.below(rules.select(F.col("p").alias("name"))).select(F.col("name").alias("p"), "below")
+            rules = below.join(rules, "p").select(F.col("below").alias("p"), "rule", "cls")
+        self.rules, seen = cut_measured(rules.distinct(), "rules")
+        self._typed = base if not seen["bytes"] else UnionGraph(base, StoredGraph(domain_range_quads(base.quads(), self.rules)))
+
+    @cached_property
+    def _class_tree(self) -> Hierarchy:
+        return Hierarchy(schema_edges(self.base, RDFS_SUBCLASS, self.schema_graphs))
+
+    @cached_property
+    def _property_tree(self) -> Hierarchy:
+        return Hierarchy(schema_edges(self.base, RDFS_SUBPROPERTY, self.schema_graphs))
+
+    @cached_property
+    def classes(self) -> DataFrame:
+        return subclass_closure(self.base, self.schema_graphs)
+
+    @cached_property
+    def properties(self) -> DataFrame | None:
+        return subproperty_closure(self.base, self.schema_graphs) if self._with_properties else None
+
+    def _below(self, tree: Hierarchy, name: str) -> DataFrame:
+        """Names below one name, and itself, written."""
+        one = self.rules.sparkSession.createDataFrame([(name,)], "name string")
+        return cut(tree.below(one).select("below"), "below")
 
     def match(self, pattern, nodes=frozenset(), dataset=EVERYTHING):
         if is_var(pattern.p):
             return StoredGraph(self.quads()).match(pattern, nodes, dataset)
         if pattern.p == RDF_TYPE:
             return self._match_type(pattern, nodes, dataset)
-        if self.properties is None:
+        if not self._with_properties:
             return self.base.match(pattern, nodes, dataset)
-        # A hierarchy is metadata; the sub-properties of one property come to the driver as names.
-        subs = [r[0] for r in self.properties.filter(F.col("super") == pattern.p).select("sub").distinct().collect()]
-        if not subs:
+        names = self._below(self._property_tree, pattern.p)
+        if len(names.limit(2).take(2)) == 1:  # nothing below it
             return self.base.match(pattern, nodes, dataset)
-        plain = pattern.object_var or pattern.o
-        found = [
-            self.base.match(Pattern(pattern.s, p, plain, pattern.graph), frozenset(), dataset)
-            for p in [pattern.p, *sorted(subs)]
-        ]
-        return from_terms(as_set(reduce(DataFrame.unionByName, found)), pattern, nodes)
+        return from_terms(self.base.match_any(pattern, names.withColumnRenamed("below", "p"), dataset), pattern, nodes)
 
     def _match_type(self, pattern, nodes, dataset):
         if pattern.object_var is not None:
@@ -122,15 +140,14 @@ class ReasonedGraph(Graph):
             name = pattern.object_var[1:]
             direct = self._typed.match(wide, nodes | {pattern.object_var}, dataset)
             up = self.classes.select(F.col("sub").alias(name), F.col("super").alias("_super"))
-            more = join_lookup(direct, up, [name], small=self._small).withColumn(name, F.col("_super")).select(*direct.columns)
+            more = join_lookup(direct, up, [name]).withColumn(name, F.col("_super")).select(*direct.columns)
             return as_set(direct.unionByName(more))
-        direct = self._typed.match(pattern, nodes, dataset)
-        subs = self.classes.filter(F.col("super") == pattern.o).select(F.col("sub").alias("_cls"))
         wide = Pattern(pattern.s, RDF_TYPE, "?_cls", pattern.graph)
-        more = join_lookup(self._typed.match(wide, nodes | {"?_cls"}, dataset), subs, ["_cls"], "left_semi", small=self._small).drop("_cls")
-        if not pattern.variables:
-            more = more.limit(1)
-        return as_set(direct.unionByName(more)) if pattern.variables else direct.unionByName(more)
+        if not isinstance(pattern.o, str):  # a literal is no class
+            return self._typed.match(pattern, nodes, dataset)
+        names = self._below(self._class_tree, pattern.o).withColumnRenamed("below", "_cls")
+        found = join_lookup(self._typed.match(wide, nodes | {"?_cls"}, dataset), names, ["_cls"], "left_semi").drop("_cls")
+        return as_set(found) if pattern.variables else found.limit(1)
 
     def quads(self):
         base = self.base.quads()
@@ -205,6 +222,72 @@ def explain_inference(asked: DataFrame, quads: DataFrame, closure: DataFrame) ->
     return best.select("s", "cls", status.alias("status"), F.col("best.chain").alias("proof"))
 
 
+_FACT = ["s", "p", "o_value", "o_type", "o_datatype", "o_lang"]
+
+
+def explain_statements(asked: DataFrame, graph: Graph) -> DataFrame:
+    """Why statements hold: the asked ones (columns of a triple) that do, with ``status`` and ``proof``.
+
+    ASSERTED: the statement is stored, in whatever graph, and the proof is empty. INFERRED: the proof is the array of steps ``(rule, s, p, o, by_s,
+    by_p, by_o)`` from a stored statement on. Every step concludes ``s p o`` from the step before (the first one from the stored statement ``from_s
+    from_p from_o``) and one stored schema statement ``by``: rule ``subproperty``, ``subclass``, ``domain``, ``range``, or ``transitive`` for
+    schema statements themselves. Proofs are of least length; of several the smallest premise by text is kept at each step.
+
+    Only statements about asked subjects can take part, so the loop starts from these. Each level holds what is new, its rule and the premises
+    found first; a pass back over the levels then unfolds the asked statements alone.
+    """
+    asked = cut(asked.select(*_FACT).distinct(), "asked")
+    subjects = asked.select("s").distinct()
+    stored = as_set(graph.quads().select(*_FACT))
+    about = join_lookup(stored, subjects, ["s"], "left_semi")
+    to = join_lookup(stored.filter(F.col("o_type").isin(*NODES)), subjects.withColumnRenamed("s", "o_value"), ["o_value"], "left_semi")
+    schema = {p: schema_edges(graph, p).withColumnRenamed("super", "to") for p in (RDFS_SUBPROPERTY, RDFS_SUBCLASS)}
+    schema |= {p: graph.match(Pattern("?sub", p, "?to"), frozenset(["?to"])).select("sub", "to") for p in (RDFS_DOMAIN, RDFS_RANGE)}
+    schema = {p: cut(df.distinct(), "schema") for p, df in schema.items()}
+    level, seen = cut_measured(as_set(about.unionByName(to)), "facts")
+    levels, known = [level], level
+
+    def concluded(facts: DataFrame, rule: str, predicate: str, met: str, fact: dict[str, Column], only: Column | None = None) -> DataFrame:
+        """Conclusions of one rule: ``met`` is the column of a fact that the schema statement starts from."""
+        held = facts if only is None else facts.filter(only)
+        by = schema[predicate].select(F.col("sub").alias(met), F.col("to").alias("_to"))
+        premises = [F.col(c).alias(f"from_{c}") for c in _FACT]
+        new = [fact.get(c, F.col(c)).alias(c) for c in _FACT]
+        return join_lookup(held, by, [met]).select(*new, *premises, F.lit(rule).alias("rule"), F.col(met).alias("by_s"), F.lit(predicate).alias("by_p"), F.col("_to").alias("by_o"))
+
+    a_class = {"p": F.lit(RDF_TYPE), "o_value": F.col("_to"), "o_type": F.lit("uri"), "o_datatype": F.lit(""), "o_lang": F.lit("")}
+    node = F.col("o_type").isin(*NODES)
+    while seen["bytes"]:
+        last = levels[-1].select(*_FACT)
+        made = [
+            concluded(last, "subproperty", RDFS_SUBPROPERTY, "p", {"p": F.col("_to")}),
+            concluded(last, "subclass", RDFS_SUBCLASS, "o_value", {"o_value": F.col("_to"), "o_type": F.lit("uri")}, (F.col("p") == RDF_TYPE) & node),
+            concluded(last, "domain", RDFS_DOMAIN, "p", a_class),
+            concluded(last, "range", RDFS_RANGE, "p", {**a_class, "s": F.col("o_value")}, node),
+            *[concluded(last, "transitive", p, "o_value", {"o_value": F.col("_to"), "o_type": F.lit("uri")}, F.col("p") == p) for p in (RDFS_SUBPROPERTY, RDFS_SUBCLASS)],
+        ]
+        every = reduce(DataFrame.unionByName, made)
+        best = F.min(F.struct("rule", *[f"from_{c}" for c in _FACT], "by_s", "by_p", "by_o")).alias("why")
+        new = every.groupBy(*_FACT).agg(best).join(known, _FACT, "left_anti")
+        level, seen = cut_measured(new.select(*_FACT, "why.*"), "facts")
+        levels.append(level)
+        known = known.unionByName(level.select(*_FACT))
+    step = "array<struct<rule:string,s:string,p:string,o:string,by_s:string,by_p:string,by_o:string>>"
+    goal = [F.col(c).alias(f"asked_{c}") for c in _FACT]
+    open_ = None
+    for i in range(len(levels) - 1, -1, -1):
+        found = asked.join(levels[i].select(*_FACT), _FACT, "left_semi").select(*goal, *_FACT, F.array().cast(step).alias("proof"), F.lit(i).alias("height"))
+        open_ = found if open_ is None else open_.unionByName(found)
+        if i:
+            why = levels[i]
+            this = F.struct("rule", "s", "p", F.col("o_value").alias("o"), "by_s", "by_p", "by_o")
+            open_ = open_.join(why, _FACT).select(
+                *[f"asked_{c}" for c in _FACT], *[F.col(f"from_{c}").alias(c) for c in _FACT], F.concat(F.array(this), F.col("proof")).alias("proof"), "height")
+    status = F.when(F.col("height") == 0, "ASSERTED").otherwise("INFERRED")
+    start = [F.col(c).alias(f"from_{n}") for c, n in (("s", "s"), ("p", "p"), ("o_value", "o"))]
+    return open_.select(*[F.col(f"asked_{c}").alias(c) for c in _FACT], status.alias("status"), *start, "proof")
+
+
 def contradictions(data: DataFrame, schema: DataFrame, graph: str | None = None) -> DataFrame:
     """Rows ``(kind, s, p, first, second)`` where data contradict the schema; both are quads.
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.iri import Template
-from ..model import Lit, Val
+from ..model import DEFAULT_GRAPH, Lit, Val
 from ..operators.graph import Pattern
 from ..operators.mapping import MappedGraph, Mapping, Rule
-from ..operators.nested import Field, nest, select_fields
+from ..operators.nested import Field, nest, select_fields, select_nested
 from ..operators.paths import edges_of, reachable, shortest_paths
 from ..operators.patterns import ask, bgp, construct
-from .base import BASE, graph, iri, link, prop, query, table
+from .base import BASE, graph, iri, link, prop, query, store_of, table
 
 PRICE, CUSTOMER, SEGMENT = prop("orders", "o_totalprice"), link("orders", "o_custkey"), prop("customer", "c_mktsegment")
 
@@ -93,6 +93,37 @@ def path_reachable(spark, folder):
     return reachable(edges_of(trade_graph(spark, folder)), start)
 
 
+@query("stored_reachable", f"""
+    WITH pairs AS (SELECT DISTINCT {iri('nation', 's_nationkey')} AS nation, {iri('supplier')} AS supplier, {iri('part', 'l_partkey')} AS part
+        FROM supplier JOIN lineitem ON l_suppkey = s_suppkey)
+    SELECT {iri('nation', 's_nationkey')} AS start, {iri('supplier')} AS node FROM supplier UNION SELECT nation, part FROM pairs
+    UNION ALL SELECT DISTINCT supplier, part FROM pairs""")
+def stored_reachable(spark, folder):
+    """From every nation and every supplier of a stored graph: what is hosted, and what that sells. All starts share the rows of a node."""
+    stored = store_of(spark, trade_graph(spark, folder).statements([BASE + "hosts", BASE + "sells"]).select(
+        "s", "p", F.col("o.value").alias("o_value"), F.col("o.type").alias("o_type"), F.lit("").alias("o_datatype"), F.lit("").alias("o_lang"), F.lit(DEFAULT_GRAPH).alias("g")))
+    edges = edges_of(stored.graph())
+    return reachable(edges, edges.select(F.col("src").alias("start")).distinct())
+
+
+@query("nested_children", f"""
+    WITH n AS (SELECT 'r_regionkey=' || n_regionkey AS region, 'n_nationkey=' || n_nationkey AS nation, n_nationkey AS k FROM nation),
+    c AS (SELECT nation, 'c_custkey=' || c_custkey AS customer, c_name, c_mktsegment FROM customer JOIN n ON c_nationkey = k),
+    s AS (SELECT nation, 's_suppkey=' || s_suppkey AS supplier FROM supplier JOIN n ON s_nationkey = k)
+    SELECT 'name' AS path, 'r_regionkey=' || r_regionkey AS of, 0 AS position, r_name AS value FROM region
+    UNION ALL SELECT 'nations', region, row_number() OVER (PARTITION BY region ORDER BY nation) - 1, nation FROM n
+    UNION ALL SELECT 'nations/customers', nation, row_number() OVER (PARTITION BY nation ORDER BY customer) - 1, customer FROM c
+    UNION ALL SELECT 'nations/suppliers', nation, row_number() OVER (PARTITION BY nation ORDER BY supplier) - 1, supplier FROM s
+    UNION ALL SELECT 'nations/customers/name', customer, 0, c_name FROM c
+    UNION ALL SELECT 'nations/customers/segment', customer, 0, c_mktsegment FROM c""")
+def nested_children(spark, folder):
+    """Regions with their nations, these with two lists, and the elements of one of them with fields of their own."""
+    g = graph(spark, folder, "region", "nation", "customer", "supplier")
+    customers = Field("customers", link("customer", "c_nationkey"), (Field("name", prop("customer", "c_name")), Field("segment", SEGMENT)), inverse=True)
+    nations = Field("nations", link("nation", "n_regionkey"), (customers, Field("suppliers", link("supplier", "s_nationkey"), inverse=True)), inverse=True)
+    return select_nested(g, BASE + "region", [Field("name", prop("region", "r_name")), nations]).flat()
+
+
 @query("nested_select", f"SELECT {iri('customer')} AS id, c_name AS name, 'n_nationkey=' || c_nationkey AS nation FROM customer")
 def nested_select(spark, folder):
     """Fields of a class: a literal by its text, a link by its local name."""

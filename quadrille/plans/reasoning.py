@@ -8,11 +8,11 @@ from ..functions.iri import Template
 from ..model import DEFAULT_GRAPH, OWL_DISJOINT, OWL_FUNCTIONAL, RDF_TYPE, RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS, RDFS_SUBPROPERTY, quads
 from ..operators.graph import Pattern, StoredGraph, UnionGraph
 from ..operators.mapping import Col, MappedGraph, Mapping, Rule
-from ..operators.patterns import bgp
+from ..operators.patterns import bgp, construct
 from ..operators.reasoning import (
-    ReasonedGraph, contradictions, domain_range_schema, domain_range_types, explain_inference, infer_types, instances, is_consistent, subclass_closure,
+    ReasonedGraph, contradictions, domain_range_schema, domain_range_types, explain_inference, explain_statements, infer_types, instances, is_consistent, subclass_closure,
 )
-from .base import BASE, iri, query, table
+from .base import BASE, iri, query, store_of, table
 
 BRAND, TYPE = BASE + "brand/", BASE + "type/"
 
@@ -77,6 +77,23 @@ def subproperty_inference(spark, folder):
     return bgp(g, [Pattern("?s", BASE + "locatedIn", "?n")]).select("s", F.col("n.value").alias("n"))
 
 
+@query("stored_subproperties", f"""
+    SELECT {iri('customer')} AS s, {iri('nation', 'c_nationkey')} AS n FROM customer WHERE c_acctbal >= 0
+    UNION ALL SELECT {iri('supplier')}, {iri('nation', 's_nationkey')} FROM supplier""")
+def stored_subproperties(spark, folder):
+    """A property per market segment below two parents each, a cycle, and one scan of a stored graph for all of them."""
+    customer = table(spark, folder, "customer").filter("c_acctbal >= 0")
+    s, n = Template(BASE + "customer/c_custkey={c_custkey}"), Template(BASE + "nation/n_nationkey={c_nationkey}")
+    segments = [r[0] for r in table(spark, folder, "customer").select("c_mktsegment").distinct().orderBy("c_mktsegment").limit(100).collect()]
+    data = [Mapping(customer.filter(F.col("c_mktsegment") == x), (Rule(s, f"{BASE}in{k}", n),), unique=True) for k, x in enumerate(segments)]
+    data.append(Mapping(table(spark, folder, "supplier"), (Rule(Template(BASE + "supplier/s_suppkey={s_suppkey}"), BASE + "worksIn", Template(BASE + "nation/n_nationkey={s_nationkey}")),), unique=True))
+    edges = [(f"{BASE}in{k}", up) for k in range(len(segments)) for up in (BASE + "residesIn", BASE + "tradesIn")]
+    edges += [(BASE + "residesIn", BASE + "locatedIn"), (BASE + "tradesIn", BASE + "worksIn"), (BASE + "worksIn", BASE + "locatedIn"), (BASE + "locatedIn", BASE + "residesIn")]
+    schema = quads(spark, [(a, RDFS_SUBPROPERTY, b) for a, b in edges])
+    g = ReasonedGraph(store_of(spark, MappedGraph(data).quads().unionByName(schema)).graph())
+    return bgp(g, [Pattern("?s", BASE + "locatedIn", "?n")]).select("s", F.col("n.value").alias("n"))
+
+
 @query("domain_range_inference", f"""
     SELECT {iri('orders')} AS s, '{BASE}Order' AS cls FROM orders UNION SELECT {iri('customer', 'o_custkey')}, '{BASE}Customer' FROM orders""")
 def domain_range_inference(spark, folder):
@@ -103,6 +120,36 @@ def explain_inference_query(spark, folder):
     return found.select("s", "cls", "status", F.array_join("proof", " > ").alias("proof"))
 
 
+@query("explain_statement", f"""
+    SELECT {iri('customer')} AS s, 'type Agent' AS statement, 'INFERRED' AS status,
+        'livesIn > subproperty residesIn > subproperty locatedIn > domain Resident > subclass Agent' AS proof FROM customer
+    UNION ALL SELECT {iri('customer')}, 'locatedIn', 'INFERRED', 'livesIn > subproperty residesIn > subproperty locatedIn' FROM customer
+    UNION ALL SELECT {iri('customer')}, 'livesIn', 'ASSERTED', 'livesIn' FROM customer
+    UNION ALL SELECT DISTINCT {iri('nation', 'c_nationkey')}, 'type Place', 'INFERRED', 'livesIn > subproperty residesIn > range Place' FROM customer""")
+def explain_statement(spark, folder):
+    """Proofs by sub-properties, domain, range and subclasses; statements that do not hold are left out."""
+    s, n = Template(BASE + "customer/c_custkey={c_custkey}"), Template(BASE + "nation/n_nationkey={c_nationkey}")
+    customer = table(spark, folder, "customer")
+    data = MappedGraph([Mapping(customer, (Rule(s, BASE + "livesIn", n),), unique=True)])
+    schema = StoredGraph(quads(spark, [
+        (BASE + "livesIn", RDFS_SUBPROPERTY, BASE + "residesIn"), (BASE + "residesIn", RDFS_SUBPROPERTY, BASE + "locatedIn"),
+        (BASE + "locatedIn", RDFS_DOMAIN, BASE + "Resident"), (BASE + "residesIn", RDFS_RANGE, BASE + "Place"), (BASE + "Resident", RDFS_SUBCLASS, BASE + "Agent"),
+    ]))
+    met = customer.select(s.column(customer.schema).alias("c"), n.column(customer.schema).alias("n"))
+    asked = construct(met, [
+        Pattern("?c", RDF_TYPE, BASE + "Agent"), Pattern("?c", BASE + "locatedIn", "?n"), Pattern("?c", BASE + "livesIn", "?n"),
+        Pattern("?n", RDF_TYPE, BASE + "Place"), Pattern("?n", RDF_TYPE, BASE + "Agent"), Pattern("?c", BASE + "worksIn", "?n"),
+    ])
+    found = explain_statements(asked, UnionGraph(schema, data, disjoint=True))
+
+    def short(name):
+        return F.regexp_extract(name, "([^/#]*)$", 1)
+
+    steps = F.transform("proof", lambda x: F.concat(x["rule"], F.lit(" "), short(F.when(x["rule"] == "subproperty", x["p"]).otherwise(x["o"]))))
+    about = F.when(F.col("p") == RDF_TYPE, F.concat(F.lit("type "), short(F.col("o_value")))).otherwise(short(F.col("p")))
+    return found.select("s", about.alias("statement"), "status", F.array_join(F.concat(F.array(short(F.col("from_p"))), steps), " > ").alias("proof"))
+
+
 def contradicting(spark, folder):
     """Labels as classes Good and Toxic, which are disjoint, and the last event type per user as a functional property."""
     labels, events = table(spark, folder, "labels"), table(spark, folder, "events")

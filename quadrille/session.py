@@ -149,15 +149,18 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def join_lookup(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", limit: int | None = None,
-                small: bool | None = None) -> DataFrame:
+                small: bool | None = None, folder: str | None = None) -> DataFrame:
     """Join a large, possibly skewed frame with a lookup table.
 
     The lookup is written once and measured while it is written. Up to the bound it is broadcast; beyond it the join is
     an ordinary shuffle join, whose hot partitions adaptive execution splits (``tune`` switches that on), so one key that
     holds a third of all rows is shared by many tasks and no key is repeated that need not be. ``small`` passes on a
-    measurement made before, and the lookup is then used as it is.
+    measurement made before, and the lookup is then used as it is. ``folder`` is a number among ``on`` by which the big side lies in folders: a
+    condition on it, which all rows of the lookup meet, lets Spark read only the folders that the lookup names.
     """
     if small is None:
         lookup, seen = cut_measured(lookup, "lookup")
         small = seen["bytes"] <= (BROADCAST_BYTES if limit is None else limit)
+    if folder is not None:
+        lookup = lookup.filter(F.col(folder) >= 0)
     return big.join(F.broadcast(lookup) if small else lookup, on, how)
