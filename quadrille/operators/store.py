@@ -3,14 +3,16 @@
 Layout below a root folder::
 
     base-<n>-<id>/      all quads at one version, parquet in hash buckets of the predicate, sorted by predicate and subject
-    delta-<n>-<id>/     op=added / op=removed: exactly the quads a commit changed, in the same buckets
+    delta-<n>-<id>/     op=added / op=removed: exactly the quads a commit changed, in the same buckets; op=again: quads of a graph that the
+                        commit has emptied, which were there before
+    stars-<n>-<id>/     quads by subject, see stars.py; made and kept up by ``cluster`` and ``compact``
     prefixes-<n>-<id>/  the prefix table
-    versions/<n>.json   one line per published version: which base, which deltas and what they hold, which prefix table
+    versions/<n>.json   one line per published version: which base, which deltas, what they hold and which graphs they empty, which other tables
 
 A commit writes one delta and then its version file, which is created only if it does not exist, so of two commits on one
 version one fails; readers take the newest version file, so a job that dies in between changes nothing. Reading joins the
-base with the quads that deltas have removed, and with nothing when they have only added. ``compact`` folds the deltas into
-a new base, and ``clean`` deletes what no kept version names.
+base with the quads that deltas have removed, and with nothing when they have only added. An emptied graph is a word in the version file and
+a filter on what is older. ``compact`` folds the deltas into a new base, and ``clean`` deletes what no kept version names.
 """
 
 from __future__ import annotations
@@ -20,15 +22,18 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import DEFAULT_GRAPH, QUAD, QUAD_SCHEMA, as_set
-from ..session import create_once, cut, hadoop_path
-from .graph import Graph, StoredGraph
-
-ADDED, REMOVED = "added", "removed"
-_RECORD = "version long, base string, deltas array<struct<name string, added long, removed long>>, prefixes string"
+from ..session import create_once, cut, hadoop_path, join_lookup
+from .graph import Graph, Pattern, StoredGraph
+from .stars import EVERYTHING_CLEARED, Stars, write_stars
+
+ADDED, REMOVED, AGAIN = "added", "removed", "again"
+# Of a delta: quads added to and removed from what was there (those of emptied graphs too), removals it holds, and graphs it empties first.
+_DELTA = "struct<name string, added long, removed long, drops long, cleared array<string>>"
+_RECORD = f"version long, base string, deltas array<{_DELTA}>, prefixes string, stars struct<name string, parts int, deltas int>"
 _PREFIXES = "prefix string, iri string"
 
 # Folders of a base or delta: hash buckets of the predicate.
@@ -44,7 +49,7 @@ def anti(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def last_operation(log: DataFrame) -> DataFrame:
     """The last ``op`` per quad of a log with ``_seq``, as one number per quad, so that a hash aggregation can do it."""
-    code = F.col("_seq") * 2 + F.when(F.col("op") == ADDED, 1).otherwise(0)
+    code = F.col("_seq") * 2 + F.when(F.col("op") == REMOVED, 0).otherwise(1)
     keys = [*QUAD, BUCKET] if BUCKET in log.columns else QUAD
     last = log.groupBy(*keys).agg(F.max(code).alias("_code"))
     return last.select(*keys, F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED).alias("op"))
@@ -76,12 +81,48 @@ def read_quads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{_STORED}, {BUCKET} int").parquet(path).select(*QUAD, BUCKET)
 
 
+def drops(delta: dict) -> int:
+    """Removals in the files of a delta; a record of an earlier layout has only those."""
+    return delta["removed"] if delta.get("drops") is None else delta["drops"]
+
+
+def cleared_by(deltas: list[dict]) -> frozenset[str]:
+    """Graphs that some deltas empty."""
+    return frozenset(g for d in deltas for g in d.get("cleared") or ())
+
+
+def uncleared(quads: DataFrame, cleared: frozenset[str]) -> DataFrame:
+    """Quads without those of emptied graphs."""
+    if EVERYTHING_CLEARED in cleared:
+        return quads.filter(F.lit(False))
+    return quads.filter(~F.col("g").isin(sorted(cleared))) if cleared else quads
+
+
 class BucketedGraph(StoredGraph):
-    """Stored quads in hash buckets: adds the bucket of a constant predicate to the filter."""
+    """Stored quads in hash buckets: adds the bucket of a constant predicate to the filter. ``stars`` answers patterns on one subject."""
 
-    def __init__(self, raw: DataFrame):
+    def __init__(self, raw: DataFrame, stars: Stars | None = None):
         super().__init__(raw.select(*QUAD))
-        self._raw = raw
+        self._raw, self._stars = raw, stars
+
+    def match_star(self, patterns, nodes, dataset):
+        found = None if self._stars is None else self._stars.match(self, list(patterns), nodes, dataset)
+        return None if found is None else (found, {})
+
+    def statements(self, predicates, dataset=None):
+        from .graph import EVERYTHING
+
+        buckets = sorted({binascii.crc32(p.encode()) % BUCKETS for p in predicates})
+        return StoredGraph(self._raw.filter(F.col(BUCKET).isin(buckets)).select(*QUAD)).statements(predicates, dataset or EVERYTHING)
+
+    def match_any(self, pattern, names, dataset=None):
+        # With the bucket among the keys, only the folders of the names are read, which is found out while the query runs.
+        from .graph import EVERYTHING
+
+        keyed = names.select("p", predicate_bucket(F.col("p")).alias(BUCKET)).distinct()
+        met = StoredGraph(join_lookup(self._raw, keyed, ["p", BUCKET], "left_semi", folder=BUCKET))
+        plain = Pattern(pattern.s, "?_p", pattern.object_var or pattern.o, pattern.graph)
+        return as_set(met.match(plain, frozenset(), dataset or EVERYTHING).drop("_p"))
 
     def match(self, pattern, nodes=frozenset(), dataset=None):
         from ..model import is_var
@@ -131,10 +172,31 @@ class GraphStore:
     def _publish(self, record: dict) -> None:
         create_once(self.spark, f"{self.root}/versions/{record['version']}.json", record)
 
-    def _rebase(self, version: int, quads: DataFrame, prefixes: str = "") -> None:
+    def _rebase(self, version: int, quads: DataFrame, prefixes: str = "", stars: bool = False) -> None:
         name = self._fresh("base", version)
         write_quads(quads, f"{self.root}/{name}")
-        self._publish({"version": version, "base": name, "deltas": [], "prefixes": prefixes})
+        made = self._write_stars(version, self._base(name), 0) if stars else None
+        self._publish({"version": version, "base": name, "deltas": [], "prefixes": prefixes, "stars": made})
+
+    def _write_stars(self, version: int, quads: DataFrame, deltas: int) -> dict:
+        name = self._fresh("stars", version)
+        return {"name": name, "parts": write_stars(quads, f"{self.root}/{name}"), "deltas": deltas}
+
+    def cluster(self) -> None:
+        """Publish a version that also holds the quads by subject, so that patterns on one subject are one scan. Commits keep it usable: subjects
+        they touch are asked of the predicate buckets. ``compact`` writes it anew."""
+        record = self._record()
+        version, deltas = record["version"] + 1, record["deltas"]
+        stars = self._write_stars(version, self._read(record["base"], deltas).select(*QUAD), len(deltas))
+        self._publish(record | {"version": version, "stars": stars})
+
+    def _stars(self, record: dict) -> Stars | None:
+        kept = record.get("stars")
+        if not kept:
+            return None
+        later = record["deltas"][kept["deltas"]:]
+        changes = self._delta(later).select("s", "g") if later else None
+        return Stars(self.spark, f"{self.root}/{kept['name']}", kept["parts"], changes, cleared_by(later))
 
     def _records(self) -> DataFrame:
         return self.spark.read.schema(_RECORD).json(f"{self.root}/versions")
@@ -148,9 +210,10 @@ class GraphStore:
         return record["version"], record["base"], record["deltas"]
 
     def _delta(self, deltas: list[dict]) -> DataFrame:
-        """All operations of some deltas: quads, bucket, ``op`` and ``_seq``."""
+        """All operations of some deltas that no later one of them has undone by emptying a graph: quads, bucket, ``op`` and ``_seq``."""
         schema = f"{_STORED}, op string, {BUCKET} int"
-        parts = [self.spark.read.schema(schema).parquet(f"{self.root}/{d['name']}").withColumn("_seq", F.lit(i)) for i, d in enumerate(deltas)]
+        parts = [uncleared(self.spark.read.schema(schema).parquet(f"{self.root}/{d['name']}"), cleared_by(deltas[i + 1:])).withColumn("_seq", F.lit(i))
+                 for i, d in enumerate(deltas)]
         return reduce(DataFrame.unionByName, parts)
 
     def quads(self) -> DataFrame:
@@ -160,23 +223,24 @@ class GraphStore:
     def _read(self, base: str, deltas: list[dict]) -> DataFrame:
         """The quads with their buckets.
 
-        A delta holds real changes only. So the base loses what was ever removed, and what is added last comes from the deltas.
+        A delta holds real changes only. So the base loses what was ever removed, and what is added last comes from the deltas. Of a graph
+        that a delta empties, only what this and later deltas add is left.
         """
-        stored = self._base(base)
+        stored = uncleared(self._base(base), cleared_by(deltas))
         if not deltas:
             return stored
         every = self._delta(deltas)
         removed = every.filter(F.col("op") == REMOVED)
-        kept = anti(stored, removed) if any(d["removed"] for d in deltas) else stored
-        added = every.drop("_seq") if len(deltas) == 1 else last_operation(every) if any(d["removed"] for d in deltas) else every
-        return kept.unionByName(added.filter(F.col("op") == ADDED).select(*QUAD, BUCKET))
+        kept = anti(stored, removed) if any(drops(d) for d in deltas) else stored
+        added = every.drop("_seq") if len(deltas) == 1 else last_operation(every) if any(drops(d) for d in deltas) else every
+        return kept.unionByName(added.filter(F.col("op") != REMOVED).select(*QUAD, BUCKET))
 
     def _base(self, base: str) -> DataFrame:
         return read_quads(self.spark, f"{self.root}/{base}")
 
     def graph(self) -> StoredGraph:
-        _, base, deltas = self.current()
-        return BucketedGraph(self._read(base, deltas))
+        record = self._record()
+        return BucketedGraph(self._read(record["base"], record["deltas"]), self._stars(record))
 
     def prefixes(self) -> DataFrame:
         """The prefix table ``(prefix, iri)`` of the store."""
@@ -202,10 +266,11 @@ class GraphStore:
         """
         kept = self._records().orderBy(F.desc("version")).limit(keep).collect()
         names = {"versions", *(r["base"] for r in kept), *(r["prefixes"] for r in kept), *(d["name"] for r in kept for d in r["deltas"])}
+        names |= {r["stars"]["name"] for r in kept if r["stars"]}
         files, root = hadoop_path(self.spark, self.root)
         for found in files.listStatus(root):
             name = found.getPath().getName()
-            if name not in names and name.split("-")[0] in ("base", "delta", "prefixes"):
+            if name not in names and name.split("-")[0] in ("base", "delta", "prefixes", "stars"):
                 files.delete(found.getPath(), True)
         versions = {f"{r['version']}.json" for r in kept}
         for found in files.listStatus(hadoop_path(self.spark, f"{self.root}/versions")[1]):
@@ -228,7 +293,7 @@ class GraphStore:
     def compact(self) -> None:
         """Fold the deltas into a new base with fresh, sorted files; the content stays the same."""
         record = self._record()
-        self._rebase(record["version"] + 1, self._read(record["base"], record["deltas"]), record["prefixes"])
+        self._rebase(record["version"] + 1, self._read(record["base"], record["deltas"]), record["prefixes"], bool(record["stars"]))
 
     def snapshot(self, to: str) -> None:
         """A full copy at ``to``, quads and prefixes; an existing target is an error."""
@@ -260,6 +325,7 @@ class Batch:
         self._record = store._record()
         self._version, self._base, self._deltas = self._record["version"], self._record["base"], self._record["deltas"]
         self._log: list[tuple[str, DataFrame]] = []
+        self._cleared: frozenset[str] = frozenset()
 
     def _check(self) -> None:
         if not self.open:
@@ -271,10 +337,13 @@ class Batch:
         every = reduce(DataFrame.unionByName, parts)
         return last_operation(every)
 
+    def _before(self) -> DataFrame:
+        return self.store._read(self._base, self._deltas)
+
     def quads(self) -> DataFrame:
         """The staged state."""
         self._check()
-        before = self.store._read(self._base, self._deltas).select(*QUAD)
+        before = uncleared(self._before(), self._cleared).select(*QUAD)
         if not self._log:
             return before
         net = self._net()
@@ -300,9 +369,14 @@ class Batch:
         return self
 
     def clear(self, graph: str | None = None) -> Batch:
-        """Empty one graph, or everything when none is named."""
-        staged = self.quads()
-        return self.remove(staged if graph is None else staged.filter(F.col("g") == graph))
+        """Empty one graph, or everything when none is named: nothing is read or written for it, and what was staged for it is forgotten."""
+        self._check()
+        if graph is None:
+            self._log, self._cleared = [], frozenset([EVERYTHING_CLEARED])
+        else:
+            self._log = [(op, df.filter(F.col("g") != graph)) for op, df in self._log]
+            self._cleared |= {graph}
+        return self
 
     def insert_where(self, solutions: DataFrame, template, graph: str = DEFAULT_GRAPH) -> Batch:
         """Add the triples a template makes of solutions, usually of ``bgp(batch.graph(), ...)``."""
@@ -319,21 +393,26 @@ class Batch:
         self._check()
         self.open = False
 
+    def _emptied(self) -> Column:
+        """Is a quad of a graph that the batch empties."""
+        return F.lit(True) if EVERYTHING_CLEARED in self._cleared else F.col("g").isin(sorted(self._cleared)) if self._cleared else F.lit(False)
+
     def changes(self) -> DataFrame:
-        """Quads the batch really changes, with ``op``: added ones not there before, removed ones that were.
+        """Quads the batch really changes, with ``op``: added ones not there before, removed ones that were. Quads of an emptied graph
+        that were there and are there again have the op ``again``; others of such a graph are not listed.
 
-        The stored side is first reduced to the quads the batch touches, by a semi-join whose small side is the batch.
+        The stored side is first reduced to the quads the batch touches, by a join whose small side is the batch; they are then known by number.
         """
         self._check()
-        net = cut(with_bucket(self._net()))
         keys = [*QUAD, BUCKET]
+        net = cut(with_bucket(self._net()).withColumn("_id", F.monotonically_increasing_id()))
         # The buckets the batch touches, of at most BUCKETS; all other folders of the base stay unread.
         touched = [r[BUCKET] for r in net.select(BUCKET).distinct().collect()]
-        before = self.store._read(self._base, self._deltas).filter(F.col(BUCKET).isin(touched))
-        present = before.join(net.select(*keys), keys, "left_semi")
-        known = net.join(present.withColumn("_there", F.lit(True)), keys, "left")
-        there = F.col("_there").isNotNull()
-        return known.filter((F.col("op") == REMOVED) == there).select(*keys, "op")
+        there = self._before().filter(F.col(BUCKET).isin(touched)).join(net.select(*keys, "_id"), keys).select("_id", F.lit(True).alias("_there"))
+        known = net.join(there, "_id", "left").withColumn("_there", F.coalesce("_there", F.lit(False)))
+        emptied = known.filter(self._emptied() & (F.col("op") == ADDED)).withColumn("op", F.when(F.col("_there"), AGAIN).otherwise(ADDED))
+        others = known.filter(~self._emptied() & ((F.col("op") == REMOVED) == F.col("_there")))
+        return (others.unionByName(emptied) if self._cleared else others).select(*keys, "op")
 
     def commit(self) -> dict[str, int]:
         """Publish as the next version and return how many quads were added and removed.
@@ -343,14 +422,19 @@ class Batch:
         self._check()
         version = self._version + 1
         counts = {ADDED: 0, REMOVED: 0}
-        if self._log:
+        if self._log or self._cleared:
             name = self.store._fresh("delta", version)
             path = f"{self.store.root}/{name}"
-            self.changes().hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(path)
-            done = self.store.spark.read.schema("s string, op string").parquet(path).groupBy("op").count().collect()
-            counts.update({r["op"]: r["count"] for r in done})
-            deltas = [*self._deltas, {"name": name, **counts}]
+            spark, done = self.store.spark, {}
+            if self._log:
+                self.changes().hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(path)
+                rows = spark.read.schema("s string, op string").parquet(path).groupBy("op").count().collect()
+                done = {r["op"]: r["count"] for r in rows}
+            else:
+                spark.createDataFrame([], f"{_STORED}, op string, {BUCKET} int").write.parquet(path)
+            gone = self._before().filter(self._emptied()).count() if self._cleared else 0
+            counts = {ADDED: done.get(ADDED, 0), REMOVED: done.get(REMOVED, 0) + gone - done.get(AGAIN, 0)}
+            deltas = [*self._deltas, {"name": name, **counts, "drops": done.get(REMOVED, 0), "cleared": sorted(self._cleared)}]
             self.store._publish(self._record | {"version": version, "deltas": deltas})
         self.open = False
         return counts
-

@@ -141,6 +141,26 @@ def bgp_star_join(spark, folder):
     ]).select("d", "source", "chars", "quality")
 
 
+@query("stored_star_join", f"""
+    SELECT {iri('documents', 'd.doc_id')} AS d, d.source AS source, d.n_chars AS chars, CAST(l.quality AS BIGINT) AS quality
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE toxic = 0""")
+def stored_star_join(spark, folder):
+    """Four patterns on one subject of a stored graph that is also laid out by subject: one scan."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    s = Template(BASE + "documents/doc_id={doc_id}")
+    data = MappedGraph([
+        Mapping(docs, tuple(Rule(s, BASE + name, Col(c)) for name, c in (("source", "source"), ("chars", "n_chars"), ("lang", "lang"))), unique=True),
+        Mapping(labels, (Rule(s, BASE + "quality", Col("quality")), Rule(s, BASE + "toxic", Col("toxic"))), unique=True),
+    ])
+    store = store_of(spark, data.quads())
+    store.cluster()
+    found = bgp(store.graph(), [
+        Pattern("?d", BASE + "source", Val("?source", "string")), Pattern("?d", BASE + "chars", Val("?chars", "long")),
+        Pattern("?d", BASE + "quality", Val("?quality", "long")), Pattern("?d", BASE + "toxic", Val("?toxic", "long")),
+    ])
+    return found.filter("toxic = 0").select("d", "source", "chars", "quality")
+
+
 @query("bgp_path_join", f"""
     SELECT {iri('orders')} AS o, c_name AS customer, n_name AS nation, r_name AS region
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..model import Val
 from ..operators.caches import cached_graph, cached_query
-from ..operators.documents import delete, documents, lookup, size, upsert
+from ..operators.documents import DocumentStore, documents, size
 from ..operators.graph import Graph, Pattern
 from ..operators.patterns import bgp
 from ..session import scratch
@@ -14,8 +14,11 @@ from .base import graph, iri, link, prop, query, status_graphs, store_of, table
 from .updates import ADDED, BEFORE, REMOVED, STATUS, finished_quads, shown, status_quads, urgent_quads
 
 
-def stored_documents(spark, folder):
-    return documents(table(spark, folder, "documents"), "doc_id", "text")
+def document_store(spark, folder) -> DocumentStore:
+    """A new store that holds the documents."""
+    store = DocumentStore(spark, scratch(spark, "documents"))
+    store.put(documents(table(spark, folder, "documents"), "doc_id", "text"))
+    return store
 
 
 @query("doc_upsert", """
@@ -27,8 +30,10 @@ def doc_upsert(spark, folder):
     docs = table(spark, folder, "documents")
     changed = documents(docs.filter("lang = 'en'").withColumn("text", F.concat(F.lit("new: "), "text")), "doc_id", "text")
     added = documents(table(spark, folder, "benchmark").withColumn("name", F.concat(F.lit("item "), "item_id")), "name", "text")
-    store = upsert(upsert(stored_documents(spark, folder), changed), added)
-    return store.select("name", F.col("content").cast("string").alias("text"), "length")
+    store = document_store(spark, folder)
+    store.put(changed)
+    store.put(added)
+    return store.read().select("name", F.col("content").cast("string").alias("text"), "length")
 
 
 @query("doc_lookup", """
@@ -36,20 +41,20 @@ def doc_upsert(spark, folder):
     FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)""")
 def doc_lookup(spark, folder):
     """Many names at once, and the size of the store."""
-    store = stored_documents(spark, folder)
+    store = document_store(spark, folder)
     names = table(spark, folder, "labels").filter("quality = 0").select(F.col("doc_id").cast("string").alias("name"))
-    found = lookup(store, names)
+    found = store.get(names).withColumn("k", F.lit(1))
     # Two one-row counts, joined on a constant key.
-    n = size(found).select(F.lit(1).alias("k"), F.col("n").alias("found"))
-    stored = size(store).select(F.lit(1).alias("k"), F.col("n").alias("stored"))
-    counts = n.join(stored, "k").first()
-    return found.select("name", F.col("content").cast("string").alias("text"), F.lit(counts["found"]).cast("long").alias("found"), F.lit(counts["stored"]).cast("long").alias("stored"))
+    counts = size(found).select(F.lit(1).alias("k"), F.col("n").alias("found")).join(store.size().select(F.lit(1).alias("k"), F.col("n").alias("stored")), "k")
+    return found.join(counts, "k").select("name", F.col("content").cast("string").alias("text"), "found", "stored")
 
 
 @query("doc_delete", "SELECT CAST(doc_id AS VARCHAR) AS name, CAST(strlen(text) AS BIGINT) AS length FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def doc_delete(spark, folder):
     names = table(spark, folder, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("name"))
-    return delete(stored_documents(spark, folder), names).select("name", "length")
+    store = document_store(spark, folder)
+    store.delete(names)
+    return store.read().select("name", "length")
 
 
 class Live(Graph):

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
@@ -5,10 +7,10 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from fixtures import SW, starwars_quads
-from quadrille.model import DEFAULT_GRAPH, QUAD, RDF_TYPE, Lit, quads
+from quadrille.model import DEFAULT_GRAPH, QUAD, RDF_TYPE, XSD_INTEGER, Lit, Val, quads
 from quadrille.operators.caches import Cache, bulk_quads, cached_graph, cached_query
-from quadrille.operators.documents import delete, documents, lookup, size, upsert
-from quadrille.operators.graph import Dataset, Pattern
+from quadrille.operators.documents import DocumentStore, delete, documents, lookup, size, upsert
+from quadrille.operators.graph import Dataset, Pattern, StoredGraph
 from quadrille.operators.patterns import bgp
 from quadrille.operators.store import BucketedGraph, GraphStore, restore, stored_graph, write_quads
 from quadrille.session import scratch
@@ -279,3 +281,127 @@ def test_caches(spark, store):
     assert lazy.read().count() == 3
     store.begin().clear().commit()
     assert lazy.read().count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def star_data(spark):
+    rows_ = [(f"urn:s{i}", "urn:name", Lit(f"n{i}")) for i in range(50)] + [(f"urn:s{i}", "urn:age", Lit(str(i), XSD_INTEGER)) for i in range(0, 50, 2)]
+    rows_ += [(f"urn:s{i}", "urn:knows", f"urn:s{(i * 7) % 50}") for i in range(50)] + [(f"urn:s{i}", "urn:tag", Lit(t)) for i in range(5) for t in "ab"]
+    rows_ += [(f"urn:s{i}", "urn:likes", f"urn:s{(i * 7) % 50}") for i in range(0, 50, 4)]
+    rows_ += [(f"urn:s{i}", "urn:age", Lit(str(i + 1), XSD_INTEGER), G1) for i in range(3)] + [("urn:s1", "urn:name", Lit("other"), G1)]
+    return quads(spark, rows_)
+
+
+STARS = [
+    [Pattern("?s", "urn:name", "?n"), Pattern("?s", "urn:age", Val("?a", "long"))],
+    [Pattern("?s", "urn:name", Val("?n", "string")), Pattern("?s", "urn:age", Lit("8", XSD_INTEGER)), Pattern("?s", "urn:knows", "?k")],
+    [Pattern("urn:s4", "urn:likes", "?k"), Pattern("urn:s4", "urn:knows", "?k")],
+    [Pattern("?s", "urn:name", "?n"), Pattern("?s", "urn:knows", "?s")],
+    [Pattern("?s", "urn:name", "?n"), Pattern("?s", "urn:age", "?a"), Pattern("?s", "urn:tag", "?t")],
+    [Pattern("?s", "urn:name", "?n", "?g"), Pattern("?s", "urn:age", "?a", "?g")],
+    [Pattern("?s", "urn:name", "?n"), Pattern("?s", "urn:knows", "?k"), Pattern("?k", "urn:name", "?m"), Pattern("?k", "urn:age", "?b")],
+    [Pattern("?s", "urn:name", "?n"), Pattern("?s", "urn:none", "?k")],
+]
+
+
+def same_answers(store, plain):
+    for patterns in STARS:
+        found, want = bgp(store.graph(), patterns), bgp(plain, patterns)
+        assert sorted(map(repr, found.select(*sorted(found.columns)).collect())) == sorted(map(repr, want.select(*sorted(want.columns)).collect())), patterns
+
+
+def test_a_star_over_stored_quads_is_one_scan(spark, store):
+    store.begin().add(star_data(spark)).commit()
+    store.cluster()
+    for patterns in STARS[:4]:
+        plan = plan_of(bgp(store.graph(), patterns))
+        assert "Exchange" not in plan and "Join" not in plan and plan.count("FileScan") == 1, plan
+    same_answers(store, StoredGraph(store.quads()))
+    joined = plan_of(bgp(store.graph(), STARS[4]))
+    assert "Join" in joined  # two tags of one subject: that pattern is joined
+    read = re.search(r"FileScan parquet \[(.*?)\]", plan_of(bgp(store.graph(), STARS[0]))).group(1)
+    assert len(re.findall(r"\bm\d+#", read)) == 2  # the maps of two predicates of 32
+
+
+def test_stars_stay_right_over_commits(spark, store):
+    store.begin().add(star_data(spark)).commit()
+    store.cluster()
+    store.begin().add(quads(spark, [("urn:s3", "urn:name", Lit("second")), ("urn:new", "urn:name", Lit("x")), ("urn:new", "urn:age", Lit("8", XSD_INTEGER))])).remove(
+        quads(spark, [("urn:s4", "urn:name", Lit("n4"))])).commit()
+    same_answers(store, StoredGraph(store.quads()))
+    store.begin().clear(G1).commit()
+    same_answers(store, StoredGraph(store.quads()))
+    store.compact()
+    assert store._record()["stars"]["deltas"] == 0
+    same_answers(store, StoredGraph(store.quads()))
+    store.clean()
+    same_answers(store, StoredGraph(store.quads()))
+    store.begin().clear().add(quads(spark, [("urn:s1", "urn:name", Lit("again"))])).commit()
+    same_answers(store, StoredGraph(store.quads()))
+
+
+def delta_rows(store):
+    name = store.current()[2][-1]["name"]
+    return store.spark.read.parquet(f"{store.root}/{name}").count()
+
+
+def test_emptying_a_graph_writes_no_quad(spark, store):
+    data = quads(spark, [(f"urn:s{i}", f"urn:p{i % 3}", Lit(str(i)), G1 if i % 2 else G2) for i in range(40)])
+    store.begin().add(data).commit()
+    assert store.begin().clear(G1).commit() == {"added": 0, "removed": 20} and delta_rows(store) == 0
+    assert "Join" not in plan_of(store.quads()) and n(store, G1) == 0 and n(store, G2) == 20
+    assert store.size().first()["n"] == store.size_estimate().first()["n"] == 20
+    # What was there and is there again is no change, but has to be held.
+    kept = quads(spark, [("urn:s2", "urn:p2", Lit("2"), G2), ("urn:new", "urn:p", Lit("1"), G2), ("urn:new", "urn:p", Lit("1"), G1)])
+    batch = store.begin().add(quads(spark, [("urn:gone", "urn:p", Lit("1"), G2)])).clear(G2).add(kept)
+    assert rows(batch.quads(), *QUAD) == rows(kept, *QUAD)
+    assert batch.commit() == {"added": 2, "removed": 19}
+    assert rows(store.quads(), *QUAD) == rows(kept, *QUAD) and delta_rows(store) == 3
+    assert store.size_estimate().first()["n"] == 3
+    assert store.begin().clear(G2).remove(kept).commit() == {"added": 0, "removed": 3}
+    assert store.begin().clear("urn:absent").commit() == {"added": 0, "removed": 0}
+    assert store.begin().add(kept).clear().commit() == {"added": 0, "removed": 0} and store.size().first()["n"] == 0
+    store.begin().add(kept).commit()
+    store.compact()
+    assert rows(store.quads(), *QUAD) == rows(kept, *QUAD)
+
+
+def test_a_document_store_over_two_sessions(spark):
+    root = scratch(spark)
+    store = DocumentStore(spark, root)
+
+    def docs(*pairs):
+        return documents(spark.createDataFrame(list(pairs), "n string, c string"), "n", "c")
+
+    def names(*some):
+        return spark.createDataFrame([(x,) for x in some], "name string")
+
+    assert store.size().first()["n"] == 0 and store.get(["doc"]).count() == 0
+    store.put(docs(*[(f"d{i}", f"text {i}") for i in range(50)], ("doc", "some text"), ("two", "ü"), (None, "x")))
+    other = DocumentStore(spark.newSession(), root)
+    assert other.size().first()["n"] == 52 and other.get(["doc"]).collect()[0]["content"] == b"some text"
+    before = {f for log in store._current()[1] for f in spark.read.parquet(f"{root}/{log}").inputFiles()}
+    other.put(docs(("doc", "new"), ("doc", "newer"), ("three", "3")))
+    other.delete(names("two", "absent", None))
+    logs = store._current()[1]
+    assert len(logs) == 3 and {f for f in spark.read.parquet(f"{root}/{logs[0]}").inputFiles()} == before
+    assert spark.read.parquet(f"{root}/{logs[1]}").count() == 2 and spark.read.parquet(f"{root}/{logs[2]}").count() == 2
+    assert store.size().first()["n"] == 52 and rows(store.get(names("doc", "two", "three", "none")), "name", "length") == [("doc", 5), ("three", 1)]
+    one = plan_of(store.get(["doc"]))
+    assert "n_bucket" in one.split("PartitionFilters: [")[1].split("]")[0]
+    assert "dynamicpruning" in plan_of(store.get(names("doc"))).lower()
+    assert "content" not in plan_of(store.size())
+    store.put(docs(("two", "back")))
+    want = rows(store.read(), "name", "length")
+    store.compact()
+    assert len(store._current()[1]) == 2 and rows(store.read(), "name", "length") == want
+    store.compact(keep_first=False)
+    store.clean()
+    assert len(store._current()[1]) == 1 and rows(other.read(), "name", "length") == want and len(want) == 53
+    other.clear()
+    assert store.size().first()["n"] == 0
+    store.put(docs(("doc", "z")))
+    assert rows(other.read(), "name", "length") == [("doc", 1)]
