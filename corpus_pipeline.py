@@ -21,13 +21,22 @@ from quadrille.llm.tokens import encode_digests  # noqa: E402
 from quadrille.session import remove, scope, scratch  # noqa: E402
 
 
+#: Arrow batches are smaller than those of single operators: workers of five stages live side by side on an executor.
+BATCH = "8m"
+
+
+def _ready(spark: SparkSession) -> SparkSession:
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+    return spark
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter, and those too far from every profile, go.
 
     Null and empty texts have no letter. Rows with a null label are judged, not learnt from; repeated rows and null ids are rows like
     others. An empty table stays empty. Other columns pass through, whatever their names.
     """
-    prepare(spark)
+    _ready(spark)
     return keep_identified(docs, learn(docs))
 
 
@@ -37,7 +46,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is an empty one and a null id the smallest. Rows that agree in id and text are one document, whose other columns are those of any
     of them. An empty table stays empty. Other columns pass through, whatever their names.
     """
-    prepare(spark)
+    _ready(spark)
     return drop_copies(docs)
 
 
@@ -47,7 +56,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts of fewer than five words, null and empty ones are near no other text. Rows that share the id that stays are kept together. An empty
     table stays empty. Other columns pass through, whatever their names.
     """
-    prepare(spark)
+    _ready(spark)
     return drop_near_copies(docs)
 
 
@@ -66,7 +75,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is an empty one: no tokens, digests of nothing. Repeated rows and null ids are rows like others. An empty table gives an empty
     result. Other columns are not looked at.
     """
-    prepare(spark)
+    _ready(spark)
     return encode_digests(docs)
 
 
