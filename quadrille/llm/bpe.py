@@ -34,7 +34,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixBpe:
     """An encoder for a table of ranks, which must hold all 256 single bytes."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], entries: int = PIECES):
+        self._entries = entries
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"no rank for single bytes {missing[:5]}")
@@ -80,7 +81,7 @@ class PrefixBpe:
             found = self._old_apart.get(key)
             if found is None:
                 found = self.merge(self.token[left] + self.token[right]) == [left, right]
-            if len(self._apart) >= PIECES // 2:
+            if len(self._apart) >= self._entries // 2:
                 self._old_apart, self._apart = self._apart, {}
             self._apart[key] = found
         return found
@@ -126,7 +127,7 @@ class PrefixBpe:
         self.extend(data, last)
         for end in range(had + 1, len(data)):
             known[data[:end]] = last[end - 1]
-        if len(known) >= PIECES // 2:
+        if len(known) >= self._entries // 2:
             self._old_last, self._last = known, {}
         return self.walk_back(last)
 
@@ -164,15 +165,15 @@ class _Known(dict):
     When it is full, what it holds is set aside, and what is asked for again comes back from there.
     """
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int = PIECES):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old, self.entries = make, {}, entries
 
     def __missing__(self, piece: str) -> bytes:
         found = self.old.get(piece)
         if found is None:
             found = self.make(piece)
-        if len(self) >= PIECES:
+        if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
         if len(piece) <= 64:
@@ -207,10 +208,10 @@ class TextBpe:
     are remembered. Texts with other white space are split by the pattern throughout.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.bpe, self.pattern = PrefixBpe(ranks), regex.compile(pattern)
-        self._units = _Known(self._split)
-        self._spaced = _Known(lambda unit: self._split(" " + unit))
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = PIECES):
+        self.bpe, self.pattern = PrefixBpe(ranks, entries), regex.compile(pattern)
+        self._units = _Known(self._split, entries)
+        self._spaced = _Known(lambda unit: self._split(" " + unit), entries)
 
     def _piece(self, piece: str) -> bytes:
         return np.array(self.bpe.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
@@ -284,14 +285,15 @@ class EncodedText:
         return self
 
 
-_CODERS: dict[tuple[str, str], TextBpe] = {}
+_CODERS: dict[tuple[str, str, int], TextBpe] = {}
 
 
-def coder(path: str, pattern: str) -> TextBpe:
+def coder(path: str, pattern: str, entries: int = PIECES) -> TextBpe:
     """The coder of a vocabulary file, made once per worker."""
-    if (path, pattern) not in _CODERS:
-        _CODERS[path, pattern] = TextBpe(read_ranks(path), pattern)
-    return _CODERS[path, pattern]
+    key = (path, pattern, entries)
+    if key not in _CODERS:
+        _CODERS[key] = TextBpe(read_ranks(path), pattern, entries)
+    return _CODERS[key]
 
 
 def sha256(data: bytes) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut
-from .bpe import coder, sha256
+from .bpe import PIECES, coder, sha256
 from .common import column, id_and_bytes, texts
 
 VOCABULARY, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
@@ -16,7 +16,7 @@ VOCABULARY, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
 LENGTHS = 4096
 
 
-def _encoded(docs: DataFrame, id: str, text: str, schema: T.StructType, row, vocabulary: str | None, pattern: str) -> DataFrame:
+def _encoded(docs: DataFrame, id: str, text: str, schema: T.StructType, row, vocabulary: str | None, pattern: str, entries: int = PIECES) -> DataFrame:
     """Rows ``(id, *row(coder, text))``; a vocabulary is a path that every executor can read."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -24,7 +24,7 @@ def _encoded(docs: DataFrame, id: str, text: str, schema: T.StructType, row, voc
     path, arrow = vocabulary or public_tokenizers.path(VOCABULARY), to_arrow_schema(schema)
 
     def run(batches):
-        code = coder(path, pattern)
+        code = coder(path, pattern, entries)
         for ids, bodies in texts(batches):
             made = [row(code, b.decode("utf-8", "replace")) for b in bodies]
             columns = [ids, *zip(*made)] if made else [[] for _ in arrow]
@@ -52,15 +52,18 @@ def encode(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary:
     return _encoded(docs, id, text, schema, row, vocabulary, pattern)
 
 
-def encode_digests(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: str | None = None, pattern: str = PATTERN) -> DataFrame:
-    """As :func:`encode`, with digests in the place of the bytes: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
+def encode_digests(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: str | None = None, pattern: str = PATTERN, entries: int = PIECES) -> DataFrame:
+    """As :func:`encode`, with digests in the place of the bytes: ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``.
+
+    ``entries`` bounds the memories of a worker; it changes speed and memory only.
+    """
     schema = _schema(docs, id, ("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
 
     def row(code, text):
         ids = code.encode_bytes(text)
         return len(ids) // 4, sha256(ids), sha256(code.decode_bytes(ids))
 
-    return _encoded(docs, id, text, schema, row, vocabulary, pattern)
+    return _encoded(docs, id, text, schema, row, vocabulary, pattern, entries)
 
 
 def token_counts(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: str | None = None, pattern: str = PATTERN) -> DataFrame:
@@ -99,21 +102,27 @@ def length_histogram(counts: DataFrame, length: str = "n_tokens", lengths: int =
     )
 
 
-def answers(histogram: DataFrame, limits: DataFrame) -> DataFrame:
+def answers(histogram: DataFrame, limits: DataFrame, lengths: int = LENGTHS) -> DataFrame:
     """For context limits ``(limit)``: ``docs_over``, ``tokens_over`` (of whole longer documents) and ``truncated_tokens``.
 
     The limit's answer is that of the next longer length that occurs, corrected by the limit; limits above all lengths cut
-    nothing. One row per distinct limit that is not null.
+    nothing. One row per distinct limit that is not null. The next longer length is looked for in the range of the limit, and else is the first
+    one of the next range that has any.
     """
     asked = limits.where("limit IS NOT NULL").select(F.col("limit").cast("long").alias("limit")).distinct()
     total = histogram.agg(F.coalesce(F.max("tokens_at_least"), F.lit(0)).alias("all")).first()["all"]
+    answer = F.struct("n_tokens", "docs_at_least", "tokens_at_least")
     points = (
-        histogram.select("n_tokens", "docs_at_least", "tokens_at_least", F.lit(None).cast("long").alias("limit"))
-        .unionByName(asked.select((F.col("limit") + 1).alias("n_tokens"), F.lit(None).cast("long").alias("docs_at_least"), F.lit(None).cast("long").alias("tokens_at_least"), "limit"))
+        histogram.select("n_tokens", answer.alias("answer"), F.lit(None).cast("long").alias("limit"))
+        .unionByName(asked.select((F.col("limit") + 1).alias("n_tokens"), F.lit(None).cast("struct<n_tokens:long,docs_at_least:long,tokens_at_least:long>").alias("answer"), "limit"))
+        .withColumn("_range", F.floor(F.col("n_tokens") / lengths))
     )
-    ahead = Window.orderBy("n_tokens", F.col("limit").asc_nulls_last()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    found = points.withColumn("_at", F.first(F.when(F.col("docs_at_least").isNotNull(), F.struct("docs_at_least", "tokens_at_least")), ignorenulls=True).over(ahead))
+    later = Window.orderBy("_range").rowsBetween(1, Window.unboundedFollowing)
+    ranges = points.groupBy("_range").agg(F.min("answer").alias("first")).select("_range", F.first("first", ignorenulls=True).over(later).alias("_next"))
+    ahead = Window.partitionBy("_range").orderBy("n_tokens", F.col("limit").asc_nulls_last()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = points.withColumn("_here", F.first("answer", ignorenulls=True).over(ahead)).where("limit IS NOT NULL").join(ranges, ["_range"])
+    found = found.withColumn("_at", F.coalesce("_here", "_next"))
     docs, tokens = F.coalesce("_at.docs_at_least", F.lit(0)), F.coalesce("_at.tokens_at_least", F.lit(0))
-    return found.where("limit IS NOT NULL").select(
+    return found.select(
         "limit", docs.alias("docs_over"), tokens.alias("tokens_over"), (F.lit(total) - tokens + F.col("limit") * docs).alias("truncated_tokens"),
     )

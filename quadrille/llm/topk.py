@@ -2,10 +2,10 @@
 
 Vectors are dealt into blocks. In a block, each component of each vector is a posting; its size is quantised into levels, and
 the postings of one dimension, sign and level are a segment. For a query, segments are processed by descending impact (the
-query's component times the largest value of the level) and add the middle of their level to the vectors they hold. What is left
-out and what the levels blur is bounded, and the bound is the same for all vectors of the block: a vector whose sum is below the k-th
-best sum by more than twice the bound is proven not to be a member. Processing stops when the possible members are few; they
-are scored exactly, so it may stop at any time without changing the result.
+query's component times the largest value of the level) and add the middle of their level to the vectors they hold. What a vector may still
+get is bounded by itself: by the norm that is left of it, times the norm that is left of the query on the components it has not been given yet,
+plus what its levels blur. A vector whose sum and bound lie below the k-th best sum less its bound is proven not to be a member. Processing stops when scoring
+the possible members exactly is less work than the postings that are left; it may stop at any time without changing the result.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from .common import column
 
 K = 10
-LEVELS = 32
+LEVELS = 256
 #: Vectors of a block, and queries that meet it at a time.
-BLOCK, QUERIES = 4096, 1024
-STEPS = 6
+BLOCK, QUERIES = 8192, 16384
+#: Shares of the postings after which proofs are tried.
+STEPS = 16
 
 
 class ImpactIndex:
@@ -42,37 +43,48 @@ class ImpactIndex:
         self.dim, self.level = number // (2 * levels), number // 2 % levels
         self.middle = (self.level * self.width[self.dim] + (self.width[self.dim] - 1) / 2) * np.where(number % 2, -1, 1)
         self.highest = (self.level + 1) * self.width[self.dim] - 1
+        self.lowest = self.level * self.width[self.dim]
+        self.norms = np.sqrt((vectors.astype(float) ** 2).sum(axis=1))
+        self.postings = 0  # processed by the last search
 
     def search(self, query: np.ndarray, k: int, ids: np.ndarray, own) -> list[tuple[int, int]]:
         """The ``k`` best ``(id, score)`` of the block without ``own``; ties to the smaller id."""
-        weight = np.abs(query)
+        weight = np.abs(query).astype(float)
         order = np.argsort(-(weight[self.dim] * self.highest), kind="stable")
-        sums, need = np.zeros(self.count), min(k + int((ids == own).sum()), self.count)
-        blur = weight * (self.width - 1) / 2
-        few, done = max(4 * need, self.count // 64), 0
-        for share in np.array_split(order, STEPS):
-            if len(share):
-                sums += self._add(share, query)
-            done += len(share)
-            left = order[done:]
-            rest = np.zeros(len(query))
-            np.maximum.at(rest, self.dim[left], weight[self.dim[left]] * self.highest[left])
-            bound = np.maximum(rest, blur).sum()
-            bound += 1e-9 * (bound + np.abs(sums).max()) + 1e-6
-            best = np.partition(sums, self.count - need)[self.count - need]
-            possible = np.flatnonzero(sums >= best - 2 * bound)
-            if len(possible) <= few:
+        need = min(k + int((ids == own).sum()), self.count)
+        upto = np.cumsum(self.length[order])
+        cuts = np.unique(np.searchsorted(upto, np.linspace(0, upto[-1], STEPS + 1)[1:])) + 1
+        half = (self.width - 1) / 2
+        sums, blur, seen_x, seen_q = (np.zeros(self.count) for _ in range(4))
+        length, start, self.postings = float(np.sqrt((weight**2).sum())), 0, 0
+        for stop in cuts:
+            share = order[start:stop]
+            members, dims = self._postings(share)
+            times = self.length[share]
+            sums += np.bincount(members, np.repeat(query[self.dim[share]] * self.middle[share], times), self.count)
+            blur += np.bincount(members, (weight * half)[dims], self.count)
+            seen_x += np.bincount(members, np.repeat(self.lowest[share].astype(float) ** 2, times), self.count)
+            seen_q += np.bincount(members, (weight**2)[dims], self.count)
+            self.postings += len(members)
+            start = stop
+            rest = np.sqrt(np.maximum(self.norms**2 - seen_x, 0) * np.maximum(length**2 - seen_q, 0))
+            bound = rest + blur
+            bound += 1e-9 * (np.abs(sums) + bound + self.norms * length) + 1e-6
+            least = np.partition(sums - bound, self.count - need)[self.count - need]
+            possible = np.flatnonzero(sums + bound >= least)
+            if len(possible) * len(query) <= upto[-1] - self.postings or len(possible) <= need:
                 break
         possible = possible[ids[possible] != own]
         scores = self.vectors[possible] @ query
         top = np.lexsort((ids[possible], -scores))[:k]
         return list(zip(ids[possible][top].tolist(), scores[top].tolist()))
 
-    def _add(self, segments: np.ndarray, query: np.ndarray) -> np.ndarray:
+    def _postings(self, segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Members of some segments, and the dimension of each posting."""
         length = self.length[segments]
         upto = np.cumsum(length)
         places = np.arange(upto[-1]) + np.repeat(self.start[segments] - upto + length, length)
-        return np.bincount(self.members[places], np.repeat(query[self.dim[segments]] * self.middle[segments], length), self.count)
+        return self.members[places], np.repeat(self.dim[segments], length)
 
 
 def components(vector: Column) -> Column:
@@ -101,7 +113,7 @@ def search(
     left, right = ready(vectors), ready(queries).dropDuplicates(["id"])
     blocks = max(1, -(-vectors.count() // block))
     turns = max(1, -(-queries.count() // at_a_time))
-    dealt = left.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    dealt = left.withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks))).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
     asked = right.withColumn("turn", F.pmod(F.xxhash64("id"), F.lit(turns)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def matrix(t: pa.Table) -> np.ndarray:

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quadrille.llm.bpe import EncodedText, Prefixes, TextBpe, read_ranks, spans
+from quadrille.llm.queries import QUERIES
 from quadrille.llm.tokens import VOCABULARY, answers, encode, encode_digests, length_histogram, token_counts
 
 RANKS = read_ranks(public_tokenizers.path(VOCABULARY))
@@ -94,3 +95,24 @@ def test_histogram_answers_totals_quantiles_and_limits(spark):
 
 def test_counts(made):
     assert [r.n_tokens for r in token_counts(made([(1, "a b"), (2, None)])).collect()] == [2, 0]
+
+
+def test_the_query_of_lengths_against_brute_force(spark):
+    texts = [r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    sizes = [len(THEIRS.encode_ordinary(t)) for t in texts]
+    found = {r.n_tokens: r for r in QUERIES["op1_token_counts"](spark, SMALL).collect()}
+    assert sorted(found) == sorted(set(sizes))
+    for n, r in found.items():
+        over = [s for s in sizes if s >= n]
+        assert (r.n_docs, r.docs_at_least, r.tokens_at_least, r.truncated_tokens) == (sizes.count(n), len(over), sum(over), sum(min(s, n) for s in sizes))
+
+
+def test_limits_between_far_ranges(spark):
+    sizes = [0, 3, 3, 17, 50, 51, 999]
+    table = length_histogram(spark.createDataFrame([(s,) for s in sizes], "n_tokens long"), lengths=10)
+    asked = [*range(0, 60), 500, 998, 999, 5000]
+    got = {r.limit: r for r in answers(table, spark.createDataFrame([(x,) for x in asked], "limit long"), lengths=10).collect()}
+    assert sorted(got) == asked
+    for limit, r in got.items():
+        over = [s for s in sizes if s > limit]
+        assert (r.docs_over, r.tokens_over, r.truncated_tokens) == (len(over), sum(over), sum(min(s, limit) for s in sizes))

@@ -40,3 +40,33 @@ def test_against_brute_force_with_odd_rows(spark):
     found = search(df, df.where("vec_id % 50 = 0 OR vec_id > 450"), block=64, at_a_time=5)
     assert sorted(map(tuple, found.collect())) == sorted(want)
     assert search(df.limit(0), df).count() == 0 and search(df, df.limit(0)).count() == 0
+
+
+def test_proofs_stop_before_all_postings_of_the_given_vectors(spark):
+    rows = spark.read.parquet(f"{SMALL.replace('0.001', '0.1')}/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    ids = np.array([r.vec_id for r in rows])
+    x = np.floor(1024 * np.array([r.embedding for r in rows], float)).astype(np.int64)
+    index, used = ImpactIndex(x), []
+    for at in range(0, len(x), 100):
+        scores = x @ x[at]
+        best = np.lexsort((ids, -scores))
+        want = [(int(ids[i]), int(scores[i])) for i in best if i != at][:10]
+        assert index.search(x[at], 10, ids, ids[at]) == want
+        used.append(index.postings / x.size)
+    assert max(used) < 0.9 and sum(used) / len(used) < 0.7
+    # Vectors with a few large components, as of texts: most of the index is never touched.
+    rng = np.random.default_rng(3)
+    x = np.rint(rng.exponential(size=(4000, 32)) ** 4 * 50 * rng.choice([-1, 1], (4000, 32))).astype(np.int64)
+    index = ImpactIndex(x)
+    for at in (0, 1, 2):
+        scores = x @ x[at]
+        best = np.lexsort((np.arange(4000), -scores))
+        assert index.search(x[at], 10, np.arange(4000), at) == [(int(i), int(scores[i])) for i in best if i != at][:10]
+        assert index.postings < 0.5 * x.size
+
+
+def test_one_repeated_row_is_dealt_to_all_blocks(spark):
+    df = spark.createDataFrame([(7, [1.0, 2.0])] * 300 + [(i, [float(i), 0.5]) for i in range(8, 60)], "vec_id long, embedding array<double>").repartition(4)
+    found = search(df, df.where("vec_id = 59"), k=12, block=32)
+    got = [(r.rank, r.vec_id) for r in found.orderBy("rank").collect()]
+    assert got == [(k + 1, 58 - k) for k in range(12)]
