@@ -23,6 +23,8 @@ from quadrille.session import remove, scope, scratch  # noqa: E402
 
 #: Arrow batches are smaller than those of single operators: workers of five stages live side by side on an executor.
 BATCH = "8m"
+#: For the same reason the encoder remembers fewer words than it does alone.
+ENTRIES = 80_000
 
 
 def _ready(spark: SparkSession) -> SparkSession:
@@ -76,7 +78,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     result. Other columns are not looked at.
     """
     _ready(spark)
-    return encode_digests(docs)
+    return encode_digests(docs, entries=ENTRIES)
 
 
 STAGES = [
