@@ -378,6 +378,10 @@ def mapped_quads(mapping: Mapping) -> DataFrame:
     return out.filter(F.col("s").isNotNull() & F.col("o_value").isNotNull())
 
 
+#: Equal rows that are numbered from one array.
+NUMBERED = 10_000
+
+
 @dataclass(frozen=True)
 class Table:
     """A relational source for direct mapping: name, data, primary key and foreign keys ``column -> (table, key)``."""
@@ -397,8 +401,8 @@ def direct_mapping(tables: list[Table], base: str, columns: dict[str, list[str]]
     """The mapping that needs no mapping text.
 
     Per row: one ``rdf:type``, one literal per non-NULL column, one link per foreign key. The subject is
-    ``base/Table/key=value``; a row without a key is a blank node named by a hash of the whole row, so equal rows
-    are one node. ``columns`` limits the mapped columns of a table.
+    ``base/Table/key=value``; a row without a key is a blank node named by a hash of the whole row and, for the second and further of
+    equal rows, its number. ``columns`` limits the mapped columns of a table.
     """
     mappings = []
     for t in tables:
@@ -406,8 +410,14 @@ def direct_mapping(tables: list[Table], base: str, columns: dict[str, list[str]]
         if t.key:
             subject = row_template(t.name, base, [(k, k) for k in t.key])
         else:
-            # Equal rows are one node. Merging rows here costs one shuffle of rows instead of one of all triples.
-            source = source.distinct().withColumn("_row", F.sha2(F.to_json(F.struct(*source.columns)), 256))
+            # Equal rows are counted, which merges them on the map side, and numbered from the count, in steps that keep arrays short.
+            names = source.columns
+            source = source.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count(F.lit(1)).alias("_n"))
+            source = source.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / NUMBERED))))
+            last = F.least(F.col("_n"), (F.col("_step") + 1) * NUMBERED)
+            source = source.withColumn("_number", F.explode(F.sequence(F.col("_step") * NUMBERED + 1, last)))
+            row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])), 256)
+            source = source.withColumn("_row", F.when(F.col("_number") == 1, row).otherwise(F.concat(row, F.lit("-"), F.col("_number"))))
             subject = Template(f"{t.name}{{_row}}", bnode=True)
         wanted = (columns or {}).get(t.name, t.data.columns)
         rules = [Rule(subject, RDF_TYPE, f"{base}{t.name}")]

@@ -160,9 +160,34 @@ def _met(left: DataFrame, right: DataFrame, shared: list[str], keys: list[str],
     return joined.select(*filled, *[F.col(f"`{c}`") for c in right.columns if c not in shared])
 
 
-def _refuse(keys: list[str]) -> None:
-    if not keys:
-        raise ValueError("rows share no bound variable; their product is not built")
+def _one_row(df: DataFrame) -> bool:
+    return len(df.limit(2).collect()) < 2
+
+
+def _product(left: DataFrame, right: DataFrame, shared: list[str], how: str, condition: Column | None = None) -> DataFrame:
+    """Rows that share no bound variable all agree with each other. Built where one side is a row at most, and an error naming the variables otherwise.
+
+    The one row is joined on a constant and broadcast; a left row without a partner is kept by asking whether there is any result.
+    """
+    few_right = _one_row(right)
+    if not few_right and not _one_row(left):
+        raise ValueError(f"rows share no bound variable ({', '.join('?' + c for c in shared)} unbound); their product is not built")
+    l, r = left.withColumn("_k", F.lit(1)), right.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in shared else c) for c in right.columns]).withColumn("_k", F.lit(1))
+    on = (l["_k"] == r["_k"]) if condition is None else (l["_k"] == r["_k"]) & condition
+    filled = [F.coalesce(F.col(c), F.col(f"_r_{c}")).alias(c) if c in shared else F.col(f"`{c}`") for c in left.columns]
+    columns = [*filled, *[F.col(f"`{c}`") for c in right.columns if c not in shared]]
+    if few_right and how != "left_anti":
+        return l.join(F.broadcast(r), on, how).select(*columns)
+    if few_right:
+        return l.join(F.broadcast(r), on, how).drop("_k")
+    met = F.broadcast(l).join(r, on, "inner").select(*columns)
+    if how == "inner":
+        return met
+    alone = l.join(F.broadcast(met.select(F.lit(1).alias("_k")).limit(1)), ["_k"], "left_anti").drop("_k")
+    if how == "left_anti":
+        return alone
+    kinds = {f.name: f.dataType for f in right.schema}
+    return met.unionByName(alone.select("*", *[F.lit(None).cast(kinds[c]).alias(c) for c in right.columns if c not in shared]))
 
 
 def join(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -178,8 +203,10 @@ def join(left: DataFrame, right: DataFrame) -> DataFrame:
     for l, lefts, rights in _split(left, right, shared):
         for r, found in rights:
             keys = [c for c in shared if c not in l | r]
-            _refuse(keys)
-            parts.append(lefts.join(found, shared, "inner") if len(keys) == len(shared) else _met(lefts, found, shared, keys, "inner"))
+            if not keys:
+                parts.append(_product(lefts, found, shared, "inner"))
+            else:
+                parts.append(lefts.join(found, shared, "inner") if len(keys) == len(shared) else _met(lefts, found, shared, keys, "inner"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -192,8 +219,9 @@ def optional(left: DataFrame, right: DataFrame, condition: Column | None = None)
     parts = []
     for l, lefts, rights in _split(left, right, shared):
         keyed = [([c for c in shared if c not in l | r], found) for r, found in rights]
-        for keys, _ in keyed:
-            _refuse(keys)
+        if len(keyed) == 1 and not keyed[0][0]:
+            parts.append(_product(lefts, keyed[0][1], shared, "left", condition))
+            continue
         if len(keyed) == 1:
             keys, found = keyed[0]
             parts.append(lefts.join(found, shared, "left") if len(keys) == len(shared) and condition is None else _met(lefts, found, shared, keys, "left", condition))
@@ -201,6 +229,10 @@ def optional(left: DataFrame, right: DataFrame, condition: Column | None = None)
         # Several kinds of right rows: partners of each kind, and the left rows that have none of any kind.
         alone = lefts
         for keys, found in keyed:
+            if not keys:
+                parts.append(_product(lefts, found, shared, "inner", condition))
+                alone = _product(alone, found, shared, "left_anti", condition)
+                continue
             parts.append(_met(lefts, found, shared, keys, "inner", condition))
             renamed = found.select(*[F.col(f"`{c}`").alias(f"_r_{c}" if c in shared else c) for c in found.columns])
             on = reduce(Column.__and__, [F.col(c) == F.col(f"_r_{c}") for c in keys])

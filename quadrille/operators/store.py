@@ -5,7 +5,9 @@ Layout below a root folder::
     base-<n>-<id>/      all quads at one version, parquet in hash buckets of the predicate, sorted by predicate and subject
     delta-<n>-<id>/     op=added / op=removed: exactly the quads a commit changed, in the same buckets; op=again: quads of a graph that the
                         commit has emptied, which were there before
+    fold-<n>-<id>/      some buckets of the base with deltas folded in, in the place of those buckets
     stars-<n>-<id>/     quads by subject, see stars.py; made and kept up by ``cluster`` and ``compact``
+    sketch-<n>-<id>/    per predicate, what is known of a base or delta: quads, and sketches of its subjects and objects
     prefixes-<n>-<id>/  the prefix table
     versions/<n>.json   one line per published version: which base, which deltas, what they hold and which graphs they empty, which other tables
 
@@ -13,6 +15,9 @@ A commit writes one delta and then its version file, which is created only if it
 version one fails; readers take the newest version file, so a job that dies in between changes nothing. Reading joins the
 base with the quads that deltas have removed, and with nothing when they have only added. An emptied graph is a word in the version file and
 a filter on what is older. ``compact`` folds the deltas into a new base, and ``clean`` deletes what no kept version names.
+
+After every ``MOST_DELTAS`` commits ``upkeep`` runs by itself: buckets of which deltas hold more than ``FOLD_SHARE`` of the base are folded, one
+folder for all of them and no other bucket rewritten, and the remaining deltas are merged into one.
 """
 
 from __future__ import annotations
@@ -25,15 +30,24 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import DEFAULT_GRAPH, QUAD, QUAD_SCHEMA, as_set
+from ..model import DEFAULT_GRAPH, OBJECT, QUAD, QUAD_SCHEMA, as_set
 from ..session import create_once, cut, hadoop_path, join_lookup
 from .graph import Graph, Pattern, StoredGraph
 from .stars import EVERYTHING_CLEARED, Stars, write_stars
 
 ADDED, REMOVED, AGAIN = "added", "removed", "again"
-# Of a delta: quads added to and removed from what was there (those of emptied graphs too), removals it holds, and graphs it empties first.
-_DELTA = "struct<name string, added long, removed long, drops long, cleared array<string>>"
-_RECORD = f"version long, base string, deltas array<{_DELTA}>, prefixes string, stars struct<name string, parts int, deltas int>"
+# Of a delta: quads added to and removed from what was there (those of emptied graphs too), removals it holds, graphs that were emptied and by which
+# version, before what it adds, and the version that it made.
+_DELTA = "struct<name string, added long, removed long, drops long, cleared array<struct<g string, seq long>>, seq long>"
+# Of folded buckets: the newest version in them. Of stars: the version they show, and deltas that changed it since but are no longer read.
+_RECORD = (
+    f"version long, base string, deltas array<{_DELTA}>, prefixes string, folds array<struct<name string, upto long, buckets array<int>>>, "
+    "stars struct<name string, parts int, upto long, pending array<string>>, sketches array<string>"
+)
+#: Logarithm of the cells of a sketch: a standard error of about 1 %.
+SKETCH = 14
+#: Deltas after which upkeep runs, and the share of a bucket's base that its deltas may hold.
+MOST_DELTAS, FOLD_SHARE = 16, 0.5
 _PREFIXES = "prefix string, iri string"
 
 # Folders of a base or delta: hash buckets of the predicate.
@@ -86,9 +100,9 @@ def drops(delta: dict) -> int:
     return delta["removed"] if delta.get("drops") is None else delta["drops"]
 
 
-def cleared_by(deltas: list[dict]) -> frozenset[str]:
-    """Graphs that some deltas empty."""
-    return frozenset(g for d in deltas for g in d.get("cleared") or ())
+def cleared_by(deltas: list[dict], after: int = -1) -> frozenset[str]:
+    """Graphs that some deltas empty, by a version ``after`` another."""
+    return frozenset(c["g"] for d in deltas for c in d.get("cleared") or () if c["seq"] > after)
 
 
 def uncleared(quads: DataFrame, cleared: frozenset[str]) -> DataFrame:
@@ -172,31 +186,33 @@ class GraphStore:
     def _publish(self, record: dict) -> None:
         create_once(self.spark, f"{self.root}/versions/{record['version']}.json", record)
 
-    def _rebase(self, version: int, quads: DataFrame, prefixes: str = "", stars: bool = False) -> None:
+    def _rebase(self, version: int, quads: DataFrame, prefixes: str = "", stars: bool = False, sketches: bool = False) -> None:
         name = self._fresh("base", version)
         write_quads(quads, f"{self.root}/{name}")
-        made = self._write_stars(version, self._base(name), 0) if stars else None
-        self._publish({"version": version, "base": name, "deltas": [], "prefixes": prefixes, "stars": made})
+        made = self._write_stars(version, self._base(name)) if stars else None
+        counted = [self._write_sketch(version, self._base(name))] if sketches else []
+        self._publish({"version": version, "base": name, "deltas": [], "prefixes": prefixes, "folds": [], "stars": made, "sketches": counted})
 
-    def _write_stars(self, version: int, quads: DataFrame, deltas: int) -> dict:
+    def _write_stars(self, version: int, quads: DataFrame) -> dict:
         name = self._fresh("stars", version)
-        return {"name": name, "parts": write_stars(quads, f"{self.root}/{name}"), "deltas": deltas}
+        return {"name": name, "parts": write_stars(quads, f"{self.root}/{name}"), "upto": version, "pending": []}
 
     def cluster(self) -> None:
         """Publish a version that also holds the quads by subject, so that patterns on one subject are one scan. Commits keep it usable: subjects
         they touch are asked of the predicate buckets. ``compact`` writes it anew."""
         record = self._record()
-        version, deltas = record["version"] + 1, record["deltas"]
-        stars = self._write_stars(version, self._read(record["base"], deltas).select(*QUAD), len(deltas))
-        self._publish(record | {"version": version, "stars": stars})
+        version = record["version"] + 1
+        self._publish(record | {"version": version, "stars": self._write_stars(version, self._read(record).select(*QUAD))})
 
     def _stars(self, record: dict) -> Stars | None:
         kept = record.get("stars")
         if not kept:
             return None
-        later = record["deltas"][kept["deltas"]:]
-        changes = self._delta(later).select("s", "g") if later else None
-        return Stars(self.spark, f"{self.root}/{kept['name']}", kept["parts"], changes, cleared_by(later))
+        later = [d for d in record["deltas"] if (d["seq"] or 0) > kept["upto"]]
+        names = [*(kept["pending"] or ()), *(d["name"] for d in later)]
+        changes = [self.spark.read.schema("s string, g string").parquet(f"{self.root}/{name}").select("s", "g") for name in names]
+        return Stars(self.spark, f"{self.root}/{kept['name']}", kept["parts"], reduce(DataFrame.unionByName, changes) if changes else None,
+                     cleared_by(record["deltas"], kept["upto"]))
 
     def _records(self) -> DataFrame:
         return self.spark.read.schema(_RECORD).json(f"{self.root}/versions")
@@ -212,24 +228,40 @@ class GraphStore:
     def _delta(self, deltas: list[dict]) -> DataFrame:
         """All operations of some deltas that no later one of them has undone by emptying a graph: quads, bucket, ``op`` and ``_seq``."""
         schema = f"{_STORED}, op string, {BUCKET} int"
-        parts = [uncleared(self.spark.read.schema(schema).parquet(f"{self.root}/{d['name']}"), cleared_by(deltas[i + 1:])).withColumn("_seq", F.lit(i))
+        parts = [uncleared(self.spark.read.schema(schema).parquet(f"{self.root}/{d['name']}"), cleared_by(deltas[i + 1:])).withColumn("_seq", F.lit(d["seq"] or 0))
                  for i, d in enumerate(deltas)]
         return reduce(DataFrame.unionByName, parts)
 
     def quads(self) -> DataFrame:
-        _, base, deltas = self.current()
-        return self._read(base, deltas).select(*QUAD)
+        return self._read(self._record()).select(*QUAD)
+
+    def _stored(self, record: dict) -> DataFrame:
+        """Base and folded buckets, without the graphs that deltas not yet in them have emptied."""
+        folds = record.get("folds") or []
+        covered = sorted(b for f in folds for b in f["buckets"])
+        base = self._base(record["base"])
+        parts = [uncleared(base.filter(~F.col(BUCKET).isin(covered)) if covered else base, cleared_by(record["deltas"]))]
+        for f in folds:
+            parts.append(uncleared(self._base(f["name"]).filter(F.col(BUCKET).isin(f["buckets"])), cleared_by(record["deltas"], f["upto"])))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _live(self, record: dict, deltas: list[dict] | None = None) -> DataFrame:
+        """All operations of the deltas that are in no folded bucket: quads, bucket, ``op`` and ``_seq``."""
+        every = self._delta(record["deltas"] if deltas is None else deltas)
+        for f in record.get("folds") or []:
+            every = every.filter(~(F.col(BUCKET).isin(f["buckets"]) & (F.col("_seq") <= f["upto"])))
+        return every
 
-    def _read(self, base: str, deltas: list[dict]) -> DataFrame:
+    def _read(self, record: dict) -> DataFrame:
         """The quads with their buckets.
 
         A delta holds real changes only. So the base loses what was ever removed, and what is added last comes from the deltas. Of a graph
         that a delta empties, only what this and later deltas add is left.
         """
-        stored = uncleared(self._base(base), cleared_by(deltas))
+        stored, deltas = self._stored(record), record["deltas"]
         if not deltas:
             return stored
-        every = self._delta(deltas)
+        every = self._live(record)
         removed = every.filter(F.col("op") == REMOVED)
         kept = anti(stored, removed) if any(drops(d) for d in deltas) else stored
         added = every.drop("_seq") if len(deltas) == 1 else last_operation(every) if any(drops(d) for d in deltas) else every
@@ -240,7 +272,22 @@ class GraphStore:
 
     def graph(self) -> StoredGraph:
         record = self._record()
-        return BucketedGraph(self._read(record["base"], record["deltas"]), self._stars(record))
+        return BucketedGraph(self._read(record), self._stars(record))
+
+    def changes_since(self, old: dict) -> tuple[DataFrame, DataFrame] | None:
+        """Quads added and removed since an earlier record, from deltas alone. None where these do not tell: after a compaction or upkeep, and
+        where a graph was emptied."""
+        record = self._record()
+        names = [d["name"] for d in old["deltas"]]
+        new = record["deltas"][len(names):]
+        if record["base"] != old["base"] or (record["folds"] or []) != (old["folds"] or []) or [d["name"] for d in record["deltas"][:len(names)]] != names or cleared_by(new):
+            return None
+        if not new:
+            nothing = self.spark.createDataFrame([], QUAD_SCHEMA)
+            return nothing, nothing
+        # A delta holds real changes, so the first one of a quad says whether it was there, and the last one whether it is.
+        ops = self._delta(new).groupBy(*QUAD).agg(F.min_by("op", "_seq").alias("first"), F.max_by("op", "_seq").alias("last"))
+        return ops.filter((F.col("first") == ADDED) & (F.col("last") == ADDED)).select(*QUAD), ops.filter((F.col("first") == REMOVED) & (F.col("last") == REMOVED)).select(*QUAD)
 
     def prefixes(self) -> DataFrame:
         """The prefix table ``(prefix, iri)`` of the store."""
@@ -266,11 +313,12 @@ class GraphStore:
         """
         kept = self._records().orderBy(F.desc("version")).limit(keep).collect()
         names = {"versions", *(r["base"] for r in kept), *(r["prefixes"] for r in kept), *(d["name"] for r in kept for d in r["deltas"])}
-        names |= {r["stars"]["name"] for r in kept if r["stars"]}
+        names |= {x for r in kept if r["stars"] for x in (r["stars"]["name"], *(r["stars"]["pending"] or ()))}
+        names |= {x for r in kept for x in (r["sketches"] or ())} | {f["name"] for r in kept for f in r["folds"] or ()}
         files, root = hadoop_path(self.spark, self.root)
         for found in files.listStatus(root):
             name = found.getPath().getName()
-            if name not in names and name.split("-")[0] in ("base", "delta", "prefixes", "stars"):
+            if name not in names and name.split("-")[0] in ("base", "delta", "prefixes", "stars", "fold", "sketch"):
                 files.delete(found.getPath(), True)
         versions = {f"{r['version']}.json" for r in kept}
         for found in files.listStatus(hadoop_path(self.spark, f"{self.root}/versions")[1]):
@@ -286,14 +334,75 @@ class GraphStore:
 
     def size_estimate(self) -> DataFrame:
         """Number of quads, one row ``n``, from row counts in file footers and version records: base + added - removed, no join."""
-        _, base, deltas = self.current()
-        changed = sum(d["added"] - d["removed"] for d in deltas)
-        return self._base(base).agg((F.count("*") + F.lit(changed)).alias("n"))
+        record = self._record()
+        changed = sum(d["added"] - d["removed"] for d in record["deltas"])
+        return self._base(record["base"]).agg((F.count("*") + F.lit(changed)).alias("n"))
+
+    def _write_sketch(self, version: int, quads: DataFrame) -> str:
+        name = self._fresh("sketch", version)
+        term = F.concat_ws("\n", *OBJECT)
+        sketches = quads.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("s", F.lit(SKETCH)).alias("subjects"), F.hll_sketch_agg(term, F.lit(SKETCH)).alias("objects"))
+        sketches.write.parquet(f"{self.root}/{name}")
+        return name
+
+    def analyze(self) -> None:
+        """Publish a version with sketches of every predicate. Commits and ``compact`` keep them up: a commit counts only what it adds."""
+        record = self._record()
+        version = record["version"] + 1
+        self._publish(record | {"version": version, "sketches": [self._write_sketch(version, self._read(record))]})
+
+    def estimates(self) -> DataFrame:
+        """``(p, quads, subjects, objects)``: about how many quads and different subjects and objects a predicate has, from sketches that were added
+        up; no quad is read. A sketch cannot forget: what has been removed since the last ``analyze`` or ``compact`` still counts."""
+        names = self._record()["sketches"]
+        if not names:
+            raise ValueError("the store has not been analyzed")
+        parts = [self.spark.read.schema("p string, n long, subjects binary, objects binary").parquet(f"{self.root}/{name}") for name in names]
+        merged = reduce(DataFrame.unionByName, parts).groupBy("p").agg(F.sum("n").alias("quads"), *[F.hll_union_agg(c).alias(c) for c in ("subjects", "objects")])
+        return merged.select("p", "quads", *[F.hll_sketch_estimate(c).alias(c) for c in ("subjects", "objects")])
 
     def compact(self) -> None:
         """Fold the deltas into a new base with fresh, sorted files; the content stays the same."""
         record = self._record()
-        self._rebase(record["version"] + 1, self._read(record["base"], record["deltas"]), record["prefixes"], bool(record["stars"]))
+        self._rebase(record["version"] + 1, self._read(record), record["prefixes"], bool(record["stars"]), bool(record["sketches"]))
+
+    def upkeep(self, share: float = FOLD_SHARE) -> list[int]:
+        """Keep reads fast at a cost that follows the changes; the content stays the same. Returns the buckets that were folded.
+
+        Buckets of which the deltas hold more than ``share`` of what is stored are written anew, the others stay as they are. Deltas that are in
+        no other bucket are then no longer read, and the rest of them become one.
+        """
+        record = self._record()
+        deltas, version = record["deltas"], record["version"] + 1
+        if not deltas:
+            return []
+        # Rows per bucket, at most BUCKETS of them, from footers.
+        held = {r[BUCKET]: r["count"] for r in self._stored(record | {"deltas": []}).groupBy(BUCKET).count().collect()}
+        changed = {r[BUCKET]: r["count"] for r in self._live(record).groupBy(BUCKET).count().collect()}
+        chosen = sorted(b for b, n in changed.items() if n > share * held.get(b, 0))
+        newest = deltas[-1]["seq"] or 0
+        folds = [f | {"buckets": [b for b in f["buckets"] if b not in chosen]} for f in record.get("folds") or []]
+        folds = [f for f in folds if f["buckets"]]
+        if chosen:
+            name = self._fresh("fold", version)
+            write_quads(self._read(record).filter(F.col(BUCKET).isin(chosen)).select(*QUAD), f"{self.root}/{name}")
+            folds.append({"name": name, "upto": newest, "buckets": chosen})
+        after = record | {"version": version, "folds": folds}
+        rest = cut(self._live(after), "rest")
+        # Of each quad, whether any of it was removed, and how it ended.
+        ends = last_operation(rest).filter(F.col("op") != REMOVED)
+        gone = rest.filter(F.col("op") == REMOVED).select(*QUAD, BUCKET).distinct()
+        name = self._fresh("delta", version)
+        one = ends.select(*QUAD, BUCKET, "op").unionByName(gone.withColumn("op", F.lit(REMOVED)))
+        one.hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(f"{self.root}/{name}")
+        dropped = sum(r["count"] for r in self.spark.read.schema("s string, op string").parquet(f"{self.root}/{name}").groupBy("op").count().collect() if r["op"] == REMOVED)
+        total = {k: sum(d[k] for d in deltas) for k in (ADDED, REMOVED)}
+        merged = {"name": name, **total, "drops": dropped, "cleared": [c for d in deltas for c in d["cleared"] or ()], "seq": newest}
+        stars = record["stars"]
+        if stars:
+            stars = stars | {"pending": [*(stars["pending"] or ()), *(d["name"] for d in deltas if (d["seq"] or 0) > stars["upto"])]}
+        self._publish(after | {"deltas": [merged], "stars": stars})
+        return chosen
 
     def snapshot(self, to: str) -> None:
         """A full copy at ``to``, quads and prefixes; an existing target is an error."""
@@ -323,7 +432,7 @@ class Batch:
     def __init__(self, store: GraphStore, reasoning: bool = False):
         self.store, self.reasoning, self.open = store, reasoning, True
         self._record = store._record()
-        self._version, self._base, self._deltas = self._record["version"], self._record["base"], self._record["deltas"]
+        self._version, self._deltas = self._record["version"], self._record["deltas"]
         self._log: list[tuple[str, DataFrame]] = []
         self._cleared: frozenset[str] = frozenset()
 
@@ -338,7 +447,7 @@ class Batch:
         return last_operation(every)
 
     def _before(self) -> DataFrame:
-        return self.store._read(self._base, self._deltas)
+        return self.store._read(self._record)
 
     def quads(self) -> DataFrame:
         """The staged state."""
@@ -434,7 +543,13 @@ class Batch:
                 spark.createDataFrame([], f"{_STORED}, op string, {BUCKET} int").write.parquet(path)
             gone = self._before().filter(self._emptied()).count() if self._cleared else 0
             counts = {ADDED: done.get(ADDED, 0), REMOVED: done.get(REMOVED, 0) + gone - done.get(AGAIN, 0)}
-            deltas = [*self._deltas, {"name": name, **counts, "drops": done.get(REMOVED, 0), "cleared": sorted(self._cleared)}]
-            self.store._publish(self._record | {"version": version, "deltas": deltas})
+            deltas = [*self._deltas, {"name": name, **counts, "drops": done.get(REMOVED, 0), "cleared": [{"g": g, "seq": version} for g in sorted(self._cleared)], "seq": version}]
+            sketches = self._record["sketches"] or []
+            if sketches and done.get(ADDED, 0):
+                new = spark.read.schema(f"{_STORED}, op string").parquet(path).filter(F.col("op") == ADDED)
+                sketches = [*sketches, self.store._write_sketch(version, new)]
+            self.store._publish(self._record | {"version": version, "deltas": deltas, "sketches": sketches})
+            if len(deltas) >= MOST_DELTAS:
+                self.store.upkeep()
         self.open = False
         return counts

@@ -47,56 +47,73 @@ def nquads_scan(spark, folder):
     return as_set(read_nquads(spark, path)).select(*QUAD)
 
 
+def numbers_as_sql(quads, *predicates):
+    """Quads with the doubles of some predicates shown as SQL writes them."""
+    return quads.withColumn("o_value", F.when(F.col("p").isin(list(predicates)), F.col("o_value").cast("double").cast("string")).otherwise(F.col("o_value")))
+
+
 @query("bulk_load", f"""
-    SELECT {iri('nation')} AS s, '{prop('nation', 'n_name')}' AS p, n_name AS o_value, '{DEFAULT_GRAPH}' AS g FROM nation
+    SELECT {iri('nation')} AS s, '{RDF_TYPE}' AS p, '{BASE}nation' AS o_value, '{DEFAULT_GRAPH}' AS g FROM nation
+    UNION ALL SELECT {iri('nation')}, '{prop('nation', 'n_nationkey')}', CAST(n_nationkey AS VARCHAR), '{DEFAULT_GRAPH}' FROM nation
+    UNION ALL SELECT {iri('nation')}, '{prop('nation', 'n_name')}', n_name, '{DEFAULT_GRAPH}' FROM nation
+    UNION ALL SELECT {iri('nation')}, '{prop('nation', 'n_regionkey')}', CAST(n_regionkey AS VARCHAR), '{DEFAULT_GRAPH}' FROM nation
+    UNION ALL SELECT {iri('nation')}, '{link('nation', 'n_regionkey')}', {iri('region', 'n_regionkey')}, '{DEFAULT_GRAPH}' FROM nation
+    UNION ALL SELECT {iri('supplier')}, '{RDF_TYPE}', '{BASE}supplier', 'urn:graph:suppliers' FROM supplier
+    UNION ALL SELECT {iri('supplier')}, '{prop('supplier', 's_suppkey')}', CAST(s_suppkey AS VARCHAR), 'urn:graph:suppliers' FROM supplier
     UNION ALL SELECT {iri('supplier')}, '{prop('supplier', 's_name')}', s_name, 'urn:graph:suppliers' FROM supplier
+    UNION ALL SELECT {iri('supplier')}, '{prop('supplier', 's_nationkey')}', CAST(s_nationkey AS VARCHAR), 'urn:graph:suppliers' FROM supplier
     UNION ALL SELECT {iri('supplier')}, '{link('supplier', 's_nationkey')}', {iri('nation', 's_nationkey')}, 'urn:graph:suppliers' FROM supplier
+    UNION ALL SELECT {iri('supplier')}, '{prop('supplier', 's_acctbal')}', CAST(s_acctbal AS VARCHAR), 'urn:graph:suppliers' FROM supplier
     UNION ALL SELECT DISTINCT {iri('customer', 'o_custkey')}, '{BASE}status', o_orderstatus, 'urn:graph:orders' FROM orders""")
 def bulk_load(spark, folder):
     """Three sources, each to its own graph; the last one holds repeated triples."""
-    g = graph(spark, folder, "nation", "supplier", columns={"nation": ["n_name"], "supplier": ["s_name", "s_nationkey"]})
-    wanted = [prop("supplier", "s_name"), link("supplier", "s_nationkey")]
     status = MappedGraph([Mapping(table(spark, folder, "orders"), (Rule(Template(BASE + "customer/c_custkey={o_custkey}"), BASE + "status", Col("o_orderstatus")),))])
     path = scratch(spark, "bulk")
     write_quads(bulk_quads(
-        (MappedGraph([g.mappings[0]]).quads().filter(F.col("p") == prop("nation", "n_name")), DEFAULT_GRAPH),
-        (MappedGraph([g.mappings[1]]).quads().filter(F.col("p").isin(wanted)), "urn:graph:suppliers"),
-        (status.quads(), "urn:graph:orders"),
+        (graph(spark, folder, "nation").quads(), DEFAULT_GRAPH), (graph(spark, folder, "supplier").quads(), "urn:graph:suppliers"), (status.quads(), "urn:graph:orders"),
     ), path)
-    return read_quads(spark, path).select("s", "p", "o_value", "g")
+    return numbers_as_sql(read_quads(spark, path), prop("supplier", "s_acctbal")).select("s", "p", "o_value", "g")
 
 
 @query("delimited_scan", f"""
     SELECT {iri('customer')} AS s, '{BASE}name' AS p, c_name AS o_value FROM customer
-    UNION ALL SELECT {iri('customer')}, '{BASE}segment', c_mktsegment FROM customer""")
+    UNION ALL SELECT {iri('customer')}, '{BASE}segment', c_mktsegment FROM customer
+    UNION ALL SELECT {iri('customer')}, '{BASE}nation', {iri('nation', 'c_nationkey')} FROM customer
+    UNION ALL SELECT {iri('customer')}, '{BASE}key', CAST(c_custkey AS VARCHAR) FROM customer
+    UNION ALL SELECT {iri('customer')}, '{BASE}balance', CAST(c_acctbal AS VARCHAR) FROM customer""")
 def delimited_scan(spark, folder):
     """Tab-separated text with a header as input of a mapping."""
     path = scratch(spark, "tsv")
-    table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment").write.option("header", True).option("sep", "\t").csv(path)
-    rows = read_lines_delimited(spark, path, "c_custkey long, c_name string, c_mktsegment string", "\t")
+    customer = table(spark, folder, "customer")
+    customer.write.option("header", True).option("sep", "\t").csv(path)
+    rows = read_lines_delimited(spark, path, customer.schema, "\t")
     s = Template(BASE + "customer/c_custkey={c_custkey}")
-    g = MappedGraph([Mapping(rows, (Rule(s, BASE + "name", Col("c_name")), Rule(s, BASE + "segment", Col("c_mktsegment"))), unique=True)])
-    return g.quads().select("s", "p", "o_value")
+    literals = (("name", "c_name"), ("segment", "c_mktsegment"), ("key", "c_custkey"), ("balance", "c_acctbal"))
+    rules = (*(Rule(s, BASE + p, Col(c)) for p, c in literals), Rule(s, BASE + "nation", Template(BASE + "nation/n_nationkey={c_nationkey}")))
+    return numbers_as_sql(MappedGraph([Mapping(rows, rules, unique=True)]).quads(), BASE + "balance").select("s", "p", "o_value")
 
 
 @query("json_scan", f"""
     SELECT {iri('orders')} AS s, '{BASE}customer' AS p, {iri('customer', 'o_custkey')} AS o_value FROM orders
+    UNION ALL SELECT {iri('orders')}, '{BASE}price', CAST(o_totalprice AS VARCHAR) FROM orders
+    UNION ALL SELECT {iri('orders')}, '{BASE}placed', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM orders
     UNION ALL SELECT {iri('orders')}, '{BASE}tag', o_orderstatus FROM orders
     UNION ALL SELECT {iri('orders')}, '{BASE}tag', o_orderpriority FROM orders""")
 def json_scan(spark, folder):
     """JSON objects with an array: the object gives parent triples, its elements child triples."""
     path = scratch(spark, "json")
-    orders = table(spark, folder, "orders")
-    orders.select("o_orderkey", F.struct("o_custkey").alias("by"), F.array("o_orderstatus", "o_orderpriority").alias("tags")).write.json(path)
-    rows = read_json(spark, path, "o_orderkey long, by struct<o_custkey: long>, tags array<string>")
+    by = F.struct("o_custkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("placed")).alias("by")
+    table(spark, folder, "orders").select("o_orderkey", by, F.array("o_orderstatus", "o_orderpriority").alias("tags")).write.json(path)
+    rows = read_json(spark, path, "o_orderkey long, by struct<o_custkey: long, o_totalprice: double, placed: string>, tags array<string>")
     s = Template(BASE + "orders/o_orderkey={o_orderkey}")
-    parents = rows.select("o_orderkey", "by.o_custkey")
+    parents = rows.select("o_orderkey", "by.*")
     children = rows.select("o_orderkey", F.explode("tags").alias("tag"))
     g = MappedGraph([
-        Mapping(parents, (Rule(s, BASE + "customer", Template(BASE + "customer/c_custkey={o_custkey}")),), unique=True),
+        Mapping(parents, (Rule(s, BASE + "customer", Template(BASE + "customer/c_custkey={o_custkey}")), Rule(s, BASE + "price", Col("o_totalprice")),
+                          Rule(s, BASE + "placed", Col("placed"))), unique=True),
         Mapping(children, (Rule(s, BASE + "tag", Col("tag")),)),
     ])
-    return g.quads().select("s", "p", "o_value")
+    return numbers_as_sql(g.quads(), BASE + "price").select("s", "p", "o_value")
 
 
 @query("jdbc_scan", f"""
@@ -119,6 +136,8 @@ def jdbc_scan(spark, folder):
 @query("rdfxml_flat_scan", f"""
     SELECT {iri('customer')} AS s, '{BASE}name' AS p, c_name AS o_value, 'literal' AS o_type FROM customer
     UNION ALL SELECT {iri('customer')}, '{BASE}segment', c_mktsegment, 'literal' FROM customer
+    UNION ALL SELECT {iri('customer')}, '{BASE}balance', CAST(c_acctbal AS VARCHAR), 'literal' FROM customer
+    UNION ALL SELECT {iri('customer')}, '{BASE}key', CAST(c_custkey AS VARCHAR), 'literal' FROM customer
     UNION ALL SELECT {iri('customer')}, '{BASE}nation', {iri('nation', 'c_nationkey')}, 'uri' FROM customer""")
 def rdfxml_flat_scan(spark, folder):
     """Documents written by the XML writer; all their children are read, whatever they are called."""
@@ -126,11 +145,11 @@ def rdfxml_flat_scan(spark, folder):
     described = table(spark, folder, "customer").select(
         F.concat(F.lit(BASE + "customer/c_custkey="), "c_custkey").alias("_rdf:about"), F.col("c_name").alias("a:name"),
         F.struct(F.concat(F.lit(BASE + "nation/n_nationkey="), "c_nationkey").alias("_rdf:resource"), F.lit("").alias("_VALUE")).alias("a:nation"),
-        F.col("c_mktsegment").alias("a:segment"),
+        F.col("c_mktsegment").alias("a:segment"), F.col("c_acctbal").alias("a:balance"), F.col("c_custkey").alias("a:key"),
     )
     options = {"validateName": "false", "rowTag": "rdf:Description", "rootTag": f'rdf:RDF xmlns:rdf="{RDF}" xmlns:a="{BASE}"'}
     described.write.format("xml").options(**options).save(path)
-    return read_rdfxml_flat(spark, path, {"rdf": RDF, "a": BASE}).select("s", "p", "o_value", "o_type")
+    return numbers_as_sql(read_rdfxml_flat(spark, path, {"rdf": RDF, "a": BASE}), BASE + "balance").select("s", "p", "o_value", "o_type")
 
 
 @query("results_json_scan", f"""
@@ -177,20 +196,26 @@ def nquads_sink(spark, folder):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+CENTS = "CAST(round(p_retailprice * 100) AS BIGINT)"
+
+
 def part_solutions(spark, folder):
-    g = graph(spark, folder, "part")
-    return bgp(g, [Pattern("?part", prop("part", "p_name"), "?name"), Pattern("?part", prop("part", "p_size"), "?size")])
+    """Every column of the parts; prices in whole cents, so that all formats write the same text."""
+    part = table(spark, folder, "part").withColumn("p_cents", F.round(F.col("p_retailprice") * 100).cast("long")).drop("p_retailprice")
+    g = direct_mapping([Table("part", part, ("p_partkey",))], BASE)
+    return bgp(g, [Pattern("?part", prop("part", c), f"?{c[2:]}") for c in ("p_name", "p_size", "p_brand", "p_type", "p_cents")]).select("part", "name", "size", "brand", "type", "cents")
 
 
-@query("results_csv_sink", f"SELECT {iri('part')} AS part, p_name AS name, p_size AS size FROM part")
+@query("results_csv_sink", f"SELECT {iri('part')} AS part, p_name AS name, p_size AS size, p_brand AS brand, p_type AS type, {CENTS} AS cents FROM part")
 def results_csv_sink(spark, folder):
     path = scratch(spark, "csv")
     write_csv(part_solutions(spark, folder), path)
-    return read_lines_delimited(spark, path, "part string, name string, size int")
+    return read_lines_delimited(spark, path, "part string, name string, size int, brand string, type string, cents long")
 
 
 @query("results_tsv_sink", f"""
-    SELECT '<' || {iri('part')} || '>' || chr(9) || '"' || p_name || '"' || chr(9) || '"' || p_size || '"^^<{XSD_INTEGER}>' AS line FROM part""")
+    SELECT '<' || {iri('part')} || '>' || chr(9) || '"' || p_name || '"' || chr(9) || '"' || p_size || '"^^<{XSD_INTEGER}>' || chr(9) || '"' || p_brand || '"'
+        || chr(9) || '"' || p_type || '"' || chr(9) || '"' || {CENTS} || '"^^<{XSD_INTEGER}>' AS line FROM part""")
 def results_tsv_sink(spark, folder):
     path = scratch(spark, "tsv")
     write_tsv(part_solutions(spark, folder), path)
@@ -199,7 +224,8 @@ def results_tsv_sink(spark, folder):
 
 @query("results_json_sink", f"""
     SELECT '{{"part":{{"type":"uri","value":"' || {iri('part')} || '"}},"name":{{"type":"literal","value":"' || p_name
-        || '"}},"size":{{"type":"literal","value":"' || p_size || '","datatype":"{XSD_INTEGER}"}}}}' AS line FROM part""")
+        || '"}},"size":{{"type":"literal","value":"' || p_size || '","datatype":"{XSD_INTEGER}"}},"brand":{{"type":"literal","value":"' || p_brand
+        || '"}},"type":{{"type":"literal","value":"' || p_type || '"}},"cents":{{"type":"literal","value":"' || {CENTS} || '","datatype":"{XSD_INTEGER}"}}}}' AS line FROM part""")
 def results_json_sink(spark, folder):
     path = scratch(spark, "json")
     write_json(part_solutions(spark, folder), path)

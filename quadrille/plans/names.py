@@ -52,20 +52,22 @@ def iri_compact(spark, folder):
 
 @query("prefix_import", """
     WITH new AS (SELECT 'b' || item_id AS prefix, 'http://example.org/item/' || item_id || '/' AS iri FROM benchmark
-        UNION ALL SELECT n_name, 'http://example.org/new/' || n_name || '#' FROM nation WHERE n_regionkey < 2
+        UNION ALL SELECT n_name, 'http://example.org/new/' || n_name || '#' FROM nation
         UNION ALL SELECT 'x' || p_partkey, 'http://example.org/x/' || p_partkey || '#' FROM part)
     SELECT prefix, iri FROM new
     UNION ALL SELECT n_name, 'http://example.org/n/' || n_nationkey || '/' FROM nation WHERE n_name NOT IN (SELECT prefix FROM new)
+    UNION ALL SELECT 'c' || c_custkey, 'http://example.org/c/' || c_custkey || '/' FROM customer
     UNION ALL SELECT '', 'http://example.org/data/'""")
 def prefix_import(spark, folder):
-    """Declarations in Turtle and RDF/XML text that holds much else; names in the table already are replaced."""
+    """Declarations in Turtle and RDF/XML text that holds much else; names in the table already are replaced, and the others stay."""
     items = table(spark, folder, "benchmark").select(
         F.format_string("# %s\n@prefix b%s: <http://example.org/item/%s/> .\n<a> <b> <c> .", F.translate("text", "\n\r", "  "), "item_id", "item_id").alias("value"))
-    nations = table(spark, folder, "nation").filter("n_regionkey < 2").select(
+    nations = table(spark, folder, "nation").select(
         F.format_string("PREFIX %s: <http://example.org/new/%s#>\n", "n_name", "n_name").alias("value"))
     parts = table(spark, folder, "part").select(
         F.format_string('<rdf:RDF xmlns:x%s="http://example.org/x/%s#">\n<a:b>%s</a:b></rdf:RDF>', "p_partkey", "p_partkey", "p_name").alias("value"))
-    return merge_prefixes(nation_prefixes(spark, folder), read_prefixes(items.unionByName(nations).unionByName(parts)))
+    customers = table(spark, folder, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("prefix"), F.format_string("http://example.org/c/%s/", "c_custkey").alias("iri"))
+    return merge_prefixes(nation_prefixes(spark, folder).unionByName(customers), read_prefixes(items.unionByName(nations).unionByName(parts)))
 
 
 @query("iri_resolve", r"""

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..model import Val
-from ..operators.caches import cached_graph, cached_query
+from ..operators.caches import CachedMatch, cached_graph, cached_query
 from ..operators.documents import DocumentStore, documents, size
 from ..operators.graph import Graph, Pattern
-from ..operators.patterns import bgp
+from ..operators.patterns import bgp, construct
 from ..session import scratch
 from .base import graph, iri, link, prop, query, status_graphs, store_of, table
 from .updates import ADDED, BEFORE, REMOVED, STATUS, finished_quads, shown, status_quads, urgent_quads
@@ -103,6 +103,23 @@ def cache_refresh(spark, folder):
     return cache.read().select("s", F.col("o_value").alias("status"))
 
 
+@query("cache_incremental", f"""
+    WITH now AS (SELECT * FROM ({BEFORE} EXCEPT {REMOVED}) UNION ALL SELECT * FROM ({ADDED})),
+    p AS (SELECT {iri('orders')} AS s, o_orderpriority AS priority FROM orders)
+    SELECT p.s AS s, status, priority FROM now JOIN p ON now.s = p.s""")
+def cache_incremental(spark, folder):
+    """Two joined patterns, cached and then kept up over two commits from their changes."""
+    prio = construct(bgp(graph(spark, folder, "orders"), [Pattern("?o", prop("orders", "o_orderpriority"), "?v")]), [Pattern("?o", prop("orders", "o_orderpriority"), "?v")])
+    store = store_of(spark, status_quads(spark, folder).unionByName(prio))
+    patterns = [Pattern("?s", STATUS, Val("?status", "string")), Pattern("?s", prop("orders", "o_orderpriority"), Val("?priority", "string"))]
+    cache = CachedMatch(spark, scratch(spark, "match"), store, patterns)
+    store.begin().add(urgent_quads(spark, folder)).commit()
+    cache.refresh()
+    store.begin().remove(finished_quads(spark, folder)).commit()
+    cache.refresh()
+    return cache.read().select("s", "status", "priority")
+
+
 @query("graph_compact", f"SELECT * FROM (({BEFORE}) EXCEPT ({REMOVED})) UNION ALL SELECT * FROM ({ADDED})")
 def graph_compact(spark, folder):
     """Base and two deltas rewritten as a new base; the content stays the same."""

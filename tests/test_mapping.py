@@ -177,3 +177,21 @@ def test_numbers_match_by_their_text(spark):
     for text, n in (("0", 1), ("-0", 0), ("00", 0), ("-5", 1), ("9223372036854775807", 1), ("9999999999999999999", 0), ("99999999999999999999999", 0), ("", 0)):
         assert bgp(g, [Pattern(M + "n" + text, "urn:v", "?v")]).count() == n, text
         assert bgp(g, [Pattern("?s", "urn:id", Lit(text, XSD_INTEGER))]).count() == n, text
+
+
+def test_repeated_rows_of_a_table_without_a_key_are_nodes_each(spark):
+    from quadrille.operators import mapping
+
+    rows_ = [(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "c")]
+    df = spark.createDataFrame(rows_, "k int, v string")
+    for step in (mapping.NUMBERED, 2, 1):
+        before, mapping.NUMBERED = mapping.NUMBERED, step
+        try:
+            g = direct_mapping([Table("T", df.repartition(3))], "urn:")
+            quads_ = g.quads()
+        finally:
+            mapping.NUMBERED = before
+        assert quads_.count() == quads_.distinct().count() == 6 + 6 + 4  # types, keys, values that are not null
+        assert quads_.select("s").distinct().count() == 6
+        again = direct_mapping([Table("T", df.repartition(5))], "urn:").quads()
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, quads_.collect()))

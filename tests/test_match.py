@@ -224,3 +224,23 @@ def test_text_of_literals_is_no_node_and_blank_nodes_are_fresh(graph):
     assert made.filter("p = 'urn:x'").count() == 0
     assert made.filter("p = 'urn:name'").select("o_type").distinct().collect()[0][0] == "literal"
     assert made.select("s").distinct().count() == found.count() and made.count() == 2 * found.count()
+
+
+def test_rows_without_a_bound_shared_variable(spark):
+    left = spark.createDataFrame([("a", "x"), (None, "y")], "k string, l string")
+    right = spark.createDataFrame([("a", "1"), ("b", "2")], "k string, r string")
+    # One left row has no variable in common: it agrees with every right row.
+    assert rows(join(left, right), "k", "l", "r") == [("a", "x", "1"), ("a", "y", "1"), ("b", "y", "2")]
+    assert rows(optional(left, right), "k", "l", "r") == [("a", "x", "1"), ("a", "y", "1"), ("b", "y", "2")]
+    assert rows(optional(left, right, F.col("r") == "2"), "k", "l", "r") == sorted([("a", "x", None), ("b", "y", "2")], key=repr)
+    assert rows(optional(left, right, F.col("r") == "9"), "l", "r") == [("x", None), ("y", None)]
+    empty = right.filter("k = 'none'")
+    assert rows(optional(left, empty), "l", "r") == [("x", None), ("y", None)] and join(left, empty).count() == 0
+    open_ = spark.createDataFrame([(None, "9")], "k string, r string")
+    assert rows(optional(left, right.filter("r = '1'").unionByName(open_)), "l", "r") == [("x", "1"), ("x", "9"), ("y", "1"), ("y", "9")]
+    many = spark.createDataFrame([(None, "y"), (None, "z")], "k string, l string")
+    with pytest.raises(ValueError, match=r"\?k unbound"):
+        join(many, right)
+    with pytest.raises(ValueError, match=r"\?k unbound"):
+        optional(many, right)
+    assert join(many, open_).count() == 2
