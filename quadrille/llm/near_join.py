@@ -6,7 +6,8 @@ by step; after each step, a pair whose posterior probability of reaching the thr
 dropped. What is left is verified exactly on the whole shingle sets.
 
 A large bucket is cut into blocks of members, and each pair of blocks is a task of its own, so no task holds more than two blocks
-and no list of pairs ever leaves a task: the first pass returns the members that still have a partner, the second sends
+and no list of pairs ever leaves a task. A bucket has few blocks, which grow with it up to a bound in members and in bytes, so that a
+member is sent to few tasks; within a task the blocks are compared tile by tile. The first pass returns the members that still have a partner, the second sends
 their shingle sets to the same pairs of blocks, and returns for each member the documents it is linked to as a number, and one
 edge towards the smallest member it hangs together with. A pair is compared only in the first bucket it shares.
 """
@@ -31,7 +32,9 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 3
 #: MinHash values compared at a time, and the posterior probability below which a pair is dropped.
 STEP, TOLERANCE = 24, 1e-7
-BLOCK = 256
+#: Members of a block. It has ``TILE`` until a bucket has ``BLOCKS`` of them; from then on blocks grow, up to ``BLOCK`` members. Shingle sets of
+#: a block have about ``BLOCK_BYTES``, however long its texts are.
+TILE, BLOCKS, BLOCK, BLOCK_BYTES = 256, 32, 4096, 16 << 20
 HASHES = BANDS * ROWS
 _CHUNK = 4096
 
@@ -92,17 +95,29 @@ def likely_pairs(left: np.ndarray, right: np.ndarray, start: np.ndarray, thresho
     return pairs
 
 
-def _meetings(band: int, sides: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Members of both sides (of one, against itself, where there is one block) and the pairs that meet here first."""
-    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-    if not len(right) or not len(left):
-        left = right = np.arange(len(sides)) if not len(right) else right
-        start = np.triu(np.ones((len(left), len(left)), bool), 1)
-    else:
-        start = np.ones((len(left), len(right)), bool)
-    for earlier in range(band):
-        start &= keys[left, earlier][:, None] != keys[right, earlier][None, :]
-    return left, right, start
+def block_count(members, grams):
+    """Blocks of a bucket, from the columns of its members and of the shingles of all of them."""
+    few = F.least(F.ceil(members / TILE), F.lit(BLOCKS).cast("long"))
+    return F.greatest(few, F.ceil(members / BLOCK), F.least(F.ceil(grams * 8 / BLOCK_BYTES), members))
+
+
+def _candidates(table, values: np.ndarray, threshold: float, tolerance: float) -> Iterator[np.ndarray]:
+    """Pairs of places in a task that meet here first and that no step has dropped, a tile of both blocks at a time."""
+    band, i, j = (table.column(c)[0].as_py() for c in ("band", "i", "j"))
+    keys, sides = band_keys(values)[:, :band], table.column("side").to_numpy()
+    one = i == j
+    left, right = (np.arange(len(sides)),) * 2 if one else (np.flatnonzero(sides == 0), np.flatnonzero(sides == 1))
+    for a in range(0, len(left), TILE):
+        for b in range(a if one else 0, len(right), TILE):
+            x, y = left[a:a + TILE], right[b:b + TILE]
+            start = np.ones((len(x), len(y)), bool)
+            if one and a == b:
+                start = np.triu(start, 1)
+            for earlier in range(band):
+                start &= keys[x, earlier][:, None] != keys[y, earlier][None, :]
+            pairs = likely_pairs(values[x], values[y], start, threshold, tolerance)
+            if len(pairs):
+                yield np.stack([x[pairs[:, 0]], y[pairs[:, 1]]], axis=1)
 
 
 TASK = ["band", "key", "i", "j"]
@@ -154,12 +169,13 @@ def _matrix(column, kind, width: int) -> np.ndarray:
 
 
 def _described(docs: DataFrame, id: str, text: str, words: int, grams: bool) -> DataFrame:
-    """``(id, f1, f2, sig)`` and, if asked for, ``grams`` per document that has a word; letters count in lower case."""
+    """``(id, f1, f2, n, sig)`` and, if asked for, ``grams`` per document that has a word; letters count in lower case."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema[id].dataType
-    fields = [T.StructField("id", kind), T.StructField("f1", T.LongType()), T.StructField("f2", T.LongType()), T.StructField("sig", T.BinaryType())]
+    fields = [T.StructField("id", kind), T.StructField("f1", T.LongType()), T.StructField("f2", T.LongType()), T.StructField("n", T.LongType())]
+    fields += [T.StructField("sig", T.BinaryType())]
     fields += [T.StructField("grams", T.BinaryType())] * grams
     arrow = to_arrow_type(kind)
 
@@ -172,10 +188,10 @@ def _described(docs: DataFrame, id: str, text: str, words: int, grams: bool) ->
                 if not len(found):
                     continue
                 whole = xxhash.xxh3_128_intdigest(found.tobytes())
-                row = [i, (whole >> 64) - (1 << 63), (whole & (1 << 64) - 1) - (1 << 63), signature(found).tobytes(), found.tobytes()]
+                row = [i, (whole >> 64) - (1 << 63), (whole & (1 << 64) - 1) - (1 << 63), len(found), signature(found).tobytes(), found.tobytes()]
                 for c, v in zip(out, row):
                     c.append(v)
-            kinds = [arrow, pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            kinds = [arrow, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], [f.name for f in fields])
 
     return id_and_bytes(docs, id, text).mapInArrow(run, T.StructType(fields))
@@ -188,15 +204,15 @@ def _tasks(classes: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             keys = band_keys(_matrix(batch.column("sig"), np.uint32, HASHES)) if batch.num_rows else np.empty((0, BANDS), np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(list(keys), pa.list_(pa.int64()))], ["rep", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("n"), pa.array(list(keys), pa.list_(pa.int64()))], ["rep", "n", "keys"])
 
-    schema = T.StructType([classes.schema["rep"], T.StructField("keys", T.ArrayType(T.LongType()))])
-    placed = classes.select("rep", "sig").mapInArrow(run, schema).select("rep", F.posexplode("keys").alias("band", "key"))
+    schema = T.StructType([classes.schema["rep"], classes.schema["n"], T.StructField("keys", T.ArrayType(T.LongType()))])
+    placed = classes.select("rep", "n", "sig").mapInArrow(run, schema).select("rep", "n", F.posexplode("keys").alias("band", "key"))
     placed = cut(placed, "bands")
     # Written before it is joined: only then can the join split a hot bucket.
-    shared = cut(placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    blocks = F.ceil(F.col("members") / BLOCK)
-    members = placed.join(shared, ["band", "key"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    shared = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).where("members > 1")
+    shared = cut(shared.select("band", "key", block_count(F.col("members"), F.col("grams")).alias("blocks")), "buckets")
+    members = placed.join(shared, ["band", "key"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     per = members.groupBy("rep").agg(F.collect_list(F.struct("band", "key", "blocks", "own")).alias("places"))
     placed = classes.select("rep", "size", "sig").join(per, ["rep"]).select("rep", "size", "sig", F.explode("places").alias("p"))
     return placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.blocks") - 1))).select(
@@ -205,27 +221,16 @@ def _tasks(classes: DataFrame) -> DataFrame:
     )
 
 
-def _sides(table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    sides = table.column("side").to_numpy()
-    if i == j:
-        sides = np.zeros(len(sides), np.int64)
-    elif not (sides == 0).any() or not (sides == 1).any():
-        none = np.empty(0, np.int64)
-        return none, none, np.empty((0, 0), bool)
-    return _meetings(table.column("band")[0].as_py(), sides, keys)
-
-
 def _partnered(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """The rows of ``tasks`` that still have a partner after pruning, without signatures."""
 
     def run(table):
         values = _matrix(table.column("sig"), np.uint32, HASHES)
-        left, right, start = _sides(table, band_keys(values))
-        pairs = likely_pairs(values[left], values[right], start, threshold, tolerance)
-        if len(pairs):
-            stay = np.unique(np.concatenate([left[pairs[:, 0]], right[pairs[:, 1]]]))
-            yield from table.drop_columns(["sig"]).take(stay).combine_chunks().to_batches()
+        stay = np.zeros(len(values), bool)
+        for pairs in _candidates(table, values, threshold, tolerance):
+            stay[pairs.ravel()] = True
+        if stay.any():
+            yield from table.drop_columns(["sig"]).take(np.flatnonzero(stay)).combine_chunks().to_batches()
 
     return _by_task(tasks, run, tasks.drop("sig").schema)
 
@@ -236,8 +241,6 @@ def _verified(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame
 
     def run(table):
         values = _matrix(table.column("sig"), np.uint32, HASHES)
-        left, right, start = _sides(table, band_keys(values))
-        pairs = likely_pairs(values[left], values[right], start, threshold, tolerance)
         grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
         sizes, reps = table.column("size").to_numpy(), table.column("rep").to_pylist()
         links, root = np.zeros(len(reps), np.int64), list(range(len(reps)))
@@ -248,8 +251,7 @@ def _verified(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame
                 x = root[x]
             return x
 
-        for a, b in pairs:
-            a, b = int(left[a]), int(right[b])
+        for a, b in (pair for pairs in _candidates(table, values, threshold, tolerance) for pair in pairs.tolist()):
             x, y = grams[a], grams[b]
             if len(x) > len(y):
                 x, y = y, x
@@ -290,7 +292,7 @@ def near_groups(
     """
     known = docs.where(column(id).isNotNull())
     described = cut(_described(known, id, text, words, False), "signatures")
-    classes = described.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("sig").alias("sig"))
+    classes = described.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     classes = cut(classes, "classes")
     partnered = cut(_partnered(_tasks(classes), threshold, tolerance), "partnered")
     wanted = partnered.groupBy("rep").agg(F.collect_list(F.struct("size", *TASK, "side")).alias("tasks"))

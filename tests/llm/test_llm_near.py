@@ -2,10 +2,13 @@ import random
 
 from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from quadrille.llm import near_join
 from quadrille.llm.components import components
-from quadrille.llm.near_join import drop_near_copies, least_matches, near_groups
+from quadrille.llm.near_join import block_count, drop_near_copies, least_matches, near_groups
 from quadrille.llm.queries import QUERIES
 
 
@@ -48,6 +51,42 @@ def test_clusters_larger_than_blocks_lose_no_link(made, prose, monkeypatch):
     assert found == brute(pairs)
 
 
+def test_rows_sent_for_a_hot_bucket_grow_in_proportion(spark, monkeypatch):
+    for name, value in {"TILE": 16, "BLOCKS": 8, "BLOCK": 64}.items():
+        monkeypatch.setattr(near_join, name, value)
+    sig = near_join.signature(near_join.shingles([b"a", b"b", b"c", b"d", b"e", b"f"])).tobytes()
+
+    def sent(members):
+        classes = spark.createDataFrame([(k, 1, 2, sig) for k in range(members)], "rep long, size long, n long, sig binary")
+        tasks = near_join._tasks(classes).groupBy("band", "key", "i", "j").count().agg(F.sum("count"), F.max("count")).first()
+        return tuple(tasks)
+
+    (few, _), (many, most) = sent(160), sent(480)
+    assert few == 24 * 8 * 160 and many == 3 * few and most <= 4 * 64
+
+
+def test_blocks_of_a_bucket(spark):
+    rows = [(2, 400), (256, 51_200), (1_000, 200_000), (10_000, 2_000_000), (100_000, 20_000_000), (1_000_000, 200_000_000), (100, 6_500_000), (2, 10**9)]
+    found = spark.createDataFrame(rows, "members long, grams long").select(block_count(F.col("members"), F.col("grams")).alias("b")).collect()
+    assert [r.b for r in found] == [1, 1, 4, 32, 32, 245, 4, 2]
+
+
+@pytest.mark.parametrize("i, j", [(0, 0), (0, 1)])
+def test_tiles_give_the_pairs_of_whole_blocks(monkeypatch, i, j):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**32, (4, near_join.HASHES), dtype=np.uint32)
+    values = base[rng.integers(0, 4, 50)]
+    values = np.where(rng.random(values.shape) < 0.1, rng.integers(0, 2**32, values.shape, dtype=np.uint32), values)
+    band, sides = 3, rng.integers(0, 2, 50) * j
+    table = pa.table({"band": [band] * 50, "i": [i] * 50, "j": [j] * 50, "side": sides})
+    keys = near_join.band_keys(values)
+    start = np.array([[(x < y if i == j else sides[x] < sides[y]) and not (keys[x, :band] == keys[y, :band]).any() for y in range(50)] for x in range(50)])
+    want = {tuple(p) for p in near_join.likely_pairs(values, values, start, 0.8, 1e-7).tolist()}
+    monkeypatch.setattr(near_join, "TILE", 7)
+    found = [tuple(p) for pairs in near_join._candidates(table, values, 0.8, 1e-7) for p in pairs.tolist()]
+    assert want and len(found) == len(set(found)) and set(found) == want
+
+
 def test_odd_rows(spark, made, prose):
     long = " ".join(f"w{k}" for k in range(30_000))
     pairs = [(1, long), (2, long + " x"), (3, prose(50, 1)), (3, prose(50, 1)), (None, prose(50, 1)), (5, None), (6, " ")]
