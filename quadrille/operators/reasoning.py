@@ -243,17 +243,20 @@ def explain_statements(asked: DataFrame, graph: Graph) -> DataFrame:
     to = join_lookup(stored.filter(F.col("o_type").isin(*NODES)), subjects.withColumnRenamed("s", "o_value"), ["o_value"], "left_semi")
     schema = {p: schema_edges(graph, p).withColumnRenamed("super", "to") for p in (RDFS_SUBPROPERTY, RDFS_SUBCLASS)}
     schema |= {p: graph.match(Pattern("?sub", p, "?to"), frozenset(["?to"])).select("sub", "to") for p in (RDFS_DOMAIN, RDFS_RANGE)}
-    schema = {p: cut(df.distinct(), "schema") for p, df in schema.items()}
+    # Measured once: every level joins with the same schema statements.
+    measured = {p: cut_measured(df.distinct(), "schema") for p, df in schema.items()}
     level, seen = cut_measured(as_set(about.unionByName(to)), "facts")
     levels, known = [level], level
 
     def concluded(facts: DataFrame, rule: str, predicate: str, met: str, fact: dict[str, Column], only: Column | None = None) -> DataFrame:
         """Conclusions of one rule: ``met`` is the column of a fact that the schema statement starts from."""
         held = facts if only is None else facts.filter(only)
-        by = schema[predicate].select(F.col("sub").alias(met), F.col("to").alias("_to"))
+        by, size = measured[predicate]
+        by = by.select(F.col("sub").alias(met), F.col("to").alias("_to"))
         premises = [F.col(c).alias(f"from_{c}") for c in _FACT]
         new = [fact.get(c, F.col(c)).alias(c) for c in _FACT]
-        return join_lookup(held, by, [met]).select(*new, *premises, F.lit(rule).alias("rule"), F.col(met).alias("by_s"), F.lit(predicate).alias("by_p"), F.col("_to").alias("by_o"))
+        found = join_lookup(held, by, [met], small=size["bytes"] <= BROADCAST_BYTES)
+        return found.select(*new, *premises, F.lit(rule).alias("rule"), F.col(met).alias("by_s"), F.lit(predicate).alias("by_p"), F.col("_to").alias("by_o"))
 
     a_class = {"p": F.lit(RDF_TYPE), "o_value": F.col("_to"), "o_type": F.lit("uri"), "o_datatype": F.lit(""), "o_lang": F.lit("")}
     node = F.col("o_type").isin(*NODES)
