@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import json
+import re
 import shutil
 import tempfile
 import uuid
@@ -16,8 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A side is broadcast by hint only after its measured size is below this bound.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 SALTS = 64
+#: Most bytes, as they lie in files or shuffles, that one task reads where they can be cut: rows of graphs take up to 30 times that in memory.
+TASK_BYTES = 8 * 1024 * 1024
+#: Shuffle partitions at least, before adaptive execution merges small ones. Up to so many Spark writes map output without holding it in memory.
+PARTITIONS = 200
+#: Rows with some text columns that one task may be made to hold, where they are dealt by a count.
+TASK_ROWS = 500_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,16 +34,39 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Split a skewed join side even where that costs one more exchange later in the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tables of IRIs take several times the bytes of their files: without this the planner broadcasts what fills the driver.
+    "spark.sql.sources.fileCompressionFactor": "10",
+}
+# Sizes that are lowered to so many bytes where they are larger; a cluster's own smaller ones stay.
+AT_MOST = {
+    "spark.sql.files.maxPartitionBytes": TASK_BYTES,
+    # What a file counts beside its bytes: tasks that read small files get more than two of them.
+    "spark.sql.files.openCostInBytes": TASK_BYTES // 128,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 4 * TASK_BYTES,
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings all plans rely on; sizes (shuffle partitions, memory) stay the cluster's own."""
+    """Apply the settings all plans rely on; the number of shuffle partitions and memory stay the cluster's own.
+
+    What a task reads is bounded, however large the input is; adaptive execution merges partitions that are smaller.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    for key, most in AT_MOST.items():
+        if _size(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
+def _size(text: str) -> int:
+    """A size of the settings in bytes: ``16m``, ``64MB``, ``1024``."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a folder of our own only in local mode."""
     context = spark.sparkContext

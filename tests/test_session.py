@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from quadrille.plans import load
-from quadrille.session import checkpoint_dir, cut, measured_bytes, scope, scratch
+from quadrille.session import PARTITIONS, TASK_BYTES, checkpoint_dir, cut, measured_bytes, scope, scratch, tune
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -40,3 +40,21 @@ def test_scopes_nest_and_clean_up_after_errors(spark):
 def test_binary_values_are_measured(spark):
     rows = spark.range(10).select(F.repeat(F.lit("x"), 1000).cast("binary").alias("b"))
     assert measured_bytes(rows) >= 10_000
+
+
+def test_what_a_task_reads_is_bounded_and_smaller_sizes_stay(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+    other.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    tune(other)
+    assert other.conf.get("spark.sql.files.maxPartitionBytes") == str(TASK_BYTES)
+    assert other.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16k"
+    assert int(other.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= PARTITIONS
+    assert other.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_small_files_of_wide_text_are_not_broadcast(spark, capsys):
+    # 500,000 IRIs take some MB in a file and ten times that as rows.
+    rows = cut(spark.range(500_000).select(F.concat(F.lit("http://example.org/data/customer/c_custkey="), F.col("id")).alias("s"), F.lit("http://example.org/data/livesIn").alias("p")))
+    rows.join(rows.select("s"), "s").explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
