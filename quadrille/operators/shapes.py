@@ -96,7 +96,8 @@ class Validation:
             rows.append((i, s.name, s.kind, s.path, s.target_class, int(s.arg) if s.kind in ("min", "max") else None,
                          s.arg if s.kind in ("class", "datatype", "domain", "subclass", "pattern") else None, terms))
         schema = "id int, shape string, kind string, path string, target string, n long, arg string, allowed array<struct<type:string,value:string,datatype:string,lang:string>>"
-        return self.spark.createDataFrame(rows, schema)
+        # Made of values in Python, so it is small; joined by a shuffle, all statements of a path would meet in one task.
+        return F.broadcast(self.spark.createDataFrame(rows, schema))
 
     def _roles(self, table: DataFrame) -> DataFrame:
         """``(cls, id, role)``: which classes make a node a target of a constraint, and which a member of the class it asks for."""
@@ -116,13 +117,16 @@ class Validation:
         table = self._table()
         grouped, single = self._of("min", "max", "domain", "subclass"), self._of("class", "datatype", "in", "pattern")
         paths = sorted({s.path for s in self.shapes if s.kind != "subclass"})
-        typed = [s for s in self.shapes if s.target_class or s.kind in ("class", "domain", "subclass")]
+        with_types = [s for s in self.shapes if s.target_class or s.kind in ("class", "domain", "subclass")]
         values = types = None
         if paths:
             values = self._focus_only(self.graph.statements(paths, self.dataset).select(F.col("s").alias("focus"), F.col("p").alias("path"), "o.*"), "focus")
-        if typed:
+        if with_types:
             found = self.graph.match(Pattern("?node", RDF_TYPE, "?cls"), frozenset(["?cls"]), self.dataset)
-            types = found.select("node", "cls").join(self._roles(table), "cls").select("node", "id", "role")
+            roles, typed = self._roles(table), found.select("node", "cls")
+            # Without a closure there are a few roles per constraint; one class may hold most nodes, so they are not shuffled by it.
+            met = typed.join(F.broadcast(roles), "cls") if self.closure is None else join_lookup(typed, roles, ["cls"])
+            types = met.select("node", "id", "role")
         if grouped and single:  # both read the same rows
             values, types = (df if df is None else cut(df, "checked") for df in (values, types))
         parts = [self._grouped(table, values, types)] if grouped else []

@@ -207,3 +207,12 @@ def test_values_of_numeric_types_and_terms_of_lists(spark):
     assert rows(found, "shape", "value") == sorted((k, v) for k, (_, bad) in cases.items() for v in bad.split())
     data = [("urn:1", "urn:p", Lit("F")), ("urn:2", "urn:p", "F"), ("urn:3", "urn:p", Lit("F", "", "en")), ("urn:4", "urn:p", "urn:ok")]
     assert rows(Validation(StoredGraph(quads(spark, data)), [Shape("x", "in", "urn:p", [Lit("F"), "urn:ok"])]).violations(), "focus") == [("urn:2",), ("urn:3",)]
+
+
+def test_statements_of_one_path_are_not_shuffled_to_one_task(spark, capsys):
+    data = quads(spark, [(f"urn:s{i}", "urn:p", Lit(f"v{i}")) for i in range(50)])
+    found = Validation(StoredGraph(data), [Shape("one", "in", "urn:p", [Lit("v1")]), Shape("two", "pattern", "urn:p", "^v2")]).violations()
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert found.count() == 49 + 39
