@@ -12,7 +12,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, cut_measured
+from ..session import cut
 
 
 def number(text: Column, seed: int) -> Column:
@@ -22,7 +22,8 @@ def number(text: Column, seed: int) -> Column:
 class Numbered:
     """A table with its text columns as numbers, and the dictionary ``(id, term)`` of all of them."""
 
-    def __init__(self, rows: DataFrame, columns: list[str]):
+    def __init__(self, rows: DataFrame, columns: list[str], distinct: bool = True):
+        """Without ``distinct`` equal rows stay as they are, which saves a shuffle of all rows where they do no harm."""
         rows = cut(rows.select(*columns), "terms")
         for self.seed in count():
             numbered = rows.select(*[number(F.col(c), self.seed).alias(c) for c in columns])
@@ -30,12 +31,10 @@ class Numbered:
             terms = each[0]
             for more in each[1:]:
                 terms = terms.unionByName(more)
-            ends = terms.groupBy("id").agg(F.min("term").alias("term"), F.max("term").alias("_last"))
-            self.terms, seen = cut_measured(ends, "dictionary", shared=F.coalesce(F.sum((F.col("term") != F.col("_last")).cast("int")), F.lit(0)))
-            if not seen["shared"]:
+            self.terms = cut(terms.distinct(), "dictionary")
+            if self.terms.groupBy("id").count().filter("count > 1").isEmpty():
                 break
-        self.terms = self.terms.select("id", "term")
-        self.rows = cut(numbered.distinct(), "numbers")
+        self.rows = cut(numbered.distinct() if distinct else numbered, "numbers")
 
     def of(self, df: DataFrame, *columns: str) -> DataFrame:
         """Text columns of another table as numbers; a text that is not in the dictionary may get the number of one that is, see :meth:`known`."""

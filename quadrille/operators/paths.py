@@ -49,7 +49,7 @@ def reachable(edges: DataFrame, starts: DataFrame, include_start: bool = False,
     ``starts`` has one column ``start``: pairs of all nodes of a large graph are nobody's wish, so it must be given. A node is held once
     for up to ``STARTS`` starts. A level passes on only the bits that are new, so cycles end.
     """
-    graph = Numbered(edges, ["src", "dst"])
+    graph = Numbered(edges, ["src", "dst"], distinct=False)
     starts = cut(starts.select("start").filter(F.col("start").isNotNull()).distinct(), "asked")
     itself = starts.select("start", F.col("start").alias("node"))
     placed, words = _levels(graph.known(starts, "start"))

@@ -24,7 +24,7 @@ from ..model import (
     as_set,
     is_var,
 )
-from ..session import BROADCAST_BYTES, cut, cut_measured, join_lookup
+from ..session import BROADCAST_BYTES, TASK_ROWS, cut, cut_measured, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Pattern, StoredGraph, UnionGraph, from_terms
 from .hierarchy import Hierarchy
 
@@ -71,10 +71,19 @@ def subproperty_closure(graph: Graph, schema_graphs: list[str] | None = None) ->
 
 
 def infer_types(types: DataFrame, closure: DataFrame) -> DataFrame:
-    """``(s, cls)`` with every superclass added, as a set. One class may hold most rows: see ``join_lookup``."""
-    up = closure.select(F.col("sub").alias("cls"), F.col("super").alias("_super"))
-    derived = join_lookup(types, up, ["cls"]).select("s", F.col("_super").alias("cls"))
-    return as_set(types.select("s", "cls").unionByName(derived))
+    """``(s, cls)`` with every superclass added, as a set. One class may hold most rows: see ``join_lookup``.
+
+    A row becomes one for each superclass within its task, so types are dealt by what they become, which is counted before.
+    """
+    types = types.select("s", "cls")
+    up, seen = cut_measured(closure.select(F.col("sub").alias("cls"), F.col("super").alias("_super")), "lookup")
+    small = seen["bytes"] <= BROADCAST_BYTES
+    derived = join_lookup(types, up, ["cls"], small=small)
+    tasks = 1 + derived.count() // TASK_ROWS
+    if small and tasks > 1:
+        types = types.repartition(tasks, "s", "cls")
+        derived = join_lookup(types, up, ["cls"], small=small)
+    return as_set(types.unionByName(derived.select("s", F.col("_super").alias("cls"))))
 
 
 def instances(graph: Graph, dataset: Dataset = EVERYTHING) -> DataFrame:

@@ -377,3 +377,29 @@ def test_every_step_of_a_proof_follows(spark):
             follows = {(c[0], c[1], c[2].value if isinstance(c[2], Lit) else c[2]): c for c in conclusions(now)}
             now = follows[step["s"], step["p"], step["o"]]
         assert now == t
+
+
+def test_inferred_types_are_dealt_by_what_they_become(spark, monkeypatch, capsys):
+    from quadrille.operators import reasoning
+
+    types = spark.createDataFrame([(f"urn:s{i}", f"urn:c{i % 3}") for i in range(30)], "s string, cls string")
+    closure = spark.createDataFrame([(f"urn:c{i}", f"urn:up{j}") for i in range(3) for j in range(4)], "sub string, super string")
+    monkeypatch.setattr(reasoning, "TASK_ROWS", 40)
+    found = infer_types(types, closure)
+    found.explain("extended")
+    assert "RepartitionByExpression [s" in capsys.readouterr().out
+    assert rows(found, "s", "cls") == sorted([(f"urn:s{i}", f"urn:c{i % 3}") for i in range(30)] + [(f"urn:s{i}", f"urn:up{j}") for i in range(30) for j in range(4)], key=repr)
+
+
+def test_a_dictionary_is_aggregated_by_hash_and_finds_shared_numbers(spark, monkeypatch, capsys):
+    from quadrille.operators import numbers
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "b")], "src string, dst string")
+    seen, real = [], numbers.cut
+    monkeypatch.setattr(numbers, "cut", lambda df, name="cut": (name == "dictionary" and df.explain(), real(df, name))[1])
+    # With the first seed all terms get one number, so another seed is taken.
+    plain = numbers.number
+    monkeypatch.setattr(numbers, "number", lambda text, seed: (seen.append(seed), F.when(text.isNotNull(), F.lit(7).cast("long")) if seed == 0 else plain(text, seed))[1])
+    made = numbers.Numbered(edges, ["src", "dst"], distinct=False)
+    assert made.seed == 1 and made.terms.count() == 3 and made.rows.count() == 3 and numbers.Numbered(edges, ["src", "dst"]).rows.count() == 2
+    assert "SortAggregate" not in capsys.readouterr().out
