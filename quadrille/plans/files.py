@@ -22,6 +22,8 @@ from .base import BASE, graph, iri, link, prop, query, store_of, table
 
 DOCS = "urn:graph:documents"
 TEXT = BASE + "text"
+#: Descriptions of one XML document that is written.
+XML_RECORDS = 50_000
 
 
 def document_graph(spark, folder) -> MappedGraph:
@@ -148,7 +150,8 @@ def rdfxml_flat_scan(spark, folder):
         F.col("c_mktsegment").alias("a:segment"), F.col("c_acctbal").alias("a:balance"), F.col("c_custkey").alias("a:key"),
     )
     options = {"validateName": "false", "rowTag": "rdf:Description", "rootTag": f'rdf:RDF xmlns:rdf="{RDF}" xmlns:a="{BASE}"'}
-    described.write.format("xml").options(**options).save(path)
+    # One task reads a whole document, so none grows with the table.
+    described.write.format("xml").options(**options).option("maxRecordsPerFile", XML_RECORDS).save(path)
     return numbers_as_sql(read_rdfxml_flat(spark, path, {"rdf": RDF, "a": BASE}), BASE + "balance").select("s", "p", "o_value", "o_type")
 
 
@@ -174,10 +177,13 @@ def results_json_scan(spark, folder):
 @query("binary_docs_scan", """
     SELECT doc_id, CAST(strlen(doc_id || chr(10) || text) + 1 AS BIGINT) AS length, md5(doc_id || chr(10) || text || chr(10)) AS checksum FROM documents""")
 def binary_docs_scan(spark, folder):
-    """One file per document, read as blobs. The first line of a file is its id; the text writer ends it with a line break."""
+    """One file per document, read as blobs. The first line of a file is its id; the text writer ends it with a line break.
+
+    Tasks move their files to the folder themselves, so that the driver does not rename them one by one when the job ends.
+    """
     path = scratch(spark, "blobs")
     docs = table(spark, folder, "documents").repartition("doc_id").select(F.concat("doc_id", F.lit("\n"), "text").alias("value"))
-    docs.write.option("maxRecordsPerFile", 1).text(path)
+    docs.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     blobs = read_binary(spark, path)
     first = F.substring_index(F.col("content").cast("string"), "\n", 1)
     return blobs.select(first.cast("long").alias("doc_id"), "length", F.md5("content").alias("checksum"))

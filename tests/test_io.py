@@ -264,3 +264,13 @@ def test_salted_lookup_equals_broadcast(spark):
         a, b = join_lookup(big, small, ["k"], how), join_lookup(big, small, ["k"], how, limit=0)
         assert a.columns == b.columns and rows(a, *a.columns) == rows(b, *b.columns)
     assert SW
+
+
+def test_documents_that_are_written_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    from quadrille.plans import files
+
+    spark.range(25).select(F.col("id").alias("c_custkey"), F.lit("x").alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit(1.5).alias("c_acctbal"), F.lit("y").alias("c_mktsegment")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(files, "XML_RECORDS", 10)
+    monkeypatch.setattr(files, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    found = files.rdfxml_flat_scan(spark, str(tmp_path))
+    assert found.count() == 125 and len(list((tmp_path / "rdfxml").glob("part-*"))) == 3
