@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import DEFAULT_GRAPH, OBJECT, QUAD, QUAD_SCHEMA, as_set
-from ..session import create_once, cut, hadoop_path, join_lookup
+from ..session import BROADCAST_BYTES, create_once, cut, cut_measured, hadoop_path, join_lookup
 from .graph import Graph, Pattern, StoredGraph
 from .stars import EVERYTHING_CLEARED, Stars, write_stars
 
@@ -510,15 +510,26 @@ class Batch:
         """Quads the batch really changes, with ``op``: added ones not there before, removed ones that were. Quads of an emptied graph
         that were there and are there again have the op ``again``; others of such a graph are not listed.
 
-        The stored side is first reduced to the quads the batch touches, by a join whose small side is the batch; they are then known by number.
+        What is staged is written and measured. Of a small batch the stored side is first reduced to the quads it touches, by a join whose small
+        side is the batch; they are then known by number. A large one meets the stored side in one aggregation, so both are shuffled once.
         """
         self._check()
         keys = [*QUAD, BUCKET]
-        net = cut(with_bucket(self._net()).withColumn("_id", F.monotonically_increasing_id()))
+        parts = [df.select(*QUAD, F.lit(i).alias("_seq"), F.lit(op).alias("op")) for i, (op, df) in enumerate(self._log)]
+        staged, seen = cut_measured(with_bucket(reduce(DataFrame.unionByName, parts)), "staged")
         # The buckets the batch touches, of at most BUCKETS; all other folders of the base stay unread.
-        touched = [r[BUCKET] for r in net.select(BUCKET).distinct().collect()]
-        there = self._before().filter(F.col(BUCKET).isin(touched)).join(net.select(*keys, "_id"), keys).select("_id", F.lit(True).alias("_there"))
-        known = net.join(there, "_id", "left").withColumn("_there", F.coalesce("_there", F.lit(False)))
+        touched = [r[BUCKET] for r in staged.select(BUCKET).distinct().collect()]
+        before = self._before().filter(F.col(BUCKET).isin(touched))
+        if seen["bytes"] <= BROADCAST_BYTES:
+            net = cut(last_operation(staged).withColumn("_id", F.monotonically_increasing_id()))
+            there = before.join(net.select(*keys, "_id"), keys).select("_id", F.lit(True).alias("_there"))
+            known = net.join(there, "_id", "left").withColumn("_there", F.coalesce("_there", F.lit(False)))
+        else:
+            nowhere = F.lit(-1)  # of what is stored, before every operation
+            code = F.col("_seq") * 2 + F.when(F.col("op") == REMOVED, 0).otherwise(1)
+            every = staged.select(*keys, code.alias("_code"), nowhere.alias("_old")).unionByName(before.select(*keys, nowhere.alias("_code"), F.lit(1).alias("_old")))
+            last = every.groupBy(*keys).agg(F.max("_code").alias("_code"), (F.max("_old") == 1).alias("_there")).filter(F.col("_code") >= 0)
+            known = last.withColumn("op", F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED))
         emptied = known.filter(self._emptied() & (F.col("op") == ADDED)).withColumn("op", F.when(F.col("_there"), AGAIN).otherwise(ADDED))
         others = known.filter(~self._emptied() & ((F.col("op") == REMOVED) == F.col("_there")))
         return (others.unionByName(emptied) if self._cleared else others).select(*keys, "op")

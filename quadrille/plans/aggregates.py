@@ -110,7 +110,8 @@ def predicate_estimates(spark, folder):
     store = store_of(spark, data.filter(F.col("p") != prop("lineitem", "l_quantity")))
     store.analyze()
     store.begin().add(data).commit()
-    exact = store.quads().groupBy("p").agg(F.count_distinct("s").alias("s"), F.count_distinct("o_value").alias("o"))
+    # Texts are told apart by 128 bits, which are moved instead of them.
+    exact = store.quads().groupBy("p").agg(*[F.count_distinct(F.unhex(F.md5(c))).alias(n) for c, n in (("s", "s"), ("o_value", "o"))])
     met = store.estimates().join(exact, "p")
 
     def close(estimate, number):

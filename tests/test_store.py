@@ -504,3 +504,22 @@ def test_cached_matches_follow_the_changes(spark, store):
     store.compact()
     assert caches["one"].refresh() is False and caches["one"].refresh() is True
     assert sorted(map(repr, caches["one"].read().collect())) == sorted(map(repr, bgp(store.graph(), queries["one"]).select("a", "b").collect()))
+
+
+def test_large_batches_meet_the_store_in_one_aggregation(spark, monkeypatch, capsys):
+    from quadrille.operators import store as module
+
+    rng, terms = random.Random(5), [(f"urn:s{i}", f"urn:p{j}", Lit(str(k))) for i in range(4) for j in range(3) for k in range(2)]
+    for i in range(3):
+        states = []
+        base, one, two = (quads(spark, rng.sample(terms, 9)).unionByName(quads(spark, rng.sample(terms, 5), "urn:g")) for _ in range(3))
+        for most in (module.BROADCAST_BYTES, 0):
+            with monkeypatch.context() as m:
+                m.setattr(module, "BROADCAST_BYTES", most)
+                kept = GraphStore.create(spark, scratch(spark, "store"), base)
+                batch = kept.begin()
+                batch = (batch.clear("urn:g") if i else batch).add(one).add(one).remove(two)
+                batch.changes().explain()
+                assert ("Join" in capsys.readouterr().out) == bool(most)
+                states.append((batch.commit(), rows(kept.quads(), *QUAD)))
+        assert states[0] == states[1]
