@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import DEFAULT_GRAPH, OBJECT, QUAD, TERM_SCHEMA, Lit, Val, as_set, constant_object, is_var
-from ..session import cut, join_lookup
+from ..session import cut, dealt, join_lookup
 from .graph import EVERYTHING, Dataset, Graph, Key, Pattern, with_iris
 
 
@@ -383,6 +383,7 @@ def construct(solutions: DataFrame, template: list[Pattern], graph: str = DEFAUL
     """Quads of a template per solution, as a set. Rows with an unbound part or a literal subject make no triple.
 
     A blank node of the template (``_:b``) is a new one for every solution. Text that a ``Val`` has read is a literal.
+    Solutions are dealt out before quads are made of them and made distinct: they may come from one task that has read a large row group.
     """
     schema = {f.name: f.dataType for f in solutions.schema}
     literal = {f.name for f in solutions.schema if f.metadata.get(LITERAL)}
@@ -412,6 +413,8 @@ def construct(solutions: DataFrame, template: list[Pattern], graph: str = DEFAUL
         c = constant_object(x)
         return [F.lit(c[k]) for k in OBJECT]
 
+    parts = [x.var if isinstance(x, Val) else x for t in template for x in (t.s, t.p, t.o, t.graph)]
+    solutions = dealt(solutions, sorted({x[1:] for x in parts if is_var(x)}))
     rows = []
     for t in template:
         g = F.lit(graph) if t.graph is None else node(t.graph)

@@ -133,6 +133,19 @@ def create_once(spark: SparkSession, path: str, record: dict) -> None:
     out.close()
 
 
+def dealt(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows in partitions of bounded size, by a hash of some columns, however many of them one task has read.
+
+    A row group of a file is not cut, so an aggregation before the next shuffle would hold all its rows. The number they are dealt by is a
+    column of its own: what comes next is shuffled by its own keys, and adaptive execution may split the partition of a row that is repeated often.
+    """
+    if not columns:
+        return df
+    number = max(df.columns, key=len) + "_"
+    placed = df.withColumn(number, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(1 << 20)))
+    return placed.hint("rebalance", F.col(f"`{number}`")).drop(number)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write as a table into the shared folder and read it back.
 

@@ -244,3 +244,17 @@ def test_rows_without_a_bound_shared_variable(spark):
     with pytest.raises(ValueError, match=r"\?k unbound"):
         optional(many, right)
     assert join(many, open_).count() == 2
+
+
+def test_construct_makes_solutions_of_one_large_task_distinct_in_many(spark, tmp_path):
+    # One row group, which is not cut: its rows must leave the task that reads them before any aggregation holds them.
+    rows_ = spark.range(60_000, numPartitions=1).select(F.concat(F.lit("urn:"), F.col("id") % 50_000).alias("s"), F.lit("v").alias("n"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    rows_.write.parquet(f"{tmp_path}/rows")
+    made = construct(spark.read.parquet(f"{tmp_path}/rows"), [Pattern("?s", "urn:p", "?n")])
+    plan = [line.strip(" +-:") for line in made._jdf.queryExecution().executedPlan().toString().splitlines()]
+    deep = [line.split("(")[0] for line in plan if line.startswith(("Exchange", "HashAggregate"))]
+    assert deep[-1].startswith("Exchange") and deep.count("HashAggregate") == 2
+    assert made.count() == 50_000 and made.select("o_value").distinct().count() == 1
+    # The rows are many alike, and a name like that of the number they are dealt by is no harm.
+    same = construct(rows_.select(F.lit("urn:x").alias("s"), F.lit("y").alias("s_")), [Pattern("?s", "urn:p", "?s_")])
+    assert [(r.s, r.o_value) for r in same.collect()] == [("urn:x", "y")]
