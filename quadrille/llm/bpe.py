@@ -1,4 +1,4 @@
-"""Byte-level BPE by prefix dynamic programming.
+"""Byte-level BPE: short pieces by merging pairs by rank, long and growing ones by prefix dynamic programming.
 
 For every prefix of a byte string there is exactly one token that ends its encoding, so an encoder only has to store that
 last token per prefix: the token ``t`` that ends a prefix is the one whose rest is a prefix ending in a token which stays
@@ -20,8 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import regex
 
-# Entries of each of a worker's memories of pieces, prefixes and pairs. This changes speed and memory only.
+# Entries of each of a worker's memories of pieces and pairs. This changes speed and memory only.
 PIECES = 200_000
+# Bytes of a piece up to which merging its pairs is faster than the last tokens of its prefixes, whose cost stays in proportion to the bytes.
+SHORT = 64
+_NO_RANK = 1 << 62
 # Characters of a text that are split into pieces at a time.
 SPAN = 1_000_000
 
@@ -41,9 +44,6 @@ class PrefixBpe:
             raise ValueError(f"no rank for single bytes {missing[:5]}")
         self.ranks, self.longest = ranks, max(map(len, ranks))
         self.token = {rank: token for token, rank in ranks.items()}
-        # Last tokens of prefixes seen so far; words share most of their prefixes.
-        self._last: dict[bytes, int] = {}
-        self._old_last: dict[bytes, int] = {}
         self._whole: dict[int, bool] = {}
         self._apart: dict[int, bool] = {}
         self._old_apart: dict[int, bool] = {}
@@ -55,18 +55,24 @@ class PrefixBpe:
         self._pool = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(size)), np.uint8)
 
     def merge(self, data: bytes) -> list[int]:
-        """Ranks by repeated merging of the adjacent pair of lowest rank, the leftmost of equals. Used on one or two tokens only."""
-        ranks, parts = self.ranks, [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+        """Ranks by repeated merging of the adjacent pair of lowest rank, the leftmost of equals: fast on short pieces, slow on long ones.
+
+        A pair's rank is looked up when one of its parts is new, so there are three look-ups a byte at most.
+        """
+        get = self.ranks.get
+        cuts = list(range(len(data) + 1))  # where parts start, and the end
+        pairs = [get(data[i:i + 2], _NO_RANK) for i in range(len(data) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == _NO_RANK:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+            at = pairs.index(best)
+            del cuts[at + 1], pairs[at]
+            if at < len(pairs):
+                pairs[at] = get(data[cuts[at]:cuts[at + 2]], _NO_RANK)
+            if at:
+                pairs[at - 1] = get(data[cuts[at - 1]:cuts[at + 1]], _NO_RANK)
+        return [self.ranks[data[i:j]] for i, j in zip(cuts, cuts[1:])]
 
     def _stays_whole(self, token: int) -> bool:
         found = self._whole.get(token)
@@ -109,26 +115,10 @@ class PrefixBpe:
         """Ids of one piece. A piece that is itself in the table is that one token."""
         if data in self.ranks:
             return [self.ranks[data]]
-        if len(data) > 64:
-            last: list[int] = []
-            self.extend(data, last)
-            return self.walk_back(last)
-        known, old = self._last, self._old_last
-        last = []
-        for end in range(1, len(data) + 1):
-            found = known.get(data[:end])
-            if found is None:
-                found = old.get(data[:end])
-                if found is None:
-                    break
-                known[data[:end]] = found
-            last.append(found)
-        had = len(last)
+        if len(data) <= SHORT:
+            return self.merge(data)
+        last: list[int] = []
         self.extend(data, last)
-        for end in range(had + 1, len(data)):
-            known[data[:end]] = last[end - 1]
-        if len(known) >= self._entries // 2:
-            self._old_last, self._last = known, {}
         return self.walk_back(last)
 
     def decode(self, ids) -> bytes:

@@ -56,6 +56,29 @@ def test_long_texts_are_split_where_pieces_end(prose):
     assert [i for p in spans(text, 100) for i in THEIRS.encode_ordinary(p)] == THEIRS.encode_ordinary(text)
 
 
+class Counted(dict):
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+
+def test_words_not_met_before_cost_few_look_ups():
+    rng, parts = random.Random(3), ["th", "on", "tion", "ing", "é", "re", "ea", "nd", "ß", "zq", "aux", "中"]
+    words = {"".join(rng.choices(parts, k=rng.randint(2, 9))) for _ in range(3000)}
+    ranks = Counted(RANKS)
+    ours = TextBpe(ranks, public_tokenizers.PATTERN)
+    assert [ours.encode(w) for w in words] == [THEIRS.encode_ordinary(w) for w in words]
+    assert ranks.asked < 3 * sum(len(w.encode()) for w in words)
+
+
+@pytest.mark.parametrize("size", [1, 2, 63, 64, 65, 66, 500])
+def test_short_and_long_pieces_meet(size):
+    for word in ("a" * size, "tion" * (size // 4) + "x" * (size % 4), "é" * (size // 2) + "z" * (size % 2)):
+        assert OURS.encode(word) == THEIRS.encode_ordinary(word)
+
+
 def test_digests_of_whole_texts(spark, made):
     pairs = [(1, "some words"), (1, "some words"), (2, None), (3, ""), (None, "é  x"), (5, "ab " * 60_000)]
     rows = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in encode_digests(made(pairs)).collect()}
