@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_measured
+from ..session import cut
 from .common import id_and_bytes, mixed, texts
 
 #: Documents of the sample, and counts of all of them together (12 bytes each), at most.
@@ -246,17 +246,20 @@ def _described(docs: DataFrame, id: str, text: str) -> DataFrame:
     def run(batches):
         forms = _Forms()
         for ids, bodies in texts(batches):
-            said, places, amounts = [], [], []
+            # A batch per group of texts: the counts of all texts of a batch that was read are several times its size.
+            done = 0
             for group in groups(bodies):
+                said, places, amounts = [], [], []
                 for words, found in zip(group, forms.look_up_all(group)):
                     said.append(votes(*found) if words else SILENT)
                     place, amount = features(*found) if words else (np.empty(0, np.int32), np.empty(0, np.int64))
                     places.append(place)
                     amounts.append(amount)
-            offsets = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, kind), *found]))) for found, kind in ((places, np.int32), (amounts, np.int64))]
-            columns = [pa.array(ids, arrow.field(0).type), pa.array(said, pa.string()), *[c.cast(f.type) for c, f in zip(lists, list(arrow)[2:])]]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                offsets = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, kind), *found]))) for found, kind in ((places, np.int32), (amounts, np.int64))]
+                columns = [pa.array(ids[done:done + len(group)], arrow.field(0).type), pa.array(said, pa.string()), *[c.cast(f.type) for c, f in zip(lists, list(arrow)[2:])]]
+                done += len(group)
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return id_and_bytes(docs, id, text).mapInArrow(run, schema)
 
@@ -284,7 +287,7 @@ def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: in
     """
     import pyarrow as pa
 
-    described, _ = cut_measured(_described(docs, id, text), "described")
+    described = cut(_described(docs, id, text), "described")
     patterns = {r["votes"]: r["n"] for r in described.where(F.col("votes") != SILENT).groupBy("votes").agg(F.count(F.lit(1)).alias("n")).limit(PATTERNS).collect()}
     labels = estimate(patterns)
     rows = _sampled(described, sample, most)

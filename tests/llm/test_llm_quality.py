@@ -4,6 +4,7 @@ from corpus_fixtures import SMALL, made, prose, prepared  # noqa: F401
 import numpy as np
 from pyspark.sql import functions as F
 
+from quadrille import session
 from quadrille.llm import quality
 from quadrille.llm.quality import _described, _Forms, _forms, _sampled, classify, estimate, features, votes
 from quadrille.llm.queries import QUERIES
@@ -181,3 +182,17 @@ def test_the_sample_is_bounded_in_rows_and_counts(made, prose):
         assert len(rows) <= sample and sum(len(r["places"]) for r in rows) <= most
     assert len(_sampled(described, 100, 10**6)) == 100 and len(_sampled(described, 10, 10**6)) == 10
     assert classify(docs, sample=10).count() == 100
+
+
+def test_counts_are_not_written_as_text_to_be_measured(made, prose, monkeypatch):
+    def measured(schema):
+        raise AssertionError("the size of the counts is not used")
+
+    monkeypatch.setattr(session, "_bytes", measured)
+    # Groups of texts, among them one longer than a group, and rows without words before, between and after.
+    long = " ".join(f"w{i}" for i in range(quality.AT_A_TIME + 10))
+    pairs = [(0, None), (1, prose(300, 1)), (2, long), (3, ""), (4, prose(300, 2)), (5, long), (6, " ")]
+    rows = {r.doc_id: r for r in classify(made(pairs)).collect()}
+    assert sorted(rows) == list(range(7))
+    assert [rows[i].votes == quality.SILENT for i in range(7)] == [True, False, False, True, False, False, True]
+    assert (rows[2].votes, rows[2].score) == (rows[5].votes, rows[5].score)
