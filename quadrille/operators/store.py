@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import DEFAULT_GRAPH, OBJECT, QUAD, QUAD_SCHEMA, as_set
-from ..session import BROADCAST_BYTES, create_once, cut, cut_measured, hadoop_path, join_lookup
+from ..session import BROADCAST_BYTES, PARTITIONS, TASK_ROWS, create_once, cut, cut_measured, freed, hadoop_path, join_lookup, scope
 from .graph import Graph, Pattern, StoredGraph
 from .stars import EVERYTHING_CLEARED, Stars, write_stars
 
@@ -44,6 +44,12 @@ _RECORD = (
     f"version long, base string, deltas array<{_DELTA}>, prefixes string, folds array<struct<name string, upto long, buckets array<int>>>, "
     "stars struct<name string, parts int, upto long, pending array<string>>, sketches array<string>"
 )
+#: Subjects and values of stored quads are mostly distinct texts, which this codec halves and the usual one leaves as they are.
+CODEC = "zstd"
+#: Code of a stored quad beside those of operations, and staged quads for which a task of a large commit writes a file of its own.
+STORED, FILE_ROWS = -1, 10_000
+#: Cells that subjects are counted in before a large commit deals quads out by subject.
+CELLS = 4096
 #: Logarithm of the cells of a sketch: a standard error of about 1 %.
 SKETCH = 14
 #: Deltas after which upkeep runs, and the share of a bucket's base that its deltas may hold.
@@ -84,7 +90,14 @@ def write_quads(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     ones. Files are sorted by predicate and subject, which gives row groups useful bounds.
     """
     laid_out = with_bucket(df.select(*QUAD)).hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, "p", "s")
-    laid_out.write.mode(mode).partitionBy(BUCKET).parquet(path)
+    with freed(df.sparkSession):
+        laid_out.write.mode(mode).partitionBy(BUCKET).parquet(path, compression=CODEC)
+
+
+def fingerprint() -> Column:
+    """128 bits of a quad: of a SHA-256 over the lengths of its texts, then the texts, so that no two quads have the same input."""
+    lengths = [F.coalesce(F.octet_length(c), F.lit(-1)).cast("string") for c in QUAD]
+    return F.substring(F.unhex(F.sha2(F.concat_ws("\n", *lengths, *QUAD), 256)), 1, 16)
 
 
 _STORED = "s string, p string, o_value string, o_type string, o_datatype string, o_lang string, g string"
@@ -394,7 +407,8 @@ class GraphStore:
         gone = rest.filter(F.col("op") == REMOVED).select(*QUAD, BUCKET).distinct()
         name = self._fresh("delta", version)
         one = ends.select(*QUAD, BUCKET, "op").unionByName(gone.withColumn("op", F.lit(REMOVED)))
-        one.hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(f"{self.root}/{name}")
+        with freed(self.spark):
+            one.hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(f"{self.root}/{name}", compression=CODEC)
         dropped = sum(r["count"] for r in self.spark.read.schema("s string, op string").parquet(f"{self.root}/{name}").groupBy("op").count().collect() if r["op"] == REMOVED)
         total = {k: sum(d[k] for d in deltas) for k in (ADDED, REMOVED)}
         merged = {"name": name, **total, "drops": dropped, "cleared": [c for d in deltas for c in d["cleared"] or ()], "seq": newest}
@@ -506,33 +520,61 @@ class Batch:
         """Is a quad of a graph that the batch empties."""
         return F.lit(True) if EVERYTHING_CLEARED in self._cleared else F.col("g").isin(sorted(self._cleared)) if self._cleared else F.lit(False)
 
+    def _met(self, staged: DataFrame, rows: int, before: DataFrame, touched: list[int]) -> tuple[DataFrame, bool]:
+        """The last operation ``op`` of each staged quad, and whether it is ``_there`` before: one shuffle of what is staged and stored.
+        And whether its tasks hold ``FILE_ROWS`` staged quads a bucket, so that each can write files of its own.
+
+        Quads are dealt out by their subjects, so the staged quads of one subject, which mostly come one after the other, lie side by side in the
+        shuffle and their subject is compressed away. Of a stored quad only its fingerprint is moved. Subjects are counted in cells first: where
+        a cell is far larger than others, it holds a subject with very many quads, and the quads of that cell are dealt out one by one.
+        """
+        cell = F.pmod(F.xxhash64("s"), F.lit(CELLS))
+        held = staged.select("s").unionByName(self.store._stored(self._record).filter(F.col(BUCKET).isin(touched)).select("s"))
+        if self._deltas:
+            held = held.unionByName(self.store._live(self._record).filter(F.col(BUCKET).isin(touched)).select("s"))
+        counts = {r["_cell"]: r["count"] for r in held.groupBy(cell.alias("_cell")).count().collect()}  # CELLS at most
+        total = sum(counts.values())
+        large = sorted(c for c, n in counts.items() if n > max(TASK_ROWS, 4 * total // CELLS))
+        of_subject = F.xxhash64("s", F.lit(1))
+        number = F.pmod(F.when(cell.isin(large), F.xxhash64(*QUAD)).otherwise(of_subject) if large else of_subject, F.lit(1 << 20)).cast("int")
+        code = F.col("_seq") * 2 + F.when(F.col("op") == REMOVED, 0).otherwise(1)
+        new = staged.select(number.alias("_number"), code.alias("_code"), F.lit(None).cast("binary").alias("_print"), *QUAD)
+        old = before.select(number.alias("_number"), F.lit(STORED).alias("_code"), fingerprint().alias("_print"))
+        partitions = max(PARTITIONS, int(self.store.spark.conf.get("spark.sql.shuffle.partitions")), total // (4 * TASK_ROWS))
+        every = new.unionByName(old, allowMissingColumns=True).repartition(partitions, "_number")
+        every = every.withColumn("_print", F.coalesce("_print", fingerprint()))
+        quad = F.first(F.when(F.col("_code") != STORED, F.struct(*QUAD)), ignorenulls=True)
+        last = every.groupBy("_number", "_print").agg(F.max("_code").alias("_code"), F.min("_code").alias("_least"), quad.alias("_quad"))
+        known = with_bucket(last.filter(F.col("_code") != STORED).select("_quad.*", "_code", (F.col("_least") == STORED).alias("_there")))
+        return known.withColumn("op", F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED)), rows >= FILE_ROWS * partitions * len(touched)
+
     def changes(self) -> DataFrame:
         """Quads the batch really changes, with ``op``: added ones not there before, removed ones that were. Quads of an emptied graph
         that were there and are there again have the op ``again``; others of such a graph are not listed.
 
         What is staged is written and measured. Of a small batch the stored side is first reduced to the quads it touches, by a join whose small
-        side is the batch; they are then known by number. A large one meets the stored side in one aggregation, so both are shuffled once.
+        side is the batch; they are then known by number. A large one meets the stored side in one aggregation, see :meth:`_met`.
         """
+        return self._changes()[0]
+
+    def _changes(self) -> tuple[DataFrame, bool]:
+        """The changes, and whether tasks may write them as they have them."""
         self._check()
         keys = [*QUAD, BUCKET]
         parts = [df.select(*QUAD, F.lit(i).alias("_seq"), F.lit(op).alias("op")) for i, (op, df) in enumerate(self._log)]
-        staged, seen = cut_measured(with_bucket(reduce(DataFrame.unionByName, parts)), "staged")
+        staged, seen = cut_measured(with_bucket(reduce(DataFrame.unionByName, parts)), "staged", CODEC, rows=F.count(F.lit(1)))
         # The buckets the batch touches, of at most BUCKETS; all other folders of the base stay unread.
         touched = [r[BUCKET] for r in staged.select(BUCKET).distinct().collect()]
-        before = self._before().filter(F.col(BUCKET).isin(touched))
+        before, own = self._before().filter(F.col(BUCKET).isin(touched)), False
         if seen["bytes"] <= BROADCAST_BYTES:
             net = cut(last_operation(staged).withColumn("_id", F.monotonically_increasing_id()))
             there = before.join(net.select(*keys, "_id"), keys).select("_id", F.lit(True).alias("_there"))
             known = net.join(there, "_id", "left").withColumn("_there", F.coalesce("_there", F.lit(False)))
         else:
-            nowhere = F.lit(-1)  # of what is stored, before every operation
-            code = F.col("_seq") * 2 + F.when(F.col("op") == REMOVED, 0).otherwise(1)
-            every = staged.select(*keys, code.alias("_code"), nowhere.alias("_old")).unionByName(before.select(*keys, nowhere.alias("_code"), F.lit(1).alias("_old")))
-            last = every.groupBy(*keys).agg(F.max("_code").alias("_code"), (F.max("_old") == 1).alias("_there")).filter(F.col("_code") >= 0)
-            known = last.withColumn("op", F.when(F.col("_code") % 2 == 1, ADDED).otherwise(REMOVED))
+            known, own = self._met(staged, seen["rows"], before, touched)
         emptied = known.filter(self._emptied() & (F.col("op") == ADDED)).withColumn("op", F.when(F.col("_there"), AGAIN).otherwise(ADDED))
         others = known.filter(~self._emptied() & ((F.col("op") == REMOVED) == F.col("_there")))
-        return (others.unionByName(emptied) if self._cleared else others).select(*keys, "op")
+        return (others.unionByName(emptied) if self._cleared else others).select(*keys, "op"), own and not self._cleared
 
     def commit(self) -> dict[str, int]:
         """Publish as the next version and return how many quads were added and removed.
@@ -547,7 +589,10 @@ class Batch:
             path = f"{self.store.root}/{name}"
             spark, done = self.store.spark, {}
             if self._log:
-                self.changes().hint("rebalance", F.col("op"), F.col(BUCKET)).write.partitionBy("op", BUCKET).parquet(path)
+                with scope(spark), freed(spark):  # what was staged is needed no longer
+                    found, own = self._changes()
+                    laid_out = found if own else found.hint("rebalance", F.col("op"), F.col(BUCKET))
+                    laid_out.write.partitionBy("op", BUCKET).parquet(path, compression=CODEC)
                 rows = spark.read.schema("s string, op string").parquet(path).groupBy("op").count().collect()
                 done = {r["op"]: r["count"] for r in rows}
             else:

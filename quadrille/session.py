@@ -108,6 +108,23 @@ def scope(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a statement within are deleted when it ends, and not when the driver next collects garbage.
+
+    For writes: a write has a plan of its own, so nothing reads its shuffles again.
+    """
+    before = spark.conf.get(_FREED)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that was written as scratch; one that is not there is no error."""
     files, where = hadoop_path(spark, path)
@@ -153,18 +170,21 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     real file sizes to choose joins by.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    with freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_measured(df: DataFrame, name: str = "cut", **measures: Column) -> tuple[DataFrame, dict]:
+def cut_measured(df: DataFrame, name: str = "cut", codec: str | None = None, **measures: Column) -> tuple[DataFrame, dict]:
     """As :func:`cut`, with aggregates of the written rows from the same pass: ``bytes``, and any others asked for.
 
-    A task that runs twice may be counted twice, so sizes are upper bounds; they are exact about being zero.
+    A task that runs twice may be counted twice, so sizes are upper bounds; they are exact about being zero. ``codec`` compresses
+    the files in place of the session's own.
     """
     path, seen = scratch(df.sparkSession, name), Observation()
     size = F.coalesce(F.sum(_bytes(df.schema)), F.lit(0)).alias("bytes")
-    df.observe(seen, size, *[c.alias(n) for n, c in measures.items()]).write.parquet(path)
+    with freed(df.sparkSession):
+        df.observe(seen, size, *[c.alias(n) for n, c in measures.items()]).write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
@@ -14,7 +15,7 @@ from quadrille.operators.documents import DocumentStore, delete, documents, look
 from quadrille.operators.graph import Dataset, Pattern, StoredGraph
 from quadrille.operators.patterns import bgp
 from quadrille.operators.store import BucketedGraph, GraphStore, restore, stored_graph, write_quads
-from quadrille.session import scratch
+from quadrille.session import cut, scratch
 
 ONE = [("urn:subj", "urn:pred", "urn:obj")]
 SPO = [Pattern("?s", "?p", "?o")]
@@ -523,3 +524,62 @@ def test_large_batches_meet_the_store_in_one_aggregation(spark, monkeypatch, cap
                 assert ("Join" in capsys.readouterr().out) == bool(most)
                 states.append((batch.commit(), rows(kept.quads(), *QUAD)))
         assert states[0] == states[1]
+
+
+def wide(spark, n=2000):
+    """Quads of some subjects with few and one with very many values, of several predicates."""
+    s, p = "CASE WHEN id % 3 = 0 THEN 'urn:hub' ELSE concat('urn:s', id % 500) END", "concat('urn:p', id % 4)"
+    return spark.range(n).selectExpr(f"{s} AS s", f"{p} AS p", "cast(id AS string) AS o_value", "'literal' AS o_type", "'' AS o_datatype", "'' AS o_lang", f"'{DEFAULT_GRAPH}' AS g")
+
+
+@pytest.mark.parametrize("file_rows", [0, 10_000])
+def test_a_large_commit_deals_out_the_quads_of_a_large_subject(spark, monkeypatch, file_rows):
+    from quadrille.operators import store as module
+
+    for name, value in (("BROADCAST_BYTES", 0), ("TASK_ROWS", 50), ("FILE_ROWS", file_rows)):
+        monkeypatch.setattr(module, name, value)
+    data = wide(spark)
+    store = GraphStore.create(spark, scratch(spark, "store"), data.filter("o_value < '5'"))
+    batch = store.begin().remove(data.filter("o_value > '8'")).add(data.filter("o_value <= '7'")).remove(data.filter("o_value < '2'"))
+    changes = batch._changes()[0]
+    largest = changes.withColumn("task", F.spark_partition_id()).filter("s = 'urn:hub'").groupBy("task").count().agg(F.max("count")).first()[0]
+    values = [str(i) for i in range(2000)]
+    added, removed = [v for v in values if "5" <= v <= "7"], [v for v in values if v < "2"]
+    assert largest < 50
+    assert batch.commit() == {"added": len(added), "removed": len(removed)}
+    assert sorted(r["o_value"] for r in store.quads().collect()) == sorted(v for v in values if "2" <= v <= "7")
+
+
+def test_a_commit_keeps_no_staged_table(spark, monkeypatch, tmp_path):
+    from quadrille import session
+    from quadrille.operators import store as module
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda spark: str(tmp_path))
+    for most in (0, module.BROADCAST_BYTES):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", most)
+        store = GraphStore.create(spark, str(tmp_path / f"store-{most}"), wide(spark, 20))
+        assert store.begin().add(wide(spark, 30)).commit() == {"added": 10, "removed": 0}
+        assert store.size().first()["n"] == 30 and not [f.name for f in tmp_path.iterdir() if f.name.split("-")[0] in ("staged", "cut")]
+
+
+def test_shuffles_of_a_write_are_deleted_with_its_end(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for name in disk.getAllBlocks().mkString("\n").split("\n") if name.startswith("shuffle_")}
+
+    old = shuffles()
+    counted = cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while shuffles() - old and time.time() < until:
+        time.sleep(0.2)
+    assert shuffles() <= old and counted.count() == 7
+
+
+def test_fingerprints_tell_texts_apart_where_they_meet(spark):
+    from quadrille.operators.store import fingerprint
+
+    rows_ = [("a\nb", "c", "d"), ("a", "b\nc", "d"), ("a", "b", "c\nd"), ("a", "b", None), ("a", "b", "")]
+    df = spark.createDataFrame([(s, p, o, "literal", "", "", "urn:g") for s, p, o in rows_], "s string, p string, o_value string, o_type string, o_datatype string, o_lang string, g string")
+    found = [bytes(r[0]) for r in df.select(fingerprint()).collect()]
+    assert len(set(found)) == 5 and {len(f) for f in found} == {16}
