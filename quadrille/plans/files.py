@@ -12,6 +12,7 @@ from ..operators.mapping import Col, MappedGraph, Mapping, Rule, Table, direct_m
 from ..operators.patterns import bgp
 from ..operators.store import read_quads, restore, write_quads
 from ..session import scratch
+from ..sinks.blobs import write_blobs
 from ..sinks.graphs import write_nquads, write_ntriples
 from ..sinks.results import write_csv, write_json, write_tsv
 from ..sources.lines import read_nquads
@@ -22,8 +23,8 @@ from .base import BASE, graph, iri, link, prop, query, store_of, table
 
 DOCS = "urn:graph:documents"
 TEXT = BASE + "text"
-#: Descriptions of one XML document that is written.
-XML_RECORDS = 50_000
+#: Descriptions of one XML document that is written, and folders of blobs that are read at a time.
+XML_RECORDS, SCAN_FOLDERS = 50_000, 100
 
 
 def document_graph(spark, folder) -> MappedGraph:
@@ -177,16 +178,21 @@ def results_json_scan(spark, folder):
 @query("binary_docs_scan", """
     SELECT doc_id, CAST(strlen(doc_id || chr(10) || text) + 1 AS BIGINT) AS length, md5(doc_id || chr(10) || text || chr(10)) AS checksum FROM documents""")
 def binary_docs_scan(spark, folder):
-    """One file per document, read as blobs. The first line of a file is its id; the text writer ends it with a line break.
+    """One file per document, read as blobs. The first line of a file is its id; a line break ends the file.
 
-    Tasks move their files to the folder themselves, so that the driver does not rename them one by one when the job ends.
+    The files are read some folders at a time and what is found is kept as a table, so that the driver never lists all files at once.
     """
-    path = scratch(spark, "blobs")
     docs = table(spark, folder, "documents").repartition("doc_id").select(F.concat("doc_id", F.lit("\n"), "text").alias("value"))
-    docs.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
-    blobs = read_binary(spark, path)
-    first = F.substring_index(F.col("content").cast("string"), "\n", 1)
-    return blobs.select(first.cast("long").alias("doc_id"), "length", F.md5("content").alias("checksum"))
+    folders = write_blobs(docs, "value", scratch(spark, "blobs"))
+    found = scratch(spark, "found")
+    schema = "doc_id long, length long, checksum string"
+    spark.createDataFrame([], schema).write.parquet(found)
+    for i in range(0, len(folders), SCAN_FOLDERS):
+        blobs = read_binary(spark, folders[i:i + SCAN_FOLDERS])
+        first = F.substring_index(F.col("content").cast("string"), "\n", 1)
+        rows = blobs.select(first.cast("long").alias("doc_id"), "length", F.md5("content").alias("checksum"))
+        rows.write.mode("append").parquet(found)
+    return spark.read.schema(schema).parquet(found)
 
 
 ESCAPED = "replace(replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"

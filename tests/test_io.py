@@ -13,6 +13,7 @@ from quadrille.functions.iri import compact, expand, local_name, merge_prefixes,
 from quadrille.functions.terms import decode_term
 from quadrille.model import DEFAULT_GRAPH, QUAD, XSD_INTEGER, Lit, quads
 from quadrille.session import join_lookup, scratch
+from quadrille.sinks import blobs
 from quadrille.sinks.graphs import write_nquads, write_ntriples
 from quadrille.sinks.results import csv_rows, json_bindings, write_csv, write_json, write_tsv
 from quadrille.sources.lines import parse_lines, read_corrupt, read_nquads
@@ -274,3 +275,36 @@ def test_documents_that_are_written_do_not_grow_with_the_table(spark, tmp_path,
     monkeypatch.setattr(files, "scratch", lambda spark, name: f"{tmp_path}/{name}")
     found = files.rdfxml_flat_scan(spark, str(tmp_path))
     assert found.count() == 125 and len(list((tmp_path / "rdfxml").glob("part-*"))) == 3
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_blobs_in_folders_of_some_files(spark, monkeypatch, scheme, tmp_path):
+    monkeypatch.setattr(blobs, "FOLDER_FILES", 3)
+    texts = [None, "", "ü\nb", "x" * 200_000, *[f"t{i}" for i in range(16)]]
+    df = spark.createDataFrame([(t,) for t in texts], "value string").repartition(2)
+    folders = blobs.write_blobs(df, "value", f"{scheme}{tmp_path}/a b")
+    found = rows(read_binary(spark, folders), "length", "content")
+    assert found == sorted([(len(c), bytearray(c)) for c in ((t or "").encode() + b"\n" for t in texts)], key=repr)
+    assert 7 <= len(folders) <= 8 and not list(tmp_path.rglob("*.crc")) and max(len(list(f.iterdir())) for f in (tmp_path / "a b").iterdir()) == 3
+
+
+def test_blobs_of_no_rows_and_of_failed_attempts(spark, tmp_path):
+    assert blobs.write_blobs(spark.createDataFrame([], "value string"), "value", str(tmp_path / "none")) == []
+    odd = spark.range(20).select(F.when(F.col("id") < 19, F.lit("x")).otherwise(F.raise_error(F.lit("no"))).alias("value")).coalesce(1)
+    with pytest.raises(Exception, match="no"):
+        blobs.write_blobs(odd, "value", str(tmp_path / "odd"))
+
+
+def test_binary_documents_are_read_some_folders_at_a_time(spark, monkeypatch, tmp_path):
+    from quadrille.plans import files, load
+
+    monkeypatch.setattr(blobs, "FOLDER_FILES", 2)
+    monkeypatch.setattr(files, "SCAN_FOLDERS", 2)
+    sizes, read = [], read_binary
+    monkeypatch.setattr(files, "read_binary", lambda spark, paths: sizes.append(len(paths)) or read(spark, paths))
+    spark.createDataFrame([(i, f"text {i}") for i in range(15)] + [(3, "again")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = load()[0]["binary_docs_scan"](spark, str(tmp_path))
+    assert sum(sizes) >= 8 and max(sizes) == 2
+    assert rows(found, "doc_id", "length") == sorted([(i, len(f"{i}\ntext {i}\n")) for i in range(15)] + [(3, 8)], key=repr)
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert load()[0]["binary_docs_scan"](spark, str(tmp_path / "none")).count() == 0
